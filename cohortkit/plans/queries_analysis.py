@@ -1 +1,286 @@
-"""Survival, churn and dashboard queries."""
+"""Survival, churn and dashboard queries with their oracle SQL."""
+
+from __future__ import annotations
+
+from ..operators import churn, datasets, metrics, survival
+from ..params import FIXTURE_PARAMS, Z_95
+from .catalog import models, register
+from .oracle import with_models
+
+LO = FIXTURE_PARAMS.cohort_lo.isoformat()
+HI = FIXTURE_PARAMS.cohort_hi.isoformat()
+MAXM = FIXTURE_PARAMS.curve_max_month
+MIN_GROUP = FIXTURE_PARAMS.min_group
+
+
+# ----------------------------------------------------------------- oracle SQL
+def _km_ctes(by: str | None = None, min_group: int = 0) -> str:
+    """Kaplan-Meier views in DuckDB SQL: km_in, km_base, km_tab, km_ev, km_cv."""
+    p = f"{by}, " if by else ""
+    part = f"PARTITION BY {by}" if by else ""
+    start = (f"SELECT {by}, 0 AS t, 0 AS observed, 0 AS removed FROM km_base GROUP BY {by}" if by
+             else "SELECT 0 AS t, 0 AS observed, 0 AS removed")
+    return f"""
+km_in AS (
+  SELECT user_id, survival_days, churned, user_segment, total_reviews, avg_engagement_score
+  FROM survival WHERE survival_days >= 0 AND total_reviews >= 2
+),
+km_base AS (
+  SELECT {p}CAST(survival_days AS INT) AS t, CAST(SUM(CAST(churned AS INT)) AS BIGINT) AS observed,
+         COUNT(*) AS removed
+  FROM km_in GROUP BY ALL
+),
+km_tab AS (
+  SELECT {p}t, CAST(SUM(observed) AS BIGINT) AS observed, CAST(SUM(removed) AS BIGINT) AS removed
+  FROM (SELECT {p}t, observed, removed FROM km_base UNION ALL {start}) u GROUP BY ALL
+),
+km_ev AS (
+  SELECT {p}t, observed, removed, removed - observed AS censored,
+         CAST(SUM(removed) OVER ({part} ORDER BY t DESC ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS BIGINT) AS at_risk,
+         CAST(SUM(removed) OVER ({part}) AS BIGINT) AS group_size
+  FROM km_tab
+),
+km_cv AS (
+  SELECT *,
+         product(1.0 - observed / at_risk) OVER w AS s,
+         CASE WHEN MAX(CASE WHEN at_risk = observed THEN 1 ELSE 0 END) OVER w = 0
+              THEN SUM(COALESCE(CASE WHEN at_risk > observed
+                                     THEN observed / (at_risk * (at_risk - observed)) END, 0.0)) OVER w
+         END AS var
+  FROM km_ev WHERE group_size >= {min_group}
+  WINDOW w AS ({part} ORDER BY t ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)
+)"""
+
+
+def _km(final: str, by: str | None = None, min_group: int = 0) -> str:
+    return with_models(final, _km_ctes(by, min_group))
+
+
+_MED = "MIN(CASE WHEN s <= 0.5 THEN t END)"
+
+TRAINING_CTE = """
+training AS (
+  SELECT user_id, survival_days, total_reviews, avg_stars, avg_engagement_score, user_segment,
+         CASE WHEN survival_days < 180 THEN 1 ELSE 0 END AS churned_early
+  FROM survival WHERE survival_days >= 0 AND total_reviews >= 2
+),
+rule_scored AS (
+  SELECT user_id, churned_early AS label, ROUND(1.0 / total_reviews, 6) AS score,
+         CASE WHEN ROUND(1.0 / total_reviews, 6) >= 0.5 THEN 1 ELSE 0 END AS prediction
+  FROM training
+)"""
+
+REPORT_SQL = """
+WITH_CONF AS (
+  SELECT CAST(SUM(CASE WHEN label = 1 AND prediction = 1 THEN 1 ELSE 0 END) AS DOUBLE) AS tp,
+         CAST(SUM(CASE WHEN label = 0 AND prediction = 1 THEN 1 ELSE 0 END) AS DOUBLE) AS fp,
+         CAST(SUM(CASE WHEN label = 0 AND prediction = 0 THEN 1 ELSE 0 END) AS DOUBLE) AS tn,
+         CAST(SUM(CASE WHEN label = 1 AND prediction = 0 THEN 1 ELSE 0 END) AS DOUBLE) AS fn
+  FROM rule_scored
+),
+m1 AS (
+  SELECT *,
+         CASE WHEN tp + fp = 0 THEN 0.0 ELSE tp / (tp + fp) END AS pr1,
+         CASE WHEN tp + fn = 0 THEN 0.0 ELSE tp / (tp + fn) END AS re1,
+         CASE WHEN tn + fn = 0 THEN 0.0 ELSE tn / (tn + fn) END AS pr0,
+         CASE WHEN tn + fp = 0 THEN 0.0 ELSE tn / (tn + fp) END AS re0,
+         tp + fn AS s1, tn + fp AS s0
+  FROM WITH_CONF
+),
+m2 AS (
+  SELECT *,
+         CASE WHEN pr1 + re1 = 0 THEN 0.0 ELSE 2 * pr1 * re1 / (pr1 + re1) END AS f1_1,
+         CASE WHEN pr0 + re0 = 0 THEN 0.0 ELSE 2 * pr0 * re0 / (pr0 + re0) END AS f1_0,
+         s0 + s1 AS total
+  FROM m1
+)"""
+
+REPORT_SELECT = """
+SELECT '0' AS class, ROUND(pr0, 6) AS precision, ROUND(re0, 6) AS recall, ROUND(f1_0, 6) AS f1, CAST(s0 AS BIGINT) AS support FROM m2
+UNION ALL SELECT '1', ROUND(pr1, 6), ROUND(re1, 6), ROUND(f1_1, 6), CAST(s1 AS BIGINT) FROM m2
+UNION ALL SELECT 'accuracy', NULL, NULL, ROUND(CASE WHEN total = 0 THEN 0.0 ELSE (tp + tn) / total END, 6), CAST(total AS BIGINT) FROM m2
+UNION ALL SELECT 'macro avg', ROUND((pr0 + pr1) / 2, 6), ROUND((re0 + re1) / 2, 6), ROUND((f1_0 + f1_1) / 2, 6), CAST(total AS BIGINT) FROM m2
+UNION ALL SELECT 'weighted avg',
+  ROUND(CASE WHEN total = 0 THEN 0.0 ELSE (pr0 * s0 + pr1 * s1) / total END, 6),
+  ROUND(CASE WHEN total = 0 THEN 0.0 ELSE (re0 * s0 + re1 * s1) / total END, 6),
+  ROUND(CASE WHEN total = 0 THEN 0.0 ELSE (f1_0 * s0 + f1_1 * s1) / total END, 6),
+  CAST(total AS BIGINT) FROM m2
+"""
+
+CURVE_CTES = f"""
+curve_window AS (
+  SELECT * FROM retention
+  WHERE months_since_joining <= {MAXM} AND cohort_month >= DATE '{LO}' AND cohort_month < DATE '{HI}'
+),
+cohort_list AS (
+  SELECT cohort_month, CAST(row_number() OVER (ORDER BY cohort_month) - 1 AS INT) AS position
+  FROM (SELECT DISTINCT cohort_month FROM curve_window) d
+),
+default_cohorts AS (
+  SELECT cohort_month, position FROM cohort_list
+  WHERE position = 0 OR (position = 6 AND (SELECT COUNT(*) FROM cohort_list) > 6)
+)"""
+
+
+# ------------------------------------------------------------------ survival
+def _km_in(spark, d):
+    return survival.km_input(models(spark, d).survival_inputs)
+
+
+register("km_input", _km("SELECT * FROM km_in"))(_km_in)
+
+register("km_event_table", _km("SELECT t, at_risk, observed, censored, removed FROM km_ev"))(
+    lambda spark, d: survival.km_event_table(_km_in(spark, d)))
+
+register("km_overall", _km(
+    "SELECT t, at_risk, observed, censored, ROUND(s, 6) AS survival, ROUND(s * 100, 4) AS survival_pct FROM km_cv"))(
+    lambda spark, d: survival.km_overall(_km_in(spark, d)))
+
+register("km_confidence", _km(f"""
+SELECT t, ROUND(s, 6) AS survival,
+       CASE WHEN s > 0 AND s < 1 AND var IS NOT NULL THEN ROUND(pow(s, exp(-({Z_95!r} * sqrt(var) / ln(s)))), 6) END AS ci_lower,
+       CASE WHEN s > 0 AND s < 1 AND var IS NOT NULL THEN ROUND(pow(s, exp({Z_95!r} * sqrt(var) / ln(s))), 6) END AS ci_upper
+FROM km_cv"""))(lambda spark, d: survival.km_confidence(_km_in(spark, d), Z_95))
+
+register("km_by_segment", _km(
+    "SELECT user_segment, t, at_risk, observed, censored, ROUND(s, 6) AS survival FROM km_cv",
+    by="user_segment", min_group=MIN_GROUP))(
+    lambda spark, d: survival.km_by_segment(_km_in(spark, d), min_group=MIN_GROUP))
+
+register("km_median", _km(
+    f"SELECT {_MED} AS median_days, ROUND({_MED} / 30.0, 1) AS median_months FROM km_cv"))(
+    lambda spark, d: survival.km_median(survival.km_curve(survival.km_event_table(_km_in(spark, d)))))
+
+register("km_median_by_segment", _km(
+    f"SELECT user_segment, {_MED} AS median_days, ROUND({_MED} / 30.0, 1) AS median_months "
+    f"FROM km_cv GROUP BY user_segment", by="user_segment", min_group=MIN_GROUP))(
+    lambda spark, d: survival.km_median_by_segment(_km_in(spark, d), min_group=MIN_GROUP))
+
+register("km_milestones", _km("\nUNION ALL ".join(
+    f"SELECT {x} AS days, ROUND(COALESCE(MIN(CASE WHEN t <= {x} THEN s END), 1.0), 6) AS survival FROM km_cv"
+    for x in FIXTURE_PARAMS.milestones)))(
+    lambda spark, d: survival.km_at(survival.km_curve(survival.km_event_table(_km_in(spark, d))),
+                                    FIXTURE_PARAMS.milestones))
+
+register("segment_table", _km(
+    f"SELECT user_segment, MAX(group_size) AS users, {_MED} AS median_survival_days FROM km_cv GROUP BY user_segment",
+    by="user_segment", min_group=MIN_GROUP))(
+    lambda spark, d: survival.segment_table(_km_in(spark, d), min_group=MIN_GROUP))
+
+register("survival_summary", _km("""
+SELECT COUNT(*) AS users, CAST(SUM(CAST(churned AS INT)) AS BIGINT) AS churned_users,
+       ROUND(AVG(CAST(churned AS INT)) * 100, 6) AS churn_pct, ROUND(AVG(survival_days), 6) AS avg_survival_days
+FROM km_in"""))(lambda spark, d: survival.survival_summary(_km_in(spark, d)))
+
+
+# --------------------------------------------------------------------- churn
+def _training(spark, d):
+    return churn.churn_training_set(models(spark, d).survival_inputs)
+
+
+def _churn_sql(final: str, extra: str = "") -> str:
+    return with_models(final, TRAINING_CTE + ("," + extra if extra else ""))
+
+
+register("churn_training_set", _churn_sql("SELECT * FROM training"))(_training)
+
+register("segment_encoding", _churn_sql("""
+SELECT t.*, CAST(c.code AS INT) AS user_segment_encoded
+FROM training t JOIN (
+  SELECT user_segment, dense_rank() OVER (ORDER BY user_segment) - 1 AS code
+  FROM (SELECT DISTINCT user_segment FROM training) v
+) c ON t.user_segment = c.user_segment"""))(
+    lambda spark, d: churn.segment_encoding(_training(spark, d)))
+
+register("churn_split", _churn_sql(
+    "SELECT *, CASE WHEN substr(md5(user_id), 1, 2) < '33' THEN 'test' ELSE 'train' END AS split FROM training"))(
+    lambda spark, d: churn.churn_split(_training(spark, d)))
+
+register("label_distribution", _churn_sql(
+    "SELECT churned_early, COUNT(*) AS users FROM training GROUP BY churned_early"))(
+    lambda spark, d: churn.label_distribution(_training(spark, d)))
+
+register("segment_survival_means", _churn_sql("""
+SELECT ROUND(AVG(survival_days), 6) AS avg_survival_days,
+       ROUND(AVG(CASE WHEN user_segment = 'Power User' THEN survival_days END), 6) AS power_avg_survival_days,
+       ROUND(AVG(CASE WHEN user_segment = 'New User' THEN survival_days END), 6) AS new_avg_survival_days
+FROM training"""))(lambda spark, d: churn.segment_survival_means(_training(spark, d)))
+
+register("classification_report", _churn_sql(REPORT_SELECT, REPORT_SQL))(
+    lambda spark, d: metrics.classification_report(churn.rule_score(_training(spark, d))))
+
+register("roc_auc", _churn_sql("""
+SELECT ROUND(SUM(pos * (below + neg / 2.0)) / (SUM(pos) * SUM(neg)), 6) AS auc
+FROM (
+  SELECT s, pos, neg,
+         COALESCE(SUM(neg) OVER (ORDER BY s ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS below
+  FROM (SELECT CAST(score AS DOUBLE) AS s, SUM(label) AS pos, SUM(1 - label) AS neg
+        FROM rule_scored GROUP BY score) g
+) c"""))(lambda spark, d: metrics.roc_auc(churn.rule_score(_training(spark, d))))
+
+# The boosted-tree model: trained once per (session, input) and reused by the keys below.
+_MODELS: dict = {}
+
+
+def _trained(spark, d):
+    key = (spark.sparkContext.applicationId, d)
+    if key not in _MODELS:
+        _MODELS[key] = churn.train_and_score(models(spark, d).survival_inputs)
+    return _MODELS[key]
+
+
+register("churn_predictions")(lambda spark, d: _trained(spark, d)[1])
+register("feature_importance")(lambda spark, d: churn.feature_importance(_trained(spark, d)[0], spark))
+register("churn_model_report")(lambda spark, d: metrics.classification_report(_trained(spark, d)[1]))
+register("churn_model_auc")(lambda spark, d: metrics.roc_auc(_trained(spark, d)[1]))
+
+
+# ------------------------------------------------------------------ datasets
+def _m(spark, d):
+    return models(spark, d)
+
+
+register("overview_kpis", with_models("""
+SELECT (SELECT COUNT(*) FROM survival) AS users,
+       ROUND((SELECT AVG(CAST(churned AS INT)) FROM survival) * 100, 6) AS churn_rate_pct,
+       ROUND((SELECT AVG(survival_days) FROM survival), 6) AS avg_survival_days,
+       (SELECT COUNT(*) FROM launch_perf) AS launches"""))(
+    lambda spark, d: datasets.overview_kpis(_m(spark, d).survival_inputs, _m(spark, d).launch_performance))
+
+register("cohort_list", with_models("SELECT * FROM cohort_list", CURVE_CTES))(
+    lambda spark, d: datasets.cohort_list(_m(spark, d).retention_cohorts, FIXTURE_PARAMS.cohort_lo,
+                                          FIXTURE_PARAMS.cohort_hi, MAXM))
+
+register("default_cohorts", with_models("SELECT * FROM default_cohorts", CURVE_CTES))(
+    lambda spark, d: datasets.default_cohorts(_m(spark, d).retention_cohorts, FIXTURE_PARAMS.cohort_lo,
+                                              FIXTURE_PARAMS.cohort_hi, MAXM))
+
+register("retention_curves", with_models("""
+SELECT cohort_month, months_since_joining, retention_rate FROM curve_window
+WHERE cohort_month IN (SELECT cohort_month FROM default_cohorts)""", CURVE_CTES))(
+    lambda spark, d: datasets.retention_curves(_m(spark, d).retention_cohorts, FIXTURE_PARAMS.cohort_lo,
+                                               FIXTURE_PARAMS.cohort_hi, MAXM))
+
+register("month1_by_year", with_models("""
+SELECT CAST(year(cohort_month) AS INT) AS cohort_year, CAST(ROUND(AVG(retention_rate), 1) AS DOUBLE) AS avg_month1_retention
+FROM retention WHERE months_since_joining = 1 GROUP BY 1 ORDER BY 1"""))(
+    lambda spark, d: datasets.month1_by_year(_m(spark, d).retention_cohorts))
+
+register("category_bars", with_models(
+    "SELECT category, avg_success_score FROM category_perf ORDER BY avg_success_score, category"))(
+    lambda spark, d: datasets.category_bars(_m(spark, d).category_performance))
+
+register("launch_scatter", with_models("""
+SELECT name, upvotes, category, traction_tier, success_score, days_since_launch, launch_month
+FROM launch_perf ORDER BY upvotes DESC NULLS FIRST, name"""))(
+    lambda spark, d: datasets.launch_scatter(_m(spark, d).launch_performance))
+
+register("launch_share", with_models("""
+SELECT category, total_launches, ROUND(total_launches * 100.0 / SUM(total_launches) OVER (), 6) AS share_pct
+FROM category_perf"""))(lambda spark, d: datasets.launch_share(_m(spark, d).category_performance))
+
+register("top_launches", with_models("""
+SELECT name, upvotes, category, traction_tier, success_score
+FROM launch_perf ORDER BY upvotes DESC NULLS FIRST, product_url LIMIT 10"""))(
+    lambda spark, d: datasets.top_launches(_m(spark, d).launch_performance, FIXTURE_PARAMS.top_n))
+
