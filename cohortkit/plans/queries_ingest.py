@@ -1 +1,116 @@
-"""Ingest and data-quality queries."""
+"""Data-quality and ingest queries with their oracle SQL.
+
+Ingest keys follow FIXTURES.md: the target holds the raw reviews with an even order
+key; the batch is every raw review (arrival 1) plus the reviews whose order key is a
+multiple of 3 again (arrival 2, stars replaced by 0).
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from ..operators import quality
+from ..params import MAX_INGEST_ROWS, SYNC_MAX_ROWS
+from ..sources import ingest
+from .catalog import models, register
+from .oracle import with_models
+
+REVIEW_COLS = ["review_id", "user_id", "business_id", "stars", "useful", "funny", "cool",
+               "review_date", "loaded_at"]
+USER_SYNC_COLS = ["user_id", "name", "review_count", "yelping_since", "fans", "average_stars"]
+
+
+# ----------------------------------------------------------------- quality
+def _staging(spark, d):
+    m = models(spark, d)
+    return m.staging_views()
+
+
+for _kind in ("not_null", "unique", "accepted_values", "row_count", "between"):
+    register(f"dq_{_kind}", with_models(quality.suite_sql(kinds=[_kind])))(
+        (lambda k: lambda spark, d: quality.dq_report(_staging(spark, d), kinds=[k]))(_kind))
+
+register("dq_report", with_models(quality.suite_sql()))(
+    lambda spark, d: quality.dq_report(_staging(spark, d)))
+
+
+# ------------------------------------------------------------------ ingest
+def _order_key(c="review_id"):
+    return F.substring(F.col(c), 2, 20).cast("long")
+
+
+def _target(spark, d):
+    raw = models(spark, d).raw_reviews
+    return raw.where(_order_key() % 2 == 0)
+
+
+def _batch(spark, d):
+    raw = models(spark, d).raw_reviews
+    first = raw.withColumn("arrival", F.lit(1))
+    again = (raw.where(_order_key() % 3 == 0)
+             .withColumn("stars", F.lit(0.0)).withColumn("arrival", F.lit(2)))
+    return first.unionByName(again)
+
+
+BATCH_CTES = """
+ig_batch AS (
+  SELECT *, 1 AS arrival FROM raw_reviews
+  UNION ALL
+  SELECT review_id, user_id, business_id, 0.0 AS stars, useful, funny, cool, review_date, loaded_at, 2 AS arrival
+  FROM raw_reviews WHERE CAST(substr(review_id, 2) AS BIGINT) % 3 = 0
+),
+ig_target AS (
+  SELECT * FROM raw_reviews WHERE CAST(substr(review_id, 2) AS BIGINT) % 2 = 0
+)"""
+
+register("insert_ignore", with_models("""
+SELECT review_id, user_id, business_id, stars, useful, funny, cool, review_date, loaded_at
+FROM (SELECT *, row_number() OVER (PARTITION BY review_id ORDER BY arrival) AS rn FROM ig_batch) b
+WHERE rn = 1 AND review_id NOT IN (SELECT review_id FROM ig_target)""", BATCH_CTES))(
+    lambda spark, d: ingest.insert_ignore(_batch(spark, d), _target(spark, d), "review_id", "arrival"))
+
+register("ingest_report", with_models("""
+SELECT 'inserted' AS outcome, CAST(ins AS BIGINT) AS rows FROM r
+UNION ALL SELECT 'duplicate', CAST(good - ins AS BIGINT) FROM r
+UNION ALL SELECT 'rejected', CAST(rej AS BIGINT) FROM r""", BATCH_CTES + """,
+r AS (
+  SELECT (SELECT COUNT(DISTINCT review_id) FROM ig_batch
+          WHERE review_id IS NOT NULL AND review_date IS NOT NULL
+            AND review_id NOT IN (SELECT review_id FROM ig_target)) AS ins,
+         (SELECT COUNT(*) FROM ig_batch WHERE review_id IS NOT NULL AND review_date IS NOT NULL) AS good,
+         (SELECT COUNT(*) FROM ig_batch WHERE review_id IS NULL OR review_date IS NULL) AS rej
+)"""))(
+    lambda spark, d: ingest.ingest_report(_batch(spark, d), _target(spark, d), "review_id",
+                                          required=["review_date"]))
+
+register("bounded_ingest", with_models(
+    f"SELECT * FROM raw_reviews ORDER BY review_id LIMIT {MAX_INGEST_ROWS}"))(
+    lambda spark, d: ingest.bounded_ingest(models(spark, d).raw_reviews, "review_id", MAX_INGEST_ROWS))
+
+_SYNC_SQL = ", ".join(USER_SYNC_COLS)
+register("sync_table", with_models(f"""
+SELECT * FROM (SELECT {_SYNC_SQL} FROM raw_users ORDER BY user_id LIMIT {SYNC_MAX_ROWS}) s
+WHERE user_id NOT IN (SELECT user_id FROM raw_users WHERE CAST(substr(user_id, 2) AS BIGINT) % 2 = 0)"""))(
+    lambda spark, d: ingest.sync_table(
+        models(spark, d).raw_users,
+        models(spark, d).raw_users.where(_order_key("user_id") % 2 == 0),
+        USER_SYNC_COLS, "user_id", SYNC_MAX_ROWS))
+
+register("quarantine_rejects", with_models("""
+SELECT *, 'missing review_date' AS _reject_reason FROM raw_reviews
+WHERE review_id IS NOT NULL AND user_id IS NOT NULL AND business_id IS NOT NULL AND stars IS NOT NULL
+  AND review_date IS NULL"""))(
+    lambda spark, d: ingest.quarantine_split(
+        models(spark, d).raw_reviews, ["review_id", "user_id", "business_id", "stars", "review_date"])[1])
+
+
+@register("land_with_audit", with_models("""
+SELECT COUNT(*) AS rows, CAST(MIN(1) AS BIGINT) AS min_id, CAST(COUNT(*) AS BIGINT) AS max_id,
+       COUNT(*) AS distinct_ids, COUNT(DISTINCT product_url) AS distinct_urls
+FROM raw_launches"""))
+def _land(spark, d):
+    raw = models(spark, d).raw_launches.drop("id", "scraped_at")
+    landed = ingest.land_with_audit(raw, "id", "scraped_at", load_ts="2001-08-01 00:00:00", start_id=1)
+    return landed.agg(F.count(F.lit(1)).alias("rows"), F.min("id").alias("min_id"), F.max("id").alias("max_id"),
+                      F.count_distinct("id").alias("distinct_ids"),
+                      F.count_distinct("product_url").alias("distinct_urls"))
