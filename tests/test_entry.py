@@ -1,0 +1,80 @@
+"""Driver contract: entry runs, every key runs at sf0.001, oracle keys match DuckDB there."""
+
+import datetime as dt
+import decimal
+import math
+import os
+
+import pytest
+
+import __spark_entry__ as E
+
+from .conftest import SF001
+
+RAW_ONLY = {"churn_predictions", "feature_importance", "churn_model_report", "churn_model_auc"}
+TABLES = ("region nation customer supplier part orders lineitem events documents embeddings pages "
+          "benchmark labels conversations").split()
+
+
+def test_entry(spark):
+    df = E.entry(spark)
+    assert df.columns == ["cohort_month", "months_since_joining", "active_users", "cohort_size", "retention_rate"]
+    assert df.count() > 0
+
+
+def test_every_key_has_oracle_or_is_model_based():
+    assert set(E.queries()) - set(E.oracle_sql()) == RAW_ONLY
+    assert set(E.oracle_sql()) <= set(E.queries())
+
+
+def _norm(v):
+    if isinstance(v, (float, decimal.Decimal)):
+        f = float(v)
+        return "nan" if math.isnan(f) else float(f"{f:.9g}")
+    if isinstance(v, bool) or v is None:
+        return v
+    if isinstance(v, int):
+        return float(v)
+    if isinstance(v, (dt.date, dt.datetime)):
+        return v.isoformat()
+    return str(v)
+
+
+def _canon(cols, rows):
+    order = sorted(range(len(cols)), key=lambda i: cols[i])
+    return sorted((tuple(_norm(r[i]) for i in order) for r in rows), key=lambda t: tuple(map(str, t)))
+
+
+@pytest.fixture(scope="module")
+def duck():
+    import duckdb
+    con = duckdb.connect()
+    for t in TABLES:
+        p = f"{SF001}/{t}.parquet"
+        if os.path.exists(p):
+            con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{p}')")
+    return con
+
+
+@pytest.mark.parametrize("key", sorted(set(E.queries()) - RAW_ONLY))
+def test_oracle_sf0001(spark, duck, key):
+    df = E.queries()[key](spark, SF001)
+    rows = [tuple(r) for r in df.collect()]
+    res = duck.execute(E.oracle_sql()[key])
+    ocols = [d[0] for d in res.description]
+    assert sorted(df.columns) == sorted(ocols)
+    assert _canon(df.columns, rows) == _canon(ocols, res.fetchall())
+
+
+def test_model_keys_run(spark):
+    q = E.queries()
+    preds = q["churn_predictions"](spark, SF001)
+    assert set(preds.columns) == {"user_id", "label", "prediction", "score"}
+    n = preds.count()
+    assert n > 0
+    imp = q["feature_importance"](spark, SF001).collect()
+    assert len(imp) == 4 and abs(sum(r.importance for r in imp) - 1.0) < 1e-3
+    rep = {r["class"]: r for r in q["churn_model_report"](spark, SF001).collect()}
+    assert rep["accuracy"].support == n
+    auc = q["churn_model_auc"](spark, SF001).first().auc
+    assert 0.0 <= auc <= 1.0
