@@ -98,10 +98,43 @@ def ingest_report(batch: DataFrame, target: DataFrame, key, required=()) -> Data
     )))
 
 
-def bounded_ingest(df: DataFrame, key, max_rows: int) -> DataFrame:
-    """The first ``max_rows`` rows in key order (a bounded top-k, planned as
-    TakeOrderedAndProject: each task keeps at most ``max_rows`` rows)."""
-    return df.orderBy(*[F.col(k).asc_nulls_last() for k in _cols(key)]).limit(max_rows)
+# Caps up to this size use a plain top-k; larger caps pre-filter with a sampled threshold.
+SMALL_CAP = 10_000
+# Keys sampled (and collected) to place the threshold: a fixed bound, independent of input size.
+SAMPLE_KEYS = 50_000
+
+
+def bounded_ingest(df: DataFrame, key, max_rows: int, seed: int = 42) -> DataFrame:
+    """The first ``max_rows`` rows in key order.
+
+    Small caps are a plain top-k (TakeOrderedAndProject).  For large caps a top-k alone
+    would let every input split ship up to ``max_rows`` candidates to the final task,
+    i.e. work proportional to splits x cap.  So the rows are first cut at a key
+    threshold read from a bounded sample (placed a little past the cap's quantile);
+    only about ``max_rows`` rows then reach the top-k.  If the sampled threshold
+    falls short of the cap, the threshold is dropped -- the result is always exact.
+    """
+    keys = _cols(key)
+    ordered = [F.col(k).asc_nulls_last() for k in keys]
+    if max_rows <= SMALL_CAP:
+        return df.orderBy(*ordered).limit(max_rows)
+    total = df.count()
+    if total <= max_rows:
+        return df
+    first = keys[0]
+    frac = min(1.0, SAMPLE_KEYS / total)
+    sample = sorted(r[0] for r in df.select(first).where(F.col(first).isNotNull())
+                    .sample(fraction=frac, seed=seed).collect())
+    candidates = df
+    if sample:
+        share = max_rows / total
+        margin = 4.0 * (share * (1 - share) * len(sample)) ** 0.5 + 2
+        pos = int(share * len(sample) + margin)
+        if pos < len(sample):
+            cut = df.where(F.col(first) <= F.lit(sample[pos]))
+            if cut.count() >= max_rows:
+                candidates = cut
+    return candidates.orderBy(*ordered).limit(max_rows)
 
 
 def sync_table(source: DataFrame, target: DataFrame, columns, key, max_rows: int | None = None) -> DataFrame:

@@ -52,3 +52,16 @@ def register_views(spark: SparkSession, tables: dict[str, DataFrame]) -> None:
     """Expose DataFrames as temporary views (the "view" materialisation)."""
     for name, df in tables.items():
         df.createOrReplaceTempView(name)
+
+
+def save_bucketed(df: DataFrame, table: str, key: str, buckets: int, path: str | None = None,
+                  mode: str = "append") -> None:
+    """Store a raw table bucketed and sorted by its natural key.
+
+    Later insert-or-ignore anti-joins against this table read it already partitioned
+    by key: only the (small) incoming batch is shuffled, never the whole target.
+    """
+    writer = df.write.mode(mode).format("parquet").bucketBy(buckets, key).sortBy(key)
+    if path:
+        writer = writer.option("path", path)
+    writer.saveAsTable(table)

@@ -131,3 +131,33 @@ def test_stream_ingest_once_and_restart(spark, tmp_path):
     q.awaitTermination(120)
     rows = sorted(r.review_id for r in spark.read.parquet(target).collect())
     assert rows == ["r1", "r2", "r3", "r4"]
+
+
+def test_bounded_ingest_large_cap_is_exact(spark):
+    from pyspark.sql import functions as F
+    df = spark.range(0, 120_000, numPartitions=9).select(
+        F.sha2(F.col("id").cast("string"), 256).alias("k"), "id")
+    got = ingest.bounded_ingest(df, "k", 25_000)
+    want = sorted(r.k for r in df.select("k").collect())[:25_000]
+    assert sorted(r.k for r in got.select("k").collect()) == want
+
+
+def test_anti_join_against_bucketed_target_shuffles_only_the_batch(spark, tmp_path):
+    from pyspark.sql import functions as F
+    target = spark.range(0, 5000).select(F.concat(F.lit("r"), F.col("id").cast("string")).alias("review_id"),
+                                         F.lit(1.0).alias("stars"))
+    registry.save_bucketed(target, "bucketed_target_t", "review_id", 8, path=str(tmp_path / "bt"), mode="overwrite")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.adaptive.autoBroadcastJoinThreshold", "-1")
+    try:
+        batch = spark.range(4990, 5010).select(F.concat(F.lit("r"), F.col("id").cast("string")).alias("review_id"),
+                                               F.lit(2.0).alias("stars"))
+        out = ingest.insert_ignore(batch, spark.table("bucketed_target_t"), "review_id")
+        assert sorted(r.review_id for r in out.collect()) == [f"r{i}" for i in range(5000, 5010)]
+        plan = out._jdf.queryExecution().executedPlan().toString()
+        scan_side = plan.split("FileScan parquet spark_catalog.default.bucketed_target_t")[0].splitlines()[-1]
+        assert "Exchange" not in scan_side
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", str(32 * 1024 * 1024))
+        spark.conf.set("spark.sql.adaptive.autoBroadcastJoinThreshold", str(32 * 1024 * 1024))
+        spark.sql("DROP TABLE IF EXISTS bucketed_target_t")
