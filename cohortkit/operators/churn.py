@@ -75,8 +75,10 @@ def prepared(survival: DataFrame) -> DataFrame:
 
 
 def train_and_score(survival: DataFrame) -> tuple[GBTClassificationModel, DataFrame]:
-    data = prepared(survival).persist()
-    model = fit_churn(data.where(F.col("split") == "train"))
+    data = prepared(survival)
+    train = data.where(F.col("split") == "train").persist()
+    model = fit_churn(train)
+    train.unpersist()
     return model, score(model, data.where(F.col("split") == "test"))
 
 
@@ -89,6 +91,12 @@ def feature_importance(model: GBTClassificationModel, spark) -> DataFrame:
                      F.rank().over(Window.orderBy(F.col("importance").desc())).alias("rank"))
 
 
+def top_feature(importance: DataFrame) -> DataFrame:
+    """The strongest predictor (arg-max of importance)."""
+    return importance.agg(F.max_by("feature", "importance").alias("top_feature"),
+                          F.max("importance").alias("importance"))
+
+
 def rule_score(training: DataFrame) -> DataFrame:
     """A transparent baseline scorer: fewer reviews -> higher churn score.
 

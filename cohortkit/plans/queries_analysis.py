@@ -167,6 +167,10 @@ register("segment_table", _km(
     by="user_segment", min_group=MIN_GROUP))(
     lambda spark, d: survival.segment_table(_km_in(spark, d), min_group=MIN_GROUP))
 
+register("segment_counts", _km(
+    "SELECT user_segment, COUNT(*) AS users FROM km_in GROUP BY user_segment"))(
+    lambda spark, d: datasets.segment_counts(_km_in(spark, d)))
+
 register("survival_summary", _km("""
 SELECT COUNT(*) AS users, CAST(SUM(CAST(churned AS INT)) AS BIGINT) AS churned_users,
        ROUND(AVG(CAST(churned AS INT)) * 100, 6) AS churn_pct, ROUND(AVG(survival_days), 6) AS avg_survival_days
@@ -231,6 +235,8 @@ def _trained(spark, d):
 
 register("churn_predictions")(lambda spark, d: _trained(spark, d)[1])
 register("feature_importance")(lambda spark, d: churn.feature_importance(_trained(spark, d)[0], spark))
+register("top_feature")(lambda spark, d: churn.top_feature(
+    churn.feature_importance(_trained(spark, d)[0], spark)))
 register("churn_model_report")(lambda spark, d: metrics.classification_report(_trained(spark, d)[1]))
 register("churn_model_auc")(lambda spark, d: metrics.roc_auc(_trained(spark, d)[1]))
 

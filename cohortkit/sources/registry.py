@@ -65,3 +65,16 @@ def save_bucketed(df: DataFrame, table: str, key: str, buckets: int, path: str |
     if path:
         writer = writer.option("path", path)
     writer.saveAsTable(table)
+
+
+def write_jdbc(df: DataFrame, url: str, table: str, properties: dict | None = None,
+               batch_size: int = 5000, mode: str = "append") -> None:
+    """Copy rows to a relational database table (the cloud-copy target).
+
+    Each task writes its partition in batches of ``batch_size`` rows over its own
+    connection.  Pair with ``ingest.sync_table`` against the target's current keys
+    to keep the copy insert-or-ignore.  Connection settings come from the caller.
+    """
+    props = dict(properties or {})
+    props.setdefault("batchsize", str(batch_size))
+    df.write.mode(mode).jdbc(url, table, properties=props)

@@ -11,7 +11,7 @@ import __spark_entry__ as E
 
 from .conftest import SF001
 
-RAW_ONLY = {"churn_predictions", "feature_importance", "churn_model_report", "churn_model_auc"}
+RAW_ONLY = {"churn_predictions", "feature_importance", "churn_model_report", "churn_model_auc", "top_feature"}
 TABLES = ("region nation customer supplier part orders lineitem events documents embeddings pages "
           "benchmark labels conversations").split()
 
@@ -78,3 +78,5 @@ def test_model_keys_run(spark):
     assert rep["accuracy"].support == n
     auc = q["churn_model_auc"](spark, SF001).first().auc
     assert 0.0 <= auc <= 1.0
+    top = q["top_feature"](spark, SF001).first()
+    assert top.top_feature == max(imp, key=lambda r: r.importance).feature
