@@ -28,8 +28,11 @@ class Models:
     @classmethod
     def from_tables(cls, spark: SparkSession, root: str, params: Params) -> "Models":
         """Raw tables stored as Parquet under ``root/raw/<name>``."""
+        from ..session import plan_size_bytes, size_shuffles
         from ..sources.registry import read_raw
-        return cls({n: read_raw(spark, root, n) for n in ("raw_reviews", "raw_users", "raw_launches")}, params)
+        raw = {n: read_raw(spark, root, n) for n in ("raw_reviews", "raw_users", "raw_launches")}
+        size_shuffles(spark, sum(plan_size_bytes(df) for df in raw.values()))
+        return cls(raw, params)
 
     # raw
     @property

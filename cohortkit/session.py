@@ -76,3 +76,28 @@ def checkpoint_dir(spark: SparkSession) -> str:
     if spark.sparkContext.getCheckpointDir() is None:
         spark.sparkContext.setCheckpointDir(path)
     return path
+
+
+# Target bytes per shuffle partition when sizing shuffles from the input size.
+TARGET_PARTITION_BYTES = 128 * 1024 * 1024
+
+
+def plan_size_bytes(df) -> int:
+    """Catalyst's size estimate of a DataFrame (from file metadata; runs no job)."""
+    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+
+
+def size_shuffles(spark: SparkSession, input_bytes: int, target: int = TARGET_PARTITION_BYTES) -> int:
+    """Start shuffles with about one partition per ``target`` bytes of input; AQE then
+    coalesces small ones (advisory size = ``target``) and splits skewed ones.
+
+    Only raises the initial partition count; a value the cluster set explicitly wins.
+    """
+    key = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
+    wanted = max(1, -(-int(input_bytes) // target))
+    if spark.conf.get(key, None) is None:
+        current = int(spark.conf.get("spark.sql.shuffle.partitions"))
+        if wanted > current:
+            spark.conf.set(key, str(wanted))
+            spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", str(target))
+    return wanted

@@ -78,3 +78,9 @@ def write_jdbc(df: DataFrame, url: str, table: str, properties: dict | None = No
     props = dict(properties or {})
     props.setdefault("batchsize", str(batch_size))
     df.write.mode(mode).jdbc(url, table, properties=props)
+
+
+def materialize_marts(spark: SparkSession, marts: dict[str, DataFrame], root: str,
+                      mode: str = "overwrite") -> dict[str, str]:
+    """Write the mart tables under ``root/marts`` (see ``materialize``)."""
+    return materialize(marts, root, layer="marts", mode=mode)

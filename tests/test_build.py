@@ -31,3 +31,23 @@ def test_display_number(spark):
     df = spark.createDataFrame([(12345.0,), (52.345,)], "x double")
     assert [r[0] for r in df.select(C.display_number("x", 0)).collect()] == ["12,345", "52"]
     assert [r[0] for r in df.select(C.display_number("x", 1)).collect()] == ["12,345.0", "52.3"]
+
+
+def test_models_from_stored_raw_tables(spark, tmp_path):
+    from cohortkit.sources import registry
+    from cohortkit.params import FIXTURE_PARAMS
+    fx = Models.from_fixtures(spark, SF001)
+    root = str(tmp_path / "wh")
+    for name in ("raw_reviews", "raw_users", "raw_launches"):
+        registry.append_raw(fx.raw[name], root, name)
+    stored = Models.from_tables(spark, root, FIXTURE_PARAMS)
+    a = sorted(tuple(r) for r in fx.retention_cohorts.collect())
+    b = sorted(tuple(r) for r in stored.retention_cohorts.collect())
+    assert a == b
+
+
+def test_size_shuffles_only_raises(spark):
+    from cohortkit.session import size_shuffles
+    key = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
+    assert size_shuffles(spark, 10) == 1
+    assert spark.conf.get(key, None) is None
