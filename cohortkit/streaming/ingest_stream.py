@@ -33,11 +33,32 @@ def _target_or_empty(spark: SparkSession, path: str, like: DataFrame) -> DataFra
         return like.limit(0)
 
 
+def land_batch(batch: DataFrame, batch_id: int, kind: str, target: str, quarantine: str,
+               load_ts=None) -> None:
+    """Land one micro-batch: parse, quarantine bad rows, append new keys only.
+
+    Safe to re-run for the same batch: rows already in the target are skipped.
+    """
+    _, parse, key = KINDS[kind]
+    good, rejected = parse(batch)
+    ts = F.lit(load_ts).cast("timestamp_ntz") if load_ts is not None else F.localtimestamp()
+    good = good.withColumn("loaded_at", ts)
+    present = _target_or_empty(batch.sparkSession, target, good)
+    # Read order inside the micro-batch (file splits in listing order) is the arrival
+    # order: the first occurrence of a key wins, as in a row-by-row insert.
+    arrived = good.withColumn("_arrival", F.monotonically_increasing_id())
+    new_rows = insert_ignore(arrived, present, key, "_arrival")
+    new_rows.write.mode("append").parquet(target)
+    # Quarantine rows are keyed by batch id; a re-run replaces its own batch's rows.
+    (rejected.withColumn("batch_id", F.lit(batch_id)).write.mode("overwrite")
+     .parquet(f"{quarantine.rstrip('/')}/batch_id={batch_id}"))
+
+
 def stream_ingest(spark: SparkSession, in_dir: str, kind: str, target: str, quarantine: str,
                   checkpoint: str, files_per_trigger: int = 1, available_now: bool = True,
                   load_ts=None) -> StreamingQuery:
     """Start the landing stream; returns the running query (``awaitTermination`` it)."""
-    schema, parse, key = KINDS[kind]
+    schema, _, _ = KINDS[kind]
     source = (spark.readStream
               .schema(readers._with_corrupt(schema))
               .option("mode", "PERMISSIVE")
@@ -46,16 +67,7 @@ def stream_ingest(spark: SparkSession, in_dir: str, kind: str, target: str, quar
               .json(in_dir))
 
     def land(batch: DataFrame, batch_id: int) -> None:
-        good, rejected = parse(batch)
-        ts = F.lit(load_ts).cast("timestamp_ntz") if load_ts is not None else F.localtimestamp()
-        good = good.withColumn("loaded_at", ts)
-        present = _target_or_empty(batch.sparkSession, target, good)
-        # Read order inside the micro-batch (file splits in listing order) is the arrival
-        # order: the first occurrence of a key wins, as in a row-by-row insert.
-        arrived = good.withColumn("_arrival", F.monotonically_increasing_id())
-        new_rows = insert_ignore(arrived, present, key, "_arrival")
-        new_rows.write.mode("append").parquet(target)
-        rejected.withColumn("batch_id", F.lit(batch_id)).write.mode("append").parquet(quarantine)
+        land_batch(batch, batch_id, kind, target, quarantine, load_ts)
 
     writer = source.writeStream.foreachBatch(land).option("checkpointLocation", checkpoint)
     writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime="1 minute")

@@ -5,7 +5,7 @@ import json
 import os
 
 from cohortkit.sources import ingest, readers, registry
-from cohortkit.streaming.ingest_stream import stream_ingest
+from cohortkit.streaming.ingest_stream import land_batch, stream_ingest
 
 D = dt.date
 
@@ -124,7 +124,7 @@ def test_stream_ingest_once_and_restart(spark, tmp_path):
     q.awaitTermination(120)
     rows = {r.review_id: r.stars for r in spark.read.parquet(target).collect()}
     assert rows == {"r1": 4.0, "r2": 4.0, "r3": 4.0}
-    assert spark.read.parquet(quarantine).count() == 1
+    assert spark.read.parquet(quarantine).drop("batch_id").count() == 1
     # Restart with the same checkpoint and an overlapping new file: nothing is duplicated.
     _write_lines(inbox / "f3.json", [rec(3, 5.0), rec(4)])
     q = stream_ingest(spark, str(inbox), "reviews", target, quarantine, ckpt, load_ts="2024-01-01 00:00:00")
@@ -161,3 +161,16 @@ def test_anti_join_against_bucketed_target_shuffles_only_the_batch(spark, tmp_pa
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", str(32 * 1024 * 1024))
         spark.conf.set("spark.sql.adaptive.autoBroadcastJoinThreshold", str(32 * 1024 * 1024))
         spark.sql("DROP TABLE IF EXISTS bucketed_target_t")
+
+
+def test_land_batch_retry_is_idempotent(spark, tmp_path):
+    inbox = tmp_path / "in"
+    inbox.mkdir()
+    _write_lines(inbox / "f.json", [{"review_id": f"r{i}", "user_id": "u", "business_id": "b", "stars": 3,
+                                     "date": "2021-02-03"} for i in range(50)] + ["{broken"])
+    batch = spark.read.schema(readers._with_corrupt(readers.S.REVIEW_JSON)).json(str(inbox))
+    target, quarantine = str(tmp_path / "t"), str(tmp_path / "q")
+    for _ in range(3):  # the same batch delivered again after a failure
+        land_batch(batch, 7, "reviews", target, quarantine, load_ts="2024-01-01 00:00:00")
+    assert spark.read.parquet(target).count() == 50
+    assert spark.read.parquet(quarantine).count() == 1
