@@ -41,23 +41,24 @@ def km_event_table(df: DataFrame, duration: str = "survival_days", event: str =
                    by=None) -> DataFrame:
     """Per (group, t): observed events, censored, removed and at-risk counts.
 
-    A t = 0 row is always present (the curve starts at 0 with everybody at risk).
+    A t = 0 row is always present (the curve starts at 0 with everybody at risk): every
+    input row also emits an empty (t=0) contribution, which the partial aggregate folds
+    away on the map side.  at_risk(t) = group total - removed before t, so all windows
+    share one ascending sort per group.
     """
     by = _by(by)
-    ev = F.col(event).cast("int")
-    base = df.groupBy(*by, F.col(duration).cast("int").alias("t")).agg(
-        F.sum(ev).cast("long").alias("observed"),
-        F.count(F.lit(1)).alias("removed"))
-    # Start row per group, derived from the (small) event table itself.
-    start = base.groupBy(*by).agg(F.lit(0).alias("t"), F.lit(0).cast("long").alias("observed"),
-                                  F.lit(0).cast("long").alias("removed"))
-    table = (base.unionByName(start)
+    contributions = F.array(
+        F.struct(F.col(duration).cast("int").alias("t"), F.col(event).cast("int").alias("d"),
+                 F.lit(1).alias("r")),
+        F.struct(F.lit(0).alias("t"), F.lit(0).alias("d"), F.lit(0).alias("r")))
+    table = (df.select(*by, F.inline(contributions))
              .groupBy(*by, "t")
-             .agg(F.sum("observed").alias("observed"), F.sum("removed").alias("removed")))
-    w = (Window.partitionBy(*by).orderBy(F.col("t").desc())
-         .rowsBetween(Window.unboundedPreceding, Window.currentRow))
+             .agg(F.sum("d").cast("long").alias("observed"), F.sum("r").cast("long").alias("removed")))
+    before = F.coalesce(F.sum("removed").over(
+        Window.partitionBy(*by).orderBy("t").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    total = F.sum("removed").over(Window.partitionBy(*by))
     return (table
-            .withColumn("at_risk", F.sum("removed").over(w))
+            .withColumn("at_risk", total - before)
             .withColumn("censored", F.col("removed") - F.col("observed"))
             .select(*by, "t", "at_risk", "observed", "censored", "removed"))
 

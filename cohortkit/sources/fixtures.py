@@ -34,21 +34,34 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def raw_reviews(spark: SparkSession, sf_dir: str) -> DataFrame:
-    orders = table(spark, sf_dir, "orders").select(
+def _orders(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return table(spark, sf_dir, "orders").select(
         "o_orderkey", "o_custkey", "o_totalprice", "o_orderpriority",
         F.to_date("o_orderdate").alias("od"))
+
+
+def _span_divisor(ck):
+    return F.when(ck % ZERO_SPAN_MOD == 0, F.lit(ZERO_SPAN_DIVISOR)).otherwise(1 + ck % SPAN_DIVISOR_MOD)
+
+
+def _squeezed(ck, od):
+    """Review date of an order dated ``od``: squeezed towards the customer's first (even
+    customers) or last (odd customers) order date.  Non-decreasing in ``od``."""
+    dv = _span_divisor(ck)
+    return (F.when(ck % 2 == 0, F.date_add("f", F.floor(F.datediff(od, "f") / dv).cast("int")))
+            .otherwise(F.date_sub("l", F.floor(F.datediff("l", od) / dv).cast("int"))))
+
+
+def raw_reviews(spark: SparkSession, sf_dir: str) -> DataFrame:
+    orders = _orders(spark, sf_dir)
     span = (orders.groupBy("o_custkey")
             .agg(F.min("od").alias("f"), F.max("od").alias("l")))
     dated = orders.join(span, "o_custkey")
     ck, ok = F.col("o_custkey"), F.col("o_orderkey")
-    dv = F.when(ck % ZERO_SPAN_MOD == 0, F.lit(ZERO_SPAN_DIVISOR)).otherwise(1 + ck % SPAN_DIVISOR_MOD)
     price = F.floor("o_totalprice").cast("int")
     review_date = (
         F.when(ok % NULL_REVIEW_DATE_MOD == NULL_REVIEW_DATE_REM, F.lit(None).cast("date"))
-        .when(ck % 2 == 0,
-              F.date_add("f", F.floor(F.datediff("od", "f") / dv).cast("int")))
-        .otherwise(F.date_sub("l", F.floor(F.datediff("l", "od") / dv).cast("int"))))
+        .otherwise(_squeezed(ck, F.col("od"))))
     return dated.select(
         F.concat(F.lit("r"), ok.cast("string")).alias("review_id"),
         F.concat(F.lit("u"), ck.cast("string")).alias("user_id"),
@@ -63,18 +76,24 @@ def raw_reviews(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def raw_users(spark: SparkSession, sf_dir: str) -> DataFrame:
-    reviews = raw_reviews(spark, sf_dir)
-    first = (reviews.groupBy("user_id").agg(F.min("review_date").alias("f")))
-    cust = table(spark, sf_dir, "customer").select(
-        "c_custkey", "c_name", "c_acctbal",
-        F.concat(F.lit("u"), F.col("c_custkey").cast("string")).alias("user_id"))
+    # A user's first review date is the squeezed date of their earliest order that has a
+    # review date: the squeeze is non-decreasing in the order date, so one aggregate over
+    # orders gives it (no second pass over the review rows).
+    ok = F.col("o_orderkey")
+    valid = ok % NULL_REVIEW_DATE_MOD != NULL_REVIEW_DATE_REM
+    firsts = (_orders(spark, sf_dir).groupBy("o_custkey")
+              .agg(F.min("od").alias("f"), F.max("od").alias("l"),
+                   F.min(F.when(valid, F.col("od"))).alias("first_od")))
+    first = firsts.select(F.col("o_custkey").alias("c_custkey"),
+                          _squeezed(F.col("o_custkey"), F.col("first_od")).alias("first_review"))
+    cust = table(spark, sf_dir, "customer").select("c_custkey", "c_name", "c_acctbal")
     ck = F.col("c_custkey")
-    joined = cust.join(first, "user_id", "left")
+    joined = cust.join(first, "c_custkey", "left")
     yelping = (F.when(ck % NULL_JOIN_MOD == NULL_JOIN_REM, F.lit(None).cast("date"))
-               .when(ck % EARLY_JOIN_MOD == 0, F.date_sub("f", EARLY_JOIN_DAYS))
-               .otherwise(F.col("f")))
+               .when(ck % EARLY_JOIN_MOD == 0, F.date_sub("first_review", EARLY_JOIN_DAYS))
+               .otherwise(F.col("first_review")))
     return joined.select(
-        "user_id",
+        F.concat(F.lit("u"), ck.cast("string")).alias("user_id"),
         F.col("c_name").alias("name"),
         (F.floor(F.abs("c_acctbal")).cast("int") % 150).alias("review_count"),
         ((ck * 7) % 130).cast("int").alias("fans"),
