@@ -161,7 +161,7 @@ def land_with_audit(df: DataFrame, id_col: str | None = "id", ts_col: str | None
     """
     out = df
     if ts_col:
-        ts = F.lit(load_ts).cast("timestamp_ntz") if load_ts is not None else F.localtimestamp()
+        ts = F.lit(str(load_ts)).cast("timestamp_ntz") if load_ts is not None else F.localtimestamp()
         out = out.withColumn(ts_col, ts)
     if not id_col:
         return out

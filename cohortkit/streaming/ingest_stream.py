@@ -41,7 +41,7 @@ def land_batch(batch: DataFrame, batch_id: int, kind: str, target: str, quaranti
     """
     _, parse, key = KINDS[kind]
     good, rejected = parse(batch)
-    ts = F.lit(load_ts).cast("timestamp_ntz") if load_ts is not None else F.localtimestamp()
+    ts = F.lit(str(load_ts)).cast("timestamp_ntz") if load_ts is not None else F.localtimestamp()
     good = good.withColumn("loaded_at", ts)
     present = _target_or_empty(batch.sparkSession, target, good)
     # Read order inside the micro-batch (file splits in listing order) is the arrival
