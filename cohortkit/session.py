@@ -72,6 +72,9 @@ def checkpoint_dir(spark: SparkSession) -> str:
     if not path:
         path = spark.sparkContext.getCheckpointDir()
     if not path:
+        if not spark.sparkContext.master.startswith("local"):
+            # A machine-local folder is not visible to other executors: refuse rather than guess.
+            raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
         path = tempfile.mkdtemp(prefix="cohortkit-ckpt-")
     if spark.sparkContext.getCheckpointDir() is None:
         spark.sparkContext.setCheckpointDir(path)
