@@ -114,3 +114,26 @@ def _land(spark, d):
     return landed.agg(F.count(F.lit(1)).alias("rows"), F.min("id").alias("min_id"), F.max("id").alias("max_id"),
                       F.count_distinct("id").alias("distinct_ids"),
                       F.count_distinct("product_url").alias("distinct_urls"))
+
+
+@register("stream_ingest", with_models("SELECT * FROM raw_reviews WHERE review_date IS NOT NULL"))
+def _stream_ingest(spark, d):
+    """Whole-table round trip through the streaming landing path: the raw reviews are
+    written as JSON-line files (the input format) into a fresh folder under the shared
+    checkpoint folder, landed by the availableNow stream in several triggers, and the
+    landed table is returned."""
+    import uuid
+
+    from ..session import checkpoint_dir
+    from ..sources.fixtures import LOAD_TS
+    from ..streaming.ingest_stream import stream_ingest
+
+    base = f"{checkpoint_dir(spark).rstrip('/')}/stream-ingest-{uuid.uuid4().hex}"
+    raw = models(spark, d).raw_reviews
+    (raw.select("review_id", "user_id", "business_id", "stars",
+                F.date_format("review_date", "yyyy-MM-dd").alias("date"), "useful", "funny", "cool")
+     .write.json(f"{base}/in"))
+    q = stream_ingest(spark, f"{base}/in", "reviews", f"{base}/target", f"{base}/quarantine",
+                      f"{base}/checkpoint", files_per_trigger=2, load_ts=LOAD_TS)
+    q.awaitTermination()
+    return spark.read.parquet(f"{base}/target")
