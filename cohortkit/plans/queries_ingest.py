@@ -137,3 +137,67 @@ def _stream_ingest(spark, d):
                       f"{base}/checkpoint", files_per_trigger=2, load_ts=LOAD_TS)
     q.awaitTermination()
     return spark.read.parquet(f"{base}/target")
+
+
+PAGE_SIZE = 50
+
+
+def _scratch(spark, name: str) -> str:
+    import uuid
+
+    from ..session import checkpoint_dir
+    return f"{checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+
+
+@register("launch_pages", with_models(
+    "SELECT name, tagline, upvotes, category, pricing_type, launch_date, product_url FROM raw_launches"))
+def _launch_pages(spark, d):
+    """Whole-table round trip through the page parser: every raw launch is rendered as an
+    API post node, nodes are grouped into pages of 50 (a bounded group per page), pages
+    are stored one per line, then parsed back with the page-chain rules (last page has
+    no next page; no page cap here, so the whole table comes back)."""
+    from ..sources import readers
+
+    raw = models(spark, d).raw_launches
+    node = F.struct(
+        F.col("name").alias("name"), F.col("tagline").alias("tagline"), F.col("upvotes").alias("votesCount"),
+        F.struct(F.when(F.col("category").isNull(), F.array())
+                 .otherwise(F.array(F.struct(F.struct(F.col("category").alias("name")).alias("node"))))
+                 .alias("edges")).alias("topics"),
+        F.struct(F.when(F.col("pricing_type") == "Free", F.lit("FreeImage")).otherwise(F.lit("Image"))
+                 .alias("type")).alias("thumbnail"),
+        F.concat(F.date_format("launch_date", "yyyy-MM-dd"), F.lit("T00:00:00Z")).alias("createdAt"),
+        F.col("product_url").alias("website"))
+    posts = raw.select((F.floor((F.col("id") - 1) / PAGE_SIZE) + 1).cast("int").alias("page_no"),
+                       F.struct(node.alias("node")).alias("edge"))
+    pages = posts.groupBy("page_no").agg(F.collect_list("edge").alias("edges"))
+    last_page = posts.select(F.max("page_no")).scalar()
+    docs = pages.select(
+        "page_no",
+        F.struct(F.struct(
+            F.struct((F.col("page_no") < last_page).alias("hasNextPage"),
+                     F.col("page_no").cast("string").alias("endCursor")).alias("pageInfo"),
+            F.col("edges").alias("edges")).alias("posts")).alias("data"))
+    base = _scratch(spark, "launch-pages")
+    docs.write.json(base)
+    good, _ = readers.parse_launch_pages(readers.read_launch_pages(spark, base, multi_line=False),
+                                         max_pages=None)
+    return good.drop("page_no")
+
+
+@register("read_users_json", with_models("""
+SELECT user_id, name, review_count, fans, average_stars,
+       COALESCE(yelping_since, DATE '2004-01-01') AS yelping_since
+FROM raw_users"""))
+def _read_users_json(spark, d):
+    """Whole-table round trip through the user JSON-lines reader: missing join dates get
+    the default date, every other field comes back as landed."""
+    from ..sources import readers
+
+    raw = models(spark, d).raw_users
+    base = _scratch(spark, "users-json")
+    (raw.select("user_id", "name", "review_count", F.date_format("yelping_since", "yyyy-MM-dd").alias("yelping_since"),
+                "fans", "average_stars")
+     .write.json(base))
+    good, _ = readers.read_users(spark, base)
+    return good

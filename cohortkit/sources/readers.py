@@ -84,12 +84,13 @@ def read_users(spark: SparkSession, path) -> tuple[DataFrame, DataFrame]:
     return parse_users(_json(spark, path, S.USER_JSON))
 
 
-def read_launch_pages(spark: SparkSession, path) -> DataFrame:
-    """Stored API pages: one JSON document per file (``multiLine``), explicit schema."""
-    return spark.read.schema(S.LAUNCH_PAGE).option("multiLine", "true").json(path)
+def read_launch_pages(spark: SparkSession, path, multi_line: bool = True) -> DataFrame:
+    """Stored API pages, explicit schema: one JSON document per file (``multi_line``), or
+    one page per line."""
+    return spark.read.schema(S.LAUNCH_PAGE).option("multiLine", str(multi_line).lower()).json(path)
 
 
-def valid_pages(pages: DataFrame, max_pages: int = P.MAX_PAGES) -> DataFrame:
+def valid_pages(pages: DataFrame, max_pages: int | None = P.MAX_PAGES) -> DataFrame:
     """Pages a paginated fetch would have used: stop before the first page carrying
     errors, stop after the first page without a next page, never beyond ``max_pages``.
 
@@ -97,15 +98,16 @@ def valid_pages(pages: DataFrame, max_pages: int = P.MAX_PAGES) -> DataFrame:
     """
     has_err = F.coalesce(F.size("errors") > 0, F.lit(False))
     last = F.coalesce(~F.col("data.posts.pageInfo.hasNextPage"), F.lit(True))
+    cap = F.lit(max_pages) if max_pages is not None else F.max("page_no")
     bound = pages.select(F.least(
-        F.coalesce(F.min(F.when(has_err, F.col("page_no"))) - 1, F.lit(max_pages)),
-        F.coalesce(F.min(F.when(~has_err & last, F.col("page_no"))), F.lit(max_pages)),
-        F.lit(max_pages))).scalar()
+        F.coalesce(F.min(F.when(has_err, F.col("page_no"))) - 1, cap),
+        F.coalesce(F.min(F.when(~has_err & last, F.col("page_no"))), cap),
+        cap)).scalar()
     return pages.where((F.col("page_no") >= 1) & (F.col("page_no") <= bound))
 
 
 def parse_launch_pages(pages: DataFrame, fallback_prefix: str = P.LAUNCH_URL_PREFIX,
-                       max_pages: int = P.MAX_PAGES) -> tuple[DataFrame, DataFrame]:
+                       max_pages: int | None = P.MAX_PAGES) -> tuple[DataFrame, DataFrame]:
     """One launch row per post node of the valid pages -> (good, rejected)."""
     nodes = (valid_pages(pages, max_pages)
              .select("page_no", F.explode("data.posts.edges").alias("edge"))
