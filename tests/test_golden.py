@@ -141,3 +141,31 @@ def test_auc_matches_brute_force(spark):
     brute = sum((p > n) + 0.5 * (p == n) for p in pos for n in neg) / (len(pos) * len(neg))
     df = spark.createDataFrame(pairs, "label int, score double").repartition(5)
     assert metrics.roc_auc(df, ranges=8).first().auc == round(brute, 6)
+
+
+def test_default_cohorts_edges(spark):
+    from cohortkit.operators import datasets
+
+    def ret(n):
+        rows = [(D(2016, 1 + i, 1), 0, 100.0) for i in range(n)]
+        return spark.createDataFrame(rows, "cohort_month date, months_since_joining int, retention_rate double")
+    lo, hi = D(2015, 1, 1), D(2020, 1, 1)
+    assert [r.position for r in datasets.default_cohorts(ret(6), lo, hi).collect()] == [0]
+    assert sorted(r.position for r in datasets.default_cohorts(ret(7), lo, hi).collect()) == [0, 6]
+    assert datasets.default_cohorts(ret(0), lo, hi).count() == 0
+    curves = datasets.retention_curves(ret(9), lo, hi)
+    assert sorted({r.cohort_month for r in curves.collect()}) == [D(2016, 1, 1), D(2016, 7, 1)]
+
+
+def test_assemble_features_and_split(spark):
+    from cohortkit.operators import churn
+    df = spark.createDataFrame(
+        [("u1", 3, 4.0, 7.0, 2), ("u2", 5, None, 9.0, 1), ("u3", 2, 3.0, 5.0, 0)],
+        "user_id string, total_reviews long, avg_stars double, avg_engagement_score double, "
+        "user_segment_encoded int")
+    out = churn.assemble(df).collect()
+    assert [r.user_id for r in out] == ["u1", "u3"]          # rows with a missing feature are skipped
+    assert out[0].features.toArray().tolist() == [3.0, 4.0, 7.0, 2.0]
+    split = {r.user_id: r.split for r in churn.churn_split(df).collect()}
+    import hashlib
+    assert split == {u: ("test" if hashlib.md5(u.encode()).hexdigest()[:2] < "33" else "train") for u in split}
