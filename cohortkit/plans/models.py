@@ -34,6 +34,20 @@ class Models:
         size_shuffles(spark, sum(plan_size_bytes(df) for df in raw.values()))
         return cls(raw, params)
 
+    @classmethod
+    def from_catalog(cls, spark: SparkSession, params: Params, tables: dict[str, str] | None = None) -> "Models":
+        """Raw tables registered in the catalog (e.g. written by ``registry.save_bucketed``).
+
+        When reviews and users are both bucketed by ``user_id`` with the same bucket count,
+        the per-user aggregates and the user joins of the marts read them co-located: no
+        shuffle of the review table at all.
+        """
+        from ..session import plan_size_bytes, size_shuffles
+        names = tables or {n: n for n in ("raw_reviews", "raw_users", "raw_launches")}
+        raw = {n: spark.table(t) for n, t in names.items()}
+        size_shuffles(spark, sum(plan_size_bytes(df) for df in raw.values()))
+        return cls(raw, params)
+
     # raw
     @property
     def raw_reviews(self) -> DataFrame:

@@ -125,3 +125,26 @@ def test_survival_windows_run_on_event_table(stored):
     body = text.split("\n\n")[0]
     first_window = body.index("Window")
     assert "HashAggregate" in body[first_window:]
+
+
+def test_bucketed_reviews_and_users_need_no_user_shuffle(spark, tmp_path):
+    fx = Models.from_fixtures(spark, SF001)
+    names = {"raw_reviews": "bk_reviews", "raw_users": "bk_users", "raw_launches": "bk_launches"}
+    try:
+        registry.save_bucketed(fx.raw_reviews, "bk_reviews", "user_id", 8, path=str(tmp_path / "r"), mode="overwrite")
+        registry.save_bucketed(fx.raw_users, "bk_users", "user_id", 8, path=str(tmp_path / "u"), mode="overwrite")
+        registry.save_bucketed(fx.raw_launches, "bk_launches", "product_url", 8, path=str(tmp_path / "l"),
+                               mode="overwrite")
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+        spark.conf.set("spark.sql.adaptive.autoBroadcastJoinThreshold", "-1")
+        m = Models.from_catalog(spark, FIXTURE_PARAMS, names)
+        for df in (m.survival_inputs, m.retention_cohorts):
+            plan = _plan(df)
+            assert "Exchange hashpartitioning(user_id" not in plan
+        assert sorted(tuple(r) for r in m.survival_inputs.collect()) == \
+            sorted(tuple(r) for r in fx.survival_inputs.collect())
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", str(32 * 1024 * 1024))
+        spark.conf.set("spark.sql.adaptive.autoBroadcastJoinThreshold", str(32 * 1024 * 1024))
+        for t in names.values():
+            spark.sql(f"DROP TABLE IF EXISTS {t}")
