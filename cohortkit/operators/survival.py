@@ -123,7 +123,7 @@ def km_median(curve: DataFrame, by=None) -> DataFrame:
     """Least t with S(t) <= 0.5 (null when the curve never gets there), also in months."""
     by = _by(by)
     med = F.min(F.when(F.col("survival_raw") <= 0.5, F.col("t")))
-    out = curve.groupBy(*by).agg(med.alias("median_days")) if by else curve.agg(med.alias("median_days"))
+    out = curve.groupBy(*by).agg(med.alias("median_days"))
     return out.withColumn("median_months", F.round(F.col("median_days") / F.lit(float(P.DAYS_PER_MONTH)), 1))
 
 
@@ -135,7 +135,7 @@ def km_at(curve: DataFrame, days: Sequence[int] = tuple(P.MILESTONE_DAYS), by=No
     """
     by = _by(by)
     aggs = [F.min(F.when(F.col("t") <= x, F.col("survival_raw"))).alias(f"s{x}") for x in days]
-    wide = curve.groupBy(*by).agg(*aggs) if by else curve.agg(*aggs)
+    wide = curve.groupBy(*by).agg(*aggs)
     pairs = F.array(*[F.struct(F.lit(int(x)).alias("days"),
                                F.round(F.coalesce(F.col(f"s{x}"), F.lit(1.0)), ROUND).alias("survival"))
                       for x in days])
