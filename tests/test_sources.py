@@ -174,3 +174,24 @@ def test_land_batch_retry_is_idempotent(spark, tmp_path):
         land_batch(batch, 7, "reviews", target, quarantine, load_ts="2024-01-01 00:00:00")
     assert spark.read.parquet(target).count() == 50
     assert spark.read.parquet(quarantine).count() == 1
+
+
+def test_stream_users_defaults(spark, tmp_path):
+    inbox = tmp_path / "in"
+    inbox.mkdir()
+    _write_lines(inbox / "u.json", [{"user_id": "a", "review_count": 3}, {"user_id": "b", "fans": "x"},
+                                    {"user_id": "a", "review_count": 9}])
+    target, quarantine, ckpt = (str(tmp_path / n) for n in ("t", "q", "c"))
+    stream_ingest(spark, str(inbox), "users", target, quarantine, ckpt, load_ts="2024-01-01 00:00:00") \
+        .awaitTermination(120)
+    rows = spark.read.parquet(target).collect()
+    assert [(r.user_id, r.review_count, r.yelping_since) for r in rows] == [("a", 3, D(2004, 1, 1))]
+    assert [r.user_id for r in spark.read.parquet(quarantine).collect()] == ["b"]
+
+
+def test_cli_help_runs():
+    import subprocess
+    import sys
+    out = subprocess.run([sys.executable, "-m", "cohortkit", "--help"], capture_output=True, text=True,
+                         cwd=os.path.dirname(os.path.dirname(os.path.abspath(__file__))), timeout=120)
+    assert out.returncode == 0 and "land-launches" in out.stdout
