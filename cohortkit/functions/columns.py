@@ -76,17 +76,30 @@ def as_date(value) -> Column:
 
 
 def exact_pct(numerator, denominator, scale: int) -> Column:
-    """round(numerator / denominator * 100, scale) computed in exact decimals (HALF_UP),
-    returned as DOUBLE.  The numerator is multiplied first, so no digits are lost."""
-    num = _col(numerator).cast("decimal(30,0)") * F.lit(100)
-    q = F.try_divide(num, _col(denominator).cast("decimal(30,0)"))
+    """round(numerator / denominator * 100, scale) with exact HALF_UP rounding, as DOUBLE.
+
+    Counts are cast to DECIMAL(19,0) (any long fits) and multiplied by 100 first, so
+    Spark's decimal division keeps 15 fractional digits; rounding the quotient to
+    ``scale`` places is then exact for any denominator below 10^12.  (Wider operands
+    would make Spark cut the quotient to 6 digits, and rounding twice can flip a
+    result such as 49.9949998 to 50.00.)
+    """
+    num = _col(numerator).cast("decimal(19,0)") * F.lit(100).cast("decimal(3,0)")
+    q = F.try_divide(num, _col(denominator).cast("decimal(19,0)"))
     return F.round(q, scale).cast("double")
 
 
 def round_avg(c, scale: int) -> Column:
-    """round(avg(c), scale) with the mean taken in exact decimals, so the rounding
-    step sees the exact mean (as PostgreSQL's NUMERIC average does)."""
-    return F.round(F.avg(_col(c).cast("decimal(28,6)")), scale).cast("double")
+    """round(avg(c), scale) on the exact mean (HALF_UP), as DOUBLE.
+
+    The sum is exact in DECIMAL(28,6); dividing by the count as DECIMAL(19,0) keeps 16
+    fractional digits, so the single rounding step sees the exact mean (as a NUMERIC
+    average would).  ``avg`` on decimals would first round the mean to 6 digits.
+    """
+    col = _col(c)
+    total = F.sum(col.cast("decimal(28,6)")).cast("decimal(28,6)")
+    n = F.count(col).cast("decimal(19,0)")
+    return F.round(F.try_divide(total, n), scale).cast("double")
 
 
 def iso_date_prefix(c) -> Column:

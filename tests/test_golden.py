@@ -169,3 +169,21 @@ def test_assemble_features_and_split(spark):
     split = {r.user_id: r.split for r in churn.churn_split(df).collect()}
     import hashlib
     assert split == {u: ("test" if hashlib.md5(u.encode()).hexdigest()[:2] < "33" else "train") for u in split}
+
+
+def test_exact_pct_rounds_once(spark):
+    from cohortkit.functions import columns as C
+    # 14998 * 100 / 29999 = 49.99499983...: HALF_UP to 2 places is 49.99, never 50.00.
+    df = spark.createDataFrame([(14998, 29999), (45, 32), (1, 8)], "a long, b long")
+    assert [r[0] for r in df.select(C.exact_pct("a", "b", 2)).collect()] == [49.99, 140.63, 12.5]
+    assert [r[0] for r in df.select(C.exact_pct("a", "b", 0)).collect()] == [50.0, 141.0, 13.0]
+
+
+def test_round_avg_rounds_once(spark):
+    from cohortkit.functions import columns as C
+    # mean = 1,000,001 / 2,000,004 = 0.4999995000...: rounds to 0, not (via 0.500000) to 1.
+    n = 2_000_004
+    df = spark.range(n).select(F.when(F.col("id") < 1_000_001, 1).otherwise(0).alias("x"))
+    assert df.agg(C.round_avg("x", 0)).first()[0] == 0.0
+    halves = spark.createDataFrame([(1,), (2,)], "x int")
+    assert halves.agg(C.round_avg("x", 0)).first()[0] == 2.0
