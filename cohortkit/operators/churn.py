@@ -51,6 +51,11 @@ def churn_split(df: DataFrame, key: str = "user_id", test_below: str = TEST_HEX_
     return df.withColumn("split", F.when(prefix < test_below, "test").otherwise("train"))
 
 
+def split_sizes(split: DataFrame) -> DataFrame:
+    """Users per side of the hold-out split."""
+    return split.groupBy("split").agg(F.count(F.lit(1)).alias("users"))
+
+
 def assemble(df: DataFrame) -> DataFrame:
     return VectorAssembler(inputCols=FEATURES, outputCol="features", handleInvalid="skip").transform(
         df.withColumn("user_segment_encoded", F.col("user_segment_encoded").cast("double")))

@@ -200,6 +200,11 @@ register("churn_split", _churn_sql(
     "SELECT *, CASE WHEN substr(md5(user_id), 1, 2) < '33' THEN 'test' ELSE 'train' END AS split FROM training"))(
     lambda spark, d: churn.churn_split(_training(spark, d)))
 
+register("churn_split_sizes", _churn_sql(
+    "SELECT CASE WHEN substr(md5(user_id), 1, 2) < '33' THEN 'test' ELSE 'train' END AS split, "
+    "COUNT(*) AS users FROM training GROUP BY 1"))(
+    lambda spark, d: churn.split_sizes(churn.churn_split(_training(spark, d))))
+
 register("label_distribution", _churn_sql(
     "SELECT churned_early, COUNT(*) AS users FROM training GROUP BY churned_early"))(
     lambda spark, d: churn.label_distribution(_training(spark, d)))
