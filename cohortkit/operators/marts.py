@@ -29,7 +29,7 @@ from ..functions import columns as C
 
 # --------------------------------------------------------------- launches
 def launch_scores(stg_launches: DataFrame, as_of) -> DataFrame:
-    """Launch performance with ``success_score`` kept as an exact DECIMAL(5,2)."""
+    """Launch performance with ``success_score`` kept as an exact DECIMAL(7,2)."""
     upvotes = F.col("upvotes")
     score = F.round(F.least(upvotes.cast("decimal(12,0)") / P.SUCCESS_SCORE_DIVISOR,
                             F.lit(P.SUCCESS_SCORE_CAP).cast("decimal(12,0)")), 2).cast("decimal(7,2)")
