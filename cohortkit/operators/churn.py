@@ -79,10 +79,17 @@ def prepared(survival: DataFrame) -> DataFrame:
     return assemble(churn_split(segment_encoding(churn_training_set(survival))))
 
 
+# Rows per training partition.  The trainer runs ~5 small jobs per tree, each with one
+# task per partition, so partitions are sized to the data rather than to the shuffle
+# setting: a few thousand users train in one task, a billion users in ~2,000.
+TRAIN_ROWS_PER_PARTITION = 500_000
+
+
 def train_and_score(survival: DataFrame) -> tuple[GBTClassificationModel, DataFrame]:
     data = prepared(survival)
     train = data.where(F.col("split") == "train").persist()
-    model = fit_churn(train)
+    parts = max(1, -(-train.count() // TRAIN_ROWS_PER_PARTITION))
+    model = fit_churn(train.coalesce(parts))
     train.unpersist()
     return model, score(model, data.where(F.col("split") == "test"))
 

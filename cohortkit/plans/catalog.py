@@ -1,8 +1,9 @@
-"""Registered queries: name -> (spark, sf_dir) -> DataFrame, plus the oracle SQL.
+"""Registered queries, plus the oracle SQL.
 
-Every query reads the driver's test tables through the fixture adapter, so its work
-grows with the tables.  Queries are grouped by layer; each module below adds to the
-two registries with ``register``.
+Each query is defined once, as a function of the model graph (``Models``).  The driver
+contract wraps it as ``(spark, sf_dir) -> DataFrame`` over the fixture adapter, so every
+query reads the driver's test tables and its work grows with them; ``bench.py`` runs
+the same functions over raw tables landed once as Parquet (the production layout).
 """
 
 from __future__ import annotations
@@ -17,14 +18,18 @@ from .models import Models
 from .oracle import with_models
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
+ModelQuery = Callable[[Models], DataFrame]
 
 QUERIES: dict[str, QueryFn] = {}
+MODEL_QUERIES: dict[str, ModelQuery] = {}
 ORACLE: dict[str, str] = {}
 
 
 def register(name: str, oracle: str | None = None):
-    def deco(fn: QueryFn) -> QueryFn:
-        QUERIES[name] = fn
+    """Register ``fn(models) -> DataFrame`` under ``name`` (with its oracle SQL)."""
+    def deco(fn: ModelQuery) -> ModelQuery:
+        MODEL_QUERIES[name] = fn
+        QUERIES[name] = lambda spark, sf_dir: fn(models(spark, sf_dir))
         if oracle is not None:
             ORACLE[name] = oracle
         return fn
@@ -38,50 +43,47 @@ def models(spark: SparkSession, sf_dir: str) -> Models:
 
 # ------------------------------------------------------------------ staging
 register("stg_launches", with_models("SELECT * FROM stg_launches"))(
-    lambda spark, d: models(spark, d).stg_launches)
+    lambda m: m.stg_launches)
 register("stg_reviews", with_models("SELECT * FROM stg_reviews"))(
-    lambda spark, d: models(spark, d).stg_reviews)
+    lambda m: m.stg_reviews)
 register("stg_users", with_models("SELECT * FROM stg_users"))(
-    lambda spark, d: models(spark, d).stg_users)
+    lambda m: m.stg_users)
 
 # -------------------------------------------------------------------- marts
 register("launch_performance", with_models("SELECT * FROM launch_perf"))(
-    lambda spark, d: models(spark, d).launch_performance)
+    lambda m: m.launch_performance)
 register("category_performance",
          with_models("SELECT * FROM category_perf ORDER BY avg_success_score DESC NULLS FIRST, category"))(
-    lambda spark, d: models(spark, d).category_performance)
+    lambda m: m.category_performance)
 register("retention_cohorts",
          with_models("SELECT * FROM retention ORDER BY cohort_month, months_since_joining"))(
-    lambda spark, d: models(spark, d).retention_cohorts)
+    lambda m: m.retention_cohorts)
 register("survival_inputs", with_models("SELECT * FROM survival"))(
-    lambda spark, d: models(spark, d).survival_inputs)
+    lambda m: m.survival_inputs)
 
 
 @register("user_activity", with_models("SELECT * FROM user_activity"))
-def _user_activity(spark, d):
+def _user_activity(m):
     from ..operators import marts
-    m = models(spark, d)
     return marts.user_activity(m.stg_users, m.stg_reviews)
 
 
 @register("cohort_activity", with_models("SELECT * FROM cohort_activity"))
-def _cohort_activity(spark, d):
+def _cohort_activity(m):
     from ..operators import marts
-    m = models(spark, d)
     return marts.cohort_activity(m.stg_users, m.stg_reviews)
 
 
 @register("cohort_sizes", with_models("SELECT * FROM cohort_sizes"))
-def _cohort_sizes(spark, d):
+def _cohort_sizes(m):
     from ..operators import marts
-    m = models(spark, d)
     return marts.cohort_sizes(marts.cohort_activity(m.stg_users, m.stg_reviews))
 
 
 @register("review_activity", with_models("SELECT * FROM review_activity"))
-def _review_activity(spark, d):
+def _review_activity(m):
     from ..operators import marts
-    return marts.review_activity(models(spark, d).stg_reviews)
+    return marts.review_activity(m.stg_reviews)
 
 
 def load_all() -> None:

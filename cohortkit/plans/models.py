@@ -17,13 +17,18 @@ from ..sources import fixtures
 
 
 class Models:
-    def __init__(self, raw: dict[str, DataFrame], params: Params = FIXTURE_PARAMS):
+    def __init__(self, raw: dict[str, DataFrame], params: Params = FIXTURE_PARAMS, source: str = ""):
         self.raw = raw
         self.params = params
+        self.source = source  # where the raw tables come from (for memoising derived models)
+
+    @property
+    def spark(self) -> SparkSession:
+        return next(iter(self.raw.values())).sparkSession
 
     @classmethod
     def from_fixtures(cls, spark: SparkSession, sf_dir: str, params: Params = FIXTURE_PARAMS) -> "Models":
-        return cls(fixtures.raw_tables(spark, sf_dir), params)
+        return cls(fixtures.raw_tables(spark, sf_dir), params, source=f"fixtures:{sf_dir}")
 
     @classmethod
     def from_tables(cls, spark: SparkSession, root: str, params: Params) -> "Models":
@@ -32,7 +37,7 @@ class Models:
         from ..sources.registry import read_raw
         raw = {n: read_raw(spark, root, n) for n in ("raw_reviews", "raw_users", "raw_launches")}
         size_shuffles(spark, sum(plan_size_bytes(df) for df in raw.values()))
-        return cls(raw, params)
+        return cls(raw, params, source=f"tables:{root}")
 
     @classmethod
     def from_catalog(cls, spark: SparkSession, params: Params, tables: dict[str, str] | None = None) -> "Models":
@@ -46,7 +51,7 @@ class Models:
         names = tables or {n: n for n in ("raw_reviews", "raw_users", "raw_launches")}
         raw = {n: spark.table(t) for n, t in names.items()}
         size_shuffles(spark, sum(plan_size_bytes(df) for df in raw.values()))
-        return cls(raw, params)
+        return cls(raw, params, source="catalog:" + ",".join(sorted(names.values())))
 
     # raw
     @property

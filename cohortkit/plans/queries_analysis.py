@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from ..operators import churn, datasets, metrics, survival
 from ..params import FIXTURE_PARAMS, Z_95
-from .catalog import models, register
+from .catalog import register
 from .oracle import with_models
 
 LO = FIXTURE_PARAMS.cohort_lo.isoformat()
@@ -123,63 +123,63 @@ default_cohorts AS (
 
 
 # ------------------------------------------------------------------ survival
-def _km_in(spark, d):
-    return survival.km_input(models(spark, d).survival_inputs)
+def _km_in(m):
+    return survival.km_input(m.survival_inputs)
 
 
 register("km_input", _km("SELECT * FROM km_in"))(_km_in)
 
 register("km_event_table", _km("SELECT t, at_risk, observed, censored, removed FROM km_ev"))(
-    lambda spark, d: survival.km_event_table(_km_in(spark, d)))
+    lambda m: survival.km_event_table(_km_in(m)))
 
 register("km_overall", _km(
     "SELECT t, at_risk, observed, censored, ROUND(s, 6) AS survival, ROUND(s * 100, 4) AS survival_pct FROM km_cv"))(
-    lambda spark, d: survival.km_overall(_km_in(spark, d)))
+    lambda m: survival.km_overall(_km_in(m)))
 
 register("km_confidence", _km(f"""
 SELECT t, ROUND(s, 6) AS survival,
        CASE WHEN s > 0 AND s < 1 AND var IS NOT NULL THEN ROUND(pow(s, exp(-({Z_95!r} * sqrt(var) / ln(s)))), 6) END AS ci_lower,
        CASE WHEN s > 0 AND s < 1 AND var IS NOT NULL THEN ROUND(pow(s, exp({Z_95!r} * sqrt(var) / ln(s))), 6) END AS ci_upper
-FROM km_cv"""))(lambda spark, d: survival.km_confidence(_km_in(spark, d), Z_95))
+FROM km_cv"""))(lambda m: survival.km_confidence(_km_in(m), Z_95))
 
 register("km_by_segment", _km(
     "SELECT user_segment, t, at_risk, observed, censored, ROUND(s, 6) AS survival FROM km_cv",
     by="user_segment", min_group=MIN_GROUP))(
-    lambda spark, d: survival.km_by_segment(_km_in(spark, d), min_group=MIN_GROUP))
+    lambda m: survival.km_by_segment(_km_in(m), min_group=MIN_GROUP))
 
 register("km_median", _km(
     f"SELECT {_MED} AS median_days, ROUND({_MED} / 30.0, 1) AS median_months FROM km_cv"))(
-    lambda spark, d: survival.km_median(survival.km_curve(survival.km_event_table(_km_in(spark, d)))))
+    lambda m: survival.km_median(survival.km_curve(survival.km_event_table(_km_in(m)))))
 
 register("km_median_by_segment", _km(
     f"SELECT user_segment, {_MED} AS median_days, ROUND({_MED} / 30.0, 1) AS median_months "
     f"FROM km_cv GROUP BY user_segment", by="user_segment", min_group=MIN_GROUP))(
-    lambda spark, d: survival.km_median_by_segment(_km_in(spark, d), min_group=MIN_GROUP))
+    lambda m: survival.km_median_by_segment(_km_in(m), min_group=MIN_GROUP))
 
 register("km_milestones", _km("\nUNION ALL ".join(
     f"SELECT {x} AS days, ROUND(COALESCE(MIN(CASE WHEN t <= {x} THEN s END), 1.0), 6) AS survival FROM km_cv"
     for x in FIXTURE_PARAMS.milestones)))(
-    lambda spark, d: survival.km_at(survival.km_curve(survival.km_event_table(_km_in(spark, d))),
+    lambda m: survival.km_at(survival.km_curve(survival.km_event_table(_km_in(m))),
                                     FIXTURE_PARAMS.milestones))
 
 register("segment_table", _km(
     f"SELECT user_segment, MAX(group_size) AS users, {_MED} AS median_survival_days FROM km_cv GROUP BY user_segment",
     by="user_segment", min_group=MIN_GROUP))(
-    lambda spark, d: survival.segment_table(_km_in(spark, d), min_group=MIN_GROUP))
+    lambda m: survival.segment_table(_km_in(m), min_group=MIN_GROUP))
 
 register("segment_counts", _km(
     "SELECT user_segment, COUNT(*) AS users FROM km_in GROUP BY user_segment"))(
-    lambda spark, d: datasets.segment_counts(_km_in(spark, d)))
+    lambda m: datasets.segment_counts(_km_in(m)))
 
 register("survival_summary", _km("""
 SELECT COUNT(*) AS users, CAST(SUM(CAST(churned AS INT)) AS BIGINT) AS churned_users,
        ROUND(AVG(CAST(churned AS INT)) * 100, 6) AS churn_pct, ROUND(AVG(survival_days), 6) AS avg_survival_days
-FROM km_in"""))(lambda spark, d: survival.survival_summary(_km_in(spark, d)))
+FROM km_in"""))(lambda m: survival.survival_summary(_km_in(m)))
 
 
 # --------------------------------------------------------------------- churn
-def _training(spark, d):
-    return churn.churn_training_set(models(spark, d).survival_inputs)
+def _training(m):
+    return churn.churn_training_set(m.survival_inputs)
 
 
 def _churn_sql(final: str, extra: str = "") -> str:
@@ -194,29 +194,29 @@ FROM training t JOIN (
   SELECT user_segment, dense_rank() OVER (ORDER BY user_segment) - 1 AS code
   FROM (SELECT DISTINCT user_segment FROM training) v
 ) c ON t.user_segment = c.user_segment"""))(
-    lambda spark, d: churn.segment_encoding(_training(spark, d)))
+    lambda m: churn.segment_encoding(_training(m)))
 
 register("churn_split", _churn_sql(
     "SELECT *, CASE WHEN substr(md5(user_id), 1, 2) < '33' THEN 'test' ELSE 'train' END AS split FROM training"))(
-    lambda spark, d: churn.churn_split(_training(spark, d)))
+    lambda m: churn.churn_split(_training(m)))
 
 register("churn_split_sizes", _churn_sql(
     "SELECT CASE WHEN substr(md5(user_id), 1, 2) < '33' THEN 'test' ELSE 'train' END AS split, "
     "COUNT(*) AS users FROM training GROUP BY 1"))(
-    lambda spark, d: churn.split_sizes(churn.churn_split(_training(spark, d))))
+    lambda m: churn.split_sizes(churn.churn_split(_training(m))))
 
 register("label_distribution", _churn_sql(
     "SELECT churned_early, COUNT(*) AS users FROM training GROUP BY churned_early"))(
-    lambda spark, d: churn.label_distribution(_training(spark, d)))
+    lambda m: churn.label_distribution(_training(m)))
 
 register("segment_survival_means", _churn_sql("""
 SELECT ROUND(AVG(survival_days), 6) AS avg_survival_days,
        ROUND(AVG(CASE WHEN user_segment = 'Power User' THEN survival_days END), 6) AS power_avg_survival_days,
        ROUND(AVG(CASE WHEN user_segment = 'New User' THEN survival_days END), 6) AS new_avg_survival_days
-FROM training"""))(lambda spark, d: churn.segment_survival_means(_training(spark, d)))
+FROM training"""))(lambda m: churn.segment_survival_means(_training(m)))
 
 register("classification_report", _churn_sql(REPORT_SELECT, REPORT_SQL))(
-    lambda spark, d: metrics.classification_report(churn.rule_score(_training(spark, d))))
+    lambda m: metrics.classification_report(churn.rule_score(_training(m))))
 
 register("roc_auc", _churn_sql("""
 SELECT ROUND(SUM(pos * (below + neg / 2.0)) / (SUM(pos) * SUM(neg)), 6) AS auc
@@ -225,73 +225,69 @@ FROM (
          COALESCE(SUM(neg) OVER (ORDER BY s ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS below
   FROM (SELECT CAST(score AS DOUBLE) AS s, SUM(label) AS pos, SUM(1 - label) AS neg
         FROM rule_scored GROUP BY score) g
-) c"""))(lambda spark, d: metrics.roc_auc(churn.rule_score(_training(spark, d))))
+) c"""))(lambda m: metrics.roc_auc(churn.rule_score(_training(m))))
 
 # The boosted-tree model: trained once per (session, input) and reused by the keys below.
 _MODELS: dict = {}
 
 
-def _trained(spark, d):
-    key = (spark.sparkContext.applicationId, d)
+def _trained(m):
+    key = (m.spark.sparkContext.applicationId, m.source)
     if key not in _MODELS:
-        _MODELS[key] = churn.train_and_score(models(spark, d).survival_inputs)
+        _MODELS[key] = churn.train_and_score(m.survival_inputs)
     return _MODELS[key]
 
 
-register("churn_predictions")(lambda spark, d: _trained(spark, d)[1])
-register("feature_importance")(lambda spark, d: churn.feature_importance(_trained(spark, d)[0], spark))
-register("top_feature")(lambda spark, d: churn.top_feature(
-    churn.feature_importance(_trained(spark, d)[0], spark)))
-register("churn_model_report")(lambda spark, d: metrics.classification_report(_trained(spark, d)[1]))
-register("churn_model_auc")(lambda spark, d: metrics.roc_auc(_trained(spark, d)[1]))
+register("churn_predictions")(lambda m: _trained(m)[1])
+register("feature_importance")(lambda m: churn.feature_importance(_trained(m)[0], m.spark))
+register("top_feature")(lambda m: churn.top_feature(
+    churn.feature_importance(_trained(m)[0], m.spark)))
+register("churn_model_report")(lambda m: metrics.classification_report(_trained(m)[1]))
+register("churn_model_auc")(lambda m: metrics.roc_auc(_trained(m)[1]))
 
 
 # ------------------------------------------------------------------ datasets
-def _m(spark, d):
-    return models(spark, d)
-
-
 register("overview_kpis", with_models("""
 SELECT (SELECT COUNT(*) FROM survival) AS users,
        ROUND((SELECT AVG(CAST(churned AS INT)) FROM survival) * 100, 6) AS churn_rate_pct,
        ROUND((SELECT AVG(survival_days) FROM survival), 6) AS avg_survival_days,
        (SELECT COUNT(*) FROM launch_perf) AS launches"""))(
-    lambda spark, d: datasets.overview_kpis(_m(spark, d).survival_inputs, _m(spark, d).launch_performance))
+    lambda m: datasets.overview_kpis(m.survival_inputs, m.launch_performance))
 
 register("cohort_list", with_models("SELECT * FROM cohort_list", CURVE_CTES))(
-    lambda spark, d: datasets.cohort_list(_m(spark, d).retention_cohorts, FIXTURE_PARAMS.cohort_lo,
+    lambda m: datasets.cohort_list(m.retention_cohorts, FIXTURE_PARAMS.cohort_lo,
                                           FIXTURE_PARAMS.cohort_hi, MAXM))
 
 register("default_cohorts", with_models("SELECT * FROM default_cohorts", CURVE_CTES))(
-    lambda spark, d: datasets.default_cohorts(_m(spark, d).retention_cohorts, FIXTURE_PARAMS.cohort_lo,
+    lambda m: datasets.default_cohorts(m.retention_cohorts, FIXTURE_PARAMS.cohort_lo,
                                               FIXTURE_PARAMS.cohort_hi, MAXM))
 
 register("retention_curves", with_models("""
 SELECT cohort_month, months_since_joining, retention_rate FROM curve_window
 WHERE cohort_month IN (SELECT cohort_month FROM default_cohorts)""", CURVE_CTES))(
-    lambda spark, d: datasets.retention_curves(_m(spark, d).retention_cohorts, FIXTURE_PARAMS.cohort_lo,
+    lambda m: datasets.retention_curves(m.retention_cohorts, FIXTURE_PARAMS.cohort_lo,
                                                FIXTURE_PARAMS.cohort_hi, MAXM))
 
 register("month1_by_year", with_models("""
 SELECT CAST(year(cohort_month) AS INT) AS cohort_year, CAST(ROUND(AVG(retention_rate), 1) AS DOUBLE) AS avg_month1_retention
 FROM retention WHERE months_since_joining = 1 GROUP BY 1 ORDER BY 1"""))(
-    lambda spark, d: datasets.month1_by_year(_m(spark, d).retention_cohorts))
+    lambda m: datasets.month1_by_year(m.retention_cohorts))
 
 register("category_bars", with_models(
     "SELECT category, avg_success_score FROM category_perf ORDER BY avg_success_score, category"))(
-    lambda spark, d: datasets.category_bars(_m(spark, d).category_performance))
+    lambda m: datasets.category_bars(m.category_performance))
 
 register("launch_scatter", with_models("""
 SELECT name, upvotes, category, traction_tier, success_score, days_since_launch, launch_month
 FROM launch_perf ORDER BY upvotes DESC NULLS FIRST, name"""))(
-    lambda spark, d: datasets.launch_scatter(_m(spark, d).launch_performance))
+    lambda m: datasets.launch_scatter(m.launch_performance))
 
 register("launch_share", with_models("""
 SELECT category, total_launches, ROUND(total_launches * 100.0 / SUM(total_launches) OVER (), 6) AS share_pct
-FROM category_perf"""))(lambda spark, d: datasets.launch_share(_m(spark, d).category_performance))
+FROM category_perf"""))(lambda m: datasets.launch_share(m.category_performance))
 
 register("top_launches", with_models("""
 SELECT name, upvotes, category, traction_tier, success_score
 FROM launch_perf ORDER BY upvotes DESC NULLS FIRST, product_url LIMIT 10"""))(
-    lambda spark, d: datasets.top_launches(_m(spark, d).launch_performance, FIXTURE_PARAMS.top_n))
+    lambda m: datasets.top_launches(m.launch_performance, FIXTURE_PARAMS.top_n))
 

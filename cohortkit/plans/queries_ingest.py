@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from ..operators import quality
 from ..params import MAX_INGEST_ROWS, SYNC_MAX_ROWS
 from ..sources import ingest
-from .catalog import models, register
+from .catalog import register
 from .oracle import with_models
 
 REVIEW_COLS = ["review_id", "user_id", "business_id", "stars", "useful", "funny", "cool",
@@ -23,17 +23,16 @@ USER_SYNC_COLS = ["user_id", "name", "review_count", "yelping_since", "fans", "a
 
 
 # ----------------------------------------------------------------- quality
-def _staging(spark, d):
-    m = models(spark, d)
+def _staging(m):
     return m.staging_views()
 
 
 for _kind in ("not_null", "unique", "accepted_values", "row_count", "between"):
     register(f"dq_{_kind}", with_models(quality.suite_sql(kinds=[_kind])))(
-        (lambda k: lambda spark, d: quality.dq_report(_staging(spark, d), kinds=[k]))(_kind))
+        (lambda k: lambda m: quality.dq_report(_staging(m), kinds=[k]))(_kind))
 
 register("dq_report", with_models(quality.suite_sql()))(
-    lambda spark, d: quality.dq_report(_staging(spark, d)))
+    lambda m: quality.dq_report(_staging(m)))
 
 
 # ------------------------------------------------------------------ ingest
@@ -41,13 +40,13 @@ def _order_key(c="review_id"):
     return F.substring(F.col(c), 2, 20).cast("long")
 
 
-def _target(spark, d):
-    raw = models(spark, d).raw_reviews
+def _target(m):
+    raw = m.raw_reviews
     return raw.where(_order_key() % 2 == 0)
 
 
-def _batch(spark, d):
-    raw = models(spark, d).raw_reviews
+def _batch(m):
+    raw = m.raw_reviews
     first = raw.withColumn("arrival", F.lit(1))
     again = (raw.where(_order_key() % 3 == 0)
              .withColumn("stars", F.lit(0.0)).withColumn("arrival", F.lit(2)))
@@ -69,7 +68,7 @@ register("insert_ignore", with_models("""
 SELECT review_id, user_id, business_id, stars, useful, funny, cool, review_date, loaded_at
 FROM (SELECT *, row_number() OVER (PARTITION BY review_id ORDER BY arrival) AS rn FROM ig_batch) b
 WHERE rn = 1 AND review_id NOT IN (SELECT review_id FROM ig_target)""", BATCH_CTES))(
-    lambda spark, d: ingest.insert_ignore(_batch(spark, d), _target(spark, d), "review_id", "arrival"))
+    lambda m: ingest.insert_ignore(_batch(m), _target(m), "review_id", "arrival"))
 
 register("ingest_report", with_models("""
 SELECT 'inserted' AS outcome, CAST(ins AS BIGINT) AS rows FROM r
@@ -82,36 +81,36 @@ r AS (
          (SELECT COUNT(*) FROM ig_batch WHERE review_id IS NOT NULL AND review_date IS NOT NULL) AS good,
          (SELECT COUNT(*) FROM ig_batch WHERE review_id IS NULL OR review_date IS NULL) AS rej
 )"""))(
-    lambda spark, d: ingest.ingest_report(_batch(spark, d), _target(spark, d), "review_id",
+    lambda m: ingest.ingest_report(_batch(m), _target(m), "review_id",
                                           required=["review_date"]))
 
 register("bounded_ingest", with_models(
     f"SELECT * FROM raw_reviews ORDER BY review_id LIMIT {MAX_INGEST_ROWS}"))(
-    lambda spark, d: ingest.bounded_ingest(models(spark, d).raw_reviews, "review_id", MAX_INGEST_ROWS))
+    lambda m: ingest.bounded_ingest(m.raw_reviews, "review_id", MAX_INGEST_ROWS))
 
 _SYNC_SQL = ", ".join(USER_SYNC_COLS)
 register("sync_table", with_models(f"""
 SELECT * FROM (SELECT {_SYNC_SQL} FROM raw_users ORDER BY user_id LIMIT {SYNC_MAX_ROWS}) s
 WHERE user_id NOT IN (SELECT user_id FROM raw_users WHERE CAST(substr(user_id, 2) AS BIGINT) % 2 = 0)"""))(
-    lambda spark, d: ingest.sync_table(
-        models(spark, d).raw_users,
-        models(spark, d).raw_users.where(_order_key("user_id") % 2 == 0),
+    lambda m: ingest.sync_table(
+        m.raw_users,
+        m.raw_users.where(_order_key("user_id") % 2 == 0),
         USER_SYNC_COLS, "user_id", SYNC_MAX_ROWS))
 
 register("quarantine_rejects", with_models("""
 SELECT *, 'missing review_date' AS _reject_reason FROM raw_reviews
 WHERE review_id IS NOT NULL AND user_id IS NOT NULL AND business_id IS NOT NULL AND stars IS NOT NULL
   AND review_date IS NULL"""))(
-    lambda spark, d: ingest.quarantine_split(
-        models(spark, d).raw_reviews, ["review_id", "user_id", "business_id", "stars", "review_date"])[1])
+    lambda m: ingest.quarantine_split(
+        m.raw_reviews, ["review_id", "user_id", "business_id", "stars", "review_date"])[1])
 
 
 @register("land_with_audit", with_models("""
 SELECT COUNT(*) AS rows, CAST(MIN(1) AS BIGINT) AS min_id, CAST(COUNT(*) AS BIGINT) AS max_id,
        COUNT(*) AS distinct_ids, COUNT(DISTINCT product_url) AS distinct_urls
 FROM raw_launches"""))
-def _land(spark, d):
-    raw = models(spark, d).raw_launches.drop("id", "scraped_at")
+def _land(m):
+    raw = m.raw_launches.drop("id", "scraped_at")
     landed = ingest.land_with_audit(raw, "id", "scraped_at", load_ts="2001-08-01 00:00:00", start_id=1)
     return landed.agg(F.count(F.lit(1)).alias("rows"), F.min("id").alias("min_id"), F.max("id").alias("max_id"),
                       F.count_distinct("id").alias("distinct_ids"),
@@ -119,7 +118,7 @@ def _land(spark, d):
 
 
 @register("stream_ingest", with_models("SELECT * FROM raw_reviews WHERE review_date IS NOT NULL"))
-def _stream_ingest(spark, d):
+def _stream_ingest(m):
     """Whole-table round trip through the streaming landing path: the raw reviews are
     written as JSON-line files (the input format) into a fresh folder under the shared
     checkpoint folder, landed by the availableNow stream in several triggers, and the
@@ -130,8 +129,9 @@ def _stream_ingest(spark, d):
     from ..sources.fixtures import LOAD_TS
     from ..streaming.ingest_stream import stream_ingest
 
+    spark = m.spark
     base = f"{checkpoint_dir(spark).rstrip('/')}/stream-ingest-{uuid.uuid4().hex}"
-    raw = models(spark, d).raw_reviews
+    raw = m.raw_reviews
     (raw.select("review_id", "user_id", "business_id", "stars",
                 F.date_format("review_date", "yyyy-MM-dd").alias("date"), "useful", "funny", "cool")
      .write.json(f"{base}/in"))
@@ -153,14 +153,14 @@ def _scratch(spark, name: str) -> str:
 
 @register("launch_pages", with_models(
     "SELECT name, tagline, upvotes, category, pricing_type, launch_date, product_url FROM raw_launches"))
-def _launch_pages(spark, d):
+def _launch_pages(m):
     """Whole-table round trip through the page parser: every raw launch is rendered as an
     API post node, nodes are grouped into pages of 50 (a bounded group per page), pages
     are stored one per line, then parsed back with the page-chain rules (last page has
     no next page; no page cap here, so the whole table comes back)."""
     from ..sources import readers
 
-    raw = models(spark, d).raw_launches
+    raw = m.raw_launches
     node = F.struct(
         F.col("name").alias("name"), F.col("tagline").alias("tagline"), F.col("upvotes").alias("votesCount"),
         F.struct(F.when(F.col("category").isNull(), F.array())
@@ -180,6 +180,7 @@ def _launch_pages(spark, d):
             F.struct((F.col("page_no") < last_page).alias("hasNextPage"),
                      F.col("page_no").cast("string").alias("endCursor")).alias("pageInfo"),
             F.col("edges").alias("edges")).alias("posts")).alias("data"))
+    spark = m.spark
     base = _scratch(spark, "launch-pages")
     docs.write.json(base)
     good, _ = readers.parse_launch_pages(readers.read_launch_pages(spark, base, multi_line=False),
@@ -191,12 +192,13 @@ def _launch_pages(spark, d):
 SELECT user_id, name, review_count, fans, average_stars,
        COALESCE(yelping_since, DATE '2004-01-01') AS yelping_since
 FROM raw_users"""))
-def _read_users_json(spark, d):
+def _read_users_json(m):
     """Whole-table round trip through the user JSON-lines reader: missing join dates get
     the default date, every other field comes back as landed."""
     from ..sources import readers
 
-    raw = models(spark, d).raw_users
+    raw = m.raw_users
+    spark = m.spark
     base = _scratch(spark, "users-json")
     (raw.select("user_id", "name", "review_count", F.date_format("yelping_since", "yyyy-MM-dd").alias("yelping_since"),
                 "fans", "average_stars")
