@@ -80,3 +80,13 @@ def test_land_launches_twice(spark, tmp_path):
     assert raw.where("name = 'new'").first().launch_date is None
     assert os.path.isdir(os.path.join(root, "quarantine", "raw_launches"))
     assert dt.date(2024, 1, 1) in {r.launch_date for r in raw.collect()}
+
+
+def test_land_with_row_cap(spark, tmp_path):
+    fx, reviews, _ = _export_json(spark, tmp_path)
+    root = str(tmp_path / "wh")
+    rep = cli.land(spark, "reviews", reviews, root, max_rows=100, load_ts="2001-08-01 00:00:00")
+    assert rep["inserted"] == 100
+    landed = sorted(r.review_id for r in registry.read_raw(spark, root, "raw_reviews").collect())
+    first = sorted(r.review_id for r in fx.raw_reviews.where("review_date IS NOT NULL").collect())[:100]
+    assert landed == first
