@@ -13,6 +13,8 @@ Semantics (nulls pass unless stated):
   between          rows whose value is outside [lo, hi] (inclusive bounds)
   row_count        1 when the table's row count is outside [lo, hi], else 0
   columns          1 when the ordered column list differs from the expected one, else 0
+  relationships    rows whose non-null value has no match in ``ref_model.ref_column``
+                   (one anti join against the parent's distinct keys)
 """
 
 from __future__ import annotations
@@ -34,6 +36,8 @@ class Check:
     values: tuple | None = None
     lo: object = None
     hi: object = None
+    ref_model: str | None = None
+    ref_column: str | None = None
 
     @property
     def check_id(self) -> str:
@@ -112,8 +116,10 @@ def _row(c: Check, failing: Column) -> Column:
                     f.alias("failing_rows"), (f == 0).alias("passed"))
 
 
-def run_checks(df: DataFrame, checks: list[Check]) -> DataFrame | None:
-    """Results of ``checks`` (all on the same model ``df``) as a DataFrame."""
+def run_checks(df: DataFrame, checks: list[Check], models: dict[str, DataFrame] | None = None) -> DataFrame | None:
+    """Results of ``checks`` (all on the same model ``df``) as a DataFrame.
+
+    ``models`` resolves the parent tables of ``relationships`` checks."""
     parts: list[DataFrame] = []
     fused = [c for c in checks if c.kind in FUSED_KINDS]
     if fused:
@@ -129,6 +135,12 @@ def run_checks(df: DataFrame, checks: list[Check]) -> DataFrame | None:
         elif c.kind == "columns":
             failing = 0 if list(df.columns) == list(c.values) else 1
             parts.append(df.sparkSession.range(1).select(F.inline(F.array(_row(c, F.lit(failing))))))
+        elif c.kind == "relationships":
+            parent = (models or {})[c.ref_model].select(F.col(c.ref_column).alias("_ref")).distinct()
+            orphans = (df.select(F.col(c.column).alias("_ref")).where(F.col("_ref").isNotNull())
+                       .join(parent, "_ref", "left_anti"))
+            parts.append(orphans.agg(F.count(F.lit(1)).alias("n"))
+                         .select(F.inline(F.array(_row(c, F.col("n"))))))
     if not parts:
         return None
     out = parts[0]
@@ -142,7 +154,7 @@ def dq_report(models: dict[str, DataFrame], suite: list[Check] = SUITE, kinds=No
     out = None
     for model, df in models.items():
         checks = [c for c in suite if c.model == model and (kinds is None or c.kind in kinds)]
-        part = run_checks(df, checks) if checks else None
+        part = run_checks(df, checks, models) if checks else None
         if part is not None:
             out = part if out is None else out.unionByName(part)
     return out
@@ -186,6 +198,12 @@ def dq_columns(df: DataFrame, model: str, expected) -> DataFrame:
     return run_checks(df, [Check(model, "columns", values=tuple(expected))])
 
 
+def dq_relationships(df: DataFrame, model: str, col: str, parent: DataFrame, parent_model: str,
+                     parent_col: str) -> DataFrame:
+    return run_checks(df, [Check(model, "relationships", col, ref_model=parent_model, ref_column=parent_col)],
+                      {parent_model: parent})
+
+
 # ------------------------------------------------------------------ oracle SQL
 def _sql_lit(v) -> str:
     if isinstance(v, dt.date):
@@ -214,6 +232,9 @@ def check_sql(c: Check, relation: str) -> str:
                    f"FROM {relation})")
     elif c.kind == "columns":
         failing = "0"
+    elif c.kind == "relationships":
+        failing = (f"(SELECT COUNT(*) FROM {relation} c WHERE c.{col} IS NOT NULL AND NOT EXISTS "
+                   f"(SELECT 1 FROM {c.ref_model} p WHERE p.{c.ref_column} = c.{col}))")
     else:
         raise ValueError(c.kind)
     column = "NULL" if col is None else _sql_lit(col)

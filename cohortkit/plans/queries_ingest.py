@@ -31,6 +31,13 @@ for _kind in ("not_null", "unique", "accepted_values", "row_count", "between"):
     register(f"dq_{_kind}", with_models(quality.suite_sql(kinds=[_kind])))(
         (lambda k: lambda m: quality.dq_report(_staging(m), kinds=[k]))(_kind))
 
+# Referential integrity (a supported check kind, not part of the declared suite):
+# every review's user must exist among the staged users.
+RELATIONSHIPS = [quality.Check("stg_reviews", "relationships", "user_id", ref_model="stg_users",
+                               ref_column="user_id")]
+register("dq_relationships", with_models(quality.suite_sql(RELATIONSHIPS)))(
+    lambda m: quality.dq_report(_staging(m), RELATIONSHIPS))
+
 register("dq_report", with_models(quality.suite_sql()))(
     lambda m: quality.dq_report(_staging(m)))
 

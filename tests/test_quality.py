@@ -64,3 +64,10 @@ def test_gate(spark, df):
     with pytest.raises(Q.QualityGateError):
         Q.gate(report)
     Q.gate(Q.run_checks(df, [Q.Check("m", "not_null", "k")]))
+
+
+def test_relationships(spark):
+    child = spark.createDataFrame([(1, "a"), (2, "b"), (3, None), (4, "z"), (5, "z")], "k int, u string")
+    parent = spark.createDataFrame([("a",), ("b",), ("b",)], "u string")
+    r = _one(Q.dq_relationships(child, "c", "u", parent, "p", "u"))
+    assert (r.failing_rows, r.passed) == (2, False)
