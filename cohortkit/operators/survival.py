@@ -37,16 +37,8 @@ def km_input(survival: DataFrame, min_reviews: int = P.MIN_REVIEWS) -> DataFrame
                     "avg_engagement_score"))
 
 
-def km_event_table(df: DataFrame, duration: str = "survival_days", event: str = "churned",
-                   by=None) -> DataFrame:
-    """Per (group, t): observed events, censored, removed and at-risk counts.
-
-    A t = 0 row is always present (the curve starts at 0 with everybody at risk): every
-    input row also emits an empty (t=0) contribution, which the partial aggregate folds
-    away on the map side.  at_risk(t) = group total - removed before t, so all windows
-    share one ascending sort per group.
-    """
-    by = _by(by)
+def _event_table(df: DataFrame, duration: str, event: str, by: list[str]) -> DataFrame:
+    """Event table with the group size (number of subjects) kept as ``group_size``."""
     contributions = F.array(
         F.struct(F.col(duration).cast("int").alias("t"), F.col(event).cast("int").alias("d"),
                  F.lit(1).alias("r")),
@@ -58,9 +50,22 @@ def km_event_table(df: DataFrame, duration: str = "survival_days", event: str =
         Window.partitionBy(*by).orderBy("t").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
     total = F.sum("removed").over(Window.partitionBy(*by))
     return (table
-            .withColumn("at_risk", total - before)
-            .withColumn("censored", F.col("removed") - F.col("observed"))
-            .select(*by, "t", "at_risk", "observed", "censored", "removed"))
+            .withColumn("group_size", total)
+            .withColumn("at_risk", F.col("group_size") - before)
+            .withColumn("censored", F.col("removed") - F.col("observed")))
+
+
+def km_event_table(df: DataFrame, duration: str = "survival_days", event: str = "churned",
+                   by=None) -> DataFrame:
+    """Per (group, t): observed events, censored, removed and at-risk counts.
+
+    A t = 0 row is always present (the curve starts at 0 with everybody at risk): every
+    input row also emits an empty (t=0) contribution, which the partial aggregate folds
+    away on the map side.  at_risk(t) = group total - removed before t, so all windows
+    share one ascending sort per group.
+    """
+    by = _by(by)
+    return _event_table(df, duration, event, by).select(*by, "t", "at_risk", "observed", "censored", "removed")
 
 
 def _running(by: list[str]) -> Window:
@@ -107,14 +112,14 @@ def km_confidence(df: DataFrame, z: float = P.Z_95) -> DataFrame:
     return curve.select("t", "survival", "ci_lower", "ci_upper")
 
 
-def _large_groups(events: DataFrame, by: list[str], min_group: int) -> DataFrame:
-    size = F.sum("removed").over(Window.partitionBy(*by))
-    return events.withColumn("group_size", size).where(F.col("group_size") >= min_group)
+def _large_groups(df: DataFrame, by: list[str], min_group: int) -> DataFrame:
+    """Event tables of the groups with at least ``min_group`` subjects."""
+    return _event_table(df, "survival_days", "churned", by).where(F.col("group_size") >= min_group)
 
 
 def km_by_segment(df: DataFrame, by: str = "user_segment", min_group: int = P.MIN_GROUP) -> DataFrame:
     """One curve per segment with at least ``min_group`` users, in one job."""
-    events = _large_groups(km_event_table(df, by=by), [by], min_group)
+    events = _large_groups(df, [by], min_group)
     curve = km_curve(events, by=by)
     return curve.select(by, "t", "at_risk", "observed", "censored", "survival")
 
@@ -143,13 +148,13 @@ def km_at(curve: DataFrame, days: Sequence[int] = tuple(P.MILESTONE_DAYS), by=No
 
 
 def km_median_by_segment(df: DataFrame, by: str = "user_segment", min_group: int = P.MIN_GROUP) -> DataFrame:
-    events = _large_groups(km_event_table(df, by=by), [by], min_group)
+    events = _large_groups(df, [by], min_group)
     return km_median(km_curve(events, by=by), by=by)
 
 
 def segment_table(df: DataFrame, by: str = "user_segment", min_group: int = P.MIN_GROUP) -> DataFrame:
     """(segment, users, median survival days) for segments with enough users."""
-    events = _large_groups(km_event_table(df, by=by), [by], min_group)
+    events = _large_groups(df, [by], min_group)
     curve = km_curve(events, by=by)
     med = F.min(F.when(F.col("survival_raw") <= 0.5, F.col("t")))
     return curve.groupBy(by).agg(F.max("group_size").alias("users"), med.alias("median_survival_days"))
