@@ -73,17 +73,29 @@ def user_activity(stg_users: DataFrame, stg_reviews: DataFrame) -> DataFrame:
                         C.months_between_starts("activity_month", "cohort_month")))
 
 
-def active_user_months(stg_users: DataFrame, stg_reviews: DataFrame) -> DataFrame:
-    """Distinct (user, active month) pairs with the user's cohort, months >= 0.
-
-    Reviews are reduced to one bounded set of months per user *before* the shuffle
-    (``collect_set`` aggregates partially on the map side), then joined to users.
+def user_review_profile(stg_reviews: DataFrame) -> DataFrame:
+    """One row per reviewing user: the set of active months, first/last review date,
+    review count and means -- everything both user marts need from the review table.
+
+    One partial (map-side) aggregate per user: a user with millions of reviews ships one
+    small record per map task.  The month set is bounded by the calendar months in the
+    data.  Each mart uses only its columns (Catalyst prunes the rest); a build that
+    writes this table once reads and shuffles the reviews once for both marts.
     """
-    months = (stg_reviews.select("user_id", "review_month")
-              .groupBy("user_id")
-              .agg(F.collect_set("review_month").alias("months")))
+    return stg_reviews.groupBy("user_id").agg(
+        F.collect_set("review_month").alias("months"),
+        F.min("review_date").alias("first_review_date"),
+        F.max("review_date").alias("last_review_date"),
+        F.count(F.lit(1)).alias("total_reviews"),
+        F.avg("stars").alias("avg_stars"),
+        F.avg("engagement_score").alias("avg_engagement_score"),
+    )
+
+
+def active_months_from_profile(stg_users: DataFrame, profile: DataFrame) -> DataFrame:
+    """Distinct (user, active month) pairs with the user's cohort, months >= 0."""
     users = stg_users.select("user_id", "cohort_month")
-    joined = users.join(months, "user_id")
+    joined = users.join(profile.select("user_id", "months"), "user_id")
     return (joined
             .select("user_id", "cohort_month",
                     F.explode(F.filter("months", lambda m: m >= F.col("cohort_month"))).alias("activity_month"))
@@ -91,9 +103,22 @@ def active_user_months(stg_users: DataFrame, stg_reviews: DataFrame) -> DataFram
                         C.months_between_starts("activity_month", "cohort_month")))
 
 
+def active_user_months(stg_users: DataFrame, stg_reviews: DataFrame) -> DataFrame:
+    """Distinct (user, active month) pairs with the user's cohort, months >= 0.
+
+    Reviews are reduced to one bounded set of months per user *before* the shuffle
+    (``collect_set`` aggregates partially on the map side), then joined to users.
+    """
+    return active_months_from_profile(stg_users, user_review_profile(stg_reviews))
+
+
 def cohort_activity(stg_users: DataFrame, stg_reviews: DataFrame) -> DataFrame:
     """Distinct active users per (cohort_month, months_since_joining), months >= 0."""
-    return (active_user_months(stg_users, stg_reviews)
+    return cohort_activity_from_profile(stg_users, user_review_profile(stg_reviews))
+
+
+def cohort_activity_from_profile(stg_users: DataFrame, profile: DataFrame) -> DataFrame:
+    return (active_months_from_profile(stg_users, profile)
             .groupBy("cohort_month", "months_since_joining")
             .agg(F.count(F.lit(1)).alias("active_users")))
 
@@ -105,7 +130,11 @@ def cohort_sizes(activity: DataFrame) -> DataFrame:
 
 
 def retention_cohorts(stg_users: DataFrame, stg_reviews: DataFrame) -> DataFrame:
-    activity = cohort_activity(stg_users, stg_reviews)
+    return retention_from_profile(stg_users, user_review_profile(stg_reviews))
+
+
+def retention_from_profile(stg_users: DataFrame, profile: DataFrame) -> DataFrame:
+    activity = cohort_activity_from_profile(stg_users, profile)
     # The month-0 base is attached with a window over the (small) cohort table instead of
     # a self-join; cohorts without a base vanish as in an inner join.
     base = F.max(F.when(F.col("months_since_joining") == 0, F.col("active_users"))) \
@@ -132,9 +161,15 @@ def review_activity(stg_reviews: DataFrame) -> DataFrame:
 
 def survival_inputs(stg_users: DataFrame, stg_reviews: DataFrame, as_of,
                     inactive_months: int = P.INACTIVE_MONTHS) -> DataFrame:
+    return survival_from_profile(stg_users, review_activity(stg_reviews), as_of, inactive_months)
+
+
+def survival_from_profile(stg_users: DataFrame, profile: DataFrame, as_of,
+                          inactive_months: int = P.INACTIVE_MONTHS) -> DataFrame:
+    """Survival inputs from a per-user profile (``review_activity`` or ``user_review_profile``)."""
     users = stg_users.select("user_id", "cohort_month", "user_segment")
     cutoff = F.add_months(C.as_date(as_of), -inactive_months)
-    return (users.join(review_activity(stg_reviews), "user_id")
+    return (users.join(profile, "user_id")
             .select(
                 "user_id", "cohort_month", "user_segment", "first_review_date", "last_review_date",
                 C.days_between("last_review_date", "first_review_date").alias("survival_days"),

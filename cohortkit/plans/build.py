@@ -24,5 +24,9 @@ def run_build(spark: SparkSession, models: Models, root: str, gate: bool = True,
     report = quality.dq_report(views, suite).cache()
     if gate:
         quality.gate(report)
+    # Both user marts aggregate the reviews per user: write that profile once, so the
+    # review table is read and shuffled once for the whole build.
+    inter = registry.materialize({"user_review_profile": models.user_profile}, root, layer="intermediate")
+    models.use_profile(spark.read.parquet(inter["user_review_profile"]))
     paths = registry.materialize(models.mart_tables(), root, layer="marts")
     return report, paths

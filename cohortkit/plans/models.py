@@ -79,6 +79,18 @@ class Models:
     def stg_launches(self) -> DataFrame:
         return staging.stg_launches(self.raw_launches)
 
+    # shared per-user intermediate of the two user marts
+    @cached_property
+    def user_profile(self) -> DataFrame:
+        return marts.user_review_profile(self.stg_reviews)
+
+    def use_profile(self, profile: DataFrame) -> "Models":
+        """Use a stored per-user profile (e.g. written once by a build) for the user marts."""
+        self.__dict__["user_profile"] = profile
+        for name in ("retention_cohorts", "survival_inputs"):
+            self.__dict__.pop(name, None)
+        return self
+
     # marts
     @cached_property
     def launch_performance(self) -> DataFrame:
@@ -90,12 +102,12 @@ class Models:
 
     @cached_property
     def retention_cohorts(self) -> DataFrame:
-        return marts.retention_cohorts(self.stg_users, self.stg_reviews)
+        return marts.retention_from_profile(self.stg_users, self.user_profile)
 
     @cached_property
     def survival_inputs(self) -> DataFrame:
-        return marts.survival_inputs(self.stg_users, self.stg_reviews, self.params.as_of,
-                                     self.params.inactive_months)
+        return marts.survival_from_profile(self.stg_users, self.user_profile, self.params.as_of,
+                                           self.params.inactive_months)
 
     def staging_views(self) -> dict[str, DataFrame]:
         return {"stg_launches": self.stg_launches, "stg_reviews": self.stg_reviews,

@@ -51,3 +51,20 @@ def test_size_shuffles_only_raises(spark):
     key = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
     assert size_shuffles(spark, 10) == 1
     assert spark.conf.get(key, None) is None
+
+
+def test_build_reads_reviews_once_through_the_profile(spark, tmp_path):
+    from cohortkit.params import FIXTURE_PARAMS
+    from cohortkit.sources import registry
+    fx = Models.from_fixtures(spark, SF001)
+    root = str(tmp_path / "wh")
+    for name in ("raw_reviews", "raw_users", "raw_launches"):
+        registry.append_raw(fx.raw[name], root, name)
+    models = Models.from_tables(spark, root, FIXTURE_PARAMS)
+    expected = sorted(tuple(r) for r in models.survival_inputs.collect())
+    run_build(spark, models, root, gate=False)
+    for df in (models.survival_inputs, models.retention_cohorts):
+        files = df.inputFiles()
+        assert any("/intermediate/user_review_profile/" in f for f in files)
+        assert not any("/raw/raw_reviews/" in f for f in files)
+    assert sorted(tuple(r) for r in models.survival_inputs.collect()) == expected
