@@ -83,24 +83,37 @@ def build(spark: SparkSession, root: str, as_of: dt.date, gate: bool = True) ->
     return paths
 
 
-def analysis_datasets(marts: dict[str, DataFrame], params: P.Params) -> dict[str, DataFrame]:
-    """Every analysis and dashboard dataset, computed from the stored marts."""
+def analysis_datasets(marts: dict[str, DataFrame], params: P.Params,
+                      events: dict[str, DataFrame] | None = None) -> dict[str, DataFrame]:
+    """Every analysis and dashboard dataset, computed from the stored marts.
+
+    ``events`` may hold stored Kaplan-Meier event tables (``km_events``,
+    ``km_events_by_segment``); the curves then read those small tables instead of
+    re-aggregating the per-user survival mart for every dataset.
+    """
     from .operators import churn, datasets, metrics, survival
     surv = marts["fct_survival_inputs"]
     ret = marts["fct_retention_cohorts"]
     launch = marts["fct_launch_performance"]
     cat = marts["fct_category_performance"]
     km_in = survival.km_input(surv, params.min_reviews)
-    overall = survival.km_curve(survival.km_event_table(km_in), z=P.Z_95)
+    events = events or {"km_events": survival.km_events(km_in),
+                        "km_events_by_segment": survival.km_events(km_in, by="user_segment")}
+    overall = survival.km_curve(events["km_events"], z=P.Z_95)
+    seg_events = events["km_events_by_segment"].where(F.col("group_size") >= params.min_group)
+    by_segment = survival.km_curve(seg_events, by="user_segment")
+    med = F.min(F.when(F.col("survival_raw") <= 0.5, F.col("t")))
     training = churn.churn_training_set(surv, params.churn_days, params.min_reviews)
     return {
-        "km_overall": survival.km_overall(km_in),
+        "km_overall": overall.select("t", "at_risk", "observed", "censored", "survival",
+                                     F.round(F.col("survival_raw") * 100, 4).alias("survival_pct")),
         "km_confidence": overall.select("t", "survival", "ci_lower", "ci_upper"),
-        "km_by_segment": survival.km_by_segment(km_in, min_group=params.min_group),
+        "km_by_segment": by_segment.select("user_segment", "t", "at_risk", "observed", "censored", "survival"),
         "km_median": survival.km_median(overall),
-        "km_median_by_segment": survival.km_median_by_segment(km_in, min_group=params.min_group),
+        "km_median_by_segment": survival.km_median(by_segment, by="user_segment"),
         "km_milestones": survival.km_at(overall, params.milestones),
-        "segment_table": survival.segment_table(km_in, min_group=params.min_group),
+        "segment_table": by_segment.groupBy("user_segment").agg(
+            F.max("group_size").alias("users"), med.alias("median_survival_days")),
         "survival_summary": survival.survival_summary(km_in),
         "label_distribution": churn.label_distribution(training),
         "segment_survival_means": churn.segment_survival_means(training),
@@ -117,19 +130,28 @@ def analysis_datasets(marts: dict[str, DataFrame], params: P.Params) -> dict[str
 
 
 def analyze(spark: SparkSession, root: str, params: P.Params, with_model: bool = True) -> dict[str, str]:
-    from .operators import churn, metrics
+    from .operators import churn, metrics, survival
     from .sources import registry
     base = root.rstrip("/")
     marts = {n: spark.read.parquet(f"{base}/marts/{n}") for n in (
         "fct_survival_inputs", "fct_retention_cohorts", "fct_launch_performance", "fct_category_performance")}
-    out = analysis_datasets(marts, params)
+    # The per-user survival mart is aggregated once into the two event tables; every
+    # curve, median and read-out is then derived from these small stored tables.
+    km_in = survival.km_input(marts["fct_survival_inputs"], params.min_reviews)
+    event_paths = registry.materialize({"km_events": survival.km_events(km_in),
+                                        "km_events_by_segment": survival.km_events(km_in, by="user_segment")},
+                                       root, layer="datasets")
+    events = {n: spark.read.parquet(p) for n, p in event_paths.items()}
+    out = analysis_datasets(marts, params, events)
     if with_model:
         model, scored = churn.train_and_score(marts["fct_survival_inputs"])
         importance = churn.feature_importance(model, spark)
         out.update({"churn_predictions": scored, "churn_model_report": metrics.classification_report(scored),
                     "churn_model_auc": metrics.roc_auc(scored), "feature_importance": importance,
                     "top_feature": churn.top_feature(importance)})
-    return registry.materialize(out, root, layer="datasets")
+    paths = registry.materialize(out, root, layer="datasets")
+    paths.update(event_paths)
+    return paths
 
 
 def stream(spark: SparkSession, kind: str, input_dir: str, root: str, checkpoint: str,

@@ -55,6 +55,12 @@ def _event_table(df: DataFrame, duration: str, event: str, by: list[str]) -> Dat
             .withColumn("censored", F.col("removed") - F.col("observed")))
 
 
+def km_events(df: DataFrame, by=None, duration: str = "survival_days", event: str = "churned") -> DataFrame:
+    """Event table with ``group_size``: the small table every curve, median and read-out
+    is derived from.  Writing it once lets any number of curves skip the per-user input."""
+    return _event_table(df, duration, event, _by(by))
+
+
 def km_event_table(df: DataFrame, duration: str = "survival_days", event: str = "churned",
                    by=None) -> DataFrame:
     """Per (group, t): observed events, censored, removed and at-risk counts.

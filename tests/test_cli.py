@@ -54,6 +54,13 @@ def test_land_build_analyze(spark, tmp_path):
     med = spark.read.parquet(out["km_median"]).first()
     assert med.median_days == 270
     assert spark.read.parquet(out["top_launches"]).count() == 10
+    # Datasets derived from the stored event tables equal the registered queries.
+    from cohortkit.plans import catalog
+    catalog.load_all()
+    for key in ("km_by_segment", "segment_table", "km_milestones", "km_confidence", "km_median_by_segment"):
+        got = sorted(map(tuple, spark.read.parquet(out[key]).collect()))
+        want = sorted(map(tuple, catalog.QUERIES[key](spark, SF001).collect()))
+        assert got == want, key
 
 
 def _page(no, nodes, has_next):
