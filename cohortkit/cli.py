@@ -39,11 +39,24 @@ def _raw_or_empty(spark: SparkSession, root: str, name: str) -> DataFrame:
 def land(spark: SparkSession, kind: str, input_path: str, root: str, max_rows: int | None = None,
          load_ts: str | None = None) -> dict:
     """Batch-land JSON lines into ``raw_<kind>``: quarantine bad rows, keep the first
-    arrival per key, skip keys already landed.  Returns the ingest report rows."""
+    arrival per key, skip keys already landed.  Returns the ingest report.
+
+    The input is parsed once: the typed rows (good and rejected, tagged) are written to
+    a scratch table in the shared checkpoint folder, and the report, the append and the
+    quarantine all read that table, never the JSON again.
+    """
+    import uuid
+
+    from .session import checkpoint_dir
     from .sources import ingest, readers, registry
     reader, key, name = {"reviews": (readers.read_reviews, "review_id", "raw_reviews"),
                          "users": (readers.read_users, "user_id", "raw_users")}[kind]
     good, rejected = reader(spark, input_path)
+    scratch = f"{checkpoint_dir(spark).rstrip('/')}/land-{name}-{uuid.uuid4().hex}"
+    good.write.parquet(f"{scratch}/good")
+    rejected.write.parquet(f"{scratch}/rejected")
+    good = spark.read.parquet(f"{scratch}/good")
+    rejected = spark.read.parquet(f"{scratch}/rejected")
     if max_rows:
         good = ingest.bounded_ingest(good, key, max_rows)
     ts = F.lit(load_ts).cast("timestamp_ntz") if load_ts else F.localtimestamp()
@@ -65,6 +78,8 @@ def land_launches(spark: SparkSession, pages_path: str, root: str, load_ts: str
     """Parse stored API pages and append new launches (by product URL) with fresh ids."""
     from .sources import ingest, readers, registry
     good, rejected = readers.parse_launch_pages(readers.read_launch_pages(spark, pages_path), fallback_prefix)
+    # Parse the pages once; the id assignment, the append and the quarantine reuse it.
+    good, rejected = good.checkpoint(eager=True), rejected.checkpoint(eager=True)
     target = _raw_or_empty(spark, root, "raw_launches")
     start = (target.agg(F.max("id")).first()[0] or 0) + 1
     new_rows = ingest.insert_ignore(good.drop("page_no"), target, "product_url")
