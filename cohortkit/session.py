@@ -36,7 +36,8 @@ def build_session(master: str | None = None, shuffle_partitions: int | None = No
     """Create (or fetch) a session with the package defaults.
 
     ``master`` and ``shuffle_partitions`` are for local runs and tests; on a cluster
-    leave them ``None`` so the deployment decides.
+    leave them ``None`` so the deployment decides.  Defaults never override a value the
+    deployment configured (spark-defaults, ``--conf``).
     """
     builder = SparkSession.builder.appName(app_name)
     if master:
@@ -46,17 +47,17 @@ def build_session(master: str | None = None, shuffle_partitions: int | None = No
         builder = builder.config("spark.driver.memory", os.environ.get("COHORTKIT_DRIVER_MEM", "16g"))
     if shuffle_partitions:
         builder = builder.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
-    for key, value in DEFAULTS.items():
-        builder = builder.config(key, value)
     spark = builder.getOrCreate()
     configure(spark)
     return spark
 
 
 def configure(spark: SparkSession) -> SparkSession:
-    """Apply defaults that are not set yet and make sure a checkpoint folder exists."""
+    """Apply the package defaults the deployment did not set, and make sure a checkpoint
+    folder exists.  Only runtime SQL settings are touched."""
+    deployed = spark.sparkContext.getConf()
     for key, value in DEFAULTS.items():
-        if spark.conf.get(key, None) is None:
+        if not deployed.contains(key):
             spark.conf.set(key, value)
     checkpoint_dir(spark)
     return spark
