@@ -8,6 +8,9 @@ Exactly-once in effect: the file source and the checkpoint make each file belong
 one batch id; if a batch is re-run after a failure, the anti-join against the
 target drops the rows that already landed, so a retry never duplicates.  Dedup is
 against the target table, not against streaming state, so state does not grow.
+
+Run one landing stream per target: the anti-join is not a lock, so two concurrent
+writers to the same target could both insert a key that neither saw yet.
 """
 
 from __future__ import annotations
