@@ -90,10 +90,13 @@ def land_launches(spark: SparkSession, pages_path: str, root: str, load_ts: str
     return n
 
 
-def build(spark: SparkSession, root: str, as_of: dt.date, gate: bool = True) -> dict[str, str]:
+def build(spark: SparkSession, root: str, params, gate: bool = True) -> dict[str, str]:
+    """Staging views -> quality gate -> marts.  ``params`` is a ``Params`` or an as-of date."""
     from .plans.build import run_build
     from .plans.models import Models
-    models = Models.from_tables(spark, root, P.Params(as_of=as_of))
+    if isinstance(params, dt.date):
+        params = P.Params(as_of=params)
+    models = Models.from_tables(spark, root, params)
     _, paths = run_build(spark, models, root, gate=gate)
     return paths
 
@@ -194,6 +197,12 @@ def main(argv=None) -> None:
         a = sub.add_parser(name)
         a.add_argument("--root", required=True)
         a.add_argument("--as-of", required=True, type=dt.date.fromisoformat)
+        a.add_argument("--inactive-months", type=int, default=P.INACTIVE_MONTHS)
+        a.add_argument("--churn-days", type=int, default=P.CHURN_DAYS)
+        a.add_argument("--min-reviews", type=int, default=P.MIN_REVIEWS)
+        a.add_argument("--min-group", type=int, default=P.MIN_GROUP)
+        a.add_argument("--cohort-from", type=dt.date.fromisoformat, default=dt.date(2015, 1, 1))
+        a.add_argument("--cohort-to", type=dt.date.fromisoformat, default=dt.date(2020, 1, 1))
         if name == "build":
             a.add_argument("--no-gate", action="store_true")
         else:
@@ -210,9 +219,13 @@ def main(argv=None) -> None:
         print(json.dumps(land(spark, args.kind, args.input, args.root, args.max_rows)))
     elif args.cmd == "land-launches":
         print(json.dumps({"landed": land_launches(spark, args.pages, args.root)}))
-    elif args.cmd == "build":
-        print(json.dumps(build(spark, args.root, args.as_of, gate=not args.no_gate)))
-    elif args.cmd == "analyze":
-        print(json.dumps(analyze(spark, args.root, P.Params(as_of=args.as_of), with_model=not args.no_model)))
+    elif args.cmd in ("build", "analyze"):
+        params = P.Params(as_of=args.as_of, inactive_months=args.inactive_months, churn_days=args.churn_days,
+                          min_reviews=args.min_reviews, min_group=args.min_group,
+                          cohort_lo=args.cohort_from, cohort_hi=args.cohort_to)
+        if args.cmd == "build":
+            print(json.dumps(build(spark, args.root, params, gate=not args.no_gate)))
+        else:
+            print(json.dumps(analyze(spark, args.root, params, with_model=not args.no_model)))
     else:
         stream(spark, args.kind, args.input, args.root, args.checkpoint, args.files_per_trigger)
