@@ -97,3 +97,20 @@ def test_land_with_row_cap(spark, tmp_path):
     landed = sorted(r.review_id for r in registry.read_raw(spark, root, "raw_reviews").collect())
     first = sorted(r.review_id for r in fx.raw_reviews.where("review_date IS NOT NULL").collect())[:100]
     assert landed == first
+
+
+def test_main_build_and_analyze_commands(spark, tmp_path, capsys):
+    fx = Models.from_fixtures(spark, SF001)
+    root = str(tmp_path / "wh")
+    for name in ("raw_reviews", "raw_users", "raw_launches"):
+        registry.append_raw(fx.raw[name], root, name)
+    cli.main(["build", "--root", root, "--as-of", "2001-08-01", "--no-gate", "--min-group", "20"])
+    built = json.loads(capsys.readouterr().out.strip().splitlines()[-1])
+    assert set(built) == {"fct_launch_performance", "fct_category_performance", "fct_retention_cohorts",
+                          "fct_survival_inputs"}
+    cli.main(["analyze", "--root", root, "--as-of", "2001-08-01", "--no-model", "--min-group", "20",
+              "--cohort-from", "1996-01-01", "--cohort-to", "2000-01-01"])
+    out = json.loads(capsys.readouterr().out.strip().splitlines()[-1])
+    segs = {r.user_segment for r in spark.read.parquet(out["segment_table"]).collect()}
+    assert segs == {"Power User", "Regular User"}  # Casual has 15 users and New 9, below 20
+    assert spark.read.parquet(out["retention_curves"]).count() > 0
