@@ -15,7 +15,6 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .. import params as P
-from .survival import km_input
 
 FEATURES = ["total_reviews", "avg_stars", "avg_engagement_score", "user_segment_encoded"]
 LABEL = "churned_early"
@@ -133,7 +132,3 @@ def segment_survival_means(training: DataFrame) -> DataFrame:
         F.round(F.avg(F.when(seg == "New User", days)), 6).alias("new_avg_survival_days"),
     )
 
-
-__all__ = ["km_input", "churn_training_set", "segment_encoding", "churn_split", "assemble",
-           "fit_churn", "score", "train_and_score", "feature_importance", "rule_score",
-           "label_distribution", "segment_survival_means"]
