@@ -62,12 +62,14 @@ def retention_curves(retention: DataFrame, lo, hi, max_month: int = P.CURVE_MAX_
                      cohorts: DataFrame | None = None) -> DataFrame:
     """Retention rate by month for the chosen cohorts (default: ``default_cohorts``).
 
-    The chosen cohort list holds at most a handful of rows, so it is broadcast into a
-    semi join.
+    The chosen cohorts are reduced to distinct dates before they are broadcast into a
+    semi join, so the broadcast is bounded by the calendar (the default pick has at
+    most 2 rows; any caller-supplied list at most one row per distinct date).
     """
     window = _curve_window(retention, lo, hi, max_month)
     chosen = cohorts if cohorts is not None else default_cohorts(retention, lo, hi, max_month)
-    return (window.join(F.broadcast(chosen.select("cohort_month")), "cohort_month", "left_semi")
+    picked = chosen.select(F.col("cohort_month").cast("date").alias("cohort_month")).distinct()
+    return (window.join(F.broadcast(picked), "cohort_month", "left_semi")
             .select("cohort_month", "months_since_joining", "retention_rate"))
 
 
