@@ -94,7 +94,10 @@ def launch_scatter(launch_perf: DataFrame) -> DataFrame:
 
 
 def launch_share(category_perf: DataFrame) -> DataFrame:
-    """Share of launches per category in percent (the category table is small)."""
+    """Share of launches per category in percent.
+
+    The total is a window over the (aggregated, vocabulary-sized) category table: one
+    pass.  A scalar subquery would compute the category table a second time."""
     total = F.sum("total_launches").over(Window.partitionBy())
     return category_perf.select(
         "category", "total_launches",
