@@ -96,9 +96,10 @@ def active_months_from_profile(stg_users: DataFrame, profile: DataFrame) -> Data
     """Distinct (user, active month) pairs with the user's cohort, months >= 0."""
     users = stg_users.select("user_id", "cohort_month")
     joined = users.join(profile.select("user_id", "months"), "user_id")
+    # Plain explode + filter: both stay inside whole-stage code generation.
     return (joined
-            .select("user_id", "cohort_month",
-                    F.explode(F.filter("months", lambda m: m >= F.col("cohort_month"))).alias("activity_month"))
+            .select("user_id", "cohort_month", F.explode("months").alias("activity_month"))
+            .where(F.col("activity_month") >= F.col("cohort_month"))
             .withColumn("months_since_joining",
                         C.months_between_starts("activity_month", "cohort_month")))
 
