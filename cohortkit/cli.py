@@ -29,6 +29,12 @@ def _exists(spark: SparkSession, path: str) -> bool:
     return fs.exists(hpath)
 
 
+def _delete(spark: SparkSession, path: str) -> None:
+    """Remove a scratch folder this module created (works on any Hadoop file system)."""
+    hpath = spark._jvm.org.apache.hadoop.fs.Path(path)
+    hpath.getFileSystem(spark._jsc.hadoopConfiguration()).delete(hpath, True)
+
+
 def _raw_or_empty(spark: SparkSession, root: str, name: str) -> DataFrame:
     from .sources import registry
     if _exists(spark, registry.raw_path(root, name)):
@@ -70,6 +76,7 @@ def land(spark: SparkSession, kind: str, input_path: str, root: str, max_rows: i
     new_rows = new_rows.checkpoint(eager=True)
     registry.append_raw(new_rows, root, name)
     rejected.write.mode("append").parquet(f"{root.rstrip('/')}/quarantine/{name}")
+    _delete(spark, scratch)  # both writes are committed; the parsed copy is no longer needed
     return report
 
 

@@ -114,3 +114,13 @@ def test_main_build_and_analyze_commands(spark, tmp_path, capsys):
     segs = {r.user_segment for r in spark.read.parquet(out["segment_table"]).collect()}
     assert segs == {"Power User", "Regular User"}  # Casual has 15 users and New 9, below 20
     assert spark.read.parquet(out["retention_curves"]).count() > 0
+
+
+def test_land_removes_its_scratch_copy(spark, tmp_path):
+    import glob as _glob
+    from cohortkit.session import checkpoint_dir
+    _, reviews, _ = _export_json(spark, tmp_path)
+    base = checkpoint_dir(spark).replace("file:", "").rstrip("/")
+    before = set(_glob.glob(f"{base}/land-raw_reviews-*"))
+    cli.land(spark, "reviews", reviews, str(tmp_path / "wh"), load_ts="2001-08-01 00:00:00")
+    assert set(_glob.glob(f"{base}/land-raw_reviews-*")) == before
