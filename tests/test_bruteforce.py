@@ -123,3 +123,42 @@ def test_classification_report_random(spark):
     assert metrics.roc_auc(df).first().auc == _r6(
         sum((a > b) + 0.5 * (a == b) for y1, a in rows if y1 == 1 for y0, b in rows if y0 == 0)
         / (sum(1 for y, _ in rows if y == 1) * sum(1 for y, _ in rows if y == 0)))
+
+
+def test_column_functions_random(spark):
+    import datetime as dt
+
+    rnd = random.Random(16)
+    base = dt.date(1990, 1, 1)
+    rows = []
+    for _ in range(4000):
+        a = base + dt.timedelta(days=rnd.randint(0, 15000))
+        b = base + dt.timedelta(days=rnd.randint(0, 15000))
+        n = rnd.choice([None] + list(range(-5, 200)))
+        stars = rnd.choice([None, 1.0, 2.0, 2.5, 3.0, 3.5, 4.0, 4.5, 5.0])
+        text = rnd.choice([a.isoformat() + "T10:11:12Z", a.isoformat(), "2024-13-40", "junk", None,
+                           a.isoformat() + " 22:09:11"])
+        rows.append((a, b, n, stars, text))
+    df = spark.createDataFrame(rows, "a date, b date, n int, stars double, text string")
+    out = df.select(
+        C.months_between_starts(C.month_start("a"), C.month_start("b")).alias("m"),
+        C.days_between("a", "b").alias("d"),
+        C.user_segment("n").alias("seg"), C.influence_tier("n").alias("inf"), C.traction_tier("n").alias("tr"),
+        C.sentiment("stars").alias("sent"), C.iso_date_prefix("text").alias("parsed")).collect()
+
+    def tier(v, table, default):
+        return next((label for lo, label in table if v is not None and v >= lo), default)
+
+    for (a, b, n, stars, text), r in zip(rows, out):
+        assert r.m == (a.year - b.year) * 12 + a.month - b.month
+        assert r.d == (a - b).days
+        assert r.seg == tier(n, [(100, "Power User"), (20, "Regular User"), (5, "Casual User")], "New User")
+        assert r.inf == tier(n, [(100, "Influencer"), (10, "Active")], "Standard")
+        assert r.tr == tier(n, [(700, "High Traction"), (500, "Medium Traction")], "Low Traction")
+        assert r.sent == ("Positive" if stars is not None and stars >= 4 else
+                          "Neutral" if stars == 3 else "Negative")
+        try:
+            want = dt.date.fromisoformat(text[:10]) if text else None
+        except ValueError:
+            want = None
+        assert r.parsed == want, text
