@@ -68,9 +68,11 @@ def user_activity(stg_users: DataFrame, stg_reviews: DataFrame) -> DataFrame:
     months between them.  Users without reviews and reviews without a user drop out."""
     users = stg_users.select("user_id", "cohort_month")
     reviews = stg_reviews.select("user_id", F.col("review_month").alias("activity_month"))
-    return (users.join(reviews, "user_id")
-            .withColumn("months_since_joining",
-                        C.months_between_starts("activity_month", "cohort_month")))
+    # Reviews on the streamed (left) side of the sort-merge join: per key only the single
+    # user row is buffered, so a user with millions of reviews is streamed, not buffered.
+    return (reviews.join(users, "user_id")
+            .select("user_id", "cohort_month", "activity_month",
+                    C.months_between_starts("activity_month", "cohort_month").alias("months_since_joining")))
 
 
 def user_review_profile(stg_reviews: DataFrame) -> DataFrame:
