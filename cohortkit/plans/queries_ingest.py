@@ -88,8 +88,7 @@ r AS (
          (SELECT COUNT(*) FROM ig_batch WHERE review_id IS NOT NULL AND review_date IS NOT NULL) AS good,
          (SELECT COUNT(*) FROM ig_batch WHERE review_id IS NULL OR review_date IS NULL) AS rej
 )"""))(
-    lambda m: ingest.ingest_report(_batch(m), _target(m), "review_id",
-                                          required=["review_date"]))
+    lambda m: ingest.ingest_report(_batch(m), _target(m), "review_id", required=["review_date"]))
 
 register("bounded_ingest", with_models(
     f"SELECT * FROM raw_reviews ORDER BY review_id LIMIT {MAX_INGEST_ROWS}"))(
