@@ -81,10 +81,13 @@ def land(spark: SparkSession, kind: str, input_path: str, root: str, max_rows: i
 
 
 def land_launches(spark: SparkSession, pages_path: str, root: str, load_ts: str | None = None,
-                  fallback_prefix: str = P.LAUNCH_URL_PREFIX) -> int:
-    """Parse stored API pages and append new launches (by product URL) with fresh ids."""
+                  fallback_prefix: str = P.LAUNCH_URL_PREFIX, max_pages: int | None = P.MAX_PAGES) -> int:
+    """Parse stored API pages (each carrying its ``page_no``) and append new launches (by
+    product URL) with fresh ids; pages after an error page, after the last page or beyond
+    ``max_pages`` are not used."""
     from .sources import ingest, readers, registry
-    good, rejected = readers.parse_launch_pages(readers.read_launch_pages(spark, pages_path), fallback_prefix)
+    good, rejected = readers.parse_launch_pages(readers.read_launch_pages(spark, pages_path), fallback_prefix,
+                                                max_pages)
     # Parse the pages once; the id assignment, the append and the quarantine reuse it.
     good, rejected = good.checkpoint(eager=True), rejected.checkpoint(eager=True)
     target = _raw_or_empty(spark, root, "raw_launches")
@@ -200,6 +203,7 @@ def main(argv=None) -> None:
     a = sub.add_parser("land-launches")
     a.add_argument("--pages", required=True)
     a.add_argument("--root", required=True)
+    a.add_argument("--max-pages", type=int, default=P.MAX_PAGES)
     for name in ("build", "analyze"):
         a = sub.add_parser(name)
         a.add_argument("--root", required=True)
@@ -225,7 +229,7 @@ def main(argv=None) -> None:
     if args.cmd == "land":
         print(json.dumps(land(spark, args.kind, args.input, args.root, args.max_rows)))
     elif args.cmd == "land-launches":
-        print(json.dumps({"landed": land_launches(spark, args.pages, args.root)}))
+        print(json.dumps({"landed": land_launches(spark, args.pages, args.root, max_pages=args.max_pages)}))
     elif args.cmd in ("build", "analyze"):
         params = P.Params(as_of=args.as_of, inactive_months=args.inactive_months, churn_days=args.churn_days,
                           min_reviews=args.min_reviews, min_group=args.min_group,
