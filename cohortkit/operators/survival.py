@@ -79,12 +79,15 @@ def _running(by: list[str]) -> Window:
             .rowsBetween(Window.unboundedPreceding, Window.currentRow))
 
 
-def km_curve(events: DataFrame, by=None, z: float | None = None) -> DataFrame:
+def km_curve(events: DataFrame, by=None, z: float | None = None, alpha: float | None = None) -> DataFrame:
     """S(t) = prod(1 - d/n) over event times <= t, per group.
 
-    With ``z`` set, adds a pointwise band (Greenwood variance, log(-log) transform);
-    the band is null where S is 0 or 1.
+    With ``z`` (or ``alpha``: z is the 1 - alpha/2 normal quantile) set, adds a pointwise
+    band (Greenwood variance, log(-log) transform); the band is null where S is 0 or 1.
     """
+    if z is None and alpha is not None:
+        from statistics import NormalDist
+        z = NormalDist().inv_cdf(1 - alpha / 2)
     by = _by(by)
     w = _running(by)
     hazard = 1.0 - F.try_divide(F.col("observed"), F.col("at_risk"))

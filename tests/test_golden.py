@@ -187,3 +187,12 @@ def test_round_avg_rounds_once(spark):
     assert df.agg(C.round_avg("x", 0)).first()[0] == 0.0
     halves = spark.createDataFrame([(1,), (2,)], "x int")
     assert halves.agg(C.round_avg("x", 0)).first()[0] == 2.0
+
+
+def test_km_band_alpha_matches_z(spark):
+    from cohortkit.params import Z_95
+    df = _km_df(spark, [(0, True), (10, True), (10, False), (25, True), (40, False), (60, True)])
+    ev = survival.km_event_table(df)
+    a = [(r.t, r.ci_lower, r.ci_upper) for r in survival.km_curve(ev, alpha=0.05).orderBy("t").collect()]
+    b = [(r.t, r.ci_lower, r.ci_upper) for r in survival.km_curve(ev, z=Z_95).orderBy("t").collect()]
+    assert a == b and any(lo is not None for _, lo, _ in a)
