@@ -124,3 +124,14 @@ def test_land_removes_its_scratch_copy(spark, tmp_path):
     before = set(_glob.glob(f"{base}/land-raw_reviews-*"))
     cli.land(spark, "reviews", reviews, str(tmp_path / "wh"), load_ts="2001-08-01 00:00:00")
     assert set(_glob.glob(f"{base}/land-raw_reviews-*")) == before
+
+
+def test_stream_command_lands_into_raw_table(spark, tmp_path):
+    _, reviews, _ = _export_json(spark, tmp_path)
+    root, ckpt = str(tmp_path / "wh"), str(tmp_path / "ckpt")
+    cli.stream(spark, "reviews", reviews, root, ckpt, files_per_trigger=2)
+    landed = registry.read_raw(spark, root, "raw_reviews")
+    n = landed.count()
+    assert n > 0 and landed.select("review_id").distinct().count() == n
+    cli.stream(spark, "reviews", reviews, root, ckpt)  # restart: nothing new, nothing duplicated
+    assert registry.read_raw(spark, root, "raw_reviews").count() == n
