@@ -80,6 +80,19 @@ def _cohort_sizes(m):
     return marts.cohort_sizes(marts.cohort_activity(m.stg_users, m.stg_reviews))
 
 
+@register("user_review_profile", with_models("""
+SELECT user_id, COUNT(DISTINCT review_month) AS active_months, MIN(review_date) AS first_review_date,
+       MAX(review_date) AS last_review_date, COUNT(*) AS total_reviews, AVG(stars) AS avg_stars,
+       AVG(engagement_score) AS avg_engagement_score
+FROM stg_reviews GROUP BY user_id"""))
+def _user_review_profile(m):
+    """The shared per-user intermediate of the user marts (month set reported as its size)."""
+    from pyspark.sql import functions as F
+    return m.user_profile.select(
+        "user_id", F.size("months").cast("long").alias("active_months"), "first_review_date",
+        "last_review_date", "total_reviews", "avg_stars", "avg_engagement_score")
+
+
 @register("review_activity", with_models("SELECT * FROM review_activity"))
 def _review_activity(m):
     from ..operators import marts
