@@ -38,3 +38,16 @@ def op2_quality_rules(spark, sf_dir):
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
     return op.judge(docs).select(F.col("row.doc_id").alias("doc_id"), "n_words", "word_chars", "n_symbols",
                                  "n_dup_lines", "n_repeat_words", "base_failed", "kept")
+
+
+@query
+def op7_bpe(spark, sf_dir):
+    import public_tokenizers
+
+    from . import bpe as op
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    out = op.encode(docs, public_tokenizers.path("word_bpe_49k.json"))
+    return out.select(
+        F.col("row.doc_id").alias("doc_id"), F.size("ids").cast("long").alias("n_tokens"),
+        F.sha2(F.array_join(F.col("ids").cast("array<string>"), " "), 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"))
