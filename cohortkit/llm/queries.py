@@ -51,3 +51,11 @@ def op7_bpe(spark, sf_dir):
         F.col("row.doc_id").alias("doc_id"), F.size("ids").cast("long").alias("n_tokens"),
         F.sha2(F.array_join(F.col("ids").cast("array<string>"), " "), 256).alias("ids_sha256"),
         F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
+@query
+def op6_main_text(spark, sf_dir):
+    from . import html_text as op
+    pages = table(spark, sf_dir, "pages").select("page_id", "url", "html")
+    return op.extract(pages).select(F.col("row.page_id").alias("page_id"), F.col("row.url").alias("url"), "text",
+                                    F.length("text").cast("long").alias("n_chars"))
