@@ -59,3 +59,27 @@ def op6_main_text(spark, sf_dir):
     pages = table(spark, sf_dir, "pages").select("page_id", "url", "html")
     return op.extract(pages).select(F.col("row.page_id").alias("page_id"), F.col("row.url").alias("url"), "text",
                                     F.length("text").cast("long").alias("n_chars"))
+
+
+@query
+def op9_top_k(spark, sf_dir):
+    from . import topk_search as op
+    vectors = op.integer_vectors(table(spark, sf_dir, "embeddings").select("vec_id", "embedding"))
+    return op.top_k(vectors, F.col("id") % 50 == 0)
+
+
+ORACLE["op9_top_k"] = """
+WITH valid AS (
+  SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS v
+  FROM embeddings
+  WHERE embedding IS NOT NULL AND vec_id IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), scored AS (
+  SELECT q.vec_id AS query_id, c.vec_id,
+         CAST(list_sum(list_transform(range(1, len(q.v) + 1), lambda i: q.v[i] * c.v[i])) AS BIGINT) AS score
+  FROM valid q JOIN valid c ON q.vec_id % 50 = 0 AND c.vec_id <> q.vec_id AND len(q.v) = len(c.v)
+)
+SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank,
+       vec_id, score
+FROM scored QUALIFY rank <= 5
+"""
