@@ -83,3 +83,37 @@ SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DE
        vec_id, score
 FROM scored QUALIFY rank <= 5
 """
+
+
+@query
+def op4_sharding(spark, sf_dir):
+    from . import sharding as op
+    text = F.coalesce("text", F.lit(""))
+    docs = table(spark, sf_dir, "documents").select(
+        "doc_id", (F.octet_length(text) + 1).cast("long").alias("size"),
+        F.crc32(text.cast("binary")).cast("long").alias("text_crc32"))
+    return op.deal(docs).select("row.*", F.lit("rows").alias("law"), F.col("shard").cast("int").alias("shard"),
+                                F.col("slot").cast("long").alias("slot"), F.lit(None).cast("int").alias("grown_shard"))
+
+
+@query
+def op8_chat_format(spark, sf_dir):
+    from . import chat_format as op
+    return op.render(table(spark, sf_dir, "conversations"))
+
+
+ORACLE["op8_chat_format"] = r"""
+WITH turns AS (
+  SELECT conv_id, turn, coalesce(role, 'unknown') AS role, coalesce(text, '') AS text FROM conversations
+), said AS (
+  SELECT conv_id, row_number() OVER w AS n, count(*) OVER (PARTITION BY conv_id) AS n_turns,
+         string_agg('<|im_start|>' || role || chr(10) || text || '<|im_end|>' || chr(10), '') OVER (
+           PARTITION BY conv_id ORDER BY turn NULLS FIRST, md5(role || chr(10) || text)
+           ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS chat
+  FROM turns WINDOW w AS (PARTITION BY conv_id ORDER BY turn NULLS FIRST, md5(role || chr(10) || text))
+)
+SELECT min(conv_id) AS conv_id, n_turns, chat FROM said AS whole
+WHERE n = n_turns AND NOT EXISTS (SELECT 1 FROM said AS longer
+                                  WHERE longer.n = whole.n AND longer.chat = whole.chat AND longer.n < longer.n_turns)
+GROUP BY n_turns, chat
+"""
