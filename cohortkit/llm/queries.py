@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import table
+from .common import stored, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -117,3 +117,16 @@ WHERE n = n_turns AND NOT EXISTS (SELECT 1 FROM said AS longer
                                   WHERE longer.n = whole.n AND longer.chat = whole.chat AND longer.n < longer.n_turns)
 GROUP BY n_turns, chat
 """
+
+
+@query
+def op10_mixing(spark, sf_dir):
+    from . import mixing as op
+    docs = table(spark, sf_dir, "documents").select("doc_id", "source", "text")
+    settings = op.Settings()
+    # The result needs no text: words are counted once, and what follows reads the narrow rows.
+    narrow = stored(spark, op.measure(docs, settings).select(
+        F.col("row.doc_id").alias("doc_id"), "skey", "size", "h"), "mix-documents")
+    return op.mix_measured(narrow.select(F.struct("doc_id").alias("row"), "skey", "size", "h"),
+                           narrow.select("skey", "size", "h"), settings).select(
+        F.col("row.doc_id").alias("doc_id"), "size", "source_size", "target", "taken")
