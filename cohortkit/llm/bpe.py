@@ -17,6 +17,7 @@ from __future__ import annotations
 
 import json
 import unicodedata
+from array import array
 from collections.abc import Iterator
 
 import ahocorasick
@@ -81,7 +82,7 @@ class Encoder:
         self.pieces = regex.compile(pattern.replace(r"\s", r"\p{White_Space}"))
         self.odd = regex.compile("[\x1c-\x1f]")
         self.space = regex.compile(r"\p{White_Space}+")
-        self.symbols = byte_symbols()
+        self.symbols = dict(enumerate(byte_symbols()))
 
         def unit(s):
             return s[:-len(suffix)] + END if s.endswith(suffix) else s
@@ -124,20 +125,32 @@ class Encoder:
 
         Of two equal merges the left one goes first, hence the strict and the weak comparison.
         """
-        rank = self.rank
-        for x, gone_x in self.right[p]:
-            for y, gone_y in self.left[t]:
-                m = rank.get((x, y))
-                if m is not None and m < gone_x and m <= gone_y and m < before:
-                    return True
-        return False
+        rank, xs, ys = self.rank, self.right[p], self.left[t]
+        i = j = 0
+        while True:
+            # Back in time: of the two tokens at the border, the one that was merged last is taken apart.
+            x, gone_x = xs[i]
+            y, gone_y = ys[j]
+            m = rank.get((x, y))
+            if m is not None and m < gone_x and m <= gone_y and m < before:
+                return True
+            born_x = xs[i + 1][1] if i + 1 < len(xs) else -1
+            born_y = ys[j + 1][1] if j + 1 < len(ys) else -1
+            if born_x > born_y:
+                i += 1
+            elif born_y >= 0:
+                j += 1
+            else:
+                return False
 
     def _compatible(self, pair: tuple[int, int]) -> bool:
         return not self._crossed(*pair)
 
     def _piece(self, piece: str) -> list[int]:
-        symbols = self.symbols
-        s = "".join([symbols[b] for b in piece.encode()])
+        if piece.isascii() and piece.isprintable():
+            s = piece  # these bytes are their own symbols
+        else:
+            s = piece.encode().decode("latin-1").translate(self.symbols)
         n = len(s)
         last = [-1] * (n + 1)  # of each prefix: its last token ...
         back = [0] * (n + 1)   # ... and where that begins
@@ -160,10 +173,12 @@ class Encoder:
 
     def _word(self, word: str) -> tuple[bytes, str]:
         """(ids as 32-bit integers, their tokens joined by a space) of a run without white space."""
-        ids: list[int] = []
-        for piece in self.pieces.findall(word):
-            ids += self.ids_of[piece]
-        return np.array(ids, np.int32).tobytes(), self.decode(ids)
+        pieces = self.pieces.findall(word)
+        if len(pieces) == 1:
+            ids = self._piece(pieces[0])  # kept with the word
+        else:
+            ids = [i for piece in pieces for i in self.ids_of[piece]]
+        return array("i", ids).tobytes(), self.decode(ids)
 
     def decode(self, ids) -> str:
         """Without a decoder in the file, tokens are joined by one space."""
@@ -188,7 +203,7 @@ class Encoder:
         if text and self.special is not None and "<" in text:
             for m in self.special.finditer(text):
                 self._plain(text[at:m.start()], ids, names)
-                ids.append(np.array([self.added[m[0]]], np.int32).tobytes())
+                ids.append(array("i", [self.added[m[0]]]).tobytes())
                 names.append(m[0])
                 at = m.end()
         if text:

@@ -13,8 +13,14 @@ from ..session import checkpoint_dir, configure
 SPACES = r"[\x20\x09-\x0D]+"
 
 
+#: Rows of a batch that Python workers get at once: some texts are very long.
+BATCH_ROWS = 1000
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     configure(spark)
+    if not spark.sparkContext.getConf().contains("spark.sql.execution.arrow.maxRecordsPerBatch"):
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
