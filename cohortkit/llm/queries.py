@@ -130,3 +130,10 @@ def op10_mixing(spark, sf_dir):
     return op.mix_measured(narrow.select(F.struct("doc_id").alias("row"), "skey", "size", "h"),
                            narrow.select("skey", "size", "h"), settings).select(
         F.col("row.doc_id").alias("doc_id"), "size", "source_size", "target", "taken")
+
+
+@query
+def op5_order_minhash(spark, sf_dir):
+    from . import order_minhash as op
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return op.classes(docs).select("doc_id", "class_id")
