@@ -137,3 +137,11 @@ def op5_order_minhash(spark, sf_dir):
     from . import order_minhash as op
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return op.classes(docs).select("doc_id", "class_id")
+
+
+@query
+def op3_substring_dedup(spark, sf_dir):
+    from . import substring_dedup as op
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return op.remove_repeats(docs).select(F.col("rest.doc_id").alias("doc_id"), "n_words", "n_removed",
+                                          F.sha2("kept", 256).alias("kept_sha256"))
