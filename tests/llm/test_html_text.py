@@ -1,0 +1,50 @@
+from cohortkit.llm import html_text as op
+
+
+def page(body, head="<title>T</title><style>p{}</style><script>var t=\"</p>\";</script>"):
+    return f"<!DOCTYPE html><html><head>{head}</head><body>{body}</body></html>"
+
+
+FURNITURE = ("<header><h1>Site</h1></header><nav><ul><li>menu</li></ul></nav><div class='ad'>buy this thing now, it is good</div>"
+             "<div id=cookie-banner>we use cookies on this site</div>")
+AFTER = ("<aside>related things to read</aside><section class='comments'><p>what a long and silly comment this is</p></section>"
+         "<form><input name=a>search here</form><footer>&copy; us</footer>")
+
+
+def test_article_blocks_in_page_order():
+    html = page(FURNITURE + "<article><h1>A &amp; B</h1><p><b>First\n  part<br><p>Short.</p><p>x<i>y</i>z</p></article>" + AFTER)
+    assert op.main_text(html) == "A & B First part Short. xyz"
+
+
+def test_page_without_article_element():
+    html = page(FURNITURE + "<div class='content'><h1>Title</h1><p>A paragraph with enough words to weigh something.</p>"
+                "<p>End.</p></div>" + AFTER)
+    assert op.main_text(html) == "Title A paragraph with enough words to weigh something. End."
+
+
+def test_defined_results_for_odd_input():
+    assert op.main_text(None) == "" and op.main_text("") == "" and op.main_text("<p></p>") == ""
+    assert op.main_text("plain text  here") == "plain text here"
+    assert op.main_text("<!-- never closed <p>x") == "" and op.main_text("<script>x") == ""
+    assert op.main_text("<p>a &lt; b &am c &quot") == 'a < b &am c "'
+    assert op.main_text("<article>" + "<p>word</p>" * 3000) == " ".join(["word"] * 3000)
+    assert op.main_text("<article>" + "<b>" * 5000 + "deep") == "deep"
+
+
+def test_runs_follow_the_sums():
+    assert op.runs_of([0, 5, 0, 0, 0, 7, 7], 3) == [(1, 2), (5, 7)]
+    assert op.runs_of([5, 0, 5, 0, 0, 0], 3) == [(0, 3)]
+    assert op.runs_of([], 3) == [] and op.runs_of([0, 0], 3) == []
+
+
+def test_query_keeps_every_row_and_extra_columns(spark, tmp_path):
+    html = page(FURNITURE + "<article><p>Body text.</p></article>" + AFTER)
+    rows = [(1, "u", html), (1, "u", html), (2, None, None), (3, "v", "")]
+    df = spark.createDataFrame(rows, "page_id long, url string, html string")
+    df.write.parquet(f"{tmp_path}/pages.parquet")
+    from cohortkit.llm.queries import QUERIES
+    got = sorted(map(tuple, QUERIES["op6_main_text"](spark, str(tmp_path)).collect()))
+    assert got == [(1, "u", "Body text.", 10), (1, "u", "Body text.", 10), (2, None, "", 0), (3, "v", "", 0)]
+    clash = df.selectExpr("*", "'a' as text", "'b' as row", "'c' as page")
+    assert op.extract(clash).select("row.*").columns == clash.columns
+    assert op.extract(df.limit(0)).count() == 0
