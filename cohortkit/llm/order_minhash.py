@@ -237,6 +237,10 @@ def _compare(settings: Settings):
     def matrix(t: pa.Table, name: str) -> np.ndarray:
         return np.frombuffer(b"".join(t.column(name).to_pylist()), np.uint64).reshape(len(t), -1)
 
+    def centres_of(t: pa.Table, prefix: str) -> np.ndarray:
+        flat = t.column(prefix + "centres").combine_chunks().flatten()
+        return flat.to_numpy(zero_copy_only=False).reshape(len(t), -1)
+
     def sizes(t: pa.Table, prefix: str) -> tuple[np.ndarray, np.ndarray]:
         n = t.column(prefix + "n").to_numpy().astype(np.float64)
         return n, n - t.column(prefix + "own").to_numpy()
@@ -249,11 +253,21 @@ def _compare(settings: Settings):
         equal = np.zeros((len(x), len(y)), np.int16)
         for i in range(x.shape[1]):
             equal += x[:, i, None] == y[None, :, i]
+        # Two texts meet in every bucket that they share; among those with one centre the first one counts.
+        band, centre = lost.column("band")[0].as_py(), lost.column("centre_hash")[0].as_py()
+        first = np.full((len(x), len(y)), settings.bands, np.int16)
+        under, m_under = centres_of(lost, ""), centres_of(members, "m_")
+        wide = x.shape[1] // settings.bands
+        for b in range(band, -1, -1):
+            met = (under[:, b, None] == centre) & (m_under[None, :, b] == centre)
+            for i in range(b * wide, (b + 1) * wide):
+                met &= x[:, i, None] == y[None, :, i]
+            first[met] = b
         (nx, cx), (ny, cy) = sizes(lost, ""), sizes(members, "m_")
         # Texts share at most the smaller part that either has of the centre, unless they share what the
         # centre lacks; then they also meet in the buckets of that, which have another centre.
         reach = np.minimum(cx[:, None], cy[None, :]) >= (share - settings.slack) * (nx[:, None] + ny[None, :])
-        i, j = np.nonzero((equal >= settings.agree) & reach)
+        i, j = np.nonzero((equal >= settings.agree) & reach & (first == band))
         a, b = lost.column("tid").combine_chunks(), members.column("m_tid").combine_chunks()
         pairs = pa.table([a.take(pa.array(i)), b.take(pa.array(j))], schema=kind)
         return pairs.filter(pa.compute.not_equal(pairs.column("a"), pairs.column("b")))
@@ -269,7 +283,12 @@ def remaining(starred: DataFrame, checked: DataFrame, texts: DataFrame, settings
     wide = starred.filter("size > 2").join(compared_with, ["tid", "centre"])
     lost_counts = wide.groupBy("band", "key").agg(F.sum((~F.col("link")).cast("int")).alias("n_lost"))
     there = wide.join(lost_counts.filter("n_lost > 0"), ["band", "key"])
-    sk = texts.select("tid", "sk", (F.col("n") - (settings.shingle - 1)).alias("n"))
+    # The centre (hashed) of each of a text's buckets, by band.
+    by_band = F.map_from_entries(F.collect_list(F.struct("band", F.xxhash64("centre"))))
+    centres_by_band = wide.groupBy("tid").agg(by_band.alias("m")).select("tid", F.transform(
+        F.sequence(F.lit(0), F.lit(settings.bands - 1)),
+        lambda b: F.coalesce(F.try_element_at("m", b), F.lit(0).cast("long"))).alias("centres"))
+    sk = texts.select("tid", "sk", (F.col("n") - (settings.shingle - 1)).alias("n")).join(centres_by_band, "tid")
     every = there.select(
         "tid", "centre", "band", "key", "link", "own",
         F.ceil(F.col("n_lost") / settings.block_rows).cast("int").alias("lost_blocks"),
@@ -279,10 +298,12 @@ def remaining(starred: DataFrame, checked: DataFrame, texts: DataFrame, settings
         return F.pmod(F.xxhash64("tid"), F.col(n)).cast("int")
 
     left = every.filter(~F.col("link")).select(
-        "tid", "sk", "n", "own", "band", "key", block("lost_blocks").alias("i"),
+        "tid", "sk", "n", "own", "band", "key", "centres", F.xxhash64("centre").alias("centre_hash"),
+        block("lost_blocks").alias("i"),
         F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("j"))
     right = every.select(
         F.col("tid").alias("m_tid"), F.col("sk").alias("m_sk"), F.col("n").alias("m_n"), F.col("own").alias("m_own"),
+        F.col("centres").alias("m_centres"),
         F.col("band").alias("m_band"), F.col("key").alias("m_key"), block("blocks").alias("m_j"),
         F.explode(F.sequence(F.lit(0), F.col("lost_blocks") - 1)).alias("m_i"))
     compare = _compare(settings)
