@@ -28,6 +28,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from .common import small_batches
+
 END = "\n"  # stands for the end-of-word suffix; no byte symbol is a line feed
 CACHED = 250_000  # words and pairs kept by a worker, per generation; only speed depends on it
 
@@ -226,6 +228,7 @@ def encode(docs: DataFrame, tokenizer: str, text: str = "text") -> DataFrame:
     text that the ids stand for. ``tokenizer`` is the file's path on the driver; its content (a few MB,
     whatever the data) is broadcast."""
     spark = docs.sparkSession
+    small_batches(spark)
     with open(tokenizer, encoding="utf-8") as f:
         content = spark.sparkContext.broadcast(f.read())
     rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), F.col(f"`{text}`").alias("t"))

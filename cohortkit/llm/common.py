@@ -17,10 +17,14 @@ SPACES = r"[\x20\x09-\x0D]+"
 BATCH_ROWS = 1000
 
 
-def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    configure(spark)
+def small_batches(spark: SparkSession) -> None:
+    """Let Python workers get ``BATCH_ROWS`` rows at once, unless the deployment says otherwise."""
     if not spark.sparkContext.getConf().contains("spark.sql.execution.arrow.maxRecordsPerBatch"):
         spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
+
+
+def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    configure(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 

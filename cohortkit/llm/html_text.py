@@ -21,6 +21,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from .common import small_batches
+
 # Elements whose content is no text of the article.
 EMPTIED_TAGS = frozenset("""head title script style noscript template nav header footer aside form button select
     option textarea input svg math iframe object canvas audio video dialog menu figure-controls""".split())
@@ -181,6 +183,7 @@ def main_text(page: str | None, settings: Settings = Settings()) -> str:
 
 def extract(pages: DataFrame, content: str = "html", settings: Settings = Settings()) -> DataFrame:
     """All columns of ``pages`` in the struct ``row``, and ``text``, the main text of the page."""
+    small_batches(pages.sparkSession)
     rows = pages.select(F.struct(*[F.col(f"`{c}`") for c in pages.columns]).alias("row"),
                         F.col(f"`{content}`").alias("page"))
     schema = T.StructType([rows.schema["row"], T.StructField("text", T.StringType())])

@@ -33,7 +33,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import words as W
-from .common import stored
+from .common import small_batches, stored
 
 
 @dataclass(frozen=True)
@@ -362,6 +362,7 @@ def links(docs: DataFrame, sigs: DataFrame, settings: Settings = Settings(), tex
 def classes(docs: DataFrame, settings: Settings = Settings(), doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """(doc_id, h, class_id) for each row of ``docs``, with the hash ``h`` of the row."""
     spark = docs.sparkSession
+    small_batches(spark)
     sigs = stored(spark, signatures(docs, settings, doc_id, text), "omh-signatures")
     roots = components(spark, links(docs, sigs, settings, text))
     named = sigs.groupBy("tid").agg(F.min("doc_id").alias("least")).join(

@@ -35,7 +35,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import words as W
-from .common import stored
+from .common import small_batches, stored
 
 
 @dataclass(frozen=True)
@@ -179,6 +179,7 @@ def remove_repeats(docs: DataFrame, settings: Settings = Settings(), text: str =
     """All columns of ``docs`` but the text in ``rest``; ``n_words``, ``n_removed``, and ``kept``, the words
     that stay, joined by one space."""
     spark = docs.sparkSession
+    small_batches(spark)
     rows = keyed(docs, text)
     found = stored(spark, anchor_rows(rows, settings), "anchors")
     shared = stored(spark, shared_anchors(found), "shared-anchors")
