@@ -31,7 +31,7 @@ from pyspark.sql import types as T
 from .common import small_batches
 
 END = "\n"  # stands for the end-of-word suffix; no byte symbol is a line feed
-CACHED = 250_000  # words and pairs kept by a worker, per generation; only speed depends on it
+CACHED = 600_000  # words (and pieces, pairs) kept during a task, per generation; only speed depends on it
 
 
 def byte_symbols() -> list[str]:
@@ -105,7 +105,7 @@ class Encoder:
                 self.found.add_word(s, (len(s.rstrip(END)), i))
         self.found.make_automaton()
         self.words = Memo(self._word)
-        self.ids_of = Memo(self._piece)
+        self.ids_of = Memo(lambda piece: array("i", self._piece(piece)).tobytes())
 
     def _edge(self, token: int, side: int) -> list[tuple[int, float]]:
         """The tokens on one edge of a token's merge tree, each with the rank of the merge that ends it."""
@@ -145,8 +145,8 @@ class Encoder:
             else:
                 return False
 
-    def _compatible(self, pair: tuple[int, int]) -> bool:
-        return not self._crossed(*pair)
+    def _compatible(self, pair: int) -> bool:
+        return not self._crossed(pair >> 20, pair & 0xFFFFF)
 
     def _piece(self, piece: str) -> list[int]:
         if piece.isascii() and piece.isprintable():
@@ -165,7 +165,7 @@ class Encoder:
                 continue      # the last symbol always carries the end of the word
             if last[at] < 0:
                 start = at - size
-                if not start or last[start] >= 0 and together[last[start], token]:
+                if not start or last[start] >= 0 and together[last[start] << 20 | token]:
                     last[at], back[at] = token, start
         out, at = [], n
         while at:
@@ -173,44 +173,45 @@ class Encoder:
             at = back[at]
         return out[::-1]
 
-    def _word(self, word: str) -> tuple[bytes, str]:
-        """(ids as 32-bit integers, their tokens joined by a space) of a run without white space."""
+    def _word(self, word: str) -> bytes:
+        """Ids, as 32-bit integers, of a run without white space."""
         pieces = self.pieces.findall(word)
         if len(pieces) == 1:
-            ids = self._piece(pieces[0])  # kept with the word
-        else:
-            ids = [i for piece in pieces for i in self.ids_of[piece]]
-        return array("i", ids).tobytes(), self.decode(ids)
+            return array("i", self._piece(pieces[0])).tobytes()  # kept with the word
+        return b"".join([self.ids_of[piece] for piece in pieces])
 
     def decode(self, ids) -> str:
         """Without a decoder in the file, tokens are joined by one space."""
-        return " ".join([self.tokens[i] for i in ids])
+        tokens = self.tokens
+        return " ".join([tokens[i] for i in ids])
 
-    def _plain(self, text: str, ids: list, names: list) -> None:
+    def _plain(self, text: str, ids: list) -> None:
         text = unicodedata.normalize("NFC", text)
         if "Σ" in text:
             text = text.replace("Σ", "σ")  # lower case goes by character, not by its place in a word
         text = text.lower()
         words = self.words
         parts = filter(None, self.space.split(text)) if self.odd.search(text) else text.split()
-        done = [words[w] for w in parts]
-        if done:
-            ids.append(b"".join([a for a, _ in done]))
-            names.append(" ".join([b for _, b in done]))
+        ids += [words[w] for w in parts]
 
-    def encode(self, text: str | None) -> tuple[bytes, str]:
+    def encode(self, text: str | None) -> array:
+        """The ids of a whole text."""
         ids: list[bytes] = []
-        names: list[str] = []
         at = 0
         if text and self.special is not None and "<" in text:
             for m in self.special.finditer(text):
-                self._plain(text[at:m.start()], ids, names)
+                self._plain(text[at:m.start()], ids)
                 ids.append(array("i", [self.added[m[0]]]).tobytes())
-                names.append(m[0])
                 at = m.end()
         if text:
-            self._plain(text[at:], ids, names)
-        return b"".join(ids), " ".join(names)
+            self._plain(text[at:], ids)
+        return array("i", b"".join(ids))
+
+    def forget(self) -> None:
+        """Give back what was kept: an idle worker holds the vocabulary only."""
+        for memo in (self.words, self.ids_of, self.together):
+            memo.clear()
+            memo.old = {}
 
 
 _ENCODERS: dict[int, Encoder] = {}  # of this worker, by the hash of the tokenizer's content
@@ -237,12 +238,15 @@ def encode(docs: DataFrame, tokenizer: str, text: str = "text") -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         enc = encoder(content.value)
-        for batch in batches:
-            done = [enc.encode(t) for t in batch.column("t").to_pylist()]
-            ends = np.cumsum([0, *(len(a) // 4 for a, _ in done)])
-            ids = np.frombuffer(b"".join(a for a, _ in done), np.int32)
-            lists = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(ids, pa.int32()))
-            yield pa.RecordBatch.from_arrays([batch.column("row"), lists, pa.array([b for _, b in done], pa.string())],
-                                             ["row", "ids", "decoded"])
+        try:
+            for batch in batches:
+                done = [enc.encode(t) for t in batch.column("t").to_pylist()]
+                ends = np.cumsum([0, *map(len, done)])
+                ids = np.frombuffer(b"".join([a.tobytes() for a in done]), np.int32)
+                lists = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(ids, pa.int32()))
+                decoded = pa.array([enc.decode(a) for a in done], pa.string())
+                yield pa.RecordBatch.from_arrays([batch.column("row"), lists, decoded], ["row", "ids", "decoded"])
+        finally:
+            enc.forget()
 
     return rows.mapInArrow(run, schema)

@@ -29,13 +29,12 @@ def texts():
 
 
 def test_encodes_as_the_library_does(enc):
-    import numpy as np
     lib = Tokenizer.from_file(PATH)
     for t in texts():
-        ids, decoded = enc.encode(t)
+        ids = enc.encode(t).tolist()
         want = lib.encode(t, add_special_tokens=False).ids
-        assert np.frombuffer(ids, np.int32).tolist() == want, t
-        assert decoded == lib.decode(want, skip_special_tokens=False)
+        assert ids == want, t
+        assert enc.decode(ids) == lib.decode(want, skip_special_tokens=False)
 
 
 def test_small_caches_change_nothing(enc, monkeypatch):
