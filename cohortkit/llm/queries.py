@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from . import oracles
 from .common import stored, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -145,3 +146,8 @@ def op3_substring_dedup(spark, sf_dir):
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return op.remove_repeats(docs).select(F.col("rest.doc_id").alias("doc_id"), "n_words", "n_removed",
                                           F.sha2("kept", 256).alias("kept_sha256"))
+
+
+ORACLE["op1_secret_scan"] = oracles.secret_scan_sql()
+ORACLE["op2_quality_rules"] = oracles.quality_rules_sql()
+ORACLE["op3_substring_dedup"] = oracles.substring_dedup_sql()
