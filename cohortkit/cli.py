@@ -5,6 +5,7 @@
     python -m cohortkit build    --root <warehouse> --as-of 2024-06-01 [--no-gate]
     python -m cohortkit analyze  --root <warehouse> --as-of 2024-06-01
     python -m cohortkit stream   --kind reviews --input <folder> --root <warehouse> --checkpoint <dir>
+    python -m cohortkit sync     --from <warehouse> --to <warehouse>
 
 Tables live under ``<root>/raw``, ``<root>/marts`` and ``<root>/datasets`` as Parquet.
 """
@@ -14,6 +15,7 @@ from __future__ import annotations
 import argparse
 import datetime as dt
 import json
+from dataclasses import replace
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -22,13 +24,6 @@ from . import params as P
 from .session import build_session
 
 
-def _exists(spark: SparkSession, path: str) -> bool:
-    jvm = spark._jvm
-    hpath = jvm.org.apache.hadoop.fs.Path(path)
-    fs = hpath.getFileSystem(spark._jsc.hadoopConfiguration())
-    return fs.exists(hpath)
-
-
 def _delete(spark: SparkSession, path: str) -> None:
     """Remove a scratch folder this module created (works on any Hadoop file system)."""
     hpath = spark._jvm.org.apache.hadoop.fs.Path(path)
@@ -37,7 +32,7 @@ def _delete(spark: SparkSession, path: str) -> None:
 
 def _raw_or_empty(spark: SparkSession, root: str, name: str) -> DataFrame:
     from .sources import registry
-    if _exists(spark, registry.raw_path(root, name)):
+    if registry.exists(spark, registry.raw_path(root, name)):
         return registry.read_raw(spark, root, name)
     return spark.createDataFrame([], registry.RAW_SCHEMAS[name])
 
@@ -47,9 +42,9 @@ def land(spark: SparkSession, kind: str, input_path: str, root: str, max_rows: i
     """Batch-land JSON lines into ``raw_<kind>``: quarantine bad rows, keep the first
     arrival per key, skip keys already landed.  Returns the ingest report.
 
-    The input is parsed once: the typed rows (good and rejected, tagged) are written to
-    a scratch table in the shared checkpoint folder, and the report, the append and the
-    quarantine all read that table, never the JSON again.
+    The first row of a key by file and place in it wins.  The input is parsed once for the good
+    and once for the rejected rows, into scratch tables in the shared checkpoint folder; the
+    report, the append and the quarantine read those.  Landing the same input again adds nothing.
     """
     import uuid
 
@@ -70,33 +65,35 @@ def land(spark: SparkSession, kind: str, input_path: str, root: str, max_rows: i
     target = _raw_or_empty(spark, root, name)
     report = {r.outcome: r.rows for r in ingest.ingest_report(good, target, key).collect()}
     report["rejected"] = rejected.count()
-    new_rows = ingest.insert_ignore(good, target, key)
+    new_rows = ingest.insert_ignore(good, target, key, readers.ARRIVAL)
     # The new rows are derived from the target they are appended to: cut the lineage
     # (reliable checkpoint in the shared checkpoint folder) before the append.
     new_rows = new_rows.checkpoint(eager=True)
     registry.append_raw(new_rows, root, name)
-    rejected.write.mode("append").parquet(f"{root.rstrip('/')}/quarantine/{name}")
+    registry.append_once(rejected, f"{root.rstrip('/')}/quarantine/{name}")
     _delete(spark, scratch)  # both writes are committed; the parsed copy is no longer needed
     return report
 
 
 def land_launches(spark: SparkSession, pages_path: str, root: str, load_ts: str | None = None,
-                  fallback_prefix: str = P.LAUNCH_URL_PREFIX, max_pages: int | None = P.MAX_PAGES) -> int:
+                  fallback_prefix: str = P.LAUNCH_URL_PREFIX, max_pages: int | None = None) -> int:
     """Parse stored API pages (each carrying its ``page_no``) and append new launches (by
-    product URL) with fresh ids; pages after an error page, after the last page or beyond
-    ``max_pages`` are not used."""
+    product URL, the first by page and place wins) with fresh ids; pages after an error page, a
+    missing or unreadable page or the last page, or beyond ``max_pages`` if given, are not used."""
+    from .session import checkpoint_dir
     from .sources import ingest, readers, registry
     good, rejected = readers.parse_launch_pages(readers.read_launch_pages(spark, pages_path), fallback_prefix,
                                                 max_pages)
-    # Parse the pages once; the id assignment, the append and the quarantine reuse it.
+    # The id assignment, the append and the quarantine reuse what was parsed.
+    checkpoint_dir(spark)
     good, rejected = good.checkpoint(eager=True), rejected.checkpoint(eager=True)
     target = _raw_or_empty(spark, root, "raw_launches")
     start = (target.agg(F.max("id")).first()[0] or 0) + 1
-    new_rows = ingest.insert_ignore(good.drop("page_no"), target, "product_url")
-    landed = ingest.land_with_audit(new_rows, "id", "scraped_at", load_ts=load_ts, start_id=start)
+    new_rows = ingest.insert_ignore(good.drop("page_no"), target, "product_url", readers.ARRIVAL).checkpoint(eager=True)
+    landed = ingest.land_with_audit(new_rows, "product_url", "id", "scraped_at", load_ts=load_ts, start_id=start)
     n = landed.count()
     registry.append_raw(landed, root, "raw_launches")
-    rejected.write.mode("append").parquet(f"{root.rstrip('/')}/quarantine/raw_launches")
+    registry.append_once(rejected, f"{root.rstrip('/')}/quarantine/raw_launches")
     return n
 
 
@@ -172,9 +169,9 @@ def analyze(spark: SparkSession, root: str, params: P.Params, with_model: bool =
     events = {n: spark.read.parquet(p) for n, p in event_paths.items()}
     out = analysis_datasets(marts, params, events)
     if with_model:
-        model, scored = churn.train_and_score(marts["fct_survival_inputs"])
+        model, scored = churn.train_and_score(marts["fct_survival_inputs"], params.churn_days, params.min_reviews)
         importance = churn.feature_importance(model, spark)
-        out.update({"churn_predictions": scored, "churn_model_report": metrics.classification_report(scored),
+        out.update({"churn_predictions": churn.displayed(scored), "churn_model_report": metrics.classification_report(scored),
                     "churn_model_auc": metrics.roc_auc(scored), "feature_importance": importance,
                     "top_feature": churn.top_feature(importance)})
     paths = registry.materialize(out, root, layer="datasets")
@@ -182,13 +179,47 @@ def analyze(spark: SparkSession, root: str, params: P.Params, with_model: bool =
     return paths
 
 
+# The columns that a copy takes over, and the key, of each raw table.
+SYNCED = {
+    "raw_launches": (["name", "tagline", "upvotes", "category", "pricing_type", "launch_date", "product_url"],
+                     "product_url"),
+    "raw_users": (["user_id", "name", "review_count", "yelping_since", "fans", "average_stars"], "user_id"),
+    "raw_reviews": (["review_id", "user_id", "business_id", "stars", "useful", "funny", "cool", "review_date"],
+                    "review_id"),
+}
+
+
+def sync(spark: SparkSession, source_root: str, target_root: str, load_ts: str | None = None) -> dict[str, int]:
+    """Copy the three raw tables to another root, insert-or-ignore by key; the target's audit columns
+    and launch ids are its own.  Copying again adds nothing.  Returns the rows added per table."""
+    from .session import checkpoint_dir
+    from .sources import ingest, registry
+    checkpoint_dir(spark)
+    added = {}
+    for name, (columns, key) in SYNCED.items():
+        if not registry.exists(spark, registry.raw_path(source_root, name)):
+            continue
+        target = _raw_or_empty(spark, target_root, name)
+        new_rows = ingest.sync_table(registry.read_raw(spark, source_root, name), target, columns, key)
+        # Cut from the target that the rows are appended to.
+        new_rows = new_rows.checkpoint(eager=True)
+        added[name] = new_rows.count()
+        if name == "raw_launches":
+            start = (target.agg(F.max("id")).first()[0] or 0) + 1
+            new_rows = ingest.land_with_audit(new_rows, key, "id", "scraped_at", load_ts=load_ts, start_id=start)
+        else:
+            new_rows = ingest.land_with_audit(new_rows, key, None, "loaded_at", load_ts=load_ts)
+        registry.append_raw(new_rows, target_root, name)
+    return added
+
+
 def stream(spark: SparkSession, kind: str, input_dir: str, root: str, checkpoint: str,
-           files_per_trigger: int = 1) -> None:
+           bytes_per_trigger: int = 64 << 30) -> None:
     from .sources import registry
     from .streaming.ingest_stream import stream_ingest
     name = f"raw_{kind}"
     q = stream_ingest(spark, input_dir, kind, registry.raw_path(root, name),
-                      f"{root.rstrip('/')}/quarantine/{name}", checkpoint, files_per_trigger)
+                      f"{root.rstrip('/')}/quarantine/{name}", checkpoint, bytes_per_trigger)
     q.awaitTermination()
 
 
@@ -203,7 +234,7 @@ def main(argv=None) -> None:
     a = sub.add_parser("land-launches")
     a.add_argument("--pages", required=True)
     a.add_argument("--root", required=True)
-    a.add_argument("--max-pages", type=int, default=P.MAX_PAGES)
+    a.add_argument("--max-pages", type=int, default=None)
     for name in ("build", "analyze"):
         a = sub.add_parser(name)
         a.add_argument("--root", required=True)
@@ -212,10 +243,13 @@ def main(argv=None) -> None:
         a.add_argument("--churn-days", type=int, default=P.CHURN_DAYS)
         a.add_argument("--min-reviews", type=int, default=P.MIN_REVIEWS)
         a.add_argument("--min-group", type=int, default=P.MIN_GROUP)
-        a.add_argument("--cohort-from", type=dt.date.fromisoformat, default=dt.date(2015, 1, 1))
-        a.add_argument("--cohort-to", type=dt.date.fromisoformat, default=dt.date(2020, 1, 1))
+        a.add_argument("--cohort-from", type=dt.date.fromisoformat, default=None)
+        a.add_argument("--cohort-to", type=dt.date.fromisoformat, default=None)
         if name == "build":
             a.add_argument("--no-gate", action="store_true")
+            a.add_argument("--max-rows", type=int, default=None)
+            a.add_argument("--dates-from", type=dt.date.fromisoformat, default=None)
+            a.add_argument("--dates-to", type=dt.date.fromisoformat, default=None)
         else:
             a.add_argument("--no-model", action="store_true")
     a = sub.add_parser("stream")
@@ -223,7 +257,10 @@ def main(argv=None) -> None:
     a.add_argument("--input", required=True)
     a.add_argument("--root", required=True)
     a.add_argument("--checkpoint", required=True)
-    a.add_argument("--files-per-trigger", type=int, default=1)
+    a.add_argument("--bytes-per-trigger", type=int, default=64 << 30)
+    a = sub.add_parser("sync")
+    a.add_argument("--from", dest="source", required=True)
+    a.add_argument("--to", dest="target", required=True)
     args = ap.parse_args(argv)
     spark = build_session()
     if args.cmd == "land":
@@ -235,8 +272,11 @@ def main(argv=None) -> None:
                           min_reviews=args.min_reviews, min_group=args.min_group,
                           cohort_lo=args.cohort_from, cohort_hi=args.cohort_to)
         if args.cmd == "build":
+            params = replace(params, dq_max_rows=args.max_rows, dq_date_lo=args.dates_from, dq_date_hi=args.dates_to)
             print(json.dumps(build(spark, args.root, params, gate=not args.no_gate)))
         else:
             print(json.dumps(analyze(spark, args.root, params, with_model=not args.no_model)))
+    elif args.cmd == "sync":
+        print(json.dumps(sync(spark, args.source, args.target)))
     else:
-        stream(spark, args.kind, args.input, args.root, args.checkpoint, args.files_per_trigger)
+        stream(spark, args.kind, args.input, args.root, args.checkpoint, args.bytes_per_trigger)

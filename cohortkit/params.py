@@ -6,7 +6,7 @@ Nothing in the engine reads the wall clock: every date-relative rule takes ``as_
 from __future__ import annotations
 
 import datetime as dt
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 
 # ---------------------------------------------------------------------------
 # These must equal the analysed project's rules for results to match.
@@ -43,11 +43,6 @@ MIN_GROUP = 10
 MILESTONE_DAYS = [30, 90, 180, 365]
 # Days per "month" when a day count is reported in months.
 DAYS_PER_MONTH = 30
-# Ingest caps.
-MAX_INGEST_ROWS = 500_000
-SYNC_MAX_ROWS = 100_000
-# Launch pages: at most this many pages are fetched per run.
-MAX_PAGES = 10
 # Fallback product URL when a launch has no website.
 LAUNCH_URL_PREFIX = "https://www.producthunt.com/posts/"
 # Raw-user defaults for missing keys.
@@ -71,16 +66,18 @@ class Params:
     as_of: dt.date
     inactive_months: int = INACTIVE_MONTHS
     churn_days: int = CHURN_DAYS
-    top_upvotes: int = TOP_PERFORMER_UPVOTES
     min_reviews: int = MIN_REVIEWS
     min_group: int = MIN_GROUP
     milestones: tuple = tuple(MILESTONE_DAYS)
-    # Dashboard cohort window, half open [cohort_lo, cohort_hi).
-    cohort_lo: dt.date = dt.date(2015, 1, 1)
-    cohort_hi: dt.date = dt.date(2020, 1, 1)
+    # Dashboard cohort window, half open [cohort_lo, cohort_hi); None: no bound.
+    cohort_lo: dt.date | None = None
+    cohort_hi: dt.date | None = None
+    # Bounds of the quality suite's row-count and review-date checks; None: no bound.
+    dq_max_rows: int | None = None
+    dq_date_lo: dt.date | None = None
+    dq_date_hi: dt.date | None = None
     curve_max_month: int = CURVE_MAX_MONTH
     top_n: int = TOP_LAUNCHES
-    extra: dict = field(default_factory=dict)
 
 
 # The driver-generated test tables end on this date; the fixture views use it as as_of.
@@ -88,4 +85,6 @@ FIXTURE_PARAMS = Params(
     as_of=dt.date(2001, 8, 1),
     cohort_lo=dt.date(1996, 1, 1),
     cohort_hi=dt.date(2000, 1, 1),
+    dq_date_lo=dt.date(2000, 1, 1),
+    dq_date_hi=dt.date(2030, 1, 1),
 )

@@ -11,8 +11,9 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from ..cli import SYNCED
 from ..operators import quality
-from ..params import MAX_INGEST_ROWS, SYNC_MAX_ROWS
+from ..params import FIXTURE_PARAMS, LAUNCH_URL_PREFIX
 from ..sources import ingest
 from .catalog import register
 from .oracle import with_models
@@ -27,9 +28,11 @@ def _staging(m):
     return m.staging_views()
 
 
+SUITE = quality.suite(FIXTURE_PARAMS)
+
 for _kind in ("not_null", "unique", "accepted_values", "row_count", "between"):
-    register(f"dq_{_kind}", with_models(quality.suite_sql(kinds=[_kind])))(
-        (lambda k: lambda m: quality.dq_report(_staging(m), kinds=[k]))(_kind))
+    register(f"dq_{_kind}", with_models(quality.suite_sql(SUITE, kinds=[_kind])))(
+        (lambda k: lambda m: quality.dq_report(_staging(m), SUITE, kinds=[k]))(_kind))
 
 # Referential integrity (a supported check kind, not part of the declared suite):
 # every review's user must exist among the staged users.
@@ -38,8 +41,8 @@ RELATIONSHIPS = [quality.Check("stg_reviews", "relationships", "user_id", ref_mo
 register("dq_relationships", with_models(quality.suite_sql(RELATIONSHIPS)))(
     lambda m: quality.dq_report(_staging(m), RELATIONSHIPS))
 
-register("dq_report", with_models(quality.suite_sql()))(
-    lambda m: quality.dq_report(_staging(m)))
+register("dq_report", with_models(quality.suite_sql(SUITE)))(
+    lambda m: quality.dq_report(_staging(m), SUITE))
 
 
 # ------------------------------------------------------------------ ingest
@@ -90,18 +93,16 @@ r AS (
 )"""))(
     lambda m: ingest.ingest_report(_batch(m), _target(m), "review_id", required=["review_date"]))
 
-register("bounded_ingest", with_models(
-    f"SELECT * FROM raw_reviews ORDER BY review_id LIMIT {MAX_INGEST_ROWS}"))(
-    lambda m: ingest.bounded_ingest(m.raw_reviews, "review_id", MAX_INGEST_ROWS))
+register("bounded_ingest", with_models("SELECT * FROM raw_reviews"))(
+    lambda m: ingest.bounded_ingest(m.raw_reviews, "review_id"))
 
+# Every other user is in the target already: the copy adds all the others.
 _SYNC_SQL = ", ".join(USER_SYNC_COLS)
 register("sync_table", with_models(f"""
-SELECT * FROM (SELECT {_SYNC_SQL} FROM raw_users ORDER BY user_id LIMIT {SYNC_MAX_ROWS}) s
+SELECT {_SYNC_SQL} FROM raw_users
 WHERE user_id NOT IN (SELECT user_id FROM raw_users WHERE CAST(substr(user_id, 2) AS BIGINT) % 2 = 0)"""))(
-    lambda m: ingest.sync_table(
-        m.raw_users,
-        m.raw_users.where(_order_key("user_id") % 2 == 0),
-        USER_SYNC_COLS, "user_id", SYNC_MAX_ROWS))
+    lambda m: ingest.sync_table(m.raw_users, m.raw_users.where(_order_key("user_id") % 2 == 0),
+                                USER_SYNC_COLS, "user_id"))
 
 register("quarantine_rejects", with_models("""
 SELECT *, 'missing review_date' AS _reject_reason FROM raw_reviews
@@ -112,15 +113,14 @@ WHERE review_id IS NOT NULL AND user_id IS NOT NULL AND business_id IS NOT NULL
 
 
 @register("land_with_audit", with_models("""
-SELECT COUNT(*) AS rows, CAST(MIN(1) AS BIGINT) AS min_id, CAST(COUNT(*) AS BIGINT) AS max_id,
-       COUNT(*) AS distinct_ids, COUNT(DISTINCT product_url) AS distinct_urls
+SELECT row_number() OVER (ORDER BY CAST('0x' || left(md5(product_url), 8) AS BIGINT) % 4096, product_url) AS id,
+       TIMESTAMP '2001-08-01 00:00:00' AS scraped_at, product_url, name
 FROM raw_launches"""))
 def _land(m):
+    """Every launch with its id: by bucket of the key's md5, then by key."""
     raw = m.raw_launches.drop("id", "scraped_at")
-    landed = ingest.land_with_audit(raw, "id", "scraped_at", load_ts="2001-08-01 00:00:00", start_id=1)
-    return landed.agg(F.count(F.lit(1)).alias("rows"), F.min("id").alias("min_id"), F.max("id").alias("max_id"),
-                      F.count_distinct("id").alias("distinct_ids"),
-                      F.count_distinct("product_url").alias("distinct_urls"))
+    landed = ingest.land_with_audit(raw, "product_url", "id", "scraped_at", load_ts="2001-08-01 00:00:00")
+    return landed.select("id", "scraped_at", "product_url", "name")
 
 
 @register("stream_ingest", with_models("SELECT * FROM raw_reviews WHERE review_date IS NOT NULL"))
@@ -142,7 +142,7 @@ def _stream_ingest(m):
                 F.date_format("review_date", "yyyy-MM-dd").alias("date"), "useful", "funny", "cool")
      .write.json(f"{base}/in"))
     q = stream_ingest(spark, f"{base}/in", "reviews", f"{base}/target", f"{base}/quarantine",
-                      f"{base}/checkpoint", files_per_trigger=2, load_ts=LOAD_TS)
+                      f"{base}/checkpoint", bytes_per_trigger=256 << 20, load_ts=LOAD_TS)
     q.awaitTermination()
     return spark.read.parquet(f"{base}/target")
 
@@ -150,22 +150,16 @@ def _stream_ingest(m):
 PAGE_SIZE = 50
 
 
-def _scratch(spark, name: str) -> str:
-    import uuid
-
-    from ..session import checkpoint_dir
-    return f"{checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+def _as_read(docs, schema):
+    """What reading ``docs`` as stored JSON lines with ``schema`` gives, in the same plan."""
+    from ..sources.readers import CORRUPT, _with_corrupt
+    text = F.to_json(F.struct(*docs.columns))
+    options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT}
+    return docs.select(F.from_json(text, _with_corrupt(schema), options).alias("d")).select("d.*")
 
 
-@register("launch_pages", with_models(
-    "SELECT name, tagline, upvotes, category, pricing_type, launch_date, product_url FROM raw_launches"))
-def _launch_pages(m):
-    """Whole-table round trip through the page parser: every raw launch is rendered as an
-    API post node, nodes are grouped into pages of 50 (a bounded group per page), pages
-    are stored one per line, then parsed back with the page-chain rules (last page has
-    no next page; no page cap here, so the whole table comes back)."""
-    from ..sources import readers
-
+def _page_docs(m, with_website=True):
+    """Every raw launch rendered as an API post node, in pages of 50 (a bounded group per page)."""
     raw = m.raw_launches
     node = F.struct(
         F.col("name").alias("name"), F.col("tagline").alias("tagline"), F.col("upvotes").alias("votesCount"),
@@ -175,23 +169,79 @@ def _launch_pages(m):
         F.struct(F.when(F.col("pricing_type") == "Free", F.lit("FreeImage")).otherwise(F.lit("Image"))
                  .alias("type")).alias("thumbnail"),
         F.concat(F.date_format("launch_date", "yyyy-MM-dd"), F.lit("T00:00:00Z")).alias("createdAt"),
-        F.col("product_url").alias("website"))
+        (F.col("product_url") if with_website else F.when(F.col("id") % 2 == 0, F.lit("")).otherwise(F.lit(None)))
+        .cast("string").alias("website"))
     posts = raw.select((F.floor((F.col("id") - 1) / PAGE_SIZE) + 1).cast("int").alias("page_no"),
                        F.struct(node.alias("node")).alias("edge"))
     pages = posts.groupBy("page_no").agg(F.collect_list("edge").alias("edges"))
     last_page = posts.select(F.max("page_no")).scalar()
-    docs = pages.select(
+    return pages.select(
         "page_no",
         F.struct(F.struct(
             F.struct((F.col("page_no") < last_page).alias("hasNextPage"),
                      F.col("page_no").cast("string").alias("endCursor")).alias("pageInfo"),
             F.col("edges").alias("edges")).alias("posts")).alias("data"))
-    spark = m.spark
-    base = _scratch(spark, "launch-pages")
-    docs.write.json(base)
-    good, _ = readers.parse_launch_pages(readers.read_launch_pages(spark, base, multi_line=False),
-                                         max_pages=None)
-    return good.drop("page_no")
+
+
+@register("launch_pages", with_models(
+    "SELECT name, tagline, upvotes, category, pricing_type, launch_date, product_url FROM raw_launches"))
+def _launch_pages(m):
+    """The whole table through the page parser: rendered as pages, read back with the page-chain rules."""
+    from .. import schemas as S
+    from ..sources import readers
+
+    good, _ = readers.parse_launch_pages(_as_read(_page_docs(m), S.LAUNCH_PAGE))
+    return good.drop("page_no", readers.ARRIVAL)
+
+
+@register("launch_pages_fallback_url", with_models(
+    f"SELECT name, '{LAUNCH_URL_PREFIX}' || name AS product_url FROM raw_launches"))
+def _launch_pages_fallback(m):
+    """Launches whose website is empty or missing get a URL from the prefix and their name."""
+    from .. import schemas as S
+    from ..sources import readers
+
+    good, _ = readers.parse_launch_pages(_as_read(_page_docs(m, with_website=False), S.LAUNCH_PAGE))
+    return good.select("name", "product_url")
+
+
+def _bad_chain(m):
+    """The pages with one missing and, before it, one that is unreadable, by the number of pages."""
+    from .. import schemas as S
+    from ..sources.readers import CORRUPT
+    pages = _as_read(_page_docs(m), S.LAUNCH_PAGE)
+    n = pages.select(F.max("page_no")).scalar()
+    broken = F.col("page_no") == F.floor(n * 2 / 3)
+    pages = pages.where(F.col("page_no") != F.floor(n * 3 / 4))
+    return pages.select(
+        F.when(~broken, F.col("page_no")).alias("page_no"), "errors", F.when(~broken, F.col("data")).alias("data"),
+        F.when(broken, F.lit("{broken")).alias(CORRUPT))
+
+
+_LAST = f"CAST(floor(ceil(max(id) OVER () / {PAGE_SIZE}.0) * 2 / 3) AS BIGINT) - 1"
+
+register("valid_pages", with_models(f"""
+SELECT name, product_url FROM (SELECT *, {_LAST} AS last_page FROM raw_launches) p
+WHERE (id - 1) // {PAGE_SIZE} + 1 <= last_page"""))(
+    lambda m: _good_of_bad_chain(m))
+
+
+def _good_of_bad_chain(m):
+    """The chain ends before the unreadable page; the pages behind it are not used."""
+    from ..sources import readers
+    good, _ = readers.parse_launch_pages(_bad_chain(m))
+    return good.select("name", "product_url")
+
+
+register("rejected_pages", with_models(
+    "SELECT '{broken' AS _corrupt_record, 'unreadable page' AS _reject_reason FROM raw_launches LIMIT 1"))(
+    lambda m: _rejected_of_bad_chain(m))
+
+
+def _rejected_of_bad_chain(m):
+    from ..sources import readers
+    _, rejected = readers.parse_launch_pages(_bad_chain(m))
+    return rejected.select(readers.CORRUPT, "_reject_reason")
 
 
 @register("read_users_json", with_models("""
@@ -199,15 +249,37 @@ SELECT user_id, name, review_count, fans, average_stars,
        COALESCE(yelping_since, DATE '2004-01-01') AS yelping_since
 FROM raw_users"""))
 def _read_users_json(m):
-    """Whole-table round trip through the user JSON-lines reader: missing join dates get
-    the default date, every other field comes back as landed."""
+    """The whole table through the user JSON-lines reader: missing join dates get the default
+    date, whole numbers written with a fraction are read, every other field comes back as landed."""
+    from .. import schemas as S
     from ..sources import readers
 
-    raw = m.raw_users
-    spark = m.spark
-    base = _scratch(spark, "users-json")
-    (raw.select("user_id", "name", "review_count", F.date_format("yelping_since", "yyyy-MM-dd").alias("yelping_since"),
-                "fans", "average_stars")
-     .write.json(base))
-    good, _ = readers.read_users(spark, base)
+    lines = m.raw_users.select(
+        "user_id", "name", F.col("review_count").cast("double").alias("review_count"),
+        F.date_format("yelping_since", "yyyy-MM-dd").alias("yelping_since"), "fans", "average_stars")
+    good, _ = readers.parse_users(_as_read(lines, S.USER_JSON))
     return good
+
+
+register("first_arrival", with_models("""
+SELECT review_id, CAST(9 AS DOUBLE) AS stars, loaded_at FROM raw_reviews"""))(lambda m: _first_arrival(m))
+
+
+def _first_arrival(m):
+    """Every review arrives twice, first with the larger values: the first one stays."""
+    raw = m.raw_reviews.select("review_id", F.lit(9.0).alias("stars"), "loaded_at")
+    early = raw.withColumn("_arrival", F.struct(F.lit(1).alias("file"), F.lit(7).alias("row")))
+    late = raw.withColumn("stars", F.lit(1.0)).withColumn(
+        "_arrival", F.struct(F.lit(2).alias("file"), F.lit(0).alias("row")))
+    return ingest.insert_ignore(late.unionByName(early), raw.limit(0), "review_id", "_arrival")
+
+
+# The copies as the command makes them, over the whole of the other two tables into an empty target.
+def _sync_all(name):
+    columns, key = SYNCED[name]
+    register(f"sync_{name[4:]}", with_models(f"SELECT {', '.join(columns)} FROM {name}"))(
+        lambda m: ingest.sync_table(getattr(m, name), getattr(m, name).limit(0), columns, key))
+
+
+for _name in ("raw_reviews", "raw_launches"):
+    _sync_all(_name)

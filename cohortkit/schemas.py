@@ -91,16 +91,9 @@ LAUNCH_PAGE = T.StructType([
     ])),
 ])
 
-# ------------------------------------------------------- staging column orders
+# ------------------------------------------------------- staging column order
+# The declared order of the staging review columns.
 STG_REVIEWS_COLUMNS = [
     "review_id", "user_id", "business_id", "stars", "useful", "funny", "cool",
     "engagement_score", "review_date", "review_month", "review_year", "sentiment", "loaded_at",
 ]
-STG_USERS_COLUMNS = [
-    "user_id", "name", "review_count", "fans", "average_stars", "yelping_since",
-    "cohort_month", "cohort_year", "user_segment", "influence_tier", "loaded_at",
-]
-STG_LAUNCHES_COLUMNS = [
-    "id", "product_url", "name", "tagline", "upvotes", "category", "traction_tier",
-    "launch_date", "scraped_at",
-]

@@ -41,21 +41,23 @@ def quarantine_split(df: DataFrame, required, corrupt: Column | None = None,
     return good, rejected
 
 
-def first_arrivals(batch: DataFrame, key, arrival: str | None = None) -> DataFrame:
+def first_arrivals(batch: DataFrame, key, arrival: str) -> DataFrame:
     """One row per key: the earliest ``arrival`` (ties broken by the row's values).
 
+    ``arrival`` is any orderable column, for example the readers' ``_arrival`` struct.
+
     Implemented as ``min(struct(arrival, cols...))`` grouped by key, which Spark
     aggregates partially before the shuffle.
     """
     keys = _cols(key)
     others = [c for c in batch.columns if c not in keys and c != arrival]
-    order = ([arrival] if arrival else []) + others
+    order = [arrival, *others]
     packed = F.min(F.struct(*[F.col(c) for c in order])).alias("_first")
     firsts = batch.groupBy(*keys).agg(packed)
     return firsts.select(*keys, *[F.col(f"_first.{c}").alias(c) for c in order]).select(*batch.columns)
 
 
-def insert_ignore(batch: DataFrame, target: DataFrame, key, arrival: str | None = None) -> DataFrame:
+def insert_ignore(batch: DataFrame, target: DataFrame, key, arrival: str) -> DataFrame:
     """Rows of ``batch`` to append so that the target behaves like
     ``INSERT ... ON CONFLICT (key) DO NOTHING`` applied in arrival order.
 
@@ -67,7 +69,7 @@ def insert_ignore(batch: DataFrame, target: DataFrame, key, arrival: str | None
     firsts = first_arrivals(clean, keys, arrival)
     existing = target.select(*keys)
     out = firsts.join(existing, keys, "left_anti")
-    return out.drop(arrival) if arrival else out
+    return out.drop(arrival)
 
 
 def ingest_report(batch: DataFrame, target: DataFrame, key, required=()) -> DataFrame:
@@ -98,66 +100,31 @@ def ingest_report(batch: DataFrame, target: DataFrame, key, required=()) -> Data
     )))
 
 
-# Caps up to this size use a plain top-k; larger caps pre-filter with a sampled threshold.
-SMALL_CAP = 10_000
-# Keys sampled (and collected) to place the threshold: a fixed bound, independent of input size.
-SAMPLE_KEYS = 50_000
-
+def bounded_ingest(df: DataFrame, key, max_rows: int | None = None) -> DataFrame:
+    """All rows, or the first ``max_rows`` in key order if a caller asks for a limit (a
+    top-k; meant for samples and trials, not as a default)."""
+    if max_rows is None:
+        return df
+    return df.orderBy(*[F.col(k).asc_nulls_last() for k in _cols(key)]).limit(max_rows)
 
-def bounded_ingest(df: DataFrame, key, max_rows: int, seed: int = 42) -> DataFrame:
-    """The first ``max_rows`` rows in key order.
 
-    Small caps are a plain top-k (TakeOrderedAndProject).  For large caps a top-k alone
-    would let every input split ship up to ``max_rows`` candidates to the final task,
-    i.e. work proportional to splits x cap.  So the rows are first cut at a key
-    threshold read from a bounded sample (placed a little past the cap's quantile);
-    only about ``max_rows`` rows then reach the top-k.  If the sampled threshold
-    falls short of the cap, the threshold is dropped -- the result is always exact.
-    """
-    keys = _cols(key)
-    ordered = [F.col(k).asc_nulls_last() for k in keys]
-    if max_rows <= SMALL_CAP:
-        return df.orderBy(*ordered).limit(max_rows)
-    total = df.count()
-    if total <= max_rows:
-        return df
-    first = keys[0]
-    frac = min(1.0, SAMPLE_KEYS / total)
-    sample = sorted(r[0] for r in df.select(first).where(F.col(first).isNotNull())
-                    .sample(fraction=frac, seed=seed).collect())
-    candidates = df
-    if sample:
-        share = max_rows / total
-        margin = 4.0 * (share * (1 - share) * len(sample)) ** 0.5 + 2
-        pos = int(share * len(sample) + margin)
-        if pos < len(sample):
-            cut = df.where(F.col(first) <= F.lit(sample[pos]))
-            if cut.count() >= max_rows:
-                candidates = cut
-    return candidates.orderBy(*ordered).limit(max_rows)
-
-
-def sync_table(source: DataFrame, target: DataFrame, columns, key, max_rows: int | None = None) -> DataFrame:
+def sync_table(source: DataFrame, target: DataFrame, columns, key) -> DataFrame:
     """Rows to append when copying ``columns`` of ``source`` into ``target`` with
-    insert-or-ignore on ``key``; optionally only the first ``max_rows`` in key order.
-    Audit columns are not copied (the target generates its own)."""
-    picked = source.select(*_cols(columns))
-    if max_rows is not None:
-        picked = bounded_ingest(picked, key, max_rows)
-    return insert_ignore(picked, target, key)
+    insert-or-ignore on ``key``.  Audit columns are not copied (the target generates its
+    own); of rows repeating a key, the one with the smallest values is copied."""
+    picked = source.select(*_cols(columns)).withColumn("_arrival", F.lit(0))
+    return insert_ignore(picked, target, key, "_arrival")
 
 
-def land_with_audit(df: DataFrame, id_col: str | None = "id", ts_col: str | None = "loaded_at",
-                    load_ts=None, start_id: int = 1, stable: bool = True) -> DataFrame:
+def land_with_audit(df: DataFrame, key, id_col: str | None = "id", ts_col: str | None = "loaded_at",
+                    load_ts=None, start_id: int = 1, buckets: int = 4096) -> DataFrame:
     """Add a dense surrogate id (start_id, start_id+1, ...) and a load timestamp.
 
-    Dense ids without a single-partition window: every row gets
-    ``monotonically_increasing_id`` (partition index in the high bits), per-partition
-    row counts are aggregated into a table with one row per input partition, an
-    exclusive prefix over that small table gives each partition its offset, and the
-    offsets are broadcast back (bounded by the partition count).  With ``stable`` the
-    tagged rows are checkpointed to the session's checkpoint folder first, so the
-    count pass and the id pass see identical rows even after an executor is lost.
+    Ids follow (bucket of the md5 of the natural key, key), so they depend on the rows alone:
+    a recomputed task gives the same ids and nothing has to be checkpointed.  Rows are
+    counted per bucket, a prefix over the bucket table (at most ``buckets`` rows, which is
+    what is broadcast) gives each bucket its offset, and a row's place inside its bucket
+    comes from a window over that bucket.
     """
     out = df
     if ts_col:
@@ -165,16 +132,14 @@ def land_with_audit(df: DataFrame, id_col: str | None = "id", ts_col: str | None
         out = out.withColumn(ts_col, ts)
     if not id_col:
         return out
-    tagged = out.withColumn("_mid", F.monotonically_increasing_id())
-    if stable:
-        tagged = tagged.checkpoint(eager=True)
-    part = F.shiftright(F.col("_mid"), 33)
-    within = F.col("_mid").bitwiseAND(F.lit((1 << 33) - 1))
-    tagged = tagged.withColumn("_part", part).withColumn("_row", within)
-    counts = tagged.groupBy("_part").agg(F.count(F.lit(1)).alias("_n"))
-    offsets = counts.select("_part", F.coalesce(
-        F.sum("_n").over(Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)),
-        F.lit(0)).alias("_off"))
-    with_id = tagged.join(F.broadcast(offsets), "_part")
-    return (with_id.withColumn(id_col, (F.lit(start_id) + F.col("_off") + F.col("_row")).cast("long"))
+    keys = _cols(key)
+    digest = F.md5(F.concat_ws("|", *[F.col(k).cast("string") for k in keys]))
+    bucket = F.pmod(F.conv(F.substring(digest, 1, 8), 16, 10).cast("long"), F.lit(buckets))
+    tagged = out.withColumn("_bucket", bucket)
+    counts = tagged.groupBy("_bucket").agg(F.count(F.lit(1)).alias("_n"))
+    before = Window.orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = counts.select("_bucket", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_off"))
+    inside = Window.partitionBy("_bucket").orderBy(*keys, *[c for c in df.columns if c not in keys])
+    placed = tagged.withColumn("_row", F.row_number().over(inside)).join(F.broadcast(offsets), "_bucket")
+    return (placed.withColumn(id_col, (F.lit(start_id - 1) + F.col("_off") + F.col("_row")).cast("long"))
             .select(id_col, *[c for c in out.columns if c != id_col]))

@@ -24,16 +24,40 @@ def _with_corrupt(schema):
     return T.StructType(list(schema.fields) + [T.StructField(CORRUPT, T.StringType())])
 
 
+# When a row arrived: files by modification time and path, rows by their place in the file.
+ARRIVAL = "_arrival"
+
+
+def with_arrival(rows: DataFrame) -> DataFrame:
+    """Add ``_arrival`` to rows of a file scan: (file time, file, start of the split, place in it).
+
+    Splits are packed into tasks by size, so the task number says nothing; within one split the
+    increasing id follows the lines.
+    """
+    return rows.select("*", F.struct(
+        F.col("_metadata.file_modification_time").alias("at"), F.col("_metadata.file_path").alias("file"),
+        F.col("_metadata.file_block_start").alias("start"), F.monotonically_increasing_id().alias("row")).alias(ARRIVAL))
+
+
 def _json(spark: SparkSession, path, schema) -> DataFrame:
-    return (spark.read.schema(_with_corrupt(schema))
-            .option("mode", "PERMISSIVE")
-            .option("columnNameOfCorruptRecord", CORRUPT)
-            .json(path))
+    return with_arrival(spark.read.schema(_with_corrupt(schema))
+                        .option("mode", "PERMISSIVE")
+                        .option("columnNameOfCorruptRecord", CORRUPT)
+                        .json(path))
+
+
+def _carried(raw: DataFrame) -> list[str]:
+    return [ARRIVAL] if ARRIVAL in raw.columns else []
 
 
 def _num(raw: str, kind: str, default=None) -> tuple[Column, Column]:
-    """(converted value, is-bad flag): missing -> default, present but unparsable -> bad."""
+    """(converted value, is-bad flag): missing -> default, present but unparsable -> bad.
+
+    A whole number may be written with a fraction (3.0): it is cut, as a number conversion does.
+    """
     value = F.expr(f"try_cast({raw} AS {kind})")
+    if kind == "int":
+        value = F.coalesce(value, F.expr(f"try_cast(try_cast({raw} AS double) AS int)"))
     bad = F.col(raw).isNotNull() & value.isNull()
     if default is not None:
         value = F.coalesce(value, F.lit(default).cast(kind))
@@ -52,10 +76,10 @@ def parse_reviews(raw: DataFrame) -> tuple[DataFrame, DataFrame]:
         stars.alias("stars"),
         *[counts[c][0].alias(c) for c in ("useful", "funny", "cool")],
         review_date.alias("review_date"),
-        bad.alias("_bad"), CORRUPT)
+        bad.alias("_bad"), CORRUPT, *_carried(raw))
     good, rejected = quarantine_split(typed, ["review_id", "user_id", "business_id", "stars", "review_date"],
                                       corrupt=F.col("_bad"))
-    return good.drop("_bad", CORRUPT), rejected.drop("_bad")
+    return good.drop("_bad", CORRUPT), rejected.drop("_bad", ARRIVAL)
 
 
 def parse_users(raw: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -69,9 +93,9 @@ def parse_users(raw: DataFrame) -> tuple[DataFrame, DataFrame]:
     typed = raw.select(
         "user_id", "name", review_count.alias("review_count"), fans.alias("fans"),
         avg.alias("average_stars"), since.cast("date").alias("yelping_since"),
-        bad.alias("_bad"), CORRUPT)
+        bad.alias("_bad"), CORRUPT, *_carried(raw))
     good, rejected = quarantine_split(typed, ["user_id"], corrupt=F.col("_bad"))
-    return good.drop("_bad", CORRUPT), rejected.drop("_bad")
+    return good.drop("_bad", CORRUPT), rejected.drop("_bad", ARRIVAL)
 
 
 def read_reviews(spark: SparkSession, path) -> tuple[DataFrame, DataFrame]:
@@ -86,41 +110,69 @@ def read_users(spark: SparkSession, path) -> tuple[DataFrame, DataFrame]:
 
 def read_launch_pages(spark: SparkSession, path, multi_line: bool = True) -> DataFrame:
     """Stored API pages, explicit schema: one JSON document per file (``multi_line``), or
-    one page per line."""
-    return spark.read.schema(S.LAUNCH_PAGE).option("multiLine", str(multi_line).lower()).json(path)
+    one page per line.  An unreadable page keeps its text in the corrupt-record column."""
+    return (spark.read.schema(_with_corrupt(S.LAUNCH_PAGE)).option("multiLine", str(multi_line).lower())
+            .option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", CORRUPT).json(path))
+
 
+def _readable(pages: DataFrame) -> DataFrame:
+    return pages.where(F.col(CORRUPT).isNull()) if CORRUPT in pages.columns else pages
 
-def valid_pages(pages: DataFrame, max_pages: int | None = P.MAX_PAGES) -> DataFrame:
-    """Pages a paginated fetch would have used: stop before the first page carrying
-    errors, stop after the first page without a next page, never beyond ``max_pages``.
+
+def valid_pages(pages: DataFrame, max_pages: int | None = None) -> DataFrame:
+    """Pages a paginated fetch would have used: from page 1 on without a gap (an unreadable
+    page is one), stop before the first page carrying errors, stop after the first page
+    without a next page; never beyond ``max_pages`` if that is given.
 
     The cut-off is one scalar aggregate over the pages, evaluated as a scalar subquery.
     """
+    pages = _readable(pages)
     has_err = F.coalesce(F.size("errors") > 0, F.lit(False))
     last = F.coalesce(~F.col("data.posts.pageInfo.hasNextPage"), F.lit(True))
-    cap = F.lit(max_pages) if max_pages is not None else F.max("page_no")
+    numbers = pages.select("page_no").distinct()
+    # The chain holds up to the first page whose successor is missing, if it begins at 1.
+    ahead = numbers.select((F.col("page_no") - 1).alias("page_no"))
+    held = numbers.where("page_no >= 1").join(ahead, "page_no", "left_anti").select(F.min("page_no")).scalar()
+    begun = pages.select(F.min(F.when(F.col("page_no") == 1, F.lit(1)))).scalar()
     bound = pages.select(F.least(
-        F.coalesce(F.min(F.when(has_err, F.col("page_no"))) - 1, cap),
-        F.coalesce(F.min(F.when(~has_err & last, F.col("page_no"))), cap),
-        cap)).scalar()
-    return pages.where((F.col("page_no") >= 1) & (F.col("page_no") <= bound))
+        F.min(F.when(has_err, F.col("page_no"))) - 1,
+        F.min(F.when(~has_err & last, F.col("page_no"))),
+        F.lit(max_pages).cast("int"))).scalar()
+    return pages.where((F.col("page_no") >= 1) & begun.isNotNull() & (F.col("page_no") <= held)
+                       & F.coalesce(F.col("page_no") <= bound, F.lit(True)))
 
 
 def parse_launch_pages(pages: DataFrame, fallback_prefix: str = P.LAUNCH_URL_PREFIX,
-                       max_pages: int | None = P.MAX_PAGES) -> tuple[DataFrame, DataFrame]:
-    """One launch row per post node of the valid pages -> (good, rejected)."""
+                       max_pages: int | None = None) -> tuple[DataFrame, DataFrame]:
+    """One launch row per post node of the valid pages -> (good, rejected).
+
+    Good rows carry ``_arrival`` (page number, place in the page).  Rejected are nodes without
+    a name, with a date that is there but unusable, and, with their text, unreadable pages.
+    """
     nodes = (valid_pages(pages, max_pages)
-             .select("page_no", F.explode("data.posts.edges").alias("edge"))
-             .select("page_no", "edge.node.*"))
+             .select("page_no", F.posexplode("data.posts.edges").alias("_pos", "edge"))
+             .select("page_no", "_pos", "edge.node.*"))
     website = F.col("website")
     url = F.when(website.isNull() | (website == ""),
                  F.concat(F.lit(fallback_prefix), F.col("name"))).otherwise(website)
     thumb = F.lower(F.coalesce(F.col("thumbnail.type"), F.lit("")))
+    day = iso_date_prefix("createdAt")
     rows = nodes.select(
         F.col("name"), F.col("tagline"), F.col("votesCount").alias("upvotes"),
         F.get(F.col("topics.edges"), 0)["node"]["name"].alias("category"),
         F.when(thumb.contains("free"), F.lit("Free")).otherwise(F.lit("Unknown")).alias("pricing_type"),
-        iso_date_prefix("createdAt").alias("launch_date"),
+        day.alias("launch_date"),
         url.alias("product_url"),
-        "page_no")
-    return quarantine_split(rows, ["name", "product_url"])
+        "page_no", F.lit(None).cast("string").alias(CORRUPT),
+        (F.col("createdAt").isNotNull() & day.isNull()).alias("_bad"),
+        F.struct("page_no", "_pos").alias(ARRIVAL))
+    good, rejected = quarantine_split(rows, ["name", "product_url"], corrupt=F.col("_bad"))
+    rejected = rejected.drop("_bad", ARRIVAL)
+    if CORRUPT in pages.columns:
+        # The text is kept with the page number as far as it could be read.
+        unread = pages.where(F.col(CORRUPT).isNotNull()).select(*[
+            F.col(CORRUPT) if c == CORRUPT else F.col("page_no") if c == "page_no"
+            else F.lit("unreadable page").alias(c) if c == "_reject_reason"
+            else F.lit(None).cast(kind).alias(c) for c, kind in rejected.dtypes])
+        rejected = rejected.unionByName(unread)
+    return good.drop("_bad", CORRUPT), rejected

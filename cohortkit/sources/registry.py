@@ -7,8 +7,10 @@ paths.  The root is a parameter (a shared folder or bucket on a cluster).
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from .. import schemas as S
+from ..session import checkpoint_dir
 
 RAW_SCHEMAS = {
     "raw_reviews": S.RAW_REVIEWS,
@@ -17,6 +19,24 @@ RAW_SCHEMAS = {
 }
 
 
+def exists(spark: SparkSession, path: str) -> bool:
+    """Is there something at ``path`` (any Hadoop file system)?"""
+    hpath = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return hpath.getFileSystem(spark._jsc.hadoopConfiguration()).exists(hpath)
+
+
+def append_once(df: DataFrame, path: str) -> None:
+    """Append rows that the table at ``path`` does not hold yet, by a hash of the whole row: landing
+    the same input again adds nothing."""
+    hashed = df.withColumn("_row_hash", F.sha2(F.to_json(F.struct(*df.columns), {"ignoreNullFields": "false"}), 256))
+    if exists(df.sparkSession, path):
+        checkpoint_dir(df.sparkSession)
+        seen = df.sparkSession.read.schema(hashed.schema).parquet(path).select("_row_hash").distinct()
+        # The result is appended to what it was compared with: the comparison ends before the append.
+        hashed = hashed.join(seen, "_row_hash", "left_anti").select(*hashed.columns).checkpoint(eager=True)
+    hashed.write.mode("append").parquet(path)
+
+
 def raw_path(root: str, name: str) -> str:
     return f"{root.rstrip('/')}/raw/{name}"
 
@@ -78,9 +98,3 @@ def write_jdbc(df: DataFrame, url: str, table: str, properties: dict | None = No
     props = dict(properties or {})
     props.setdefault("batchsize", str(batch_size))
     df.write.mode(mode).jdbc(url, table, properties=props)
-
-
-def materialize_marts(spark: SparkSession, marts: dict[str, DataFrame], root: str,
-                      mode: str = "overwrite") -> dict[str, str]:
-    """Write the mart tables under ``root/marts`` (see ``materialize``)."""
-    return materialize(marts, root, layer="marts", mode=mode)

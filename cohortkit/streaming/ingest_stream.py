@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from .. import schemas as S
-from ..sources import readers
+from ..sources import readers, registry
 from ..sources.ingest import insert_ignore
 
 KINDS = {
@@ -30,10 +30,8 @@ KINDS = {
 
 
 def _target_or_empty(spark: SparkSession, path: str, like: DataFrame) -> DataFrame:
-    try:
-        return spark.read.schema(like.schema).parquet(path)
-    except Exception:  # noqa: BLE001 -- no target yet: nothing is present
-        return like.limit(0)
+    """The landed table; empty only if it is not there yet (any other failure is an error)."""
+    return spark.read.schema(like.schema).parquet(path) if registry.exists(spark, path) else like.limit(0)
 
 
 def land_batch(batch: DataFrame, batch_id: int, kind: str, target: str, quarantine: str,
@@ -44,15 +42,14 @@ def land_batch(batch: DataFrame, batch_id: int, kind: str, target: str, quaranti
     """
     _, parse, key = KINDS[kind]
     # The micro-batch feeds two writes (landed rows and quarantine): read its files once.
+    batch = readers.with_arrival(batch) if "_metadata" in batch.columns else batch
     batch = batch.persist()
     good, rejected = parse(batch)
     ts = F.lit(str(load_ts)).cast("timestamp_ntz") if load_ts is not None else F.localtimestamp()
     good = good.withColumn("loaded_at", ts)
-    present = _target_or_empty(batch.sparkSession, target, good)
-    # Read order inside the micro-batch (file splits in listing order) is the arrival
-    # order: the first occurrence of a key wins, as in a row-by-row insert.
-    arrived = good.withColumn("_arrival", F.monotonically_increasing_id())
-    new_rows = insert_ignore(arrived, present, key, "_arrival")
+    present = _target_or_empty(batch.sparkSession, target, good.drop(readers.ARRIVAL))
+    # The first occurrence of a key by file and place in it wins, as in a row-by-row insert.
+    new_rows = insert_ignore(good, present, key, readers.ARRIVAL)
     new_rows.write.mode("append").parquet(target)
     # Quarantine rows are keyed by batch id; a re-run replaces its own batch's rows.
     (rejected.withColumn("batch_id", F.lit(batch_id)).write.mode("overwrite")
@@ -61,16 +58,21 @@ def land_batch(batch: DataFrame, batch_id: int, kind: str, target: str, quaranti
 
 
 def stream_ingest(spark: SparkSession, in_dir: str, kind: str, target: str, quarantine: str,
-                  checkpoint: str, files_per_trigger: int = 1, available_now: bool = True,
-                  load_ts=None) -> StreamingQuery:
-    """Start the landing stream; returns the running query (``awaitTermination`` it)."""
+                  checkpoint: str, bytes_per_trigger: int = 64 << 30, available_now: bool = True,
+                  load_ts=None, files_per_trigger: int | None = None) -> StreamingQuery:
+    """Start the landing stream; returns the running query (``awaitTermination`` it).
+
+    Every trigger reads the landed keys once, so triggers are sized by bytes: few and large.
+    """
     schema, _, _ = KINDS[kind]
+    size = ("maxFilesPerTrigger", files_per_trigger) if files_per_trigger else ("maxBytesPerTrigger", bytes_per_trigger)
     source = (spark.readStream
               .schema(readers._with_corrupt(schema))
               .option("mode", "PERMISSIVE")
               .option("columnNameOfCorruptRecord", readers.CORRUPT)
-              .option("maxFilesPerTrigger", files_per_trigger)
-              .json(in_dir))
+              .option(*size)
+              .json(in_dir)
+              .select("*", "_metadata"))
 
     def land(batch: DataFrame, batch_id: int) -> None:
         land_batch(batch, batch_id, kind, target, quarantine, load_ts)

@@ -129,7 +129,7 @@ def test_land_removes_its_scratch_copy(spark, tmp_path):
 def test_stream_command_lands_into_raw_table(spark, tmp_path):
     _, reviews, _ = _export_json(spark, tmp_path)
     root, ckpt = str(tmp_path / "wh"), str(tmp_path / "ckpt")
-    cli.stream(spark, "reviews", reviews, root, ckpt, files_per_trigger=2)
+    cli.stream(spark, "reviews", reviews, root, ckpt, bytes_per_trigger=1 << 20)
     landed = registry.read_raw(spark, root, "raw_reviews")
     n = landed.count()
     assert n > 0 and landed.select("review_id").distinct().count() == n

@@ -65,8 +65,9 @@ def test_result_unchanged_under_repartition(spark, m001):
 def test_insert_ignore_idempotent(spark, m001):
     raw = m001.raw_reviews
     target = raw.where(F.substring("review_id", 2, 20).cast("long") % 2 == 0)
-    once = ingest.insert_ignore(raw, target, "review_id")
-    twice = ingest.insert_ignore(raw, target.unionByName(once), "review_id")
+    arrived = raw.withColumn("arrival", F.lit(0))
+    once = ingest.insert_ignore(arrived, target, "review_id", "arrival")
+    twice = ingest.insert_ignore(arrived, target.unionByName(once), "review_id", "arrival")
     assert once.count() > 0 and twice.count() == 0
 
 

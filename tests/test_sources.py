@@ -67,7 +67,107 @@ def test_b6_page_chain(spark, tmp_path):
     assert sorted(r.page_no for r in readers.valid_pages(readers.read_launch_pages(spark, b)).collect()) == [1, 2]
     c = str(tmp_path / "c")
     _write_pages(c, [_page(i) for i in range(1, 13)])
-    assert readers.valid_pages(readers.read_launch_pages(spark, c)).count() == 10
+    assert readers.valid_pages(readers.read_launch_pages(spark, c)).count() == 12
+    assert readers.valid_pages(readers.read_launch_pages(spark, c), max_pages=10).count() == 10
+
+
+def test_page_chain_stops_at_a_gap_and_keeps_unreadable_pages(spark, tmp_path):
+    node = [{"name": "N", "website": "https://n.test"}]
+    gap = str(tmp_path / "gap")
+    _write_pages(gap, [_page(i, node) for i in (1, 2, 4)])
+    assert sorted(r.page_no for r in readers.valid_pages(readers.read_launch_pages(spark, gap)).collect()) == [1, 2]
+    late = str(tmp_path / "late")
+    _write_pages(late, [_page(i, node) for i in (2, 3)])
+    assert readers.valid_pages(readers.read_launch_pages(spark, late)).count() == 0
+    broken = str(tmp_path / "broken")
+    _write_pages(broken, [_page(1, node), _page(3, [{"name": "Z", "website": "https://z.test"}])])
+    with open(os.path.join(broken, "page_002.json"), "w") as f:
+        f.write('{"page_no": 2, "data": ')
+    good, rejected = readers.parse_launch_pages(readers.read_launch_pages(spark, broken))
+    assert [r.name for r in good.collect()] == ["N"]
+    bad = rejected.collect()
+    assert [r._reject_reason for r in bad] == ["unreadable page"] and '"data"' in bad[0]._corrupt_record
+
+
+def test_whole_numbers_with_a_fraction_are_read(spark, tmp_path):
+    p = tmp_path / "r.json"
+    _write_lines(p, [{"review_id": "r1", "user_id": "u", "business_id": "b", "stars": 3, "date": "2020-01-01",
+                      "useful": 3.0, "funny": "2.0", "cool": 1}])
+    good, rejected = readers.read_reviews(spark, str(p))
+    r = good.first()
+    assert (r.useful, r.funny, r.cool) == (3, 2, 1) and rejected.count() == 0
+
+
+def test_first_arrival_by_file_time_and_line(spark, tmp_path):
+    from cohortkit import cli
+    inbox = tmp_path / "in"
+    inbox.mkdir()
+    rec = lambda k, b, stars: {"review_id": k, "user_id": "u", "business_id": b, "stars": stars,
+                               "date": "2020-01-01"}
+    _write_lines(inbox / "z_old.json", [rec("r1", "zzz", 5.0), rec("r1", "aaa", 1.0), rec("r2", "zz", 5.0)])
+    _write_lines(inbox / "a_new.json", [rec("r2", "aa", 1.0), rec("r3", "zz", 4.0), rec("r3", "aa", 2.0)]
+                 + [rec(f"x{i}", "b" * 50, 3.0) for i in range(3000)])
+    os.utime(inbox / "z_old.json", (1_600_000_000, 1_600_000_000))
+    os.utime(inbox / "a_new.json", (1_600_000_500, 1_600_000_500))
+    want = {"r1": ("zzz", 5.0), "r2": ("zz", 5.0), "r3": ("zz", 4.0)}
+    root = str(tmp_path / "wh")
+    cli.land(spark, "reviews", str(inbox), root)
+    stream_ingest(spark, str(inbox), "reviews", str(tmp_path / "t"), str(tmp_path / "q"), str(tmp_path / "c")) \
+        .awaitTermination(120)
+    for table in (registry.read_raw(spark, root, "raw_reviews"), spark.read.parquet(str(tmp_path / "t"))):
+        got = {r.review_id: (r.business_id, r.stars) for r in table.where("review_id like 'r%'").collect()}
+        assert got == want and table.count() == 3003
+
+
+def test_launches_keep_the_first_page_and_quarantine_once(spark, tmp_path):
+    from cohortkit import cli
+    pages = str(tmp_path / "p")
+    dup = lambda name: {"name": name, "website": "https://same.test"}
+    _write_pages(pages, [_page(1, [dup("first")]), _page(2, [{"name": "bad", "website": "w", "createdAt": ""}]),
+                         _page(3, [dup("a-second")], has_next=False)])
+    root = str(tmp_path / "wh")
+    assert cli.land_launches(spark, pages, root) == 1 and cli.land_launches(spark, pages, root) == 0
+    assert [r.name for r in registry.read_raw(spark, root, "raw_launches").collect()] == ["first"]
+    assert spark.read.parquet(f"{root}/quarantine/raw_launches").count() == 1
+
+
+def test_quarantine_of_a_relanded_file_stays(spark, tmp_path):
+    from cohortkit import cli
+    p = tmp_path / "u.json"
+    _write_lines(p, [{"user_id": "a"}, {"user_id": "b", "fans": "x"}, "{broken"])
+    root = str(tmp_path / "wh")
+    for _ in range(2):
+        assert cli.land(spark, "users", str(p), root)["rejected"] == 2
+    assert spark.read.parquet(f"{root}/quarantine/raw_users").count() == 2
+
+
+def test_unreadable_target_is_an_error(spark, tmp_path):
+    import pytest
+    from cohortkit.streaming.ingest_stream import _target_or_empty
+    like = spark.range(1)
+    assert _target_or_empty(spark, str(tmp_path / "none"), like).count() == 0
+    (tmp_path / "junk").mkdir()
+    (tmp_path / "junk" / "part-0.parquet").write_text("no parquet")
+    with pytest.raises(Exception, match="(?i)parquet|corrupt|not a"):
+        _target_or_empty(spark, str(tmp_path / "junk"), like).collect()
+
+
+def test_sync_copies_all_tables_once(spark, tmp_path):
+    from cohortkit import cli
+    from cohortkit.plans.models import Models
+    from .conftest import SF001
+    fx = Models.from_fixtures(spark, SF001)
+    a, b = str(tmp_path / "a"), str(tmp_path / "b")
+    for name in cli.SYNCED:
+        registry.append_raw(fx.raw[name], a, name)
+    registry.append_raw(fx.raw_users.limit(10), b, "raw_users")
+    added = cli.sync(spark, a, b)
+    assert added == {"raw_launches": fx.raw_launches.count(), "raw_users": fx.raw_users.count() - 10,
+                     "raw_reviews": fx.raw_reviews.count()}
+    assert set(cli.sync(spark, a, b).values()) == {0}
+    cols = cli.SYNCED["raw_reviews"][0]
+    assert sorted(map(str, registry.read_raw(spark, b, "raw_reviews").select(*cols).collect())) == sorted(
+        map(str, fx.raw_reviews.select(*cols).collect()))
 
 
 def test_b6_node_cases(spark, tmp_path):
@@ -85,15 +185,15 @@ def test_b6_node_cases(spark, tmp_path):
     got = {r.name: r for r in good.collect()}
     assert got["A"].category is None and got["A"].pricing_type == "Free"
     assert got["A"].launch_date == D(2024, 1, 5) and got["A"].product_url == "https://x.test/posts/A"
-    assert got["B"].category == "AI" and got["B"].pricing_type == "Unknown"
-    assert got["B"].launch_date is None and got["B"].product_url == "https://x.test/posts/B"
     assert got["C"].launch_date is None and got["C"].product_url == "https://c.test"
-    assert rejected.count() == 1
+    bad = {r.name: r for r in rejected.collect()}
+    assert set(bad) == {"B", None} and bad["B"]._reject_reason == "unparsable value"
+    assert bad["B"].category == "AI" and bad["B"].product_url == "https://x.test/posts/B"
 
 
 def test_land_with_audit_dense_ids(spark):
     df = spark.range(0, 1000, numPartitions=7).selectExpr("concat('k', id) AS product_url")
-    landed = ingest.land_with_audit(df, "id", "scraped_at", load_ts="2024-01-01 00:00:00", start_id=101)
+    landed = ingest.land_with_audit(df, "product_url", "id", "scraped_at", load_ts="2024-01-01 00:00:00", start_id=101)
     ids = sorted(r.id for r in landed.collect())
     assert ids == list(range(101, 1101))
 
@@ -151,8 +251,8 @@ def test_anti_join_against_bucketed_target_shuffles_only_the_batch(spark, tmp_pa
     spark.conf.set("spark.sql.adaptive.autoBroadcastJoinThreshold", "-1")
     try:
         batch = spark.range(4990, 5010).select(F.concat(F.lit("r"), F.col("id").cast("string")).alias("review_id"),
-                                               F.lit(2.0).alias("stars"))
-        out = ingest.insert_ignore(batch, spark.table("bucketed_target_t"), "review_id")
+                                               F.lit(2.0).alias("stars"), F.lit(0).alias("arrival"))
+        out = ingest.insert_ignore(batch, spark.table("bucketed_target_t"), "review_id", "arrival")
         assert sorted(r.review_id for r in out.collect()) == [f"r{i}" for i in range(5000, 5010)]
         plan = out._jdf.queryExecution().executedPlan().toString()
         scan_side = plan.split("FileScan parquet spark_catalog.default.bucketed_target_t")[0].splitlines()[-1]
@@ -168,7 +268,7 @@ def test_land_batch_retry_is_idempotent(spark, tmp_path):
     inbox.mkdir()
     _write_lines(inbox / "f.json", [{"review_id": f"r{i}", "user_id": "u", "business_id": "b", "stars": 3,
                                      "date": "2021-02-03"} for i in range(50)] + ["{broken"])
-    batch = spark.read.schema(readers._with_corrupt(readers.S.REVIEW_JSON)).json(str(inbox))
+    batch = readers._json(spark, str(inbox), readers.S.REVIEW_JSON)
     target, quarantine = str(tmp_path / "t"), str(tmp_path / "q")
     for _ in range(3):  # the same batch delivered again after a failure
         land_batch(batch, 7, "reviews", target, quarantine, load_ts="2024-01-01 00:00:00")
