@@ -111,8 +111,3 @@ def display_number(c, decimals: int = 0) -> Column:
     """Thousands-separated text with fixed decimals (e.g. 12,345 or 52.3); a last-step
     projection for display -- datasets keep numbers."""
     return F.format_number(_col(c).cast("double"), decimals)
-
-
-def percent(c, scale: int = 4) -> Column:
-    """Fraction -> percent."""
-    return F.round(_col(c) * 100, scale)

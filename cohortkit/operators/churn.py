@@ -8,13 +8,16 @@ is collected except the model and the label vocabulary (4 segment names).
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.ml.classification import GBTClassificationModel, GBTClassifier
-from pyspark.ml.feature import StringIndexer, VectorAssembler
+from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .. import params as P
+from ..session import checkpoint_dir
 
 FEATURES = ["total_reviews", "avg_stars", "avg_engagement_score", "user_segment_encoded"]
 LABEL = "churned_early"
@@ -33,15 +36,19 @@ def churn_training_set(survival: DataFrame, churn_days: int = P.CHURN_DAYS,
 
 
 def segment_encoding(df: DataFrame, col: str = "user_segment", out: str = "user_segment_encoded") -> DataFrame:
-    """Alphabetical label codes 0..k-1 (the vocabulary is the distinct values, fitted once).
+    """Alphabetical label codes 0..k-1 over the distinct values; a null gets code k.
 
-    The code is kept as a plain number without ML nominal metadata, so trees treat it
-    as ordinal, like the reference classifier does.
+    Lazy: the vocabulary (one row per label) is ranked and joined inside the same plan.  The
+    code is a plain number without nominal metadata, so trees treat it as ordinal, like the
+    reference classifier does.
     """
-    model = StringIndexer(inputCol=col, outputCol=out, stringOrderType="alphabetAsc",
-                          handleInvalid="keep").fit(df)
-    encoded = model.transform(df)
-    return encoded.withColumn(out, F.col(out).cast("int"))
+    order = Window.orderBy("_label").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    labels = df.select(F.col(col).alias("_label")).where(F.col(col).isNotNull()).distinct().select(
+        "_label", (F.count("_label").over(order) - 1).cast("int").alias(out))
+    size = labels.agg(F.count(F.lit(1)).cast("int").alias("_labels"))
+    coded = df.join(labels, F.col(col) == F.col("_label"), "left")
+    return coded.join(F.broadcast(size)).select(
+        *df.columns, F.coalesce(F.col(out), F.col("_labels")).alias(out))
 
 
 def churn_split(df: DataFrame, key: str = "user_id", test_below: str = TEST_HEX_BELOW) -> DataFrame:
@@ -55,9 +62,15 @@ def split_sizes(split: DataFrame) -> DataFrame:
     return split.groupBy("split").agg(F.count(F.lit(1)).alias("users"))
 
 
+# A missing feature gets a value below every real one (all features are counts, stars or sums of
+# them, so not negative): a tree can send missing values their own way, and every user is scored.
+MISSING = -1.0
+
+
 def assemble(df: DataFrame) -> DataFrame:
-    return VectorAssembler(inputCols=FEATURES, outputCol="features", handleInvalid="skip").transform(
-        df.withColumn("user_segment_encoded", F.col("user_segment_encoded").cast("double")))
+    filled = df.select("*", *[F.coalesce(F.col(c).cast("double"), F.lit(MISSING)).alias(f"_{c}") for c in FEATURES])
+    out = VectorAssembler(inputCols=[f"_{c}" for c in FEATURES], outputCol="features").transform(filled)
+    return out.drop(*[f"_{c}" for c in FEATURES])
 
 
 def fit_churn(train: DataFrame, trees: int = P.GBT_TREES, depth: int = P.GBT_DEPTH,
@@ -68,27 +81,34 @@ def fit_churn(train: DataFrame, trees: int = P.GBT_TREES, depth: int = P.GBT_DEP
 
 
 def score(model: GBTClassificationModel, df: DataFrame) -> DataFrame:
+    """Label, prediction and the probability as it is (metrics rank these; round for display)."""
     scored = model.transform(df)
     return scored.select("user_id", F.col(LABEL).alias("label"), F.col("prediction").cast("int").alias("prediction"),
-                         F.round(vector_to_array("probability")[1], 6).alias("score"))
+                         vector_to_array("probability")[1].alias("score"))
 
 
-def prepared(survival: DataFrame) -> DataFrame:
-    """Training set with encoded segment, split column and feature vector."""
-    return assemble(churn_split(segment_encoding(churn_training_set(survival))))
+def displayed(scored: DataFrame) -> DataFrame:
+    return scored.withColumn("score", F.round("score", 6))
 
 
-# Rows per training partition.  The trainer runs ~5 small jobs per tree, each with one
-# task per partition, so partitions are sized to the data rather than to the shuffle
-# setting: a few thousand users train in one task, a billion users in ~2,000.
-TRAIN_ROWS_PER_PARTITION = 500_000
+def prepared(survival: DataFrame, churn_days: int = P.CHURN_DAYS, min_reviews: int = P.MIN_REVIEWS) -> DataFrame:
+    """Training set with encoded segment, split column and feature vector."""
+    return assemble(churn_split(segment_encoding(churn_training_set(survival, churn_days, min_reviews))))
+
 
+def train_and_score(survival: DataFrame, churn_days: int = P.CHURN_DAYS,
+                    min_reviews: int = P.MIN_REVIEWS) -> tuple[GBTClassificationModel, DataFrame]:
+    """Fit on the training side and score every user of the hold-out side.
 
-def train_and_score(survival: DataFrame) -> tuple[GBTClassificationModel, DataFrame]:
-    data = prepared(survival)
-    train = data.where(F.col("split") == "train").persist()
-    parts = max(1, -(-train.count() // TRAIN_ROWS_PER_PARTITION))
-    model = fit_churn(train.coalesce(parts))
+    The prepared set is stored once in the shared folder; the fit and the scoring read it there.
+    The trainer runs several small jobs per tree, so its partitions follow the cluster's cores.
+    """
+    spark = survival.sparkSession
+    path = f"{checkpoint_dir(spark).rstrip('/')}/churn-prepared-{uuid.uuid4().hex}"
+    prepared(survival, churn_days, min_reviews).write.parquet(path)
+    data = spark.read.parquet(path)
+    train = data.where(F.col("split") == "train").coalesce(spark.sparkContext.defaultParallelism).persist()
+    model = fit_churn(train)
     train.unpersist()
     return model, score(model, data.where(F.col("split") == "test"))
 

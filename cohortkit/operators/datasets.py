@@ -33,10 +33,10 @@ def overview_kpis(survival: DataFrame, launch_perf: DataFrame) -> DataFrame:
 
 
 def _curve_window(retention: DataFrame, lo, hi, max_month: int) -> DataFrame:
-    return retention.where(
-        (F.col("months_since_joining") <= max_month)
-        & (F.col("cohort_month") >= C.as_date(lo))
-        & (F.col("cohort_month") < C.as_date(hi)))
+    """Cohorts in [lo, hi); None: no bound."""
+    out = retention.where(F.col("months_since_joining") <= max_month)
+    out = out.where(F.col("cohort_month") >= C.as_date(lo)) if lo is not None else out
+    return out.where(F.col("cohort_month") < C.as_date(hi)) if hi is not None else out
 
 
 def cohort_list(retention: DataFrame, lo, hi, max_month: int = P.CURVE_MAX_MONTH) -> DataFrame:

@@ -106,15 +106,6 @@ def active_months_from_profile(stg_users: DataFrame, profile: DataFrame) -> Data
                         C.months_between_starts("activity_month", "cohort_month")))
 
 
-def active_user_months(stg_users: DataFrame, stg_reviews: DataFrame) -> DataFrame:
-    """Distinct (user, active month) pairs with the user's cohort, months >= 0.
-
-    Reviews are reduced to one bounded set of months per user *before* the shuffle
-    (``collect_set`` aggregates partially on the map side), then joined to users.
-    """
-    return active_months_from_profile(stg_users, user_review_profile(stg_reviews))
-
-
 def cohort_activity(stg_users: DataFrame, stg_reviews: DataFrame) -> DataFrame:
     """Distinct active users per (cohort_month, months_since_joining), months >= 0."""
     return cohort_activity_from_profile(stg_users, user_review_profile(stg_reviews))

@@ -5,15 +5,13 @@
 
     AUC = sum_s pos(s) * (neg(< s) + neg(s) / 2) / (P * N)
 
-computed as a distributed prefix sum: scores are grouped (partial aggregation), the
-distinct scores are cut into quantile ranges, each range gets its exclusive offset
-from a tiny per-range total table, and the running sum inside a range is a window
-over that range only.  No single task ever sees all distinct scores.
+computed as a distributed prefix sum: scores are grouped (partial aggregation) and cut
+into fixed ranges, each range gets its exclusive offset from a small per-range total
+table, and the running sum inside a range is a window over that range only.
 """
 
 from __future__ import annotations
 
-from pyspark.ml.feature import Bucketizer
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -66,27 +64,24 @@ def classification_report(scored: DataFrame, label: str = "label", prediction: s
     return counts.select(F.inline(rows))
 
 
-def roc_auc(scored: DataFrame, label: str = "label", score: str = "score", ranges: int = 64) -> DataFrame:
-    """Exact ROC AUC (ties count one half) as a one-row DataFrame ``auc``."""
+def roc_auc(scored: DataFrame, label: str = "label", score: str = "score", ranges: int = 10_000) -> DataFrame:
+    """Exact ROC AUC (ties count one half) of scores, mostly in [0, 1], as a one-row DataFrame ``auc``.
+
+    ``ranges`` fixed-width score ranges (what lies outside [0, 1] falls into the outer ones) keep
+    their order, so the running count needs a window only inside a range; the per-range totals are
+    at most ``ranges`` rows.  Nothing runs while the query is built.
+    """
     y = F.col(label).cast("long")
     by_score = scored.groupBy(F.col(score).cast("double").alias("s")).agg(
         F.sum(y).alias("pos"), F.sum(1 - y).alias("neg"))
-    # Quantile cut points of the distinct scores (at most ``ranges`` numbers reach the driver).
-    probs = [i / ranges for i in range(1, ranges)]
-    cuts = sorted(set(by_score.approxQuantile("s", probs, 0.001)))
-    splits = [-float("inf")] + cuts + [float("inf")]
-    bucketed = Bucketizer(splits=splits, inputCol="s", outputCol="r",
-                          handleInvalid="keep").transform(by_score)
-    # Exclusive prefix of negatives per range, over the tiny per-range table.
-    totals = bucketed.groupBy("r").agg(F.sum("neg").alias("range_neg"))
-    offsets = totals.withColumn(
-        "neg_before_range",
-        F.coalesce(F.sum("range_neg").over(Window.orderBy("r").rowsBetween(Window.unboundedPreceding, -1)),
-                   F.lit(0)))
+    place = F.floor(F.least(F.greatest(F.col("s"), F.lit(0.0)), F.lit(1.0)) * ranges)
+    ranged = by_score.withColumn("r", F.least(place, F.lit(ranges - 1)))
+    totals = ranged.groupBy("r").agg(F.sum("neg").alias("range_neg"))
+    before = Window.orderBy("r").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = totals.select("r", F.coalesce(F.sum("range_neg").over(before), F.lit(0)).alias("neg_before_range"))
     inside = Window.partitionBy("r").orderBy("s").rowsBetween(Window.unboundedPreceding, -1)
-    ranked = (bucketed
-              .withColumn("neg_before_in_range", F.coalesce(F.sum("neg").over(inside), F.lit(0)))
-              .join(F.broadcast(offsets.select("r", "neg_before_range")), "r"))
+    ranked = ranged.withColumn("neg_before_in_range", F.coalesce(F.sum("neg").over(inside), F.lit(0))).join(
+        F.broadcast(offsets), "r")
     below = F.col("neg_before_range") + F.col("neg_before_in_range")
     return ranked.agg(
         F.round(F.try_divide(F.sum(F.col("pos") * (below + F.col("neg") / 2.0)),

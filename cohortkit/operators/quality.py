@@ -1,16 +1,17 @@
 """Declarative data-quality checks.
 
 Each check yields a row ``(check_id, model, column_name, check_name, failing_rows,
-passed)``.  All row-level checks of one model (not_null, accepted_values, between,
-row_count) are fused into a single aggregate over the model, i.e. one scan; each
-``unique`` check is one grouped aggregate on its column (partial aggregation first).
+passed)``.  All row-level checks of one model (not_null, between, row_count) are fused
+into a single aggregate over the model, i.e. one scan; each ``unique`` and
+``accepted_values`` check is one grouped aggregate on its column (partial aggregation
+first; of accepted values only those off the list reach it).
 Column-order checks read only the schema.
 
 Semantics (nulls pass unless stated):
   not_null         rows where the column is null
   unique           distinct non-null values that occur more than once
   accepted_values  distinct non-null values outside the list
-  between          rows whose value is outside [lo, hi] (inclusive bounds)
+  between          rows whose value is outside [lo, hi] (inclusive; None: no bound)
   row_count        1 when the table's row count is outside [lo, hi], else 0
   columns          1 when the ordered column list differs from the expected one, else 0
   relationships    rows whose non-null value has no match in ``ref_model.ref_column``
@@ -20,11 +21,12 @@ Semantics (nulls pass unless stated):
 from __future__ import annotations
 
 import datetime as dt
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .. import params as P
 from ..schemas import STG_REVIEWS_COLUMNS
 
 
@@ -44,7 +46,8 @@ class Check:
         return f"{self.model}.{self.column or '_table'}.{self.kind}"
 
 
-# The declared check suite on the staging models (35 checks).
+# The declared check suite on the staging models (35 checks).  The bounds of the row counts
+# and of the review date depend on the deployment; they come from the parameters (``suite``).
 SUITE: list[Check] = [
     Check("stg_launches", "not_null", "id"),
     Check("stg_launches", "unique", "id"),
@@ -56,7 +59,7 @@ SUITE: list[Check] = [
     Check("stg_launches", "accepted_values", "traction_tier",
           values=("High Traction", "Medium Traction", "Low Traction")),
     Check("stg_launches", "not_null", "category"),
-    Check("stg_reviews", "row_count", lo=0, hi=1_000_000),
+    Check("stg_reviews", "row_count", lo=0),
     Check("stg_reviews", "columns", values=tuple(STG_REVIEWS_COLUMNS)),
     Check("stg_reviews", "not_null", "review_id"),
     Check("stg_reviews", "unique", "review_id"),
@@ -65,13 +68,13 @@ SUITE: list[Check] = [
     Check("stg_reviews", "not_null", "stars"),
     Check("stg_reviews", "between", "stars", lo=1, hi=5),
     Check("stg_reviews", "not_null", "review_date"),
-    Check("stg_reviews", "between", "review_date", lo=dt.date(2000, 1, 1), hi=dt.date(2030, 1, 1)),
+    Check("stg_reviews", "between", "review_date"),
     Check("stg_reviews", "not_null", "review_month"),
     Check("stg_reviews", "not_null", "engagement_score"),
     Check("stg_reviews", "between", "engagement_score", lo=0, hi=1000),
     Check("stg_reviews", "not_null", "sentiment"),
-    Check("stg_reviews", "accepted_values", "sentiment", values=("Positive", "Neutral", "Negative")),
-    Check("stg_users", "row_count", lo=0, hi=1_000_000),
+    Check("stg_reviews", "accepted_values", "sentiment", values=tuple(P.SENTIMENTS)),
+    Check("stg_users", "row_count", lo=0),
     Check("stg_users", "not_null", "user_id"),
     Check("stg_users", "unique", "user_id"),
     Check("stg_users", "not_null", "cohort_month"),
@@ -80,13 +83,25 @@ SUITE: list[Check] = [
     Check("stg_users", "between", "average_stars", lo=1, hi=5),
     Check("stg_users", "not_null", "user_segment"),
     Check("stg_users", "accepted_values", "user_segment",
-          values=("Power User", "Regular User", "Casual User", "New User")),
+          values=tuple(P.SEGMENT_NAMES)),
     Check("stg_users", "not_null", "influence_tier"),
-    Check("stg_users", "accepted_values", "influence_tier", values=("Influencer", "Active", "Standard")),
+    Check("stg_users", "accepted_values", "influence_tier", values=tuple(P.INFLUENCE_NAMES)),
 ]
 
+
+def suite(params: P.Params) -> list[Check]:
+    """The suite with the deployment's bounds."""
+    def bounded(c: Check) -> Check:
+        if c.kind == "row_count":
+            return replace(c, hi=params.dq_max_rows)
+        if c.column == "review_date" and c.kind == "between":
+            return replace(c, lo=params.dq_date_lo, hi=params.dq_date_hi)
+        return c
+    return [bounded(c) for c in SUITE]
+
+
 RESULT_COLUMNS = ["check_id", "model", "column_name", "check_name", "failing_rows", "passed"]
-FUSED_KINDS = ("not_null", "accepted_values", "between", "row_count")
+FUSED_KINDS = ("not_null", "between", "row_count")
 
 
 def _lit(v) -> Column:
@@ -99,13 +114,14 @@ def _failing_expr(c: Check) -> Column:
         return F.count_if(F.col(c.column).isNull())
     if c.kind == "between":
         col = F.col(c.column)
-        return F.count_if(~((col >= _lit(c.lo)) & (col <= _lit(c.hi))))
-    if c.kind == "accepted_values":
-        col = F.col(c.column)
-        return F.count_distinct(F.when(~col.isin(list(c.values)), col))
+        below = col < _lit(c.lo) if c.lo is not None else F.lit(False)
+        above = col > _lit(c.hi) if c.hi is not None else F.lit(False)
+        return F.count_if(below | above)
     if c.kind == "row_count":
         n = F.count(F.lit(1))
-        return F.when((n < c.lo) | (n > c.hi), 1).otherwise(0)
+        below = n < c.lo if c.lo is not None else F.lit(False)
+        above = n > c.hi if c.hi is not None else F.lit(False)
+        return F.when(below | above, 1).otherwise(0)
     raise ValueError(c.kind)
 
 
@@ -132,6 +148,10 @@ def run_checks(df: DataFrame, checks: list[Check], models: dict[str, DataFrame]
                    .where(F.col("count") > 1))
             parts.append(dup.agg(F.count(F.lit(1)).alias("n"))
                          .select(F.inline(F.array(_row(c, F.col("n"))))))
+        elif c.kind == "accepted_values":
+            # Its own small aggregate: a distinct count among the others would expand every row for each.
+            off = df.where(~F.col(c.column).isin(list(c.values))).select(c.column).distinct()
+            parts.append(off.agg(F.count(F.lit(1)).alias("n")).select(F.inline(F.array(_row(c, F.col("n"))))))
         elif c.kind == "columns":
             failing = 0 if list(df.columns) == list(c.values) else 1
             parts.append(df.sparkSession.range(1).select(F.inline(F.array(_row(c, F.lit(failing))))))
@@ -225,11 +245,11 @@ def check_sql(c: Check, relation: str) -> str:
         vals = ", ".join(_sql_lit(v) for v in c.values)
         failing = f"(SELECT COUNT(DISTINCT {col}) FROM {relation} WHERE {col} NOT IN ({vals}))"
     elif c.kind == "between":
-        failing = (f"(SELECT COUNT(*) FROM {relation} WHERE NOT ({col} >= {_sql_lit(c.lo)} "
-                   f"AND {col} <= {_sql_lit(c.hi)}))")
+        tests = [f"{col} {op} {_sql_lit(v)}" for op, v in (("<", c.lo), (">", c.hi)) if v is not None]
+        failing = f"(SELECT COUNT(*) FROM {relation} WHERE {' OR '.join(tests) or 'FALSE'})"
     elif c.kind == "row_count":
-        failing = (f"(SELECT CASE WHEN COUNT(*) < {c.lo} OR COUNT(*) > {c.hi} THEN 1 ELSE 0 END "
-                   f"FROM {relation})")
+        tests = [f"COUNT(*) {op} {v}" for op, v in (("<", c.lo), (">", c.hi)) if v is not None]
+        failing = f"(SELECT CAST({' OR '.join(tests) or 'FALSE'} AS INT) FROM {relation})"
     elif c.kind == "columns":
         failing = "0"
     elif c.kind == "relationships":

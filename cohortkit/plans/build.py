@@ -16,16 +16,16 @@ from .models import Models
 
 
 def run_build(spark: SparkSession, models: Models, root: str, gate: bool = True,
-              suite=quality.SUITE) -> tuple[DataFrame, dict[str, str]]:
+              suite=None) -> tuple[DataFrame, dict[str, str]]:
     """Returns (quality report, written mart paths).  Raises ``QualityGateError`` when
     ``gate`` is set and a check fails; nothing is written then."""
     views = models.staging_views()
     registry.register_views(spark, views)
-    report = quality.dq_report(views, suite).cache()
+    report = quality.dq_report(views, suite or quality.suite(models.params)).cache()
     if gate:
         quality.gate(report)
-    # Both user marts aggregate the reviews per user: write that profile once, so the
-    # review table is read and shuffled once for the whole build.
+    # Both user marts aggregate the reviews per user: that profile is written once and read by
+    # both (the gate has its own passes: one fused scan per model, one grouped pass per unique check).
     inter = registry.materialize({"user_review_profile": models.user_profile}, root, layer="intermediate")
     models.use_profile(spark.read.parquet(inter["user_review_profile"]))
     paths = registry.materialize(models.mart_tables(), root, layer="marts")

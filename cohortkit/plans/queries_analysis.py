@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from pyspark.sql import functions as F
+
 from ..operators import churn, datasets, metrics, survival
 from ..params import FIXTURE_PARAMS, Z_95
 from .catalog import register
@@ -179,7 +181,7 @@ FROM km_in"""))(lambda m: survival.survival_summary(_km_in(m)))
 
 # --------------------------------------------------------------------- churn
 def _training(m):
-    return churn.churn_training_set(m.survival_inputs)
+    return churn.churn_training_set(m.survival_inputs, m.params.churn_days, m.params.min_reviews)
 
 
 def _churn_sql(final: str, extra: str = "") -> str:
@@ -227,18 +229,24 @@ FROM (
         FROM rule_scored GROUP BY score) g
 ) c"""))(lambda m: metrics.roc_auc(churn.rule_score(_training(m))))
 
-# The boosted-tree model: trained once per (session, input) and reused by the keys below.
+# The boosted-tree model: trained once per session, parameters and content of its input, and reused by
+# the keys below.
 _MODELS: dict = {}
 
 
 def _trained(m):
-    key = (m.spark.sparkContext.applicationId, m.source)
+    content = m.survival_inputs.agg(F.count("*"), F.bit_xor(F.xxhash64(*m.survival_inputs.columns))).first()
+    key = (m.spark.sparkContext.applicationId, m.source, m.params, tuple(content))
     if key not in _MODELS:
-        _MODELS[key] = churn.train_and_score(m.survival_inputs)
+        _MODELS[key] = churn.train_and_score(m.survival_inputs, m.params.churn_days, m.params.min_reviews)
     return _MODELS[key]
 
 
-register("churn_predictions")(lambda m: _trained(m)[1])
+register("churn_predictions")(lambda m: churn.displayed(_trained(m)[1]))
+# Whoever is on the hold-out side is scored, with the label that the training set has.
+register("churn_scored_users", _churn_sql(
+    "SELECT user_id, churned_early AS label FROM training WHERE substr(md5(user_id), 1, 2) < '33'"))(
+    lambda m: _trained(m)[1].select("user_id", "label"))
 register("feature_importance")(lambda m: churn.feature_importance(_trained(m)[0], m.spark))
 register("top_feature")(lambda m: churn.top_feature(
     churn.feature_importance(_trained(m)[0], m.spark)))

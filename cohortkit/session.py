@@ -22,8 +22,9 @@ DEFAULTS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
-    # Broadcast only build sides measured below 32 MB; larger sides stay shuffled.
-    "spark.sql.autoBroadcastJoinThreshold": str(32 * 1024 * 1024),
+    # Broadcast only build sides measured below 32 MB at run time; estimates made before the
+    # run (from compressed file sizes) decide nothing.
+    "spark.sql.autoBroadcastJoinThreshold": "-1",
     "spark.sql.adaptive.autoBroadcastJoinThreshold": str(32 * 1024 * 1024),
     # Input splits of 128 MB keep scan tasks well inside executor memory.
     "spark.sql.files.maxPartitionBytes": str(128 * 1024 * 1024),
@@ -53,13 +54,12 @@ def build_session(master: str | None = None, shuffle_partitions: int | None = No
 
 
 def configure(spark: SparkSession) -> SparkSession:
-    """Apply the package defaults the deployment did not set, and make sure a checkpoint
-    folder exists.  Only runtime SQL settings are touched."""
+    """Apply the package defaults the deployment did not set.  Only runtime SQL settings are
+    touched; a checkpoint folder is asked for only where something is checkpointed."""
     deployed = spark.sparkContext.getConf()
     for key, value in DEFAULTS.items():
         if not deployed.contains(key):
             spark.conf.set(key, value)
-    checkpoint_dir(spark)
     return spark
 
 
@@ -95,12 +95,13 @@ def size_shuffles(spark: SparkSession, input_bytes: int, target: int = TARGET_PA
     """Start shuffles with about one partition per ``target`` bytes of input; AQE then
     coalesces small ones (advisory size = ``target``) and splits skewed ones.
 
-    Only raises the initial partition count; a value the cluster set explicitly wins.
+    Only raises the initial partition count, also above what an earlier, smaller input set; a
+    value the cluster was started with wins.
     """
     key = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
     wanted = max(1, -(-int(input_bytes) // target))
-    if spark.conf.get(key, None) is None:
-        current = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    if not spark.sparkContext.getConf().contains(key):
+        current = int(spark.conf.get(key, None) or spark.conf.get("spark.sql.shuffle.partitions"))
         if wanted > current:
             spark.conf.set(key, str(wanted))
             spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", str(target))

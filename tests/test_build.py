@@ -51,6 +51,34 @@ def test_size_shuffles_only_raises(spark):
     key = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
     assert size_shuffles(spark, 10) == 1
     assert spark.conf.get(key, None) is None
+    try:
+        size_shuffles(spark, 100 << 27)
+        assert spark.conf.get(key) == "100"
+        size_shuffles(spark, 20 << 27)
+        assert spark.conf.get(key) == "100"
+        size_shuffles(spark, 10_000 << 27)
+        assert spark.conf.get(key) == "10000"
+    finally:
+        spark.conf.unset(key)
+        spark.conf.unset("spark.sql.adaptive.advisoryPartitionSizeInBytes")
+
+
+def test_gated_build_succeeds_over_a_million_reviews(spark, tmp_path):
+    from pyspark.sql import functions as F
+
+    from cohortkit.params import FIXTURE_PARAMS, Params
+    fx = Models.from_fixtures(spark, SF001)
+    n = 1_000_001 // fx.raw_reviews.count() + 1
+    copies = fx.raw_reviews.crossJoin(spark.range(n)).withColumn(
+        "review_id", F.concat_ws("-", "review_id", "id")).drop("id")
+    assert copies.count() > 1_000_000
+    raw = {**fx.raw, "raw_reviews": copies,
+           "raw_users": fx.raw_users.where("average_stars >= 1 AND yelping_since IS NOT NULL"),
+           "raw_launches": fx.raw_launches.where("upvotes IS NOT NULL")}
+    big = Models(raw, Params(as_of=FIXTURE_PARAMS.as_of))
+    report, paths = run_build(spark, big, str(tmp_path / "wh"))
+    assert report.where("NOT passed").count() == 0
+    assert spark.read.parquet(paths["fct_retention_cohorts"]).count() > 0
 
 
 def test_build_reads_reviews_once_through_the_profile(spark, tmp_path):

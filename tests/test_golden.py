@@ -164,8 +164,9 @@ def test_assemble_features_and_split(spark):
         "user_id string, total_reviews long, avg_stars double, avg_engagement_score double, "
         "user_segment_encoded int")
     out = churn.assemble(df).collect()
-    assert [r.user_id for r in out] == ["u1", "u3"]          # rows with a missing feature are skipped
+    assert [r.user_id for r in out] == ["u1", "u2", "u3"]
     assert out[0].features.toArray().tolist() == [3.0, 4.0, 7.0, 2.0]
+    assert out[1].features.toArray().tolist() == [5.0, churn.MISSING, 9.0, 1.0]  # a missing feature has its own value
     split = {r.user_id: r.split for r in churn.churn_split(df).collect()}
     import hashlib
     assert split == {u: ("test" if hashlib.md5(u.encode()).hexdigest()[:2] < "33" else "train") for u in split}
