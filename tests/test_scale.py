@@ -109,7 +109,7 @@ def test_retention_reads_two_review_columns_and_preaggregates(stored):
 
 def test_first_wins_dedup_is_partial_aggregate(stored):
     raw = stored.raw_reviews
-    text = _formatted(ingest.insert_ignore(raw, raw.limit(0), "review_id"))
+    text = _formatted(ingest.insert_ignore(raw.selectExpr("*", "0 as arrival"), raw.limit(0), "review_id", "arrival"))
     assert "partial_min" in text and "Window" not in text
 
 
@@ -148,3 +148,32 @@ def test_bucketed_reviews_and_users_need_no_user_shuffle(spark, tmp_path):
         spark.conf.set("spark.sql.adaptive.autoBroadcastJoinThreshold", str(32 * 1024 * 1024))
         for t in names.values():
             spark.sql(f"DROP TABLE IF EXISTS {t}")
+
+
+def test_a_hot_users_reviews_are_split_in_the_row_level_join(spark):
+    """``user_activity`` under a shuffle join: the partition of a user with a third of all reviews is
+    read by several tasks, each with its own copy of the narrow user row."""
+    import datetime as dt
+
+    from cohortkit.operators import marts
+    users = spark.range(3000).selectExpr("concat('u', id) AS user_id", "DATE '2019-01-01' AS cohort_month")
+    reviews = spark.range(0, 300_000, numPartitions=16).selectExpr(
+        "CASE WHEN id % 3 = 0 THEN 'u7' ELSE concat('u', id % 3000) END AS user_id",
+        "add_months(DATE '2019-01-01', CAST(id * 7919 % 60 AS INT)) AS review_month", "sha2(CAST(id AS STRING), 256) AS pad")
+    conf = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+            "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "64k",
+            "spark.sql.adaptive.advisoryPartitionSizeInBytes": "32k",
+            "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    old = {k: spark.conf.get(k, None) for k in conf}
+    try:
+        for k, v in conf.items():
+            spark.conf.set(k, v)
+        out = marts.user_activity(users, reviews)
+        rows = out.collect()
+        plan = out._jdf.queryExecution().executedPlan().toString()
+        assert "skewed" in plan and "skew=true" in plan
+        assert len(rows) == 300_000 and sum(r.user_id == "u7" for r in rows) > 100_000
+        assert {r.cohort_month for r in rows} == {dt.date(2019, 1, 1)}
+    finally:
+        for k, v in old.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)

@@ -21,4 +21,4 @@ def test_deployment_settings_win():
     out = subprocess.run([sys.executable, "-c", SNIPPET], capture_output=True, text=True, cwd=root, timeout=180,
                          env={**os.environ, "PYTHONPATH": root})
     assert out.returncode == 0, out.stderr[-2000:]
-    assert out.stdout.split()[-3:] == ["1234", "UTC", "True"]
+    assert out.stdout.split()[-3:] == ["1234", "UTC", "False"]  # no checkpoint folder is asked for
