@@ -11,7 +11,7 @@ s = (SparkSession.builder.master('local[1]').config('spark.ui.enabled', 'false')
 from cohortkit.session import configure
 configure(s)
 print(s.conf.get('spark.sql.autoBroadcastJoinThreshold'), s.conf.get('spark.sql.session.timeZone'),
-      s.sparkContext.getCheckpointDir() is not None)
+      s.conf.get('spark.sql.adaptive.autoBroadcastJoinThreshold'))
 s.stop()
 """
 
@@ -21,4 +21,4 @@ def test_deployment_settings_win():
     out = subprocess.run([sys.executable, "-c", SNIPPET], capture_output=True, text=True, cwd=root, timeout=180,
                          env={**os.environ, "PYTHONPATH": root})
     assert out.returncode == 0, out.stderr[-2000:]
-    assert out.stdout.split()[-3:] == ["1234", "UTC", "False"]  # no checkpoint folder is asked for
+    assert out.stdout.split()[-3:] == ["1234", "UTC", str(32 * 1024 * 1024)]
