@@ -36,7 +36,7 @@ class Settings:
     max_passes: int = 3
     shards: int = 8
     block_rows: int = 1000       # documents in a block, until a source has max_blocks
-    max_blocks: int = 4096       # blocks of one source
+    max_blocks: int = 1_000_000  # blocks of one source; their table is never collected or broadcast
     max_sources: int = 100_000   # broadcast up to this many rows of about 200 bytes
     seed: int = 20240310
 
