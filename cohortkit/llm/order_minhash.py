@@ -6,13 +6,13 @@ only where both texts hold the same shingles in the same order. ``bands`` pairs
 buckets. The similarity of a pair is that of its aligned shingles, M / (a + b - M) for M shingles matched
 in order, computed by a bit-parallel alignment inside the band that the threshold leaves open.
 
-Nobody is compared with a whole bucket. First every member meets its bucket's most connected text (its
-centre); a class hangs together through its centres. A member that is not similar to the centre meets
-the bucket's other members in blocks of bounded size that compare sketches. Only those pairs are aligned
-that agree in ``agree`` sketches (a similar pair agrees in about 25 of 40) and share enough with the
-centre to be similar (texts that share what their centre lacks meet in the buckets of that). So no bucket
-is capped, no group is gathered in one task, and links are not lost behind a centre. Classes are
-the connected components, by alternating large-star and small-star rounds.
+First every member of a bucket is aligned with the bucket's most connected text (its centre). A member
+that these links leave outside the centre's component then meets the bucket's other members in blocks of
+bounded size. A pair is passed over only if it is known to be in one component, or if it cannot be similar:
+a bitmap of each text's shingles gives an upper bound of what two texts share. Of each block the pairs that
+would join its components (a forest) are aligned first, and where one of them fails all the block's open
+pairs. So no bucket is capped, no group is gathered in one task, and links are not lost behind a centre.
+Classes are the connected components, by alternating large-star and small-star rounds.
 
 Equal texts (word for word) are one text from the start, so copies are never paired with each other.
 
@@ -43,7 +43,7 @@ class Settings:
     sketches: int = 40
     bands: int = 20          # of two sketches each
     agree: int = 16          # equal sketches below which a pair in a bucket is not aligned
-    slack: float = 0.01      # of both lengths, for pairs that share some of what their centre lacks
+    bits: int = 8            # of the bitmap, at least, for each shingle
     block_rows: int = 1024   # members of one side of a block
     seed: int = 5
 
@@ -76,28 +76,51 @@ def sketch(g: np.ndarray, seeds: np.ndarray) -> np.ndarray:
     return out
 
 
+def bitmap(g: np.ndarray, bits: int) -> np.ndarray:
+    """A bit for each labelled shingle, in a power of two of words with at least ``bits`` bits a shingle."""
+    wide = 1 << max(0, (bits * len(g) - 1).bit_length() - 6)
+    v = W.mixed(g)
+    out = np.zeros(wide, np.uint64)
+    np.bitwise_or.at(out, ((v >> np.uint64(6)) & np.uint64(wide - 1)).astype(np.int64), np.uint64(1) << (v & np.uint64(63)))
+    return out
+
+
+def most_shared(n: int, bits: np.ndarray, others_n: np.ndarray, others: np.ndarray) -> np.ndarray:
+    """Upper bounds of the shingles that a text of ``n`` shingles shares with each of the ``others``: a bit
+    that only one of two bitmaps has stands for at least one shingle that the other text lacks."""
+    wide = min(len(bits), others.shape[1])
+    bits = np.bitwise_or.reduce(bits.reshape(-1, wide), axis=0)
+    others = np.bitwise_or.reduce(others.reshape(len(others), others.shape[1] // wide, wide), axis=1)
+    both = np.bitwise_count(others & bits).sum(axis=1, dtype=np.int64)
+    return np.minimum(n - int(np.bitwise_count(bits).sum()),
+                      others_n - np.bitwise_count(others).sum(axis=1, dtype=np.int64)) + both
+
+
 def signatures(docs: DataFrame, settings: Settings = Settings(), doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """(doc_id, h, tid, n, sk): hash of the whole row, 128-bit hash of the words, their number, the sketches."""
+    """(doc_id, h, tid, n, sk, bits): hash of the whole row, 128-bit hash of the words, their number, the
+    sketches, the bitmap of the shingles."""
     hashed = [f"`{c}`" for c, kind in docs.dtypes if "map<" not in kind and "variant" not in kind]
     rows = docs.select(F.col(f"`{doc_id}`").alias("doc_id"), F.xxhash64(F.lit(5), *hashed).alias("h"),
                        F.col(f"`{text}`").alias("t"))
-    kind = f"doc_id {rows.schema['doc_id'].dataType.simpleString()}, h long, tid binary, n int, sk binary"
+    kind = f"doc_id {rows.schema['doc_id'].dataType.simpleString()}, h long, tid binary, n int, sk binary, bits binary"
     seeds = W.mixed(np.arange(1, settings.sketches + 1, dtype=np.uint64) * np.uint64(2 ** 32 + settings.seed))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             texts = [W.split(t) for t in batch.column("t").to_pylist()]
             hashes, ends = W.hashed(texts)
-            tids, sketches = [], []
+            tids, sketches, bitmaps = [], [], []
             for words, h, a, b in zip(texts, batch.column("h").to_pylist(), ends, ends[1:], strict=False):
                 named = b" ".join(words) if words else b"\x00%d" % h
                 tids.append(xxhash.xxh3_128_digest(named))
                 g = W.grams(hashes[a:b], settings.shingle)
-                sketches.append(sketch(labelled(g), seeds).tobytes() if len(g) else None)
+                g = labelled(g)
+                sketches.append(sketch(g, seeds).tobytes() if len(g) else None)
+                bitmaps.append(bitmap(g, settings.bits).tobytes() if len(g) else None)
             yield pa.RecordBatch.from_arrays(
                 [batch.column("doc_id"), batch.column("h"), pa.array(tids, pa.binary()),
-                 pa.array(np.diff(ends), pa.int32()), pa.array(sketches, pa.binary())],
-                ["doc_id", "h", "tid", "n", "sk"])
+                 pa.array(np.diff(ends), pa.int32()), pa.array(sketches, pa.binary()), pa.array(bitmaps, pa.binary())],
+                ["doc_id", "h", "tid", "n", "sk", "bits"])
 
     return rows.mapInArrow(run, kind)
 
@@ -189,8 +212,7 @@ def word_hashes(docs: DataFrame, text: str = "text") -> DataFrame:
 
 
 def verify(pairs: DataFrame, docs: DataFrame, settings: Settings, text: str = "text") -> DataFrame:
-    """The ``pairs`` (a, b) with ``link``: is their similarity high enough? ``lacks_a`` and ``lacks_b``
-    count the shingles of either that the other does not have."""
+    """The ``pairs`` (a, b) with ``link``: is their similarity high enough?"""
     named = word_hashes(docs, text).filter(F.octet_length("w") >= 4 * settings.shingle)
     # Copies of a text are alike: one of them is enough, chosen before the join.
     named = named.groupBy("tid").agg(F.first("w").alias("w"))
@@ -204,20 +226,15 @@ def verify(pairs: DataFrame, docs: DataFrame, settings: Settings, text: str = "t
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         last, kept = None, None
         for batch in batches:
-            out, lack_a, lack_b = [], [], []
+            out = []
             for b, wa, wb in zip(*(batch.column(c) for c in ("b", "wa", "wb")), strict=True):
                 if b.as_py() != last:  # rows of one centre mostly follow each other
                     last, kept = b.as_py(), shingles(wb.as_py())
-                own = shingles(wa.as_py())
-                link, common = compared(own, kept, settings.similarity)
-                out.append(link)
-                lack_a.append(len(own) - common)
-                lack_b.append(len(kept) - common)
+                out.append(compared(shingles(wa.as_py()), kept, settings.similarity)[0])
             yield pa.RecordBatch.from_arrays(
-                [batch.column("a"), batch.column("b"), pa.array(out, pa.bool_()), pa.array(lack_a, pa.int32()),
-                 pa.array(lack_b, pa.int32())], ["a", "b", "link", "lacks_a", "lacks_b"])
+                [batch.column("a"), batch.column("b"), pa.array(out, pa.bool_())], ["a", "b", "link"])
 
-    return both.mapInArrow(run, "a binary, b binary, link boolean, lacks_a int, lacks_b int")
+    return both.mapInArrow(run, "a binary, b binary, link boolean")
 
 
 # --------------------------------------------------------------------------------- candidates
@@ -231,88 +248,89 @@ def centres(bucket: DataFrame) -> DataFrame:
     return shared.join(best, ["band", "key"])
 
 
-def _compare(settings: Settings):
+def open_pairs(lost: pa.Table, members: pa.Table, settings: Settings, forest: bool) -> tuple[list[int], list[int]]:
+    """Places in ``lost`` and in ``members`` of the pairs of one block that are in different components, meet
+    in no earlier band, and may be similar; with ``forest`` only such as would join components."""
     share = settings.similarity / (1 + settings.similarity)
-
-    def matrix(t: pa.Table, name: str) -> np.ndarray:
-        return np.frombuffer(b"".join(t.column(name).to_pylist()), np.uint64).reshape(len(t), -1)
-
-    def centres_of(t: pa.Table, prefix: str) -> np.ndarray:
-        flat = t.column(prefix + "centres").combine_chunks().flatten()
-        return flat.to_numpy(zero_copy_only=False).reshape(len(t), -1)
-
-    def sizes(t: pa.Table, prefix: str) -> tuple[np.ndarray, np.ndarray]:
-        n = t.column(prefix + "n").to_numpy().astype(np.float64)
-        return n, n - t.column(prefix + "own").to_numpy()
-
-    def run(lost: pa.Table, members: pa.Table) -> pa.Table:
-        kind = pa.schema([("a", pa.binary()), ("b", pa.binary())])
-        if not len(lost) or not len(members):
-            return kind.empty_table()
-        x, y = matrix(lost, "sk"), matrix(members, "m_sk")
-        equal = np.zeros((len(x), len(y)), np.int16)
-        for i in range(x.shape[1]):
-            equal += x[:, i, None] == y[None, :, i]
-        # Two texts meet in every bucket that they share; among those with one centre the first one counts.
-        band, centre = lost.column("band")[0].as_py(), lost.column("centre_hash")[0].as_py()
-        first = np.full((len(x), len(y)), settings.bands, np.int16)
-        under, m_under = centres_of(lost, ""), centres_of(members, "m_")
-        wide = x.shape[1] // settings.bands
-        for b in range(band, -1, -1):
-            met = (under[:, b, None] == centre) & (m_under[None, :, b] == centre)
-            for i in range(b * wide, (b + 1) * wide):
-                met &= x[:, i, None] == y[None, :, i]
-            first[met] = b
-        (nx, cx), (ny, cy) = sizes(lost, ""), sizes(members, "m_")
-        # Texts share at most the smaller part that either has of the centre, unless they share what the
-        # centre lacks; then they also meet in the buckets of that, which have another centre.
-        reach = np.minimum(cx[:, None], cy[None, :]) >= (share - settings.slack) * (nx[:, None] + ny[None, :])
-        i, j = np.nonzero((equal >= settings.agree) & reach & (first == band))
-        a, b = lost.column("tid").combine_chunks(), members.column("m_tid").combine_chunks()
-        pairs = pa.table([a.take(pa.array(i)), b.take(pa.array(j))], schema=kind)
-        return pairs.filter(pa.compute.not_equal(pairs.column("a"), pairs.column("b")))
-
-    return run
-
-
-def remaining(starred: DataFrame, checked: DataFrame, texts: DataFrame, settings: Settings) -> DataFrame:
-    """Pairs (a, b) of a text that is unlike its bucket's centre with the bucket's other texts, by blocks
-    of ``block_rows`` on either side, as far as sketches and what both share with the centre allow."""
-    compared_with = checked.select(F.col("a").alias("tid"), F.col("b").alias("centre"), "link",
-                                   F.col("lacks_a").alias("own"))
-    wide = starred.filter("size > 2").join(compared_with, ["tid", "centre"])
-    lost_counts = wide.groupBy("band", "key").agg(F.sum((~F.col("link")).cast("int")).alias("n_lost"))
-    there = wide.join(lost_counts.filter("n_lost > 0"), ["band", "key"])
-    # The centre (hashed) of each of a text's buckets, by band.
-    by_band = F.map_from_entries(F.collect_list(F.struct("band", F.xxhash64("centre"))))
-    centres_by_band = wide.groupBy("tid").agg(by_band.alias("m")).select("tid", F.transform(
-        F.sequence(F.lit(0), F.lit(settings.bands - 1)),
-        lambda b: F.coalesce(F.try_element_at("m", b), F.lit(0).cast("long"))).alias("centres"))
-    sk = texts.select("tid", "sk", (F.col("n") - (settings.shingle - 1)).alias("n")).join(centres_by_band, "tid")
-    every = there.select(
-        "tid", "centre", "band", "key", "link", "own",
+    sx, sy = (np.frombuffer(b"".join(t.column("sk").to_pylist()), np.uint64).reshape(len(t), -1) for t in (lost, members))
+    nx, ny = (t.column("n").to_numpy().astype(np.int64) for t in (lost, members))
+    _, label = np.unique(np.concatenate([t.column("label").to_numpy() for t in (lost, members)]), return_inverse=True)
+    lx, ly = label[:len(lost)], label[len(lost):]
+    root = np.arange(label.max() + 1)
+    band = lost.column("band")[0].as_py()
+    deep = sx.shape[1] // settings.bands
+    bits = [np.frombuffer(b, np.uint64) for b in lost.column("bits").to_pylist()]
+    by_width: dict[int, list[int]] = {}
+    raw = members.column("bits").to_pylist()
+    for j, b in enumerate(raw):
+        by_width.setdefault(len(b), []).append(j)
+    sets = [(np.array(js), np.frombuffer(b"".join(raw[j] for j in js), np.uint64).reshape(len(js), -1))
+            for js in by_width.values()]
+    out_i, out_j = [], []
+    for i in range(len(lost)):
+        for places, others in sets:
+            need = np.ceil(share * (nx[i] + ny[places]) - 1e-9)  # matches that the similarity takes
+            at = np.flatnonzero((np.minimum(nx[i], ny[places]) >= need) & (root[ly[places]] != root[lx[i]]))
+            if not len(at):
+                continue
+            same = sy[places[at]] == sx[i]
+            met = same[:, :band * deep].reshape(len(at), band, deep).all(axis=2).any(axis=1)
+            at = at[~met & (same.sum(axis=1) >= settings.agree)]
+            at = at[most_shared(int(nx[i]), bits[i], ny[places[at]], others[at]) >= need[at]]
+            js = places[at]
+            if forest and len(js):
+                roots, first = np.unique(root[ly[js]], return_index=True)
+                js = js[first]
+                root[np.isin(root, roots)] = root[lx[i]]
+            out_i += [i] * len(js)
+            out_j += js.tolist()
+    return out_i, out_j
+
+
+def remaining(starred: DataFrame, labels: DataFrame, texts: DataFrame, settings: Settings,
+              again: DataFrame | None = None) -> DataFrame:
+    """Pairs (a, b) of a text outside the component of its bucket's centre with the bucket's other texts, and
+    the bucket (band, key), by blocks of ``block_rows`` texts on either side: a forest of each block, or all
+    open pairs of the buckets ``again``. ``labels`` (tid, label) are the components known so far."""
+    own = F.coalesce("label", F.xxhash64("tid"))
+    centre = labels.select(F.col("tid").alias("centre"), F.col("label").alias("centre_label"))
+    wide = starred.filter("size > 2").filter("tid <> centre").join(labels, "tid", "left").join(centre, "centre", "left").select(
+        "tid", "band", "key", "size", own.alias("label"), (own != F.coalesce("centre_label", F.xxhash64("centre"))).alias("lost"))
+    if again is not None:
+        wide = wide.join(again, ["band", "key"], "left_semi")
+    counts = wide.groupBy("band", "key").agg(F.sum(F.col("lost").cast("int")).alias("n_lost")).filter("n_lost > 0")
+    sk = texts.select("tid", "sk", "bits", (F.col("n") - (settings.shingle - 1)).alias("n"))
+    every = wide.join(counts, ["band", "key"]).select(
+        "tid", "band", "key", "label", "lost",
         F.ceil(F.col("n_lost") / settings.block_rows).cast("int").alias("lost_blocks"),
-        F.ceil(F.col("size") / settings.block_rows).cast("int").alias("blocks")).join(sk, "tid")
+        F.ceil(F.col("size") / settings.block_rows).cast("int").alias("blocks"))
 
     def block(n):
         return F.pmod(F.xxhash64("tid"), F.col(n)).cast("int")
 
-    left = every.filter(~F.col("link")).select(
-        "tid", "sk", "n", "own", "band", "key", "centres", F.xxhash64("centre").alias("centre_hash"),
-        block("lost_blocks").alias("i"),
+    left = every.filter("lost").select(
+        "tid", "label", "band", "key", block("lost_blocks").alias("i"),
         F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("j"))
     right = every.select(
-        F.col("tid").alias("m_tid"), F.col("sk").alias("m_sk"), F.col("n").alias("m_n"), F.col("own").alias("m_own"),
-        F.col("centres").alias("m_centres"),
-        F.col("band").alias("m_band"), F.col("key").alias("m_key"), block("blocks").alias("m_j"),
-        F.explode(F.sequence(F.lit(0), F.col("lost_blocks") - 1)).alias("m_i"))
-    compare = _compare(settings)
-    met = left.groupBy("band", "key", "i", "j").cogroup(right.groupBy("m_band", "m_key", "m_i", "m_j")).applyInArrow(
-        lambda x, y: compare(x, y), "a binary, b binary")
-    ordered = met.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
-    # What has met its centre is known.
-    seen = checked.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
-    return ordered.join(seen, ["a", "b"], "left_anti")
+        "tid", "label", "band", "key", block("blocks").alias("j"),
+        F.explode(F.sequence(F.lit(0), F.col("lost_blocks") - 1)).alias("i"))
+    at, forest = ["band", "key", "i", "j"], again is None
+    kind = pa.schema([("a", pa.binary()), ("b", pa.binary()), ("band", pa.int32()), ("key", pa.int64())])
+
+    def run(lost: pa.Table, members: pa.Table) -> pa.Table:
+        members = members.rename_columns([c.removeprefix("m_") for c in members.column_names])
+        if not len(lost) or not len(members):
+            return kind.empty_table()
+        i, j = open_pairs(lost, members, settings, forest)
+        one = lost.take(pa.array(i, pa.int64()))
+        return pa.Table.from_arrays(
+            [one.column("tid"), members.column("tid").take(pa.array(j, pa.int64()))] + [one.column("band"), one.column("key")], schema=kind)
+
+    left, right = left.join(sk, "tid"), right.join(sk, "tid")
+    right = right.select(*[F.col(c).alias("m_" + c) for c in right.columns])
+    met = left.groupBy(*at).cogroup(right.groupBy(*["m_" + c for c in at])).applyInArrow(
+        lambda x, y: run(x, y), "a binary, b binary, band int, key long")
+    return met.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"), "band", "key")
 
 
 # ---------------------------------------------------------------------------------- components
@@ -347,16 +365,41 @@ def components(spark: SparkSession, edges: DataFrame) -> DataFrame:
 
 
 def links(docs: DataFrame, sigs: DataFrame, settings: Settings = Settings(), text: str = "text") -> DataFrame:
-    """(a, b): pairs of different texts found similar; every class of similar texts is connected by them."""
+    """(a, b): pairs of different texts that are in one class; every class is connected by them."""
     spark = docs.sparkSession
-    texts = sigs.filter("sk is not null").groupBy("tid").agg(F.first("sk").alias("sk"), F.first("n").alias("n"))
+    texts = sigs.filter("sk is not null").groupBy("tid").agg(
+        F.first("sk").alias("sk"), F.first("n").alias("n"), F.first("bits").alias("bits"))
     starred = stored(spark, centres(buckets(texts, settings)), "omh-buckets")
     star = starred.filter(F.col("tid") != F.col("centre")).select(
         F.col("tid").alias("a"), F.col("centre").alias("b")).distinct()
     checked = stored(spark, verify(star, docs, settings, text), "omh-stars")
-    rest = stored(spark, remaining(starred, checked, texts, settings), "omh-rest")
-    more = verify(rest, docs, settings, text)
-    return checked.filter("link").select("a", "b").union(more.filter("link").select("a", "b"))
+
+    def labelled_by(edges: DataFrame) -> DataFrame:
+        near = edges.select(F.col("v").alias("tid"), F.xxhash64("root").alias("label"))
+        return near.union(edges.select(F.col("root").alias("tid"), F.xxhash64("root").alias("label")).distinct())
+
+    def aligned_pairs(pairs: DataFrame, seen: DataFrame) -> DataFrame:
+        """The pairs that are not ``seen`` (a < b), aligned."""
+        return stored(spark, verify(pairs.select("a", "b").distinct().join(seen, ["a", "b"], "left_anti"),
+                                    docs, settings, text), "omh-aligned")
+
+    known = components(spark, checked.filter("link"))
+    seen = checked.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+    forest = stored(spark, remaining(starred, labelled_by(known), texts, settings), "omh-rest")
+    if forest.isEmpty():
+        return known.select(F.col("v").alias("a"), F.col("root").alias("b"))
+    joined = aligned_pairs(forest, seen)
+    found = known.select(F.col("v").alias("a"), F.col("root").alias("b")).union(joined.filter("link").select("a", "b"))
+    # Buckets with a pair of the forest that is no link: all their pairs still between components.
+    failed = stored(spark, forest.join(joined.filter("link"), ["a", "b"], "left_anti").select("band", "key").distinct(),
+                    "omh-failed")
+    if failed.isEmpty():
+        return found
+    known = components(spark, found)
+    more = remaining(starred, labelled_by(known), texts, settings, failed)
+    seen = seen.union(joined.select("a", "b")).distinct()
+    return known.select(F.col("v").alias("a"), F.col("root").alias("b")).union(
+        aligned_pairs(more, seen).filter("link").select("a", "b"))
 
 
 def classes(docs: DataFrame, settings: Settings = Settings(), doc_id: str = "doc_id", text: str = "text") -> DataFrame:

@@ -90,6 +90,54 @@ def family(seed=0, n=120):
     return rows
 
 
+def sub_families(seed=0, groups=60):
+    """Edited copies of one text in many groups far from each other's centre: each group has its own set of
+    changed places, a chain of three members a few words apart."""
+    rng = random.Random(seed)
+    base = words(rng, 200, 10_000)
+    other = [f"o{i}" for i in range(200)]
+    rows = []
+    for g in range(groups):
+        w = list(base)
+        for p in rng.sample(range(0, 200, 5), rng.randrange(0, 11)):
+            w[p] = other[p]
+        for m in range(3):
+            rows.append((3 * g + m, " ".join(w), "en", "s", 0))
+            w = list(w)
+            for _ in range(4):
+                w[rng.randrange(200)] = f"e{rng.randrange(10 ** 6)}"
+    return rows
+
+
+def all_pairs(rows, least=0.8):
+    """As ``brute``, with the whole alignment table of ``aligned``; for texts without copies."""
+    grams = [W.grams(W.hashed([t.encode().split()])[0], 5) for _, t, *_ in rows]
+    root = list(range(len(rows)))
+    for i, x in enumerate(grams):
+        for j, y in enumerate(grams[:i]):
+            if root[i] != root[j]:
+                m = op.aligned(x, y, len(x) + len(y))
+                if m / (len(x) + len(y) - m) >= least:
+                    root = [root[j] if r == root[i] else r for r in root]
+    return sorted((r[0], min(q[0] for q, k in zip(rows, root, strict=True) if k == c)) for r, c in zip(rows, root, strict=True))
+
+
+@pytest.mark.parametrize("seed", [0, 1])
+def test_sub_families_far_from_the_centre(spark, seed):
+    rows = sub_families(seed)
+    got = op.classes(frame(spark, rows)).select("doc_id", "class_id").collect()
+    assert sorted(map(tuple, got)) == all_pairs(rows)
+
+
+def test_bitmaps_bound_what_is_shared():
+    rng = np.random.default_rng(2)
+    for _ in range(300):
+        x = op.labelled(rng.integers(0, 400, rng.integers(1, 300)).astype(np.uint64))
+        ys = [op.labelled(rng.integers(0, 400, n).astype(np.uint64)) for n in [rng.integers(1, 300)] * 3]
+        bound = op.most_shared(len(x), op.bitmap(x, 8), np.array([len(y) for y in ys]), np.stack([op.bitmap(y, 8) for y in ys]))
+        assert all(b >= len(np.intersect1d(x, y)) for b, y in zip(bound, ys, strict=True))
+
+
 @pytest.mark.parametrize("rows", [family(), prose() + [(None, "a b", None, None, None)]], ids=["family", "awkward"])
 @pytest.mark.parametrize("settings", [op.Settings(), op.Settings(block_rows=8)], ids=["default", "small blocks"])
 def test_classes_match_all_pairs(spark, rows, settings):
