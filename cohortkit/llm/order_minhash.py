@@ -42,7 +42,6 @@ class Settings:
     similarity: float = 0.8
     sketches: int = 40
     bands: int = 20          # of two sketches each
-    agree: int = 16          # equal sketches below which a pair in a bucket is not aligned
     bits: int = 8            # of the bitmap, at least, for each shingle
     block_rows: int = 1024   # members of one side of a block
     seed: int = 5
@@ -273,9 +272,9 @@ def open_pairs(lost: pa.Table, members: pa.Table, settings: Settings, forest: bo
             at = np.flatnonzero((np.minimum(nx[i], ny[places]) >= need) & (root[ly[places]] != root[lx[i]]))
             if not len(at):
                 continue
-            same = sy[places[at]] == sx[i]
-            met = same[:, :band * deep].reshape(len(at), band, deep).all(axis=2).any(axis=1)
-            at = at[~met & (same.sum(axis=1) >= settings.agree)]
+            same = sy[places[at], :band * deep] == sx[i, :band * deep]
+            met = same.reshape(len(at), band, deep).all(axis=2).any(axis=1)
+            at = at[~met]
             at = at[most_shared(int(nx[i]), bits[i], ny[places[at]], others[at]) >= need[at]]
             js = places[at]
             if forest and len(js):

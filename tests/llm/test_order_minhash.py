@@ -2,6 +2,7 @@ import random
 from collections import defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from cohortkit.llm import order_minhash as op
@@ -129,6 +130,19 @@ def test_sub_families_far_from_the_centre(spark, seed):
     assert sorted(map(tuple, got)) == all_pairs(rows)
 
 
+def test_pairs_that_agree_in_one_bucket_only_are_open():
+    g = W.mixed(np.arange(1, 101, dtype=np.uint64))
+
+    def row(label, sketches):
+        return pa.table({"sk": [sketches.tobytes()], "n": pa.array([100], pa.int32()), "label": [label],
+                         "band": pa.array([3], pa.int32()), "bits": [op.bitmap(g, 8).tobytes()]})
+
+    x, y = np.arange(40, dtype=np.uint64), np.arange(100, 140, dtype=np.uint64)
+    y[6:8] = x[6:8]
+    assert op.open_pairs(row(1, x), row(2, y), op.Settings(), True) == ([0], [0])
+    assert op.open_pairs(row(1, x), row(1, y), op.Settings(), False) == ([], [])
+
+
 def test_bitmaps_bound_what_is_shared():
     rng = np.random.default_rng(2)
     for _ in range(300):
