@@ -3,7 +3,10 @@
 Markup is stripped into lines: each block element is a line, and the edge of a sectioning element
 leaves empty lines. Elements that by their tag, role or class are page furniture (menus, headers,
 adverts, comments ...) are emptied. Text lengths are summed over sliding windows of lines; the sums
-surge where a run of text begins and dive where it ends. The runs around the heaviest one are kept.
+surge where a run of text begins and dive where it ends. Without an article or main element, the innermost
+element around all dense runs is the article's, and every run in it is kept, as is text that stands directly
+in an element around it. Around a single dense run that is the nearest element below the body that has other
+text too, if there is one.
 
 Defined results: a null, empty or text-free page gives the empty string; unclosed comments, scripts
 and tags end with the page; repeated rows give the same text; other columns are carried in ``row``.
@@ -55,6 +58,7 @@ ATTRIBUTE = re.compile(r"\b(class|id|role|hidden|aria-hidden)\b(?:\s*=\s*(?:\"([
 class Settings:
     window: int = 3        # lines summed together
     min_run: int = 25      # a run outside the article's own element needs this many characters
+    dense: int = 80        # characters of a block of a dense run (or half of the heaviest run's block)
 
 
 def _is_furniture(tag: str, attributes: str) -> bool:
@@ -132,8 +136,9 @@ def lines_of(page: str, gap_lines: int) -> list[tuple[str, tuple[int, ...], bool
                 end_line(False)
             emptied = True
         if tag in SECTION_TAGS:
-            number += 1
-            sections += (number,)
+            if tag != "body":
+                number += 1
+                sections += (number,)
             inside = inside or tag in ("article", "main")
     if not emptied:
         end_line(False)
@@ -155,6 +160,13 @@ def runs_of(sizes: list[int], window: int) -> list[tuple[int, int]]:
     return runs if begun is None else [*runs, (begun, n)]
 
 
+def _common(paths: list[tuple[int, ...]]) -> tuple[int, ...]:
+    """The elements that all ``paths`` begin with."""
+    low, high = min(paths), max(paths)
+    n = next((i for i, (x, y) in enumerate(zip(low, high, strict=False)) if x != y), min(len(low), len(high)))
+    return low[:n]
+
+
 def main_text(page: str | None, settings: Settings = Settings()) -> str:
     """The article's blocks in page order, joined by one space."""
     if not page:
@@ -164,19 +176,26 @@ def main_text(page: str | None, settings: Settings = Settings()) -> str:
     runs = runs_of(sizes, settings.window)
     if not runs:
         return ""
-    # The heaviest block of lines tells which run is the article's.
+    marked = [r for r in runs if lines[r[0]][2]]
+    if marked:
+        return " ".join(text for a, b in marked for text, _, _ in lines[a:b] if text)
+
     def weight(run):
         a, b = run
         return max(sum(sizes[i:i + settings.window]) for i in range(a, b))
-    marked = [r for r in runs if lines[r[0]][2]]
-    best = max(marked or runs, key=lambda r: (sum(sizes[r[0]:r[1]]), weight(r)))
-    home, in_article = lines[best[0]][1], lines[best[0]][2]
+    # The blocks of lines tell which runs are the article's.
+    best = max(runs, key=lambda r: (sum(sizes[r[0]:r[1]]), weight(r)))
+    least = min(settings.dense, weight(best) / 2)
+    dense = [lines[r[0]][1] for r in runs if weight(r) >= least]
+    home = _common(dense)
+    if len(dense) == 1:
+        others = [len(_common([home, lines[a][1]])) for a, b in runs if (a, b) != best]
+        home = home[:max((k for k in others if 0 < k < len(home)), default=len(home))]
     kept = []
     for a, b in runs:
-        _, sections, marked_too = lines[a]
+        sections = lines[a][1]
         near = sections[:len(home)] == home or home[:len(sections)] == sections
-        if (in_article and marked_too) or (not in_article and near and (
-                (a, b) == best or sum(sizes[a:b]) >= settings.min_run)):
+        if near and ((a, b) == best or sum(sizes[a:b]) >= settings.min_run):
             kept += [text for text, _, _ in lines[a:b] if text]
     return " ".join(kept)
 

@@ -22,6 +22,22 @@ def test_page_without_article_element():
     assert op.main_text(html) == "Title A paragraph with enough words to weigh something. End."
 
 
+A, B, C = (f"{x} part of the article, " + "with words enough to make it a dense run of text, " * n + "and its end."
+           for x, n in (("First", 4), ("Second", 2), ("Third", 3)))
+
+
+def test_article_spread_over_sibling_elements():
+    for body in (f"<div id=content><div>{A}</div><div>{B}</div><div>{C}</div></div>",
+                 f"<div><section><p>{A}</p></section><section><div>{B}</div></section><p>{C}</p></div>",
+                 f"<table><tr><td><div>{A}</div></td><td><table><tr><td>{B}</td></tr></table></td></tr><tr><td>{C}</table>",
+                 f"<div>{A}</div><div><div>{B}</div></div><div>{C}</div>"):
+        assert op.main_text(page(FURNITURE + body + AFTER)) == f"{A} {B} {C}"
+        assert op.main_text(page(FURNITURE + f"<div>{body}</div>" + AFTER)) == f"{A} {B} {C}"
+    # One dense run: the nearest element with other text, but not the body.
+    one = f"<div><div><div>{A}</div></div><div>This sentence closes the article.</div></div>"
+    assert op.main_text(page("<div>some words that stand elsewhere</div>" + one)) == f"{A} This sentence closes the article."
+
+
 def test_defined_results_for_odd_input():
     assert op.main_text(None) == "" and op.main_text("") == "" and op.main_text("<p></p>") == ""
     assert op.main_text("plain text  here") == "plain text here"
