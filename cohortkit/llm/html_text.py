@@ -50,8 +50,10 @@ NEVER_EMPTIED = frozenset(("html", "body", "main"))
 
 MARKUP = re.compile(r"<!--.*?(?:--!?>|\Z)|<[!?][^>]*(?:>|\Z)"
                     r"|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>", re.S)
-ATTRIBUTE = re.compile(r"\b(class|id|role|hidden|aria-hidden)\b(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?",
-                       re.I)
+#: Each attribute of a tag in turn, so nothing is looked for inside the values.
+ATTRIBUTE = re.compile(r"([^\s\"'>/=]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>][^\s>]*)))?|\"[^\"]*\"|'[^']*'")
+#: Class words and ids that end like furniture and are none.
+CONTENT_NAMES = frozenset(("long-form", "short-form"))
 
 
 @dataclass(frozen=True)
@@ -67,11 +69,14 @@ def _is_furniture(tag: str, attributes: str) -> bool:
     if tag in NEVER_EMPTIED or not attributes:
         return False
     for name, *values in ATTRIBUTE.findall(attributes):
-        value = "".join(values).lower()
-        name = name.lower()
+        name, value = name.lower(), "".join(values).lower()
         if name == "hidden" or (name == "aria-hidden" and value == "true"):
             return True
+        if name != "role" and (name not in ("class", "id") or tag == "article"):
+            continue
         for word in value.split():
+            if word.replace("_", "-") in CONTENT_NAMES:
+                continue
             parts = [p for p in re.split(r"[^a-z]+", word) if p]
             if parts and parts[0] not in NOT_ITSELF and (parts[0] in FURNITURE or parts[-1] in FURNITURE):
                 return True

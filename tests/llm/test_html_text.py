@@ -38,6 +38,21 @@ def test_article_spread_over_sibling_elements():
     assert op.main_text(page("<div>some words that stand elsewhere</div>" + one)) == f"{A} This sentence closes the article."
 
 
+def test_attributes_by_their_exact_names():
+    for a in ("style='overflow:hidden'", 'style="overflow: hidden; x: y"', "title='hidden gems'", 'title="class=ad role=banner"',
+              "data-role=banner", "data-class='ad'", "data-id=comments", "data-hidden", "data-aria-hidden=true",
+              "data-x='a' title=\"it's hidden\"", "class='long-form'", "aria-hidden=false", "href='/the-hidden-city'",
+              "href=/a/hidden/b?class=ad", "href=/the-hidden-city class=story"):
+        for tag in ("div", "p", "a", "article"):
+            assert op.main_text(page(f"<{tag} {a}>Some text to be kept.</{tag}>")) == "Some text to be kept.", (tag, a)
+    for a in ("hidden", "HIDDEN=''", "class=ad", "CLASS = 'x ad'", "id=comments", "role=banner", "aria-hidden='true'",
+              "style='a:b' hidden", "href=/x class=ad", "data-x=\"it's\" role='banner'", "title='a>b' hidden"):
+        assert op.main_text(page(f"<div {a}>Some text to be dropped.</div><p>Kept.</p>")) == "Kept.", a
+    for a in ("class='comment-form'", "id=related", "class=promo"):
+        assert op.main_text(page(f"<article {a}>Some text to be kept.</article>")) == "Some text to be kept."
+    assert op.main_text(page("<article hidden>Dropped.</article><article>Kept.</article>")) == "Kept."
+
+
 def test_defined_results_for_odd_input():
     assert op.main_text(None) == "" and op.main_text("") == "" and op.main_text("<p></p>") == ""
     assert op.main_text("plain text  here") == "plain text here"
