@@ -59,7 +59,6 @@ CONTENT_NAMES = frozenset(("long-form", "short-form"))
 @dataclass(frozen=True)
 class Settings:
     window: int = 3        # lines summed together
-    min_run: int = 25      # a run outside the article's own element needs this many characters
     dense: int = 80        # characters of a block of a dense run (or half of the heaviest run's block)
 
 
@@ -199,8 +198,7 @@ def main_text(page: str | None, settings: Settings = Settings()) -> str:
     kept = []
     for a, b in runs:
         sections = lines[a][1]
-        near = sections[:len(home)] == home or home[:len(sections)] == sections
-        if near and ((a, b) == best or sum(sizes[a:b]) >= settings.min_run):
+        if sections[:len(home)] == home or home[:len(sections)] == sections:
             kept += [text for text, _, _ in lines[a:b] if text]
     return " ".join(kept)
 

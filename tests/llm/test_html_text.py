@@ -38,6 +38,13 @@ def test_article_spread_over_sibling_elements():
     assert op.main_text(page("<div>some words that stand elsewhere</div>" + one)) == f"{A} This sentence closes the article."
 
 
+def test_short_blocks_of_the_article_are_kept():
+    body = f"<div id=content><div>Part 1</div><div>{A}</div><section><h2>Part 2</h2></section><div>{B}</div><div>Fin.</div></div>"
+    assert op.main_text(page(FURNITURE + body + AFTER)) == f"Part 1 {A} Part 2 {B} Fin."
+    body = f"<div id=content><div>{A}</div><section>Fin.</section></div>"
+    assert op.main_text(page(FURNITURE + body + AFTER)) == f"{A} Fin."
+
+
 def test_attributes_by_their_exact_names():
     for a in ("style='overflow:hidden'", 'style="overflow: hidden; x: y"', "title='hidden gems'", 'title="class=ad role=banner"',
               "data-role=banner", "data-class='ad'", "data-id=comments", "data-hidden", "data-aria-hidden=true",
