@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import quality_rules, secret_scan
+from . import fill_middle, quality_rules, secret_scan
 
 SPACES = r"[\x20\x09-\x0D]+"
 
@@ -112,3 +112,32 @@ WITH {WORDS}, windows AS (
 SELECT doc_id, len(words) AS n_words, len(words) - coalesce(n, 0) AS n_removed, sha256(coalesce(kept.text, '')) AS kept_sha256
 FROM worded LEFT JOIN kept USING (rid)
 """
+
+
+def fill_middle_sql(settings: fill_middle.Settings = fill_middle.Settings()) -> str:
+    p, s, m = (_text(x) for x in (settings.prefix, settings.suffix, settings.middle))
+    held = " OR ".join(f"contains(t, {x})" for x in (p, s, m))
+    group = ", ".join(f"CAST('0x' || substr(digest, {8 * i + 1}, 8) AS BIGINT) AS h{i + 1}" for i in range(4))
+    return rf"""
+WITH said AS (
+  SELECT doc_id, coalesce(text, '') AS t, regexp_extract_all(coalesce(text, ''), '[^\n]*\n|[^\n]+') AS units,
+         sha256({_text(settings.seed)} || coalesce(CAST(doc_id AS VARCHAR), '')) AS digest
+  FROM documents
+), drawn AS (SELECT *, CAST(len(units) AS BIGINT) AS n, {group} FROM said
+), formed AS (
+  SELECT *, least(h1 % (n + 1), h2 % (n + 1)) AS a, greatest(h1 % (n + 1), h2 % (n + 1)) AS b,
+         CASE WHEN t = '' OR {held} OR h3 % 100 >= {settings.rate} THEN 'plain'
+              WHEN h4 % 100 < {settings.spm_rate} THEN 'spm' ELSE 'psm' END AS form
+  FROM drawn
+), parted AS (
+  SELECT *, coalesce(array_to_string(units[1:a], ''), '') AS pre, coalesce(array_to_string(units[a + 1:b], ''), '') AS mid,
+         coalesce(array_to_string(units[b + 1:], ''), '') AS suf
+  FROM formed
+)
+SELECT doc_id, n, form, CASE WHEN form <> 'plain' THEN length(pre) END AS prefix_chars,
+       CASE WHEN form <> 'plain' THEN length(mid) END AS middle_chars,
+       sha256(CASE form WHEN 'plain' THEN t WHEN 'psm' THEN {p} || pre || {s} || suf || {m} || mid
+                        ELSE {s} || suf || {p} || pre || {m} || mid END) AS output_sha256,
+       sha256(t) AS restored_sha256
+FROM parted
+"""

@@ -148,6 +148,17 @@ def op3_substring_dedup(spark, sf_dir):
                                           F.sha2("kept", 256).alias("kept_sha256"))
 
 
+@query
+def op12_fill_middle(spark, sf_dir):
+    from . import fill_middle as op
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return op.transform(docs).select(
+        F.col("row.doc_id").alias("doc_id"), "n", "form", "prefix_chars", "middle_chars",
+        F.sha2("output", 256).alias("output_sha256"),
+        F.sha2(op.restored(F.col("output"), F.col("form")), 256).alias("restored_sha256"))
+
+
 ORACLE["op1_secret_scan"] = oracles.secret_scan_sql()
 ORACLE["op2_quality_rules"] = oracles.quality_rules_sql()
 ORACLE["op3_substring_dedup"] = oracles.substring_dedup_sql()
+ORACLE["op12_fill_middle"] = oracles.fill_middle_sql()
