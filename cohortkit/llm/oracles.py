@@ -141,3 +141,24 @@ SELECT doc_id, n, form, CASE WHEN form <> 'plain' THEN length(pre) END AS prefix
        sha256(t) AS restored_sha256
 FROM parted
 """
+
+
+#: SHA-1 in base 32: each five hex digits are four characters of five bits.
+BASE32 = "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567"
+
+
+def warc_sql() -> str:
+    return f"""
+WITH paged AS (
+  SELECT page_id, coalesce(html, '') AS payload, row_number() OVER () AS rid FROM pages
+), ranked AS (
+  SELECT *, sha1(payload) AS hex, row_number() OVER w AS place, first_value(page_id) OVER w AS largest
+  FROM paged WINDOW w AS (PARTITION BY payload ORDER BY page_id DESC NULLS LAST, rid)
+)
+SELECT page_id, CAST(octet_length(encode(payload)) AS BIGINT) AS payload_bytes,
+       list_reduce(list_transform(range(32), lambda i: substr('{BASE32}', 1 + ((CAST('0x' || substr(hex, CAST(
+         5 * (i // 4) + 1 AS BIGINT), 5) AS BIGINT) >> CAST(15 - 5 * (i % 4) AS BIGINT)) & 31), 1)), lambda a, b: a || b) AS payload_digest,
+       CASE WHEN place = 1 THEN 'response' ELSE 'revisit' END AS record_type,
+       CASE WHEN place > 1 THEN largest END AS refers_to
+FROM ranked
+"""

@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..session import checkpoint_dir
 from . import oracles
 from .common import stored, table
 
@@ -158,7 +160,17 @@ def op12_fill_middle(spark, sf_dir):
         F.sha2(op.restored(F.col("output"), F.col("form")), 256).alias("restored_sha256"))
 
 
+@query
+def op13_warc(spark, sf_dir):
+    from . import warc_archive as op
+    pages = table(spark, sf_dir, "pages").select("page_id", "url", "html")
+    index = op.archive(pages, f"{checkpoint_dir(spark)}/cohortkit-warc-{uuid.uuid4().hex}")
+    return op.read(index, payloads=False).select("page_id", "payload_bytes", "payload_digest", "record_type",
+                                                 F.col("refers_to_page").alias("refers_to"))
+
+
 ORACLE["op1_secret_scan"] = oracles.secret_scan_sql()
 ORACLE["op2_quality_rules"] = oracles.quality_rules_sql()
 ORACLE["op3_substring_dedup"] = oracles.substring_dedup_sql()
 ORACLE["op12_fill_middle"] = oracles.fill_middle_sql()
+ORACLE["op13_warc"] = oracles.warc_sql()
