@@ -162,3 +162,36 @@ SELECT page_id, CAST(octet_length(encode(payload)) AS BIGINT) AS payload_bytes,
        CASE WHEN place > 1 THEN largest END AS refers_to
 FROM ranked
 """
+
+
+TERM = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
+
+
+def lexical_search_sql(k: int = 20) -> str:
+    def terms(of):
+        return (f"regexp_extract_all(translate(coalesce({of}.text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', "
+                f"'abcdefghijklmnopqrstuvwxyz'), '{TERM}')")
+    return f"""
+WITH docs AS (
+  SELECT row_number() OVER () AS did, doc_id, {terms("d")} AS terms FROM documents AS d
+), asked AS (
+  SELECT row_number() OVER () AS iid, item_id, {terms("i")} AS terms FROM benchmark AS i
+), corpus AS (
+  SELECT CAST(count(*) AS BIGINT) AS n_docs, CAST(sum(len(terms)) AS BIGINT) AS n_terms FROM docs WHERE len(terms) > 0
+), held AS (
+  SELECT did, term, CAST(count(*) AS BIGINT) AS tf FROM (SELECT did, unnest(terms) AS term FROM docs) GROUP BY ALL
+), weighed AS (
+  SELECT term, CAST(floor(1000 * ln(CAST(2 * n_docs + 2 AS DOUBLE) / (2 * count(*) + 1))) AS BIGINT) AS w
+  FROM held, corpus GROUP BY term, n_docs
+), lengths AS (
+  SELECT did, doc_id, 100 - 25 + (25 * CAST(len(terms) AS BIGINT) * n_docs) // n_terms AS m FROM docs, corpus
+), wanted AS (
+  SELECT iid, item_id, term, count(*) AS times FROM (SELECT iid, item_id, unnest(terms) AS term FROM asked) GROUP BY ALL
+), scored AS (
+  SELECT iid, item_id, doc_id, did, CAST(sum(times * w * ((1000000000 * tf) // (1000 * tf + 12 * m))) AS BIGINT) AS score
+  FROM wanted JOIN held USING (term) JOIN weighed USING (term) JOIN lengths USING (did) GROUP BY ALL
+)
+SELECT item_id, CAST(row_number() OVER (PARTITION BY iid ORDER BY score DESC, doc_id NULLS LAST, did) AS INTEGER) AS rank,
+       doc_id, score
+FROM scored WHERE score > 0 QUALIFY rank <= {k}
+"""

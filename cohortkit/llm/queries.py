@@ -150,6 +150,13 @@ def op3_substring_dedup(spark, sf_dir):
                                           F.sha2("kept", 256).alias("kept_sha256"))
 
 
+@query
+def op11_lexical_search(spark, sf_dir):
+    from . import lexical_search as op
+    return op.search(table(spark, sf_dir, "documents").select("doc_id", "text"),
+                     table(spark, sf_dir, "benchmark").select("item_id", "text"))
+
+
 @query
 def op12_fill_middle(spark, sf_dir):
     from . import fill_middle as op
@@ -174,3 +181,4 @@ ORACLE["op2_quality_rules"] = oracles.quality_rules_sql()
 ORACLE["op3_substring_dedup"] = oracles.substring_dedup_sql()
 ORACLE["op12_fill_middle"] = oracles.fill_middle_sql()
 ORACLE["op13_warc"] = oracles.warc_sql()
+ORACLE["op11_lexical_search"] = oracles.lexical_search_sql()
