@@ -158,39 +158,49 @@ def _as_read(docs, schema):
     return docs.select(F.from_json(text, _with_corrupt(schema), options).alias("d")).select("d.*")
 
 
-def _page_docs(m, with_website=True):
-    """Every raw launch rendered as an API post node, in pages of 50 (a bounded group per page)."""
+def _node(spoiled=None, with_website=True):
+    """A raw launch as the JSON text of an API post; ``spoiled`` names a field that gets an unusable value."""
+    website = F.col("product_url") if with_website else F.when(F.col("id") % 2 == 0, F.lit("")).otherwise(F.lit(None))
+    topic = F.array(F.struct(F.struct(F.col("category").alias("name")).alias("node")))
+    fields = {
+        "name": F.col("name"), "tagline": F.col("tagline"), "votesCount": F.col("upvotes"),
+        "topics": F.struct(F.when(F.col("category").isNull(), F.array()).otherwise(topic).alias("edges")),
+        "thumbnail": F.struct(F.when(F.col("pricing_type") == "Free", F.lit("FreeImage")).otherwise(F.lit("Image"))
+                              .alias("type")),
+        "createdAt": F.concat(F.date_format("launch_date", "yyyy-MM-dd"), F.lit("T00:00:00Z")),
+        "website": website.cast("string")}
+    if spoiled:
+        fields[spoiled] = F.lit("soon")
+    return F.to_json(F.struct(*[v.alias(k) for k, v in fields.items()]))
+
+
+def _page_texts(m, node=None):
+    """Every raw launch as a post of an API page, in pages of 50 (a bounded group per page): (page_no, value)."""
     raw = m.raw_launches
-    node = F.struct(
-        F.col("name").alias("name"), F.col("tagline").alias("tagline"), F.col("upvotes").alias("votesCount"),
-        F.struct(F.when(F.col("category").isNull(), F.array())
-                 .otherwise(F.array(F.struct(F.struct(F.col("category").alias("name")).alias("node"))))
-                 .alias("edges")).alias("topics"),
-        F.struct(F.when(F.col("pricing_type") == "Free", F.lit("FreeImage")).otherwise(F.lit("Image"))
-                 .alias("type")).alias("thumbnail"),
-        F.concat(F.date_format("launch_date", "yyyy-MM-dd"), F.lit("T00:00:00Z")).alias("createdAt"),
-        (F.col("product_url") if with_website else F.when(F.col("id") % 2 == 0, F.lit("")).otherwise(F.lit(None)))
-        .cast("string").alias("website"))
-    posts = raw.select((F.floor((F.col("id") - 1) / PAGE_SIZE) + 1).cast("int").alias("page_no"),
-                       F.struct(node.alias("node")).alias("edge"))
-    pages = posts.groupBy("page_no").agg(F.collect_list("edge").alias("edges"))
-    last_page = posts.select(F.max("page_no")).scalar()
-    return pages.select(
-        "page_no",
-        F.struct(F.struct(
-            F.struct((F.col("page_no") < last_page).alias("hasNextPage"),
-                     F.col("page_no").cast("string").alias("endCursor")).alias("pageInfo"),
-            F.col("edges").alias("edges")).alias("posts")).alias("data"))
-
-
-@register("launch_pages", with_models(
-    "SELECT name, tagline, upvotes, category, pricing_type, launch_date, product_url FROM raw_launches"))
+    posts = raw.select((F.floor((F.col("id") - 1) / PAGE_SIZE) + 1).cast("int").alias("page_no"), "id",
+                       F.concat(F.lit('{"node":'), _node() if node is None else node, F.lit("}")).alias("edge"))
+    pages = posts.groupBy("page_no").agg(F.sort_array(F.collect_list(F.struct("id", "edge")))["edge"].alias("edges"))
+    more = (F.col("page_no") < posts.select(F.max("page_no")).scalar()).cast("string")
+    return pages.select("page_no", F.concat(
+        F.lit('{"page_no":'), "page_no", F.lit(',"data":{"posts":{"pageInfo":{"hasNextPage":'), more,
+        F.lit(',"endCursor":"'), "page_no", F.lit('"},"edges":['), F.array_join("edges", ","), F.lit("]}}}")).alias("value"))
+
+
+LAUNCH_SQL = "name, tagline, upvotes, category, pricing_type, launch_date, product_url"
+
+
+@register("launch_pages", with_models(f"SELECT {LAUNCH_SQL} FROM raw_launches"))
 def _launch_pages(m):
-    """The whole table through the page parser: rendered as pages, read back with the page-chain rules."""
-    from .. import schemas as S
+    """The whole table through page files: written as pages below the shared folder, read back with the
+    page-chain rules."""
+    import uuid
+
+    from ..session import checkpoint_dir
     from ..sources import readers
 
-    good, _ = readers.parse_launch_pages(_as_read(_page_docs(m), S.LAUNCH_PAGE))
+    folder = f"{checkpoint_dir(m.spark).rstrip('/')}/launch-pages-{uuid.uuid4().hex}"
+    _page_texts(m).select("value").write.text(folder)
+    good, _ = readers.parse_launch_pages(readers.read_launch_pages(m.spark, folder, multi_line=False))
     return good.drop("page_no", readers.ARRIVAL)
 
 
@@ -198,24 +208,49 @@ def _launch_pages(m):
     f"SELECT name, '{LAUNCH_URL_PREFIX}' || name AS product_url FROM raw_launches"))
 def _launch_pages_fallback(m):
     """Launches whose website is empty or missing get a URL from the prefix and their name."""
-    from .. import schemas as S
     from ..sources import readers
 
-    good, _ = readers.parse_launch_pages(_as_read(_page_docs(m, with_website=False), S.LAUNCH_PAGE))
+    good, _ = readers.parse_launch_pages(readers.launch_pages(_page_texts(m, _node(with_website=False))))
     return good.select("name", "product_url")
 
 
+# A post with an unusable value on every tenth page, the field by the page; the other posts are as ever.
+SPOILED = {0: "votesCount", 1: "createdAt", 2: "topics"}
+
+
+def _spoiled_posts(m):
+    from ..sources import readers
+    page = F.floor((F.col("id") - 1) / PAGE_SIZE) + 1
+    hit = (page % 10 == 1) & ((F.col("id") - 1) % PAGE_SIZE == page % 7)
+    node = F.coalesce(*[F.when(hit & (F.floor(page / 10) % len(SPOILED) == i), _node(f)) for i, f in SPOILED.items()], _node())
+    return readers.parse_launch_pages(readers.launch_pages(_page_texts(m, node)))
+
+
+SPOILED_SQL = f"""
+paged AS (SELECT *, (id - 1) // {PAGE_SIZE} + 1 AS page_no, (id - 1) % {PAGE_SIZE} AS place FROM raw_launches),
+spoiled AS (SELECT * FROM paged WHERE page_no % 10 = 1 AND place = page_no % 7)"""
+
+register("page_posts", with_models(
+    f"SELECT {LAUNCH_SQL} FROM paged WHERE id NOT IN (SELECT id FROM spoiled)", SPOILED_SQL))(
+    lambda m: _spoiled_posts(m)[0].drop("page_no", "_arrival"))
+
+register("page_posts_rejected", with_models("""
+SELECT CAST(page_no AS INTEGER) AS page_no, name, product_url, 'unparsable value' AS _reject_reason,
+       CASE WHEN page_no // 10 % 3 <> 0 THEN upvotes END AS upvotes,
+       CASE WHEN page_no // 10 % 3 <> 1 THEN launch_date END AS launch_date,
+       CASE WHEN page_no // 10 % 3 <> 2 THEN category END AS category FROM spoiled""", SPOILED_SQL))(
+    lambda m: _spoiled_posts(m)[1].select("page_no", "name", "product_url", "_reject_reason", "upvotes", "launch_date",
+                                          "category"))
+
+
 def _bad_chain(m):
     """The pages with one missing and, before it, one that is unreadable, by the number of pages."""
-    from .. import schemas as S
-    from ..sources.readers import CORRUPT
-    pages = _as_read(_page_docs(m), S.LAUNCH_PAGE)
-    n = pages.select(F.max("page_no")).scalar()
+    from ..sources import readers
+    texts = _page_texts(m)
+    n = m.raw_launches.select(F.max(F.floor((F.col("id") - 1) / PAGE_SIZE) + 1)).scalar()
     broken = F.col("page_no") == F.floor(n * 2 / 3)
-    pages = pages.where(F.col("page_no") != F.floor(n * 3 / 4))
-    return pages.select(
-        F.when(~broken, F.col("page_no")).alias("page_no"), "errors", F.when(~broken, F.col("data")).alias("data"),
-        F.when(broken, F.lit("{broken")).alias(CORRUPT))
+    texts = texts.where(F.col("page_no") != F.floor(n * 3 / 4))
+    return readers.launch_pages(texts.select(F.when(broken, F.lit("{broken")).otherwise(F.col("value")).alias("value")))
 
 
 _LAST = f"CAST(floor(ceil(max(id) OVER () / {PAGE_SIZE}.0) * 2 / 3) AS BIGINT) - 1"

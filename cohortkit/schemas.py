@@ -62,35 +62,6 @@ USER_JSON = T.StructType([
     T.StructField("average_stars", T.StringType()),
 ])
 
-_NODE = T.StructType([
-    T.StructField("name", T.StringType()),
-    T.StructField("tagline", T.StringType()),
-    T.StructField("votesCount", T.IntegerType()),
-    T.StructField("topics", T.StructType([
-        T.StructField("edges", T.ArrayType(T.StructType([
-            T.StructField("node", T.StructType([T.StructField("name", T.StringType())])),
-        ]))),
-    ])),
-    T.StructField("thumbnail", T.StructType([T.StructField("type", T.StringType())])),
-    T.StructField("createdAt", T.StringType()),
-    T.StructField("website", T.StringType()),
-])
-
-# One stored API response per file; ``page_no`` is added when the page is stored.
-LAUNCH_PAGE = T.StructType([
-    T.StructField("page_no", T.IntegerType()),
-    T.StructField("errors", T.ArrayType(T.StructType([T.StructField("message", T.StringType())]))),
-    T.StructField("data", T.StructType([
-        T.StructField("posts", T.StructType([
-            T.StructField("pageInfo", T.StructType([
-                T.StructField("hasNextPage", T.BooleanType()),
-                T.StructField("endCursor", T.StringType()),
-            ])),
-            T.StructField("edges", T.ArrayType(T.StructType([T.StructField("node", _NODE)]))),
-        ])),
-    ])),
-])
-
 # ------------------------------------------------------- staging column order
 # The declared order of the staging review columns.
 STG_REVIEWS_COLUMNS = [

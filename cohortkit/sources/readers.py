@@ -1,8 +1,8 @@
 """Readers for the raw inputs: newline-JSON reviews and users, stored launch API pages.
 
 Every reader applies an explicit schema (no inference) and returns ``(good, rejected)``:
-values are read as text and converted with ``try_*`` functions, so one bad value
-quarantines its row instead of failing the load.  File reads split across tasks like
+values are read as text (pages as semi-structured values) and converted with ``try_*``
+functions, so one bad value quarantines its row instead of failing the load.  File reads split across tasks like
 any other Spark scan.
 """
 
@@ -108,15 +108,37 @@ def read_users(spark: SparkSession, path) -> tuple[DataFrame, DataFrame]:
     return parse_users(_json(spark, path, S.USER_JSON))
 
 
+# A launch page is kept as a semi-structured value; each post in it is typed by itself, so what is wrong with one
+# post rejects that post and nothing else, whichever columns a branch of the plan reads.
+PAGE = "page"
+
+
+def launch_pages(texts: DataFrame) -> DataFrame:
+    """Stored API pages as (page_no, page, ``_corrupt_record``) from their JSON texts in ``value``: one page, or
+    an array of pages, per text.
+
+    A text that is no JSON, or a page without a number or, unless it reports errors, without a list of posts is
+    unreadable: its value is null and its text is kept in the corrupt-record column.
+    """
+    parsed = texts.where(F.trim("value") != "").select("value", F.try_parse_json("value").alias("v"))
+    listed = parsed.select("value", F.explode_outer(F.coalesce(
+        F.try_variant_get("v", "$", "array<variant>"), F.array("v"))).alias(PAGE))
+    typed = listed.select(
+        F.try_variant_get(PAGE, "$.page_no", "int").alias("page_no"), PAGE, "value",
+        F.try_variant_get(PAGE, "$.errors", "variant").isNotNull().alias("failed"),
+        F.try_variant_get(PAGE, "$.data.posts.edges", "array<variant>").isNotNull().alias("listed"))
+    sound = F.col("page_no").isNotNull() & (F.col("failed") | F.col("listed"))
+    return typed.select("page_no", F.when(sound, F.col(PAGE)).alias(PAGE), F.when(~sound, F.coalesce(
+        F.to_json(PAGE), F.col("value"))).alias(CORRUPT))
+
+
 def read_launch_pages(spark: SparkSession, path, multi_line: bool = True) -> DataFrame:
-    """Stored API pages, explicit schema: one JSON document per file (``multi_line``), or
-    one page per line.  An unreadable page keeps its text in the corrupt-record column."""
-    return (spark.read.schema(_with_corrupt(S.LAUNCH_PAGE)).option("multiLine", str(multi_line).lower())
-            .option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", CORRUPT).json(path))
+    """Stored API pages: one JSON document per file (``multi_line``), or one page per line."""
+    return launch_pages(spark.read.text(path, wholetext=multi_line))
 
 
 def _readable(pages: DataFrame) -> DataFrame:
-    return pages.where(F.col(CORRUPT).isNull()) if CORRUPT in pages.columns else pages
+    return pages.where(F.col(CORRUPT).isNull())
 
 
 def valid_pages(pages: DataFrame, max_pages: int | None = None) -> DataFrame:
@@ -127,8 +149,8 @@ def valid_pages(pages: DataFrame, max_pages: int | None = None) -> DataFrame:
     The cut-off is one scalar aggregate over the pages, evaluated as a scalar subquery.
     """
     pages = _readable(pages)
-    has_err = F.coalesce(F.size("errors") > 0, F.lit(False))
-    last = F.coalesce(~F.col("data.posts.pageInfo.hasNextPage"), F.lit(True))
+    has_err = F.try_variant_get(PAGE, "$.errors", "variant").isNotNull()
+    last = F.coalesce(~F.try_variant_get(PAGE, "$.data.posts.pageInfo.hasNextPage", "boolean"), F.lit(True))
     numbers = pages.select("page_no").distinct()
     # The chain holds up to the first page whose successor is missing, if it begins at 1.
     ahead = numbers.select((F.col("page_no") - 1).alias("page_no"))
@@ -142,37 +164,81 @@ def valid_pages(pages: DataFrame, max_pages: int | None = None) -> DataFrame:
                        & F.coalesce(F.col("page_no") <= bound, F.lit(True)))
 
 
+def _field(value: str, path: str) -> tuple[Column, Column]:
+    """A field of a semi-structured value (null if it is missing or JSON null) and its kind of value."""
+    raw = F.try_variant_get(value, path, "variant")
+    there = F.when(~F.is_variant_null(raw), raw)
+    return there, F.regexp_extract(F.schema_of_variant(there), "^[A-Z]+", 0)
+
+
+def _scalar(value: str, path: str) -> tuple[Column, Column]:
+    """(text of a field, is it there but an object or a list)."""
+    there, kind = _field(value, path)
+    return F.when(~kind.isin("OBJECT", "ARRAY"), F.try_variant_get(value, path, "string")), F.coalesce(
+        kind.isin("OBJECT", "ARRAY"), F.lit(False))
+
+
+def _text(value: str, path: str) -> tuple[Column, Column]:
+    """(text of a field, is it there but no text)."""
+    there, kind = _field(value, path)
+    return F.when(kind == "STRING", F.try_variant_get(value, path, "string")), F.coalesce(kind != "STRING", F.lit(False))
+
+
+def _whole(value: str, path: str) -> tuple[Column, Column]:
+    """(whole number of a field, is it there but none). Digits in a text count, a fraction is rounded as a
+    number conversion in the landing database does, true and false are no numbers."""
+    there, kind = _field(value, path)
+    text = F.try_variant_get(value, path, "string").try_cast("int")
+    number = F.round(F.try_variant_get(value, path, "double")).try_cast("int")
+    whole = F.when(kind == "STRING", text).when(~kind.isin("BOOLEAN", "OBJECT", "ARRAY"), number)
+    return whole, there.isNotNull() & whole.isNull()
+
+
+def _is(value: str, path: str, kind: str) -> Column:
+    """Is the field missing, null or of this kind?"""
+    return F.coalesce(_field(value, path)[1] == kind, F.lit(True))
+
+
 def parse_launch_pages(pages: DataFrame, fallback_prefix: str = P.LAUNCH_URL_PREFIX,
                        max_pages: int | None = None) -> tuple[DataFrame, DataFrame]:
-    """One launch row per post node of the valid pages -> (good, rejected).
+    """One launch row per post of the valid pages -> (good, rejected).
 
-    Good rows carry ``_arrival`` (page number, place in the page).  Rejected are nodes without
-    a name, with a date that is there but unusable, and, with their text, unreadable pages.
+    Good rows carry ``_arrival`` (page number, place in the page).  Rejected, with their text, are entries
+    without a post, posts without a name or with a value that is there but unusable, and unreadable pages.
+    Every post of a valid page is in one of the two.
     """
-    nodes = (valid_pages(pages, max_pages)
-             .select("page_no", F.posexplode("data.posts.edges").alias("_pos", "edge"))
-             .select("page_no", "_pos", "edge.node.*"))
-    website = F.col("website")
-    url = F.when(website.isNull() | (website == ""),
-                 F.concat(F.lit(fallback_prefix), F.col("name"))).otherwise(website)
-    thumb = F.lower(F.coalesce(F.col("thumbnail.type"), F.lit("")))
-    day = iso_date_prefix("createdAt")
-    rows = nodes.select(
-        F.col("name"), F.col("tagline"), F.col("votesCount").alias("upvotes"),
-        F.get(F.col("topics.edges"), 0)["node"]["name"].alias("category"),
-        F.when(thumb.contains("free"), F.lit("Free")).otherwise(F.lit("Unknown")).alias("pricing_type"),
-        day.alias("launch_date"),
-        url.alias("product_url"),
-        "page_no", F.lit(None).cast("string").alias(CORRUPT),
-        (F.col("createdAt").isNotNull() & day.isNull()).alias("_bad"),
-        F.struct("page_no", "_pos").alias(ARRIVAL))
+    posts = (valid_pages(pages, max_pages)
+             .select("page_no", F.posexplode(F.try_variant_get(PAGE, "$.data.posts.edges", "array<variant>"))
+                     .alias("_pos", "edge"))
+             .select("page_no", "_pos", "edge", F.try_variant_get("edge", "$.node", "variant").alias("node")))
+    name, bad_name = _scalar("node", "$.name")
+    tagline, bad_tagline = _scalar("node", "$.tagline")
+    votes, bad_votes = _whole("node", "$.votesCount")
+    created, bad_created = _text("node", "$.createdAt")
+    website, bad_website = _scalar("node", "$.website")
+    category, bad_category = _scalar("node", "$.topics.edges[0].node.name")
+    thumb, bad_thumb = _text("node", "$.thumbnail.type")
+    shapes = [("node", "$", "OBJECT"), ("node", "$.topics", "OBJECT"), ("node", "$.topics.edges", "ARRAY"),
+              ("node", "$.topics.edges[0]", "OBJECT"), ("node", "$.topics.edges[0].node", "OBJECT"),
+              ("node", "$.thumbnail", "OBJECT")]
+    bad = bad_name | bad_tagline | bad_votes | bad_created | bad_website | bad_category | bad_thumb
+    for value, path, kind in shapes:
+        bad = bad | ~_is(value, path, kind)
+    typed = posts.select(
+        name.alias("name"), tagline.alias("tagline"), votes.alias("upvotes"), category.alias("category"),
+        F.when(F.lower(F.coalesce(thumb, F.lit(""))).contains("free"), F.lit("Free")).otherwise(F.lit("Unknown"))
+        .alias("pricing_type"),
+        created.alias("created"), website.alias("website"), "page_no", F.to_json("edge").alias(CORRUPT),
+        bad.alias("_bad"), F.struct("page_no", "_pos").alias(ARRIVAL))
+    day = iso_date_prefix("created")
+    url = F.when(F.col("website").isNull() | (F.col("website") == ""),
+                 F.concat(F.lit(fallback_prefix), F.col("name"))).otherwise(F.col("website"))
+    rows = typed.select(
+        "name", "tagline", "upvotes", "category", "pricing_type", day.alias("launch_date"), url.alias("product_url"),
+        "page_no", CORRUPT, (F.col("_bad") | (F.col("created").isNotNull() & day.isNull())).alias("_bad"), ARRIVAL)
     good, rejected = quarantine_split(rows, ["name", "product_url"], corrupt=F.col("_bad"))
     rejected = rejected.drop("_bad", ARRIVAL)
-    if CORRUPT in pages.columns:
-        # The text is kept with the page number as far as it could be read.
-        unread = pages.where(F.col(CORRUPT).isNotNull()).select(*[
-            F.col(CORRUPT) if c == CORRUPT else F.col("page_no") if c == "page_no"
-            else F.lit("unreadable page").alias(c) if c == "_reject_reason"
-            else F.lit(None).cast(kind).alias(c) for c, kind in rejected.dtypes])
-        rejected = rejected.unionByName(unread)
-    return good.drop("_bad", CORRUPT), rejected
+    unread = pages.where(F.col(CORRUPT).isNotNull()).select(*[
+        F.col(c) if c in (CORRUPT, "page_no") else F.lit("unreadable page").alias(c) if c == "_reject_reason"
+        else F.lit(None).cast(kind).alias(c) for c, kind in rejected.dtypes])
+    return good.drop("_bad", CORRUPT), rejected.unionByName(unread)

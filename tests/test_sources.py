@@ -295,3 +295,49 @@ def test_cli_help_runs():
     out = subprocess.run([sys.executable, "-m", "cohortkit", "--help"], capture_output=True, text=True,
                          cwd=os.path.dirname(os.path.dirname(os.path.abspath(__file__))), timeout=120)
     assert out.returncode == 0 and "land-launches" in out.stdout
+
+
+def test_one_bad_value_rejects_one_post(spark, tmp_path):
+    from cohortkit import cli
+    folder, root = str(tmp_path / "p"), str(tmp_path / "wh")
+    n = lambda i, **kw: {"name": f"n{i}", "website": f"https://n{i}.test", **kw}
+    _write_pages(folder, [_page(1, [n(10, votesCount=1)]), _page(2, [n(20, votesCount=3), n(21, votesCount="many")]),
+                          _page(3, [n(30)], has_next=False)])
+    # The same whether a branch reads the votes or not, the frame is cached or not.
+    for pages in (readers.read_launch_pages(spark, folder), readers.read_launch_pages(spark, folder).cache()):
+        good, rejected = readers.parse_launch_pages(pages)
+        assert sorted(r.name for r in good.select("name").collect()) == ["n10", "n20", "n30"]
+        assert sorted((r.name, r.upvotes) for r in good.collect()) == [("n10", 1), ("n20", 3), ("n30", None)]
+        bad = rejected.collect()
+        assert [(r.name, r.page_no, r._reject_reason) for r in bad] == [("n21", 2, "unparsable value")]
+        assert json.loads(bad[0]._corrupt_record)["node"]["votesCount"] == "many"
+        assert rejected.count() == 1
+    assert cli.land_launches(spark, folder, root) == 3
+    assert spark.read.parquet(f"{root}/quarantine/raw_launches").count() == 1
+
+
+def test_odd_posts_and_pages_are_all_accounted_for(spark, tmp_path):
+    n = lambda i, **kw: {"name": f"n{i}", "website": f"https://n{i}.test", **kw}
+    fine = [n(1, votesCount="7"), n(2, votesCount=3.0), n(3, votesCount=2.5), n(4, votesCount=None), n(5, topics=None),
+            n(6, topics={"edges": None}), n(7, topics={"edges": [{"node": {"name": None}}]}), n(8, thumbnail=None),
+            n(9, createdAt="2020-02-29 and more"), n(10, extra={"a": [1]}), n(11, tagline=5), {"name": 12, "website": 0}]
+    bad = [n(21, votesCount=True), n(22, votesCount=[1]), n(23, votesCount="3.5"), n(24, votesCount=2 ** 40), n(25, topics="x"),
+           n(26, topics={"edges": "x"}), n(27, topics={"edges": ["x"]}), n(28, topics={"edges": [{"node": 1}]}),
+           n(29, topics={"edges": [{"node": {"name": ["x"]}}]}), n(30, thumbnail="t"), n(31, thumbnail={"type": 1}),
+           n(32, createdAt=20200101), n(33, createdAt="soon"), n(34, website={"u": 1}), {"name": ["x"]}, n(36, tagline={})]
+    page = _page(1, [*fine, *bad])
+    page["data"]["posts"]["edges"] += [{"node": None}, {}, None, "x", 5]
+    docs = [json.dumps(page), "[" + json.dumps(_page(2, [n(40)])) + ", 7]", '{"page_no": 3, "data": {"posts": {}}}', '{"page_no": "x"}',
+            "{", "null", "", "  ", '{"a": 1, "a": 2}', json.dumps(_page(4, [n(50)]))]
+    pages = readers.launch_pages(spark.createDataFrame([(d,) for d in docs], "value string"))
+    good, rejected = readers.parse_launch_pages(pages, "https://x.test/")
+    got = {r.name: r for r in good.collect()}
+    assert set(got) == {*(f"n{i}" for i in range(1, 12)), "12", "n40"}
+    assert [got[f"n{i}"].upvotes for i in (1, 2, 3, 4)] == [7, 3, 3, None]
+    assert got["n9"].launch_date == D(2020, 2, 29) and got["n11"].tagline == "5"
+    assert got["12"].product_url == "0"
+    reasons = [r._reject_reason for r in rejected.collect()]
+    # Page 3 lists no posts: it is unreadable, and page 4 lies behind it.
+    assert reasons.count("unreadable page") == 6
+    assert len(reasons) - 6 == len(bad) + 5
+    assert all(r._corrupt_record for r in rejected.collect())
