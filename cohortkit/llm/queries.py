@@ -73,16 +73,16 @@ def op9_top_k(spark, sf_dir):
 
 ORACLE["op9_top_k"] = """
 WITH valid AS (
-  SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS v
+  SELECT row_number() OVER () AS rid, vec_id, list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS v
   FROM embeddings
   WHERE embedding IS NOT NULL AND vec_id IS NOT NULL
     AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
 ), scored AS (
-  SELECT q.vec_id AS query_id, c.vec_id,
+  SELECT q.rid, q.vec_id AS query_id, c.vec_id, c.rid AS other,
          CAST(list_sum(list_transform(range(1, len(q.v) + 1), lambda i: q.v[i] * c.v[i])) AS BIGINT) AS score
-  FROM valid q JOIN valid c ON q.vec_id % 50 = 0 AND c.vec_id <> q.vec_id AND len(q.v) = len(c.v)
+  FROM valid q JOIN valid c ON q.vec_id % 50 = 0 AND c.rid <> q.rid AND len(q.v) = len(c.v)
 )
-SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank,
+SELECT query_id, CAST(row_number() OVER (PARTITION BY rid ORDER BY score DESC, vec_id, other) AS INTEGER) AS rank,
        vec_id, score
 FROM scored QUALIFY rank <= 5
 """
@@ -107,18 +107,23 @@ def op8_chat_format(spark, sf_dir):
 
 ORACLE["op8_chat_format"] = r"""
 WITH turns AS (
-  SELECT conv_id, turn, coalesce(role, 'unknown') AS role, coalesce(text, '') AS text FROM conversations
+  SELECT conv_id, coalesce(CAST(conv_id AS VARCHAR), 'row ' || row_number() OVER ()) AS conv, turn,
+         coalesce(role, 'unknown') AS role, coalesce(text, '') AS text FROM conversations
 ), said AS (
-  SELECT conv_id, row_number() OVER w AS n, count(*) OVER (PARTITION BY conv_id) AS n_turns,
-         string_agg('<|im_start|>' || role || chr(10) || text || '<|im_end|>' || chr(10), '') OVER (
-           PARTITION BY conv_id ORDER BY turn NULLS FIRST, md5(role || chr(10) || text)
-           ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS chat
-  FROM turns WINDOW w AS (PARTITION BY conv_id ORDER BY turn NULLS FIRST, md5(role || chr(10) || text))
+  SELECT conv_id, row_number() OVER w AS n, count(*) OVER (PARTITION BY conv) AS n_turns,
+         list({'role': role, 'text': text}) OVER (
+           PARTITION BY conv ORDER BY turn NULLS FIRST, md5(length(role) || ':' || role || text)
+           ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS turns
+  FROM turns WINDOW w AS (PARTITION BY conv ORDER BY turn NULLS FIRST, md5(length(role) || ':' || role || text))
+), kept AS (
+  SELECT min(conv_id) AS conv_id, n_turns, turns FROM said AS whole
+  WHERE n = n_turns AND NOT EXISTS (SELECT 1 FROM said AS longer
+                                    WHERE longer.n = whole.n AND longer.turns = whole.turns AND longer.n < longer.n_turns)
+  GROUP BY n_turns, turns
 )
-SELECT min(conv_id) AS conv_id, n_turns, chat FROM said AS whole
-WHERE n = n_turns AND NOT EXISTS (SELECT 1 FROM said AS longer
-                                  WHERE longer.n = whole.n AND longer.chat = whole.chat AND longer.n < longer.n_turns)
-GROUP BY n_turns, chat
+SELECT conv_id, n_turns, array_to_string(list_transform(
+  turns, lambda t: '<|im_start|>' || t.role || chr(10) || t.text || '<|im_end|>' || chr(10)), '') AS chat
+FROM kept
 """
 
 

@@ -1,14 +1,18 @@
 """Operator 9: exact top-k inner-product search with a ball tree per shard.
 
-Vectors are dealt into shards of bounded size by a hash of their id, queries into blocks of bounded
+Vectors are dealt into shards of bounded size by a hash of id and vector, queries into blocks of bounded
 size. Each task holds one shard and one block of queries. It builds a ball tree over the shard, orders
 nodes by the upper bound q.c + |q| r of their inner products, and leaves out a node whose bound is
 below the query's current k-th score. That score is shared in two rounds: a query first searches its
 own shard; the k-th score it finds there is the floor with which it searches all others.
 
+Every row counts. Rows that repeat both id and vector are counted before they are dealt and stand for
+``k`` + 1 rows at most, which is all that a result can show of them; a query leaves out one row of its own
+id and vector, and no other row of its id. A query that is there several times is answered as many times.
+
 Scores are exact integers. Defined results: vectors that are null or hold a null or non-finite
-component, and rows without an id, take no part; rows repeating an id count once (the smallest vector);
-only vectors of equal length are compared; ties go to the smaller id; other columns are ignored.
+component, and rows without an id, take no part; only vectors of equal length are compared; ties go to
+the smaller id; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -20,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-FOUND = "query_id long, vec_id long, score long"
+FOUND = "query_id long, a long, b long, vec_id long, score long"
 
 
 @dataclass(frozen=True)
@@ -36,7 +40,7 @@ def integer_vectors(df: DataFrame, vec_id: str = "vec_id", vector: str = "embedd
     finite = F.forall(vector, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x.cast("double")) < float("inf")))
     valid = df.filter(F.col(vec_id).isNotNull() & F.col(vector).isNotNull()).filter(finite)
     v = F.transform(vector, lambda x: F.floor(F.lit(scale) * x.cast("double")).cast("long"))
-    return valid.select(F.col(vec_id).alias("id"), v.alias("v")).groupBy("id").agg(F.min("v").alias("v"))
+    return valid.select(F.col(vec_id).alias("id"), v.alias("v"))
 
 
 # ------------------------------------------------------------------------------ inside one task
@@ -66,9 +70,11 @@ class Ball:
 class Search:
     """Branch and bound of a block of queries over one shard."""
 
-    def __init__(self, ids: np.ndarray, x: np.ndarray, k: int, leaf: int):
+    def __init__(self, ids: np.ndarray, x: np.ndarray, k: int, leaf: int, first: np.ndarray | None = None):
         order = ids.argsort(kind="stable")
         self.ids, self.x, self.k = ids[order], x[order], k
+        # Of rows that repeat id and vector one is first: the row that a query itself is.
+        self.first = np.ones(len(ids), bool) if first is None else first[order]
         self.flat = self.x.astype(np.float64)
         self.root = Ball(self.flat, np.arange(len(ids)), leaf)
 
@@ -107,7 +113,9 @@ class Search:
             got = (self.q_flat[rows] @ self.flat[node.places].T).astype(np.int64)
         else:
             got = (self.q[rows].astype(object) @ self.x[node.places].T.astype(object)).astype(np.int64)
-        own = self.q_ids[rows][:, None] == ids[None, :]
+        own = (self.q_ids[rows][:, None] == ids[None, :]) & self.first[node.places][None, :]
+        a, b = np.nonzero(own)
+        own[a, b] = (self.q[rows[a]] == self.x[node.places[b]]).all(axis=1)
         got[own] = none
         best = np.argsort(-got.astype(np.float64) if self.exact else ~got, axis=1, kind="stable")[:, :k]
         score = np.concatenate([self.score[rows], np.take_along_axis(got, best, 1)], axis=1)
@@ -127,15 +135,18 @@ def _matrix(t: pa.Table, name: str = "v") -> np.ndarray:
 
 def _search(settings: Settings):
     def run(vectors: pa.Table, queries: pa.Table) -> pa.Table:
-        names = pa.schema([("query_id", pa.int64()), ("vec_id", pa.int64()), ("score", pa.int64())])
+        names = pa.schema([(n, pa.int64()) for n in ("query_id", "a", "b", "vec_id", "score")])
         if not len(vectors) or not len(queries):
             return names.empty_table()
-        tree = Search(vectors.column("id").to_numpy(), _matrix(vectors), settings.k, settings.leaf_rows)
+        first = vectors.column("copy").to_numpy() == 1
+        tree = Search(vectors.column("id").to_numpy(), _matrix(vectors), settings.k, settings.leaf_rows, first)
         ids, q = queries.column("q_id").to_numpy(), _matrix(queries, "q_v")
         floor = queries.column("q_floor").to_numpy(zero_copy_only=False).astype(np.int64)
         score, found = tree.run(ids, q, floor)
         there = (found >= 0) & (score >= floor[:, None])
-        return pa.table([np.repeat(ids, settings.k)[there.ravel()], found[there], score[there]], schema=names)
+        named = [np.repeat(x, settings.k)[there.ravel()] for x in (
+            ids, queries.column("q_a").to_numpy(), queries.column("q_b").to_numpy())]
+        return pa.table([*named, found[there], score[there]], schema=names)
 
     return run
 
@@ -143,15 +154,18 @@ def _search(settings: Settings):
 def top_k(vectors: DataFrame, is_query: Column, settings: Settings = Settings()) -> DataFrame:
     """(query_id, rank, vec_id, score) of the ``k`` highest inner products of each row of ``vectors``
     (id, v) for which ``is_query`` holds, over all other rows."""
+    rows = vectors.groupBy("id", "v").agg(F.count("*").alias("copies")).select(
+        "id", "v", "copies", F.size("v").alias("dim"), F.xxhash64("id", "v").alias("a"),
+        F.xxhash64(F.lit(1), "id", "v").alias("b"))
     n = max(1, vectors.count())
     shards, blocks = -(-n // settings.shard_rows), max(1, -(-vectors.filter(is_query).count() // settings.block_rows))
     # Vectors of another length are in other shards: only equal lengths meet.
-    dealt = vectors.select("id", "v", F.size("v").alias("dim"),
-                           F.pmod(F.xxhash64("id"), F.lit(shards)).cast("int").alias("shard"))
-    queries = dealt.filter(is_query).withColumn(
-        "block", F.pmod(F.xxhash64("id", F.lit(1)), F.lit(blocks)).cast("int"))
+    dealt = rows.withColumn("shard", F.pmod("a", F.lit(shards)).cast("int"))
+    queries = dealt.filter(is_query).withColumn("block", F.pmod("b", F.lit(blocks)).cast("int"))
     # A shard meets every block of queries.
-    spread = dealt.withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))))
+    shown = F.least("copies", F.lit(settings.k + 1)).cast("int")
+    spread = dealt.select("id", "v", "dim", "shard", F.explode(F.sequence(F.lit(1), shown)).alias("copy")).withColumn(
+        "block", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))))
     keys = ("dim", "shard", "block")
     low = F.lit(-(2 ** 63)).cast("long")
     search = _search(settings)
@@ -161,14 +175,17 @@ def top_k(vectors: DataFrame, is_query: Column, settings: Settings = Settings())
         left = spread.groupBy(*keys).cogroup(asked.groupBy(*[f"q_{c}" for c in keys]))
         return left.applyInArrow(lambda a, b: search(a, b), FOUND)
 
-    own = meet(queries.withColumn("floor", low))
-    kth = own.groupBy("query_id").agg(F.count("*").alias("found"), F.min("score").alias("least"))
-    floors = kth.filter(F.col("found") >= settings.k).select(F.col("query_id").alias("id"), "least")
+    own = meet(queries.select("id", "v", "a", "b", *keys, low.alias("floor")))
+    kth = own.groupBy("a", "b").agg(F.count("*").alias("found"), F.min("score").alias("least"))
+    floors = kth.filter(F.col("found") >= settings.k).select("a", "b", "least")
     home = F.col("shard")
-    others = queries.join(floors, "id", "left").select(
-        "id", "v", "dim", "block", F.coalesce("least", low).alias("floor"),
+    others = queries.join(floors, ["a", "b"], "left").select(
+        "id", "v", "a", "b", "dim", "block", F.coalesce("least", low).alias("floor"),
         F.explode(F.filter(F.sequence(F.lit(0), F.lit(shards - 1)), lambda s: s != home)).alias("shard"))
     both = own.union(meet(others)) if shards > 1 else own
-    order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
-    return both.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= settings.k).select(
+    order = Window.partitionBy("query_id", "a", "b").orderBy(F.desc("score"), "vec_id")
+    best = both.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= settings.k)
+    times = queries.filter("copies > 1").select("a", "b", "copies")
+    return best.join(times, ["a", "b"], "left").withColumn(
+        "time", F.explode(F.sequence(F.lit(1).cast("long"), F.coalesce("copies", F.lit(1).cast("long"))))).select(
         "query_id", "rank", "vec_id", "score")
