@@ -1,6 +1,7 @@
 """Operator 7: exact BPE encoding by per-prefix dynamic programming, and decoding.
 
-The tokens that end at a position come from a suffix automaton over the vocabulary. For every prefix
+The tokens that end at a position come from an automaton over the vocabulary whose links lead from each
+match to its longest suffix that is a token too (the Aho-Corasick form of a suffix automaton). For every prefix
 of a piece exactly one of them is the last token of the prefix's encoding: the one that is compatible
 with the last token of what stands before it. Following these last tokens back from the end gives the
 same ids as merging step by step, in time linear in the piece.
@@ -16,6 +17,8 @@ alike; all other columns are carried in the struct ``row`` and cannot clash.
 from __future__ import annotations
 
 import json
+import re
+import sys
 import unicodedata
 from array import array
 from collections.abc import Iterator
@@ -27,6 +30,7 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from tokenizers import Regex, normalizers, pre_tokenizers
 
 from .common import small_batches
 
@@ -45,6 +49,32 @@ def byte_symbols() -> list[str]:
     return [symbols[b] for b in range(256)]
 
 
+def character_classes() -> dict[str, str]:
+    """White space, letters and numbers by the tokenizers library's own Unicode tables, each as the inside of a
+    character class: runs of these among all code points in their order."""
+    points = "".join(map(chr, [*range(0xD800), *range(0xE000, sys.maxunicode + 1)]))
+    out = {}
+    for name in (r"\s", r"\p{L}", r"\p{N}"):
+        runs = pre_tokenizers.Split(Regex(f"{name}+"), "removed", invert=True).pre_tokenize_str(points)
+        out[name] = "".join(f"\\U{ord(run[0]):08x}-\\U{ord(run[-1]):08x}" for run, _ in runs)
+    return out
+
+
+def composed_otherwise() -> set[str]:
+    """Characters at which the library, whose normalization follows another Unicode version, may compose or order
+    a text otherwise than this Python: each combining one is tried before the highest class, each pair by itself."""
+    nfc, out = normalizers.NFC(), set()
+    for c in map(chr, [*range(0x300, 0xD800), *range(0xE000, sys.maxunicode + 1)]):
+        parts = unicodedata.decomposition(c)
+        tried = [f"a\u0345{c}"] if unicodedata.combining(c) else []
+        if parts and not parts.startswith("<"):
+            tried.append("".join(chr(int(x, 16)) for x in parts.split()))
+        for text in tried:
+            if nfc.normalize_str(text) != unicodedata.normalize("NFC", text):
+                out |= {c, text[-1]}
+    return out
+
+
 class Memo(dict):
     """A dictionary in two generations: when the young one is full it becomes the old one."""
 
@@ -80,8 +110,15 @@ class Encoder:
         if self.steps != ["NFC", "Replace", "Lowercase"]:
             raise ValueError(f"unsupported normalizer {self.steps}")
         pattern = spec["pre_tokenizer"]["pretokenizers"][0]["pattern"]["Regex"]
-        # White space is what Unicode says it is; this module's \s also takes the separators 1C to 1F.
-        self.pieces = regex.compile(pattern.replace(r"\s", r"\p{White_Space}"))
+        # White space is what Unicode says it is; Python's \s also takes the separators 1C to 1F.
+        for name, chars in character_classes().items():
+            pattern = pattern.replace(name, chars)
+        self.pieces = re.compile(pattern)
+        # Texts with characters that this Python and the library know differently are folded by the library.
+        strange = composed_otherwise()
+        self.high = re.compile("[\u0378-\U0010ffff]")  # all below are known alike
+        self.strange = Memo(lambda c: c in strange or unicodedata.category(c) == "Cn")
+        self.folded = normalizers.Sequence([normalizers.NFC(), normalizers.Lowercase()])
         self.odd = regex.compile("[\x1c-\x1f]")
         self.space = regex.compile(r"\p{White_Space}+")
         self.symbols = dict(enumerate(byte_symbols()))
@@ -186,10 +223,13 @@ class Encoder:
         return " ".join([tokens[i] for i in ids])
 
     def _plain(self, text: str, ids: list) -> None:
-        text = unicodedata.normalize("NFC", text)
-        if "Σ" in text:
-            text = text.replace("Σ", "σ")  # lower case goes by character, not by its place in a word
-        text = text.lower()
+        if any(self.strange[c] for c in set(self.high.findall(text))):
+            text = self.folded.normalize_str(text)
+        else:
+            text = unicodedata.normalize("NFC", text)
+            if "Σ" in text:
+                text = text.replace("Σ", "σ")  # lower case goes by character, not by its place in a word
+            text = text.lower()
         words = self.words
         parts = filter(None, self.space.split(text)) if self.odd.search(text) else text.split()
         ids += [words[w] for w in parts]

@@ -37,6 +37,30 @@ def test_encodes_as_the_library_does(enc):
         assert enc.decode(ids) == lib.decode(want, skip_special_tokens=False)
 
 
+def test_every_code_point_as_the_library_has_it(enc):
+    lib = Tokenizer.from_file(PATH)
+    # Beyond the third plane, where no letters are assigned, one in 97 (all of them agree, which takes two minutes).
+    points = [c for c in range(0x110000) if not 0xD800 <= c < 0xE000 and (c < 0x33500 or c % 97 == 0)]
+    # Beside a letter, a digit and a sign, so that the class of each shows.
+    said = [f"a{chr(c)}1{chr(c)}!" for c in points]
+    for at in range(0, len(said), 50_000):
+        part = said[at:at + 50_000]
+        for t, want in zip(part, lib.encode_batch_fast(part, add_special_tokens=False), strict=True):
+            assert enc.encode(t).tolist() == want.ids, t
+        enc.forget()
+
+
+def test_fuzzed_texts_as_the_library_has_them(enc):
+    lib = Tokenizer.from_file(PATH)
+    rng = random.Random(11)
+    kinds = [(32, 0x250), (0x300, 0x370), (0x370, 0x600), (0x1c80, 0x1cc0), (0x1e00, 0x2100), (0xa640, 0xa800), (0xac00, 0xac80),
+             (0x10500, 0x10e00), (0x11300, 0x11400), (0x16d00, 0x16e00), (0x1e900, 0x1e960), (0x1f300, 0x1f700), (9, 33)]
+    texts = ["".join(chr(rng.randrange(*rng.choice(kinds))) for _ in range(rng.randrange(1, 40))) for _ in range(20_000)]
+    for t, want in zip(texts, lib.encode_batch_fast(texts, add_special_tokens=False), strict=True):
+        assert enc.encode(t).tolist() == want.ids, t
+    enc.forget()
+
+
 def test_small_caches_change_nothing(enc, monkeypatch):
     monkeypatch.setattr(bpe, "CACHED", 3)
     with open(PATH, encoding="utf-8") as f:
