@@ -50,6 +50,7 @@ def land(spark: SparkSession, kind: str, input_path: str, root: str, max_rows: i
 
     from .session import checkpoint_dir
     from .sources import ingest, readers, registry
+    from .sources.keyindex import KeyIndex
     reader, key, name = {"reviews": (readers.read_reviews, "review_id", "raw_reviews"),
                          "users": (readers.read_users, "user_id", "raw_users")}[kind]
     good, rejected = reader(spark, input_path)
@@ -62,13 +63,10 @@ def land(spark: SparkSession, kind: str, input_path: str, root: str, max_rows: i
         good = ingest.bounded_ingest(good, key, max_rows)
     ts = F.lit(load_ts).cast("timestamp_ntz") if load_ts else F.localtimestamp()
     good = good.withColumn("loaded_at", ts)
-    target = _raw_or_empty(spark, root, name)
-    report = {r.outcome: r.rows for r in ingest.ingest_report(good, target, key).collect()}
-    report["rejected"] = rejected.count()
-    new_rows = ingest.insert_ignore(good, target, key, readers.ARRIVAL)
-    # The new rows are derived from the target they are appended to: cut the lineage
-    # (reliable checkpoint in the shared checkpoint folder) before the append.
-    new_rows = new_rows.checkpoint(eager=True)
+    index = KeyIndex(spark, registry.raw_path(root, name), key).refresh()
+    new_rows = ingest.insert_ignore(good, None, key, readers.ARRIVAL, index).checkpoint(eager=True)
+    report = {"inserted": new_rows.count(), "rejected": rejected.count()}
+    report["duplicate"] = good.where(F.col(key).isNotNull()).count() - report["inserted"]
     registry.append_raw(new_rows, root, name)
     registry.append_once(rejected, f"{root.rstrip('/')}/quarantine/{name}")
     _delete(spark, scratch)  # both writes are committed; the parsed copy is no longer needed
@@ -82,6 +80,7 @@ def land_launches(spark: SparkSession, pages_path: str, root: str, load_ts: str
     missing or unreadable page or the last page, or beyond ``max_pages`` if given, are not used."""
     from .session import checkpoint_dir
     from .sources import ingest, readers, registry
+    from .sources.keyindex import KeyIndex
     good, rejected = readers.parse_launch_pages(readers.read_launch_pages(spark, pages_path), fallback_prefix,
                                                 max_pages)
     # The id assignment, the append and the quarantine reuse what was parsed.
@@ -89,7 +88,8 @@ def land_launches(spark: SparkSession, pages_path: str, root: str, load_ts: str
     good, rejected = good.checkpoint(eager=True), rejected.checkpoint(eager=True)
     target = _raw_or_empty(spark, root, "raw_launches")
     start = (target.agg(F.max("id")).first()[0] or 0) + 1
-    new_rows = ingest.insert_ignore(good.drop("page_no"), target, "product_url", readers.ARRIVAL).checkpoint(eager=True)
+    index = KeyIndex(spark, registry.raw_path(root, "raw_launches"), "product_url").refresh()
+    new_rows = ingest.insert_ignore(good.drop("page_no"), None, "product_url", readers.ARRIVAL, index).checkpoint(eager=True)
     landed = ingest.land_with_audit(new_rows, "product_url", "id", "scraped_at", load_ts=load_ts, start_id=start)
     n = landed.count()
     registry.append_raw(landed, root, "raw_launches")
@@ -157,25 +157,24 @@ def analysis_datasets(marts: dict[str, DataFrame], params: P.Params,
 def analyze(spark: SparkSession, root: str, params: P.Params, with_model: bool = True) -> dict[str, str]:
     from .operators import churn, metrics, survival
     from .sources import registry
-    base = root.rstrip("/")
-    marts = {n: spark.read.parquet(f"{base}/marts/{n}") for n in (
-        "fct_survival_inputs", "fct_retention_cohorts", "fct_launch_performance", "fct_category_performance")}
-    # The per-user survival mart is aggregated once into the two event tables; every
-    # curve, median and read-out is then derived from these small stored tables.
-    km_in = survival.km_input(marts["fct_survival_inputs"], params.min_reviews)
-    event_paths = registry.materialize({"km_events": survival.km_events(km_in),
-                                        "km_events_by_segment": survival.km_events(km_in, by="user_segment")},
-                                       root, layer="datasets")
-    events = {n: spark.read.parquet(p) for n, p in event_paths.items()}
-    out = analysis_datasets(marts, params, events)
-    if with_model:
-        model, scored = churn.train_and_score(marts["fct_survival_inputs"], params.churn_days, params.min_reviews)
-        importance = churn.feature_importance(model, spark)
-        out.update({"churn_predictions": churn.displayed(scored), "churn_model_report": metrics.classification_report(scored),
-                    "churn_model_auc": metrics.roc_auc(scored), "feature_importance": importance,
-                    "top_feature": churn.top_feature(importance)})
-    paths = registry.materialize(out, root, layer="datasets")
-    paths.update(event_paths)
+    marts = registry.read_layer(spark, root, "marts", (
+        "fct_survival_inputs", "fct_retention_cohorts", "fct_launch_performance", "fct_category_performance"))
+    # The datasets show together, when the last one is written.
+    with registry.new_layer(spark, root, "datasets") as written:
+        # The per-user survival mart is aggregated once into the two event tables; every
+        # curve, median and read-out is then derived from these small stored tables.
+        km_in = survival.km_input(marts["fct_survival_inputs"], params.min_reviews)
+        paths = {"km_events": written.write("km_events", survival.km_events(km_in)),
+                 "km_events_by_segment": written.write("km_events_by_segment", survival.km_events(km_in, by="user_segment"))}
+        out = analysis_datasets(marts, params, {n: spark.read.parquet(p) for n, p in paths.items()})
+        if with_model:
+            model, scored = churn.train_and_score(marts["fct_survival_inputs"], params.churn_days, params.min_reviews)
+            importance = churn.feature_importance(model, spark)
+            out.update({"churn_predictions": churn.displayed(scored),
+                        "churn_model_report": metrics.classification_report(scored),
+                        "churn_model_auc": metrics.roc_auc(scored), "feature_importance": importance,
+                        "top_feature": churn.top_feature(importance)})
+        paths.update({name: written.write(name, df) for name, df in out.items()})
     return paths
 
 
@@ -194,14 +193,16 @@ def sync(spark: SparkSession, source_root: str, target_root: str, load_ts: str |
     and launch ids are its own.  Copying again adds nothing.  Returns the rows added per table."""
     from .session import checkpoint_dir
     from .sources import ingest, registry
+    from .sources.keyindex import KeyIndex
     checkpoint_dir(spark)
     added = {}
     for name, (columns, key) in SYNCED.items():
         if not registry.exists(spark, registry.raw_path(source_root, name)):
             continue
         target = _raw_or_empty(spark, target_root, name)
-        new_rows = ingest.sync_table(registry.read_raw(spark, source_root, name), target, columns, key)
-        # Cut from the target that the rows are appended to.
+        index = KeyIndex(spark, registry.raw_path(target_root, name), key).refresh()
+        new_rows = ingest.sync_table(registry.read_raw(spark, source_root, name), None, columns, key, index)
+        # Cut from the index, which follows the target that the rows are appended to.
         new_rows = new_rows.checkpoint(eager=True)
         added[name] = new_rows.count()
         if name == "raw_launches":

@@ -13,7 +13,7 @@ import uuid
 from pyspark.ml.classification import GBTClassificationModel, GBTClassifier
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .. import params as P
@@ -21,8 +21,10 @@ from ..session import checkpoint_dir
 
 FEATURES = ["total_reviews", "avg_stars", "avg_engagement_score", "user_segment_encoded"]
 LABEL = "churned_early"
-# Rows whose md5(user_id) starts below this hex prefix form the hold-out set: 0x33/0x100 = 51/256 ~ 20 %.
-TEST_HEX_BELOW = "33"
+# The hold-out set: this share of the users, rounded up, those with the smallest md5(user_id).
+TEST_PERCENT = 20
+# Hex digits of the hash that one histogram tells apart.
+DIGITS = 4
 
 
 def churn_training_set(survival: DataFrame, churn_days: int = P.CHURN_DAYS,
@@ -51,10 +53,35 @@ def segment_encoding(df: DataFrame, col: str = "user_segment", out: str = "user_
         *df.columns, F.coalesce(F.col(out), F.col("_labels")).alias(out))
 
 
-def churn_split(df: DataFrame, key: str = "user_id", test_below: str = TEST_HEX_BELOW) -> DataFrame:
-    """Stable 80/20 split by a hash of the key: same rows on any partitioning and in SQL."""
-    prefix = F.substring(F.md5(F.col(key).cast("string")), 1, 2)
-    return df.withColumn("split", F.when(prefix < test_below, "test").otherwise("train"))
+def kth_smallest_hash(hashes: DataFrame, k: Column, levels: int = 3):
+    """The ``k``-th smallest of the hex texts in column ``h``, as a scalar (null if there are fewer).
+
+    A histogram of the first digits (at most 16 ** ``DIGITS`` rows, aggregated before it is shuffled) tells which
+    prefix holds it and how many lie before; the next level looks at that prefix only.  The last level counts
+    whole hashes: after 8 digits that is one in four thousand million.
+    """
+    prefix, left = F.lit(""), k
+    for level in range(levels):
+        width = DIGITS * (level + 1) if level < levels - 1 else 32
+        digits = F.substring("h", 1, width)
+        histogram = hashes.where(F.col("h").startswith(prefix)).groupBy(digits.alias("p")).agg(F.count("*").alias("n"))
+        upto = F.sum("n").over(Window.orderBy("p").rowsBetween(Window.unboundedPreceding, Window.currentRow))
+        reached = histogram.select("p", "n", upto.alias("upto")).where(F.col("upto") >= left)
+        found = reached.agg(F.min(F.struct("p", (F.col("upto") - F.col("n")).alias("before"))).alias("f")).scalar()
+        prefix, left = found["p"], left - found["before"]
+    return prefix
+
+
+def churn_split(df: DataFrame, key: str = "user_id", test_percent: int = TEST_PERCENT) -> DataFrame:
+    """Stable split by a hash of the key: the same rows on any partitioning and in SQL.
+
+    The test side has exactly ceil(``test_percent`` % of all rows) (more only if rows repeat the key at the border).
+    """
+    h = F.md5(F.col(key).cast("string"))
+    hashes = df.select(h.alias("h"))
+    k = hashes.select(F.floor((F.count("*") * test_percent + 99) / 100).cast("long")).scalar()
+    border = kth_smallest_hash(hashes, k)
+    return df.withColumn("split", F.when(F.coalesce(h <= border, F.lit(False)), "test").otherwise("train"))
 
 
 def split_sizes(split: DataFrame) -> DataFrame:

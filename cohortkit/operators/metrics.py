@@ -6,8 +6,10 @@
     AUC = sum_s pos(s) * (neg(< s) + neg(s) / 2) / (P * N)
 
 computed as a distributed prefix sum: scores are grouped (partial aggregation) and cut
-into fixed ranges, each range gets its exclusive offset from a small per-range total
-table, and the running sum inside a range is a window over that range only.
+into ranges of about equal numbers of scores, each range gets its exclusive offset from a
+small per-range total table, and the running sum inside a range is a window over that range
+only.  The borders come from a quantile sketch; they only balance the work, so the result
+is exact whatever the sketch says, and equal scores are one row, so never split.
 """
 
 from __future__ import annotations
@@ -64,18 +66,38 @@ def classification_report(scored: DataFrame, label: str = "label", prediction: s
     return counts.select(F.inline(rows))
 
 
-def roc_auc(scored: DataFrame, label: str = "label", score: str = "score", ranges: int = 10_000) -> DataFrame:
-    """Exact ROC AUC (ties count one half) of scores, mostly in [0, 1], as a one-row DataFrame ``auc``.
+def score_ranges(by_score: DataFrame, groups: int = 32) -> DataFrame:
+    """``by_score`` (a row per distinct score ``s``) with ``r``, its range of at most ``groups`` ** 2, in order.
 
-    ``ranges`` fixed-width score ranges (what lies outside [0, 1] falls into the outer ones) keep
-    their order, so the running count needs a window only inside a range; the per-range totals are
-    at most ``ranges`` rows.  Nothing runs while the query is built.
+    The borders are approximate quantiles of the distinct scores, found in the same plan.  A score
+    looks for its group of ranges first, then for its range in it: 2 x ``groups`` comparisons.
+    """
+    n = groups * groups
+    shares = F.array(*[F.lit(i / n) for i in range(1, n)])
+    borders = by_score.select(F.percentile_approx("s", shares, F.lit(20 * n))).scalar()
+    # Of the first border of each further group, how many lie below the score.
+    heads = F.transform(F.sequence(F.lit(1), F.lit(groups - 1)), lambda i: F.get(F.col("_borders"), i * groups - 1))
+
+    def below(values):
+        return F.coalesce(F.size(F.filter(values, lambda b: b < F.col("s"))), F.lit(0))
+
+    grouped = by_score.withColumn("_borders", borders).withColumn("_group", F.when(
+        F.col("_borders").isNotNull(), below(heads)).otherwise(0))
+    within = F.slice("_borders", F.col("_group") * groups + 1, F.lit(groups - 1))
+    return grouped.withColumn("r", F.when(F.col("_borders").isNotNull(), F.col("_group") * groups + below(within)).otherwise(0)).drop(
+        "_borders", "_group")
+
+
+def roc_auc(scored: DataFrame, label: str = "label", score: str = "score", groups: int = 32) -> DataFrame:
+    """Exact ROC AUC (ties count one half) of any scores, as a one-row DataFrame ``auc``.
+
+    The ranges keep the scores' order, so the running count needs a window only inside a range; the
+    per-range totals are at most ``groups`` ** 2 rows.  Nothing runs while the query is built.
     """
     y = F.col(label).cast("long")
     by_score = scored.groupBy(F.col(score).cast("double").alias("s")).agg(
         F.sum(y).alias("pos"), F.sum(1 - y).alias("neg"))
-    place = F.floor(F.least(F.greatest(F.col("s"), F.lit(0.0)), F.lit(1.0)) * ranges)
-    ranged = by_score.withColumn("r", F.least(place, F.lit(ranges - 1)))
+    ranged = score_ranges(by_score, groups)
     totals = ranged.groupBy("r").agg(F.sum("neg").alias("range_neg"))
     before = Window.orderBy("r").rowsBetween(Window.unboundedPreceding, -1)
     offsets = totals.select("r", F.coalesce(F.sum("range_neg").over(before), F.lit(0)).alias("neg_before_range"))

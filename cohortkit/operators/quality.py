@@ -2,9 +2,12 @@
 
 Each check yields a row ``(check_id, model, column_name, check_name, failing_rows,
 passed)``.  All row-level checks of one model (not_null, between, row_count) are fused
-into a single aggregate over the model, i.e. one scan; each ``unique`` and
-``accepted_values`` check is one grouped aggregate on its column (partial aggregation
-first; of accepted values only those off the list reach it).
+into a single aggregate over the model, i.e. one scan.  All ``unique`` and
+``accepted_values`` checks of all models share one exchange: each model is scanned once
+more, a row gives (check, 128-bit hash of the value) for each unique column and for each
+value that is off its list, and these are counted (partial aggregation first; of accepted
+values none normally gets there).  Two different values of 10^10 share a hash with a
+probability below 10^-18.
 Column-order checks read only the schema.
 
 Semantics (nulls pass unless stated):
@@ -102,6 +105,7 @@ def suite(params: P.Params) -> list[Check]:
 
 RESULT_COLUMNS = ["check_id", "model", "column_name", "check_name", "failing_rows", "passed"]
 FUSED_KINDS = ("not_null", "between", "row_count")
+COUNTED_KINDS = ("unique", "accepted_values")
 
 
 def _lit(v) -> Column:
@@ -132,27 +136,52 @@ def _row(c: Check, failing: Column) -> Column:
                     f.alias("failing_rows"), (f == 0).alias("passed"))
 
 
-def run_checks(df: DataFrame, checks: list[Check], models: dict[str, DataFrame] | None = None) -> DataFrame | None:
+def _counted(df: DataFrame, checks: list[tuple[int, Check]]) -> DataFrame:
+    """(check, h1, h2) of each value of ``df`` that the numbered unique and accepted-values checks count."""
+    def entry(i: int, c: Check) -> Column:
+        value = F.col(c.column)
+        asked = value.isNotNull() if c.kind == "unique" else F.coalesce(~value.isin(list(c.values)), F.lit(False))
+        return F.when(asked, F.struct(F.lit(i).alias("check"), F.xxhash64(value).alias("h1"),
+                                      F.xxhash64(F.lit(1), value).alias("h2")))
+    if len(checks) == 1:
+        return df.select(entry(*checks[0]).alias("e")).where(F.col("e").isNotNull()).select("e.*")
+    entries = F.array(*[entry(i, c) for i, c in checks])
+    return df.select(F.explode(entries).alias("e")).where(F.col("e").isNotNull()).select("e.*")
+
+
+def count_checks(tables: list[tuple[DataFrame, list[Check]]]) -> DataFrame | None:
+    """Results of the ``unique`` and ``accepted_values`` checks of several tables."""
+    numbered, entries = [], None
+    for df, checks in tables:
+        own = [(len(numbered) + i, c) for i, c in enumerate(c for c in checks if c.kind in COUNTED_KINDS)]
+        if own:
+            numbered += own
+            part = _counted(df, own)
+            entries = part if entries is None else entries.unionByName(part)
+    if entries is None:
+        return None
+    values = entries.groupBy("check", "h1", "h2").agg(F.count(F.lit(1)).alias("n"))
+    sums = values.agg(*[
+        F.count_if((F.col("check") == i) & (F.col("n") > (1 if c.kind == "unique" else 0))).alias(f"c{i}") for i, c in numbered])
+    return sums.select(F.inline(F.array(*[_row(c, F.col(f"c{i}")) for i, c in numbered])))
+
+
+def run_checks(df: DataFrame, checks: list[Check], models: dict[str, DataFrame] | None = None,
+               counted: bool = True) -> DataFrame | None:
     """Results of ``checks`` (all on the same model ``df``) as a DataFrame.
 
-    ``models`` resolves the parent tables of ``relationships`` checks."""
+    ``models`` resolves the parent tables of ``relationships`` checks; without ``counted`` the unique and
+    accepted-values checks are left to ``count_checks``."""
     parts: list[DataFrame] = []
+    if counted and (part := count_checks([(df, checks)])) is not None:
+        parts.append(part)
     fused = [c for c in checks if c.kind in FUSED_KINDS]
     if fused:
         aggs = [_failing_expr(c).alias(f"f{i}") for i, c in enumerate(fused)]
         wide = df.agg(*aggs)
         parts.append(wide.select(F.inline(F.array(*[_row(c, F.col(f"f{i}")) for i, c in enumerate(fused)]))))
     for c in checks:
-        if c.kind == "unique":
-            dup = (df.where(F.col(c.column).isNotNull()).groupBy(c.column).count()
-                   .where(F.col("count") > 1))
-            parts.append(dup.agg(F.count(F.lit(1)).alias("n"))
-                         .select(F.inline(F.array(_row(c, F.col("n"))))))
-        elif c.kind == "accepted_values":
-            # Its own small aggregate: a distinct count among the others would expand every row for each.
-            off = df.where(~F.col(c.column).isin(list(c.values))).select(c.column).distinct()
-            parts.append(off.agg(F.count(F.lit(1)).alias("n")).select(F.inline(F.array(_row(c, F.col("n"))))))
-        elif c.kind == "columns":
+        if c.kind == "columns":
             failing = 0 if list(df.columns) == list(c.values) else 1
             parts.append(df.sparkSession.range(1).select(F.inline(F.array(_row(c, F.lit(failing))))))
         elif c.kind == "relationships":
@@ -171,10 +200,10 @@ def run_checks(df: DataFrame, checks: list[Check], models: dict[str, DataFrame]
 
 def dq_report(models: dict[str, DataFrame], suite: list[Check] = SUITE, kinds=None) -> DataFrame:
     """Run every check in ``suite`` (optionally only ``kinds``) against ``models``."""
-    out = None
-    for model, df in models.items():
-        checks = [c for c in suite if c.model == model and (kinds is None or c.kind in kinds)]
-        part = run_checks(df, checks, models) if checks else None
+    chosen = [(df, [c for c in suite if c.model == model and (kinds is None or c.kind in kinds)]) for model, df in models.items()]
+    out = count_checks(chosen)
+    for df, checks in chosen:
+        part = run_checks(df, checks, models, counted=False) if checks else None
         if part is not None:
             out = part if out is None else out.unionByName(part)
     return out

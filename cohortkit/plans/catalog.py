@@ -86,11 +86,9 @@ SELECT user_id, COUNT(DISTINCT review_month) AS active_months, MIN(review_date)
        AVG(engagement_score) AS avg_engagement_score
 FROM stg_reviews GROUP BY user_id"""))
 def _user_review_profile(m):
-    """The shared per-user intermediate of the user marts (month set reported as its size)."""
-    from pyspark.sql import functions as F
-    return m.user_profile.select(
-        "user_id", F.size("months").cast("long").alias("active_months"), "first_review_date",
-        "last_review_date", "total_reviews", "avg_stars", "avg_engagement_score")
+    """The shared intermediate of the user marts, summed per user (months reported as their number)."""
+    from ..operators import marts
+    return marts.review_activity_from_profile(m.user_profile)
 
 
 @register("review_activity", with_models("SELECT * FROM review_activity"))

@@ -20,6 +20,7 @@ class Models:
     def __init__(self, raw: dict[str, DataFrame], params: Params = FIXTURE_PARAMS, source: str = ""):
         self.raw = raw
         self.params = params
+        self._stored_profile = False
         self.source = source  # where the raw tables come from (for memoising derived models)
 
     @property
@@ -87,6 +88,7 @@ class Models:
     def use_profile(self, profile: DataFrame) -> "Models":
         """Use a stored per-user profile (e.g. written once by a build) for the user marts."""
         self.__dict__["user_profile"] = profile
+        self._stored_profile = True
         for name in ("retention_cohorts", "survival_inputs"):
             self.__dict__.pop(name, None)
         return self
@@ -106,8 +108,10 @@ class Models:
 
     @cached_property
     def survival_inputs(self) -> DataFrame:
-        return marts.survival_from_profile(self.stg_users, self.user_profile, self.params.as_of,
-                                           self.params.inactive_months)
+        # Once the profile is stored the activity comes from it; before that, straight from the reviews.
+        activity = (marts.review_activity_from_profile(self.user_profile) if self._stored_profile
+                    else marts.review_activity(self.stg_reviews))
+        return marts.survival_from_profile(self.stg_users, activity, self.params.as_of, self.params.inactive_months)
 
     def staging_views(self) -> dict[str, DataFrame]:
         return {"stg_launches": self.stg_launches, "stg_reviews": self.stg_reviews,

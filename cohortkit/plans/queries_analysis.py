@@ -198,13 +198,18 @@ FROM training t JOIN (
 ) c ON t.user_segment = c.user_segment"""))(
     lambda m: churn.segment_encoding(_training(m)))
 
-register("churn_split", _churn_sql(
-    "SELECT *, CASE WHEN substr(md5(user_id), 1, 2) < '33' THEN 'test' ELSE 'train' END AS split FROM training"))(
+# The hold-out side: a fifth of the users, rounded up, by the order of their hashes.
+HELD_OUT = """
+held AS (
+  SELECT *, CASE WHEN row_number() OVER (ORDER BY md5(user_id)) <= ceil(count(*) OVER () * 20 / 100.0) THEN 'test'
+                 ELSE 'train' END AS split
+  FROM training
+)"""
+
+register("churn_split", _churn_sql("SELECT * FROM held", HELD_OUT))(
     lambda m: churn.churn_split(_training(m)))
 
-register("churn_split_sizes", _churn_sql(
-    "SELECT CASE WHEN substr(md5(user_id), 1, 2) < '33' THEN 'test' ELSE 'train' END AS split, "
-    "COUNT(*) AS users FROM training GROUP BY 1"))(
+register("churn_split_sizes", _churn_sql("SELECT split, COUNT(*) AS users FROM held GROUP BY split", HELD_OUT))(
     lambda m: churn.split_sizes(churn.churn_split(_training(m))))
 
 register("label_distribution", _churn_sql(
@@ -245,7 +250,7 @@ def _trained(m):
 register("churn_predictions")(lambda m: churn.displayed(_trained(m)[1]))
 # Whoever is on the hold-out side is scored, with the label that the training set has.
 register("churn_scored_users", _churn_sql(
-    "SELECT user_id, churned_early AS label FROM training WHERE substr(md5(user_id), 1, 2) < '33'"))(
+    "SELECT user_id, churned_early AS label FROM held WHERE split = 'test'", HELD_OUT))(
     lambda m: _trained(m)[1].select("user_id", "label"))
 register("feature_importance")(lambda m: churn.feature_importance(_trained(m)[0], m.spark))
 register("top_feature")(lambda m: churn.top_feature(

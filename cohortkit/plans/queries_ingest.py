@@ -113,11 +113,11 @@ WHERE review_id IS NOT NULL AND user_id IS NOT NULL AND business_id IS NOT NULL
 
 
 @register("land_with_audit", with_models("""
-SELECT row_number() OVER (ORDER BY CAST('0x' || left(md5(product_url), 8) AS BIGINT) % 4096, product_url) AS id,
+SELECT row_number() OVER (ORDER BY left(md5(product_url), 6), product_url) AS id,
        TIMESTAMP '2001-08-01 00:00:00' AS scraped_at, product_url, name
 FROM raw_launches"""))
 def _land(m):
-    """Every launch with its id: by bucket of the key's md5, then by key."""
+    """Every launch with its id: by the first digits of the key's md5, then by key."""
     raw = m.raw_launches.drop("id", "scraped_at")
     landed = ingest.land_with_audit(raw, "product_url", "id", "scraped_at", load_ts="2001-08-01 00:00:00")
     return landed.select("id", "scraped_at", "product_url", "name")

@@ -7,7 +7,8 @@ All of them are set-based DataFrame operations, so a batch of any size is one jo
   so a key repeated millions of times is collapsed on the map side (no hot task);
 * "ignore rows whose key already exists" is a ``left_anti`` join on the key; AQE
   chooses broadcast (only when the measured key side is small) or a shuffle join and
-  splits skewed partitions.
+  splits skewed partitions.  With a ``KeyIndex`` of the target, as the commands use, the
+  batch is joined only with those of its keys that the target holds.
 """
 
 from __future__ import annotations
@@ -15,6 +16,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..session import checkpoint_dir
+
 
 def _cols(cols) -> list[str]:
     return [cols] if isinstance(cols, str) else list(cols)
@@ -57,17 +60,25 @@ def first_arrivals(batch: DataFrame, key, arrival: str) -> DataFrame:
     return firsts.select(*keys, *[F.col(f"_first.{c}").alias(c) for c in order]).select(*batch.columns)
 
 
-def insert_ignore(batch: DataFrame, target: DataFrame, key, arrival: str) -> DataFrame:
+def insert_ignore(batch: DataFrame, target: DataFrame | None, key, arrival: str, index=None) -> DataFrame:
     """Rows of ``batch`` to append so that the target behaves like
     ``INSERT ... ON CONFLICT (key) DO NOTHING`` applied in arrival order.
 
     Null keys are not insertable (a key is NOT NULL) and are dropped here; use
     ``quarantine_split`` / ``ingest_report`` to see them.
+
+    With a refreshed ``index`` (``sources.keyindex.KeyIndex``) in place of the target, the batch's first rows are
+    checkpointed and only the target's keys in doubt are read.
     """
     keys = _cols(key)
     clean = batch.where(_all_not_null(keys))
     firsts = first_arrivals(clean, keys, arrival)
-    existing = target.select(*keys)
+    if index is not None:
+        checkpoint_dir(batch.sparkSession)
+        firsts = firsts.checkpoint(eager=True)
+        existing = index.present(firsts)
+    else:
+        existing = target.select(*keys)
     out = firsts.join(existing, keys, "left_anti")
     return out.drop(arrival)
 
@@ -108,23 +119,24 @@ def bounded_ingest(df: DataFrame, key, max_rows: int | None = None) -> DataFrame
     return df.orderBy(*[F.col(k).asc_nulls_last() for k in _cols(key)]).limit(max_rows)
 
 
-def sync_table(source: DataFrame, target: DataFrame, columns, key) -> DataFrame:
+def sync_table(source: DataFrame, target: DataFrame | None, columns, key, index=None) -> DataFrame:
     """Rows to append when copying ``columns`` of ``source`` into ``target`` with
     insert-or-ignore on ``key``.  Audit columns are not copied (the target generates its
     own); of rows repeating a key, the one with the smallest values is copied."""
     picked = source.select(*_cols(columns)).withColumn("_arrival", F.lit(0))
-    return insert_ignore(picked, target, key, "_arrival")
+    return insert_ignore(picked, target, key, "_arrival", index)
 
 
 def land_with_audit(df: DataFrame, key, id_col: str | None = "id", ts_col: str | None = "loaded_at",
-                    load_ts=None, start_id: int = 1, buckets: int = 4096) -> DataFrame:
+                    load_ts=None, start_id: int = 1, digits: int = 3) -> DataFrame:
     """Add a dense surrogate id (start_id, start_id+1, ...) and a load timestamp.
 
-    Ids follow (bucket of the md5 of the natural key, key), so they depend on the rows alone:
-    a recomputed task gives the same ids and nothing has to be checkpointed.  Rows are
-    counted per bucket, a prefix over the bucket table (at most ``buckets`` rows, which is
-    what is broadcast) gives each bucket its offset, and a row's place inside its bucket
-    comes from a window over that bucket.
+    Ids follow the order of (the first 2 x ``digits`` hex digits of the md5 of the natural key, key), so they depend
+    on the rows alone: a recomputed task gives the same ids and nothing has to be checkpointed.  Rows are
+    counted per range (all 2 x ``digits`` digits: 16.7 million ranges); a range's offset is the sum of the groups
+    (first ``digits``: at most 4,096 rows in one task) before its own and of the ranges (at most 4,096 per task)
+    before it in its group.  A row's place in its range comes from a window over that range, which at 10^10 rows
+    holds some 600 rows.  Both sides of the join are partitioned by range, nothing is broadcast.
     """
     out = df
     if ts_col:
@@ -134,12 +146,16 @@ def land_with_audit(df: DataFrame, key, id_col: str | None = "id", ts_col: str |
         return out
     keys = _cols(key)
     digest = F.md5(F.concat_ws("|", *[F.col(k).cast("string") for k in keys]))
-    bucket = F.pmod(F.conv(F.substring(digest, 1, 8), 16, 10).cast("long"), F.lit(buckets))
-    tagged = out.withColumn("_bucket", bucket)
-    counts = tagged.groupBy("_bucket").agg(F.count(F.lit(1)).alias("_n"))
-    before = Window.orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = counts.select("_bucket", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_off"))
-    inside = Window.partitionBy("_bucket").orderBy(*keys, *[c for c in df.columns if c not in keys])
-    placed = tagged.withColumn("_row", F.row_number().over(inside)).join(F.broadcast(offsets), "_bucket")
+    tagged = out.withColumn("_range", F.conv(F.substring(digest, 1, 2 * digits), 16, 10).cast("long"))
+    group = F.floor(F.col("_range") / 16 ** digits)
+    counts = tagged.groupBy("_range").agg(F.count(F.lit(1)).alias("_n")).select("_range", "_n", group.alias("_group"))
+    groups = counts.groupBy("_group").agg(F.sum("_n").alias("_all"))
+    before = Window.orderBy("_group").rowsBetween(Window.unboundedPreceding, -1)
+    starts = groups.select("_group", F.coalesce(F.sum("_all").over(before), F.lit(0)).alias("_start"))
+    earlier = Window.partitionBy("_group").orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = (counts.select("_range", "_group", F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_off"))
+               .join(starts, "_group").select("_range", (F.col("_start") + F.col("_off")).alias("_off")))
+    inside = Window.partitionBy("_range").orderBy(*keys, *[c for c in df.columns if c not in keys])
+    placed = tagged.withColumn("_row", F.row_number().over(inside)).join(offsets, "_range")
     return (placed.withColumn(id_col, (F.lit(start_id - 1) + F.col("_off") + F.col("_row")).cast("long"))
             .select(id_col, *[c for c in out.columns if c != id_col]))

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from .. import schemas as S
 from ..session import checkpoint_dir
+from .generations import Generation, Generations, tables_in
 
 RAW_SCHEMAS = {
     "raw_reviews": S.RAW_REVIEWS,
@@ -51,21 +52,30 @@ def append_raw(df: DataFrame, root: str, name: str) -> None:
     df.select(*RAW_SCHEMAS[name].fieldNames()).write.mode("append").parquet(raw_path(root, name))
 
 
+def new_layer(spark: SparkSession, root: str, layer: str) -> Generation:
+    """A new generation of ``root/layer``: tables written to it show, all at once, when it is committed."""
+    return Generations(spark, f"{root.rstrip('/')}/{layer}").begin()
+
+
 def materialize(tables: dict[str, DataFrame], root: str, layer: str = "marts",
-                mode: str = "overwrite", partition_by: dict[str, list[str]] | None = None) -> dict[str, str]:
-    """Write each DataFrame as a Parquet table ``root/layer/name``; returns the paths.
+                partition_by: dict[str, list[str]] | None = None) -> dict[str, str]:
+    """Write the DataFrames as the Parquet tables of ``root/layer``; returns their paths.
 
-    Each write is one Spark job; the written table cuts the lineage for later readers.
+    Each write is one Spark job; the written table cuts the lineage for later readers. All tables go
+    into one new generation of the layer: a build that fails between two of them changes nothing.
     """
-    paths = {}
-    for name, df in tables.items():
-        path = f"{root.rstrip('/')}/{layer}/{name}"
-        writer = df.write.mode(mode)
-        if partition_by and name in partition_by:
-            writer = writer.partitionBy(*partition_by[name])
-        writer.parquet(path)
-        paths[name] = path
-    return paths
+    spark = next(iter(tables.values())).sparkSession
+    with new_layer(spark, root, layer) as written:
+        return {name: written.write(name, df, (partition_by or {}).get(name)) for name, df in tables.items()}
+
+
+def read_layer(spark: SparkSession, root: str, layer: str, names=None) -> dict[str, DataFrame]:
+    """The tables of the layer's current generation, all of the same build."""
+    folder = Generations(spark, f"{root.rstrip('/')}/{layer}").current()
+    if folder is None:
+        raise FileNotFoundError(f"nothing was built yet at {root}/{layer}")
+    names = [n for n in tables_in(spark, folder)] if names is None else names
+    return {n: spark.read.parquet(f"{folder}/{n}") for n in names}
 
 
 def register_views(spark: SparkSession, tables: dict[str, DataFrame]) -> None:

@@ -93,6 +93,6 @@ def test_build_reads_reviews_once_through_the_profile(spark, tmp_path):
     run_build(spark, models, root, gate=False)
     for df in (models.survival_inputs, models.retention_cohorts):
         files = df.inputFiles()
-        assert any("/intermediate/user_review_profile/" in f for f in files)
+        assert any("/intermediate/" in f and "/user_review_profile/" in f for f in files)
         assert not any("/raw/raw_reviews/" in f for f in files)
     assert sorted(tuple(r) for r in models.survival_inputs.collect()) == expected

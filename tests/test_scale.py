@@ -104,7 +104,7 @@ def test_staging_filter_pushed_to_scan(stored):
 def test_retention_reads_two_review_columns_and_preaggregates(stored):
     text = _formatted(stored.retention_cohorts)
     assert "ReadSchema: struct<user_id:string,review_date:date>" in text
-    assert "partial_collect_set" in text
+    assert "partial_bit_or" in text and "ObjectHashAggregate" not in text
 
 
 def test_first_wins_dedup_is_partial_aggregate(stored):
