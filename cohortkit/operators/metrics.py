@@ -14,6 +14,8 @@ is exact whatever the sketch says, and equal scores are one row, so never split.
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -88,16 +90,16 @@ def score_ranges(by_score: DataFrame, groups: int = 32) -> DataFrame:
         "_borders", "_group")
 
 
-def roc_auc(scored: DataFrame, label: str = "label", score: str = "score", groups: int = 32) -> DataFrame:
+def roc_auc(scored: DataFrame, label: str = "label", score: str = "score", ranges: int = 1024) -> DataFrame:
     """Exact ROC AUC (ties count one half) of any scores, as a one-row DataFrame ``auc``.
 
     The ranges keep the scores' order, so the running count needs a window only inside a range; the
-    per-range totals are at most ``groups`` ** 2 rows.  Nothing runs while the query is built.
+    per-range totals are at most ``ranges`` rows, up to the next square.  Nothing runs while the query is built.
     """
     y = F.col(label).cast("long")
     by_score = scored.groupBy(F.col(score).cast("double").alias("s")).agg(
         F.sum(y).alias("pos"), F.sum(1 - y).alias("neg"))
-    ranged = score_ranges(by_score, groups)
+    ranged = score_ranges(by_score, math.isqrt(max(1, ranges) - 1) + 1)
     totals = ranged.groupBy("r").agg(F.sum("neg").alias("range_neg"))
     before = Window.orderBy("r").rowsBetween(Window.unboundedPreceding, -1)
     offsets = totals.select("r", F.coalesce(F.sum("range_neg").over(before), F.lit(0)).alias("neg_before_range"))
