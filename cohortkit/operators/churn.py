@@ -24,7 +24,7 @@ LABEL = "churned_early"
 # The hold-out set: this share of the users, rounded up, those with the smallest md5(user_id).
 TEST_PERCENT = 20
 # Hex digits of the hash that one histogram tells apart.
-DIGITS = 4
+DIGITS = 5
 
 
 def churn_training_set(survival: DataFrame, churn_days: int = P.CHURN_DAYS,
@@ -53,23 +53,23 @@ def segment_encoding(df: DataFrame, col: str = "user_segment", out: str = "user_
         *df.columns, F.coalesce(F.col(out), F.col("_labels")).alias(out))
 
 
-def kth_smallest_hash(hashes: DataFrame, k: Column, levels: int = 3):
+def kth_smallest_hash(hashes: DataFrame, k) -> Column:
     """The ``k``-th smallest of the hex texts in column ``h``, as a scalar (null if there are fewer).
 
-    A histogram of the first digits (at most 16 ** ``DIGITS`` rows, aggregated before it is shuffled) tells which
-    prefix holds it and how many lie before; the next level looks at that prefix only.  The last level counts
-    whole hashes: after 8 digits that is one in four thousand million.
+    ``k`` is a column, or a function from the number of rows to one.  A histogram of the first digits (at most
+    16 ** ``DIGITS`` rows, summed before it is shuffled) tells which prefix holds it and how many lie before; then
+    only that prefix is looked at: of 10^10 rows some 10,000.
     """
-    prefix, left = F.lit(""), k
-    for level in range(levels):
-        width = DIGITS * (level + 1) if level < levels - 1 else 32
-        digits = F.substring("h", 1, width)
-        histogram = hashes.where(F.col("h").startswith(prefix)).groupBy(digits.alias("p")).agg(F.count("*").alias("n"))
-        upto = F.sum("n").over(Window.orderBy("p").rowsBetween(Window.unboundedPreceding, Window.currentRow))
-        reached = histogram.select("p", "n", upto.alias("upto")).where(F.col("upto") >= left)
-        found = reached.agg(F.min(F.struct("p", (F.col("upto") - F.col("n")).alias("before"))).alias("f")).scalar()
-        prefix, left = found["p"], left - found["before"]
-    return prefix
+    digits = F.substring("h", 1, DIGITS)
+    histogram = hashes.groupBy(digits.alias("p")).agg(F.count("*").alias("n"))
+    total = F.sum("n").over(Window.partitionBy())
+    upto = Window.orderBy("p").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    counted = histogram.select("p", "n", F.sum("n").over(upto).alias("upto"), (k(total) if callable(k) else k).alias("k"))
+    found = counted.where("upto >= k").agg(F.min(F.struct("p", F.expr("k - upto + n").alias("left"))).alias("f")).scalar()
+    within = hashes.where(digits == found["p"]).groupBy("h").agg(F.count("*").alias("n"))
+    upto = Window.orderBy("h").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    placed = within.select("h", F.sum("n").over(upto).alias("upto"))
+    return placed.where(F.col("upto") >= found["left"]).agg(F.min("h")).scalar()
 
 
 def churn_split(df: DataFrame, key: str = "user_id", test_percent: int = TEST_PERCENT) -> DataFrame:
@@ -78,9 +78,7 @@ def churn_split(df: DataFrame, key: str = "user_id", test_percent: int = TEST_PE
     The test side has exactly ceil(``test_percent`` % of all rows) (more only if rows repeat the key at the border).
     """
     h = F.md5(F.col(key).cast("string"))
-    hashes = df.select(h.alias("h"))
-    k = hashes.select(F.floor((F.count("*") * test_percent + 99) / 100).cast("long")).scalar()
-    border = kth_smallest_hash(hashes, k)
+    border = kth_smallest_hash(df.select(h.alias("h")), lambda n: F.floor((n * test_percent + 99) / 100).cast("long"))
     return df.withColumn("split", F.when(F.coalesce(h <= border, F.lit(False)), "test").otherwise("train"))
 
 

@@ -6,7 +6,7 @@ Shuffle plan at scale (reviews are the big table, users the second):
   active months, one 64-bit word per user and run of 64 calendar months, with a partial
   (map-side) aggregate of fixed width inside code generation.  A user with millions of
   reviews ships at most a few words per map task, and any date has its word.  After the
-  join with users the bits are summed per (cohort, word): no row per user and month.
+  join with users the bits are counted per (cohort, month), again before the shuffle.
 * ``survival_inputs`` aggregates reviews per user before the join (aggregate-then-join),
   again with partial aggregation, so skewed users cost nothing extra.
 * Everything after the per-user stage is keyed by (cohort, month) and tiny.
@@ -114,13 +114,13 @@ def cohort_activity(stg_users: DataFrame, stg_reviews: DataFrame) -> DataFrame:
 
 def cohort_activity_from_profile(stg_users: DataFrame, profile: DataFrame) -> DataFrame:
     joined = stg_users.select("user_id", "cohort_month").join(profile.select("user_id", "word", "months"), "user_id")
-    # A bit is one user active in one month: each of the 64 is summed over the users of a cohort.
-    per_word = joined.groupBy("cohort_month", "word").agg(*[
-        F.sum(F.call_function("shiftrightunsigned", F.col("months"), F.lit(i)).bitwiseAND(F.lit(1))).alias(f"m{i}")
-        for i in range(WORD)])
-    per_month = per_word.select("cohort_month", "word", F.posexplode(F.array(*[f"m{i}" for i in range(WORD)])).alias("bit", "active_users"))
+    # A bit is one user active in one month; the bits of a row are counted per cohort before they are shuffled.
+    active = F.filter(F.sequence(F.lit(0), F.lit(WORD - 1)), lambda i: F.call_function(
+        "shiftrightunsigned", F.col("months"), i).bitwiseAND(F.lit(1)) == 1)
+    per_month = (joined.select("cohort_month", "word", F.explode(active).alias("bit"))
+                 .groupBy("cohort_month", "word", "bit").agg(F.count(F.lit(1)).alias("active_users")))
     month = F.col("word") * WORD + F.col("bit")
-    activity = per_month.where("active_users > 0").select(
+    activity = per_month.select(
         "cohort_month", "active_users", F.make_date(F.floor(month / 12).cast("int"), (F.pmod(month, F.lit(12)) + 1).cast("int"), F.lit(1))
         .alias("activity_month"))
     return (activity.where(F.col("activity_month") >= F.col("cohort_month"))

@@ -75,8 +75,10 @@ def score_ranges(by_score: DataFrame, groups: int = 32) -> DataFrame:
     looks for its group of ranges first, then for its range in it: 2 x ``groups`` comparisons.
     """
     n = groups * groups
-    shares = F.array(*[F.lit(i / n) for i in range(1, n)])
-    borders = by_score.select(F.percentile_approx("s", shares, F.lit(20 * n))).scalar()
+    if n == 1:
+        return by_score.withColumn("r", F.lit(0))
+    shares = ", ".join(f"{i / n!r}D" for i in range(1, n))
+    borders = by_score.select(F.expr(f"percentile_approx(s, array({shares}), {20 * n})")).scalar()
     # Of the first border of each further group, how many lie below the score.
     heads = F.transform(F.sequence(F.lit(1), F.lit(groups - 1)), lambda i: F.get(F.col("_borders"), i * groups - 1))
 

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ..operators import churn, datasets, metrics, survival
+from ..operators import boosting, churn, datasets, metrics, survival
 from ..params import FIXTURE_PARAMS, Z_95
 from .catalog import register
 from .oracle import with_models
@@ -258,6 +258,59 @@ register("top_feature")(lambda m: churn.top_feature(
 register("churn_model_report")(lambda m: metrics.classification_report(_trained(m)[1]))
 register("churn_model_auc")(lambda m: metrics.roc_auc(_trained(m)[1]))
 
+# The first trees of the second-order booster: every split, gain and score can be said in SQL.  The borders are
+# fixed so that both sides cut the features alike.
+BOOSTED = boosting.Settings(trees=2)
+BORDERS = {"total_reviews": [float(i) for i in range(3, 25)], "avg_stars": [1 + i / 4 for i in range(1, 17)],
+           "avg_engagement_score": [i / 2 for i in range(4, 32)], "user_segment_encoded": [1.0, 2.0, 3.0]}
+_BOOSTED: dict = {}
+
+
+def _boosted(m):
+    """(model, encoded training set with its split), fitted once per session and input."""
+    content = m.survival_inputs.agg(F.count("*"), F.bit_xor(F.xxhash64(*m.survival_inputs.columns))).first()
+    key = (m.spark.sparkContext.applicationId, m.source, m.params, tuple(content))
+    data = churn.churn_split(churn.segment_encoding(_training(m)))
+    if key not in _BOOSTED:
+        _BOOSTED[key] = boosting.fit(data.where("split = 'train'"), churn.LABEL, BORDERS, BOOSTED)
+    return _BOOSTED[key], data
+
+
+ENCODED = HELD_OUT.replace("FROM training", "FROM (SELECT *, dense_rank() OVER (ORDER BY user_segment) - 1 AS user_segment_encoded FROM training)")
+
+
+def _boosted_sql(final: str) -> str:
+    return _churn_sql(final, ENCODED + ",\n" + boosting.boosting_sql("held", churn.LABEL, BORDERS, BOOSTED))
+
+
+register("boosting_splits", _boosted_sql("SELECT * FROM splits"))(
+    lambda m: _boosted(m)[0].splits(m.spark).withColumn("cover", F.round("cover", 6)))
+
+
+def _boosted_scores(m):
+    model, data = _boosted(m)
+    return model.score(data.where("split = 'test'")).select(
+        "user_id", F.col(churn.LABEL).alias("label"), "score", F.when(F.col("score") >= 0.5, 1).otherwise(0).alias("prediction"))
+
+
+register("boosting_scores", _boosted_sql(
+    "SELECT user_id, label, round(1 / (1 + exp(-margin)), 6) AS score FROM margins WHERE split = 'test'"))(
+    lambda m: _boosted_scores(m).select("user_id", "label", F.round("score", 6).alias("score")))
+register("boosting_importance", _boosted_sql("""
+SELECT feature, importance, CAST(rank() OVER (ORDER BY importance DESC) AS INTEGER) AS rank FROM (
+  SELECT feature, round(coalesce(mean, 0) / sum(coalesce(mean, 0)) OVER (), 6) AS importance
+  FROM (VALUES """ + ", ".join(f"('{f}')" for f in BORDERS) + """) AS known(feature)
+  LEFT JOIN (SELECT feature, avg(gain) AS mean FROM splits GROUP BY feature) AS s USING (feature))"""))(
+    lambda m: _boosted(m)[0].importance(m.spark))
+register("boosting_top_feature", _boosted_sql("""
+SELECT feature AS top_feature FROM splits GROUP BY feature ORDER BY avg(gain) DESC LIMIT 1"""))(
+    lambda m: churn.top_feature(_boosted(m)[0].importance(m.spark)).select("top_feature"))
+register("boosting_auc", _boosted_sql("""
+SELECT round(sum((a.margin > b.margin)::INT + (a.margin = b.margin)::INT / 2.0) / count(*), 6) AS auc
+FROM (SELECT round(margin, 9) AS margin FROM margins WHERE split = 'test' AND label = 1) AS a,
+     (SELECT round(margin, 9) AS margin FROM margins WHERE split = 'test' AND label = 0) AS b"""))(
+    lambda m: metrics.roc_auc(_boosted_scores(m).withColumn("score", F.round("score", 9))))
+
 
 # ------------------------------------------------------------------ datasets
 register("overview_kpis", with_models("""
