@@ -69,6 +69,88 @@ def test_defined_results_for_odd_input():
     assert op.main_text("<article>" + "<b>" * 5000 + "deep") == "deep"
 
 
+def test_headings_paragraphs_and_sections_keep_their_ids():
+    body = ('<article><h2 id="related-work">Related work</h2><p class="fire-alert">Fire!</p><section id="sharing"><h3>Sharing</h3>'
+            '<p>How it is shared.</p></section><p>Where <math><mi>x</mi><mo>=</mo><mn>2</mn></math> holds.</p>'
+            '<section id="comments"><p>A silly remark.</p></section><div class="share">Share this</div></article>')
+    assert op.main_text(page(FURNITURE + body + AFTER)) == "Related work Fire! Sharing How it is shared. Where x=2 holds."
+    assert op.main_text(page("<div class='well-form'><p>All that the page has to say stands here.</p></div><p>x</p>")).startswith("All that")
+    assert op.main_text(page("<p class='well-form'>Kept.</p>")) == "Kept."
+
+
+def test_comments_that_are_articles_go():
+    comment = "<article class='comment'><p>A reader's words.</p></article>"
+    assert op.main_text(page(f"<article><p>{A}</p></article>{comment}{comment}")) == A
+    assert op.main_text(page(f"<main><article class='promo'><p>{A}</p>{comment}</article></main>")) == A
+
+
+def test_quotes_and_ends_of_tags():
+    for markup, text in (("<p title='it's'>text Don't stop.</p>", "text Don't stop."), ('<p title="open>text</p>', "text"),
+                         ("<p title=a'b>x 'y' z</p>", "x 'y' z"), ("<p a = 'x>y' b>z</p>", "z"), ("<p/ / a=/>z", "z"),
+                         ("a<!-->b<!--->c<!--x--!>d", "abcd"), ("1 < 2 <3 </ 4> <5", "1 < 2 <3 <5"), ("x<p a='b'", "x"),
+                         ("<script>a</script x='>'>b</p>", "b"), ("<style>p</STYLE >q", "q")):
+        assert op.main_text(markup) == text, markup
+
+
+def slow_tag_end(s, at):
+    """Where a tag's attributes end, character by character; none if a quote is never closed."""
+    state, quote = "before", ""
+    while at < len(s):
+        c = s[at]
+        if state == "quoted":
+            if c == quote:
+                state = "before"
+        elif c == ">" and state != "value" or c == ">":
+            return at + 1
+        elif state == "value":       # right after =
+            if c in "'\"":
+                state, quote = "quoted", c
+            elif not c.isspace():
+                state = "unquoted"
+        elif state == "unquoted":
+            if c.isspace():
+                state = "before"
+        elif state == "name":
+            if c == "=":
+                state = "value"
+            elif c == "/":
+                state = "before"
+            elif c.isspace():
+                state = "after"
+        elif state == "after":       # white space after a name
+            if c == "=":
+                state = "value"
+            elif c == "/":
+                state = "before"
+            elif not c.isspace():
+                state = "name"
+        elif not c.isspace() and c != "/":
+            state = "name"
+        at += 1
+    return None if state == "quoted" else len(s)
+
+
+def test_tags_end_where_a_slow_reading_says():
+    import random
+    rng = random.Random(9)
+    seen = 0
+    for _ in range(20_000):
+        s = "".join(rng.choice("ab='\"> /\n<") for _ in range(rng.randrange(1, 25)))
+        want = slow_tag_end(s, 0)
+        if want is not None:
+            seen += 1
+            assert op.Tags(s).attributes(0)[0] == want, s
+    assert seen > 5000
+
+
+def test_bad_markup_takes_linear_time():
+    import time
+    for bad in ("<a ", "<a", "<a x='", '<a x="y', "<!--", "</script ", "<script>", "<", "</a ", "<a b=c ", "<p a='b'>", "<!x", "<a =", "<div class=x>", "<div>x", "<div class=ad>x", "<article class=ad>x<p>", "<div>x</div>", "<b><div>"):
+        begin = time.perf_counter()
+        op.main_text(bad * (400_000 // len(bad)))
+        assert time.perf_counter() - begin < 15, bad
+
+
 def test_runs_follow_the_sums():
     assert op.runs_of([0, 5, 0, 0, 0, 7, 7], 3) == [(1, 2), (5, 7)]
     assert op.runs_of([5, 0, 5, 0, 0, 0], 3) == [(0, 3)]
