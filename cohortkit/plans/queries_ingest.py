@@ -318,3 +318,71 @@ def _sync_all(name):
 
 for _name in ("raw_reviews", "raw_launches"):
     _sync_all(_name)
+
+
+# ------------------------------------------------- limits, files and names, over the whole given tables
+# The limit is the feature here: the first rows by key.
+LIMIT = 1000
+register("limited_ingest", with_models(f"SELECT * FROM raw_reviews ORDER BY review_id LIMIT {LIMIT}"))(
+    lambda m: ingest.bounded_ingest(m.raw_reviews, "review_id", LIMIT))
+
+
+def _fresh(m, name):
+    import uuid
+
+    from ..session import checkpoint_dir
+    return f"{checkpoint_dir(m.spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+
+
+@register("read_reviews_files", with_models("""
+SELECT review_id, user_id, business_id, stars, useful, funny, cool, review_date FROM raw_reviews
+WHERE review_date IS NOT NULL"""))
+def _read_reviews_files(m):
+    """The whole table as JSON-line files below the shared folder, through the file scan of the reader."""
+    from ..sources import readers
+    folder = _fresh(m, "review-files")
+    m.raw_reviews.select("review_id", "user_id", "business_id", "stars", "useful", "funny", "cool",
+                         F.date_format("review_date", "yyyy-MM-dd").alias("date")).write.json(folder)
+    return readers.read_reviews(m.spark, folder)[0].drop(readers.ARRIVAL)
+
+
+@register("read_users_files", with_models("""
+SELECT user_id, name, review_count, fans, average_stars, COALESCE(yelping_since, DATE '2004-01-01') AS yelping_since
+FROM raw_users"""))
+def _read_users_files(m):
+    from ..sources import readers
+    folder = _fresh(m, "user-files")
+    m.raw_users.select("user_id", "name", "review_count", "fans", "average_stars",
+                       F.date_format("yelping_since", "yyyy-MM-dd").alias("yelping_since")).write.json(folder)
+    return readers.read_users(m.spark, folder)[0].drop(readers.ARRIVAL)
+
+
+@register("raw_by_name", with_models("SELECT * FROM raw_launches"))
+def _raw_by_name(m):
+    """A raw table appended under its name and read back by it."""
+    from ..sources import registry
+    root = _fresh(m, "by-name")
+    registry.append_raw(m.raw_launches, root, "raw_launches")
+    return registry.read_raw(m.spark, root, "raw_launches")
+
+
+@register("display_numbers", with_models("""
+SELECT id, format('{:,}', id * 1000) AS whole, format('{:,}', id * 1000) || '.5' AS tenth FROM raw_launches"""))
+def _display_numbers(m):
+    from ..functions.columns import display_number
+    return m.raw_launches.select("id", display_number(F.col("id") * 1000).alias("whole"),
+                                 display_number(F.col("id") * 1000 + 0.5, 1).alias("tenth"))
+
+
+@register("land_indexed", with_models("""
+SELECT review_id, user_id, business_id, stars, useful, funny, cool, review_date, loaded_at
+FROM (SELECT *, row_number() OVER (PARTITION BY review_id ORDER BY arrival) AS rn FROM ig_batch) b
+WHERE rn = 1 AND review_id NOT IN (SELECT review_id FROM ig_target)""", BATCH_CTES))
+def _land_indexed(m):
+    """What ``insert_ignore`` gives, against the key index of a stored target."""
+    from ..sources import registry
+    from ..sources.keyindex import KeyIndex
+    root = _fresh(m, "indexed")
+    registry.append_raw(_target(m), root, "raw_reviews")
+    index = KeyIndex(m.spark, registry.raw_path(root, "raw_reviews"), "review_id").refresh()
+    return ingest.insert_ignore(_batch(m), None, "review_id", "arrival", index)
