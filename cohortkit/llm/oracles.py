@@ -51,14 +51,37 @@ def _distance(p: str, q: str) -> str:
             f"FOR i IN range(1, len({q}) + 1)]), 0))")
 
 
-def quality_rules_sql(limits: quality_rules.Limits = quality_rules.Limits()) -> str:
-    references = ", ".join(
-        f"('{lang}', {[*words]}, {[*(v / 1000 for v in words.values()), 1 - sum(words.values()) / 1000]}, "
-        f"{list(quality_rules.CHAR_CLASSES[lang])})" for lang, words in quality_rules.COMMON_WORDS.items())
+def quality_rules_sql(limits: quality_rules.Limits = quality_rules.Limits(),
+                      fit: quality_rules.Fit = quality_rules.Fit()) -> str:
+    stated = ", ".join(f"('{lang}', {[*r.words]}, {[*r.shares]}, {[*r.classes]})"
+                       for lang, r in quality_rules.STATED.items())
     marks = _text(quality_rules.PUNCTUATION.replace(r"\'", "'"))
     return rf"""
-WITH {WORDS}, reference(lang, common, word_ref, char_ref) AS (VALUES {references}),
-windows AS (
+WITH {WORDS}, sample AS (
+  SELECT DISTINCT doc_id, md5(CAST(doc_id AS VARCHAR)) AS h FROM labels WHERE quality = 1 AND doc_id IS NOT NULL
+  ORDER BY h, doc_id LIMIT {fit.sample}
+), good AS (
+  SELECT lang, t, words, length(t) AS chars, coalesce(list_sum([length(x) FOR x IN words]), 0) AS word_chars,
+         regexp_replace(t, '[\p{{L}}\x20\x09-\x0D]+', '', 'g') AS rest
+  FROM worded WHERE lang IS NOT NULL AND doc_id IN (SELECT doc_id FROM sample)
+), total AS (
+  SELECT lang, sum(len(words)) AS n_words, sum(chars) AS chars, sum(word_chars) AS word_chars, sum(length(rest)) AS rest,
+         sum(length(rest) - length(regexp_replace(rest, '\p{{N}}+', '', 'g'))) AS digits,
+         sum(length(rest) - length(regexp_replace(rest, {marks}, '', 'g'))) AS marks
+  FROM good GROUP BY lang HAVING count(*) >= {fit.min_docs} AND sum(len(words)) > 0
+), top AS (
+  SELECT lang, w, count(*) AS n FROM (SELECT lang, lower(unnest(words)) AS w FROM good) GROUP BY lang, w
+  QUALIFY row_number() OVER (PARTITION BY lang ORDER BY n DESC, w) <= {fit.common}
+), fitted AS (
+  SELECT lang, list(w ORDER BY n DESC, w) AS common,
+         list_concat(list(n / n_words ORDER BY n DESC, w), [(any_value(n_words) - sum(n)) / any_value(n_words)]) AS word_ref,
+         [x / any_value(chars) FOR x IN [any_value(word_chars - rest), any_value(digits), any_value(chars - word_chars),
+                                         any_value(marks), any_value(rest - digits - marks)]] AS char_ref
+  FROM top JOIN total USING (lang) GROUP BY lang
+), stated(lang, common, word_ref, char_ref) AS (VALUES {stated}
+), reference AS (
+  SELECT * FROM fitted UNION ALL SELECT * FROM stated WHERE lang NOT IN (SELECT lang FROM fitted)
+), windows AS (
   SELECT rid, i, words[i] || ' ' || words[i + 1] || ' ' || words[i + 2] AS w
   FROM worded, unnest(range(1, len(words) - 1)) AS place(i)
 ), twice AS (

@@ -39,8 +39,10 @@ def op1_secret_scan(spark, sf_dir):
 def op2_quality_rules(spark, sf_dir):
     from . import quality_rules as op
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
-    return op.judge(docs).select(F.col("row.doc_id").alias("doc_id"), "n_words", "word_chars", "n_symbols",
-                                 "n_dup_lines", "n_repeat_words", "base_failed", "kept")
+    references = op.fit(docs, table(spark, sf_dir, "labels"))
+    return op.judge(docs, references=references).select(
+        F.col("row.doc_id").alias("doc_id"), "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
+        "base_failed", "kept")
 
 
 @query

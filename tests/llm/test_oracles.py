@@ -23,11 +23,13 @@ def same(spark, folder, key, tables):
 
 @pytest.mark.parametrize("key", sorted(ORACLE))
 def test_given_tables(spark, key):
-    same(spark, "/root/testdata/sf0.001", key, ["documents", "embeddings", "conversations", "pages", "benchmark"])
+    same(spark, "/root/testdata/sf0.001", key, ["documents", "embeddings", "conversations", "pages", "benchmark", "labels"])
 
 
 @pytest.mark.parametrize("key", sorted(k for k in ORACLE if k[:4] in ("op1_", "op2_", "op3_", "op12")))
 def test_awkward_documents(spark, tmp_path, key):
     rows = [*prose(), (990, "token=abcdefabcdef1234 " * 3 + "\n" + "the of and " * 60, "en", "s", 0)]
     frame(spark, rows).write.parquet(f"{tmp_path}/documents.parquet")
-    same(spark, str(tmp_path), key, ["documents"])
+    labels = [(i, int(i % 5 > 0), 0) for i in range(45)] + [(3, 1, 0), (None, 1, 0), (7, None, None)]
+    spark.createDataFrame(labels, "doc_id long, quality int, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
+    same(spark, str(tmp_path), key, ["documents", "labels"])
