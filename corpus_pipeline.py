@@ -18,7 +18,8 @@ from cohortkit.llm.common import stored, table
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return quality_rules.reject(docs)
+    references = quality_rules.fit(docs, table(spark, sf_dir, "labels"))
+    return quality_rules.reject(docs, references=references)
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
