@@ -10,8 +10,10 @@ numbers of blocks drawn from each source are split exactly among the output shar
 the shards and draws how much of each quota goes left; each shard then takes its quota of disjoint
 blocks in random order. ``output`` deals the copies out and shuffles them within the shards.
 
-The driver and a broadcast hold one row per source, checked against ``max_sources`` before anything is
-broadcast (beyond it the same rows are joined with a shuffle).
+Up to ``max_sources`` sources, counted first, the driver and a broadcast hold one row per source. Beyond it
+sources and quotas stay tables: the sources are numbered range by range, the level comes from repeated
+sums, and the tree is drawn in two steps with the same law. The driver splits the totals of groups of about
+``max_sources`` sources, and one task per group splits each group's part among its sources.
 
 Defined results: a null or empty text has size 0 and is in the mix when its place in the order says so,
 taking no words; a source without words has target 0; repeated rows count each; a null source is a
@@ -23,6 +25,7 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -37,7 +40,7 @@ class Settings:
     shards: int = 8
     block_rows: int = 1000       # documents in a block, until a source has max_blocks
     max_blocks: int = 1_000_000  # blocks of one source; their table is never collected or broadcast
-    max_sources: int = 100_000   # broadcast up to this many rows of about 200 bytes
+    max_sources: int = 100_000   # on the driver and broadcast up to this many rows of about 200 bytes
     seed: int = 20240310
 
 
@@ -56,15 +59,22 @@ def _hash(settings: Settings, *cols) -> Column:
     return F.xxhash64(F.lit(settings.seed + 1), *cols)
 
 
-def targets(sizes: DataFrame, settings: Settings = Settings()) -> DataFrame:
-    """One row per source: ``source_size``, ``target``, how many whole ``passes`` and the words ``left``
-    for a part of a pass, and the number of its ``blocks``."""
-    sources = sizes.groupBy("skey").agg(F.sum("size").alias("source_size"), F.count("*").alias("n"))
-    place = F.row_number().over(Window.orderBy("skey")) - 1
+def totals(sizes: DataFrame) -> DataFrame:
+    """One row per source: its words and how many documents it has."""
+    return sizes.groupBy("skey").agg(F.sum("size").alias("source_size"), F.count("*").alias("n"))
+
+
+def _weighed(sources: DataFrame, place: Column, settings: Settings) -> DataFrame:
     listed = F.array(*[F.lit(float(w)) for w in settings.weights])
     weighed = sources.withColumn("weight", F.element_at(listed, (place % len(settings.weights) + 1).cast("int")))
     limit = (F.lit(settings.max_passes) * F.col("source_size")).cast("double")
-    weighed = weighed.withColumn("limit", limit).withColumn("ratio", limit / F.col("weight"))
+    return weighed.withColumn("limit", limit).withColumn("ratio", limit / F.col("weight"))
+
+
+def targets(sources: DataFrame, settings: Settings = Settings()) -> DataFrame:
+    """From ``totals`` of at most ``max_sources`` sources, a row for each: ``source_size``, ``target``, how many
+    whole ``passes`` and the words ``left`` for a part of a pass, and the number of its ``blocks``."""
+    weighed = _weighed(sources, F.row_number().over(Window.orderBy("skey")) - 1, settings)
     before = Window.orderBy("ratio", "skey").rowsBetween(Window.unboundedPreceding, -1)
     everyone = Window.partitionBy()
 
@@ -76,7 +86,38 @@ def targets(sizes: DataFrame, settings: Settings = Settings()) -> DataFrame:
     capped = weighed.withColumn("capped", F.col("ratio") < level)
     free = F.when(~F.col("capped"), F.col("weight"))
     rest = (total(F.col("source_size")) - total(F.when(F.col("capped"), F.col("limit")).otherwise(0.0))) / total(free)
-    out = capped.withColumn("rest", rest).withColumn("target", F.when(F.col("capped"), F.col("limit")).otherwise(
+    return _passes(capped.withColumn("rest", rest), settings)
+
+
+def targets_by_range(sources: DataFrame, ranges: int, settings: Settings = Settings()) -> DataFrame:
+    """What ``targets`` gives, for any number of sources: no task holds more than one of the ``ranges``."""
+    spark = sources.sparkSession
+    # Written, so that a source's range is settled.
+    ranged = stored(spark, sources.repartitionByRange(ranges, "skey").withColumn(
+        "range", F.spark_partition_id()), "mix-ranges")
+    counts = ranged.groupBy("range").agg(F.count("*").alias("held"))
+    earlier = Window.orderBy("range").rowsBetween(Window.unboundedPreceding, -1)  # a row per range
+    starts = counts.select("range", F.coalesce(F.sum("held").over(earlier), F.lit(0)).alias("start"))
+    inside = F.row_number().over(Window.partitionBy("range").orderBy("skey")) - 1
+    numbered = ranged.withColumn("inside", inside).join(starts, "range")
+    weighed = stored(spark, _weighed(numbered, F.col("start") + F.col("inside"), settings), "mix-weights")
+    # The level rises as sources reach their limits; it is found when no further source does.
+    level, known = F.lit(-1.0), -1
+    while True:
+        is_capped = F.col("ratio") < level
+        r = weighed.agg(
+            F.count_if(is_capped).alias("capped"), F.sum("source_size").cast("double").alias("words"),
+            F.sum(F.when(is_capped, F.col("limit")).otherwise(0.0)).alias("taken"),
+            F.sum(F.when(~is_capped, F.col("weight"))).alias("weight")).first()
+        rest = (r["words"] - r["taken"]) / r["weight"] if r["weight"] else 0.0
+        if r["capped"] == known:
+            break
+        known, level = r["capped"], F.lit(rest)
+    return _passes(weighed.withColumn("capped", is_capped).withColumn("rest", F.lit(rest)), settings)
+
+
+def _passes(capped: DataFrame, settings: Settings) -> DataFrame:
+    out = capped.withColumn("target", F.when(F.col("capped"), F.col("limit")).otherwise(
         F.least("limit", F.col("weight") * F.col("rest"))))
     passes = F.when(F.col("source_size") > 0, F.least(
         F.lit(settings.max_passes), F.floor(F.col("target") / F.col("source_size")))).otherwise(F.lit(0)).cast("int")
@@ -91,14 +132,61 @@ def _small(df: DataFrame, rows: int, settings: Settings) -> DataFrame:
     return F.broadcast(df) if rows <= settings.max_sources else df
 
 
+CUTS = "skey string, cuts array<bigint>"
+
+
+def _slots(every: int, shards: int) -> list[int]:
+    return [every // shards + (j < every % shards) for j in range(shards)]
+
+
+def _ends(tree: list[list[int]], quotas: int) -> list[list[int]]:
+    """For each quota, where it is cut among the shards."""
+    ends = np.cumsum(np.array(tree, dtype=np.int64).reshape(len(tree), quotas), axis=0)
+    return [[int(x) for x in ends[:-1, i]] for i in range(quotas)]
+
+
+def _cuts(quotas: DataFrame, settings: Settings) -> DataFrame:
+    """Where each source's draws are cut among the shards; the quotas are on the driver."""
+    rows = [(r["skey"], int(r["q"])) for r in quotas.orderBy("skey").collect()]
+    tree = split_tree(np.random.default_rng(settings.seed), [q for _, q in rows],
+                      _slots(sum(q for _, q in rows), settings.shards))
+    return quotas.sparkSession.createDataFrame(
+        [(k, cut) for (k, _), cut in zip(rows, _ends(tree, len(rows)), strict=True)], CUTS)
+
+
+def _cuts_by_group(quotas: DataFrame, groups: int, settings: Settings) -> DataFrame:
+    """The same law in two steps: the groups' totals are split among the shards, then within a task each
+    group's part among its sources. The driver holds a row per group."""
+    spark, seed = quotas.sparkSession, settings.seed
+    grouped = quotas.withColumn("group", F.pmod(_hash(settings, "skey"), F.lit(groups)))
+    sums = [(r["group"], int(r["q"])) for r in grouped.groupBy("group").agg(F.sum("q").alias("q")).orderBy("group").collect()]
+    tree = split_tree(np.random.default_rng(seed), [q for _, q in sums], _slots(sum(q for _, q in sums), settings.shards))
+    parts = spark.createDataFrame([(g, [int(row[i]) for row in tree]) for i, (g, _) in enumerate(sums)],
+                                  "`group` bigint, slots array<bigint>")
+
+    def split(group: pd.DataFrame) -> pd.DataFrame:
+        group = group.sort_values("skey")
+        rng = np.random.default_rng([seed, int(group["group"].iloc[0])])
+        drawn = split_tree(rng, [int(q) for q in group["q"]], [int(x) for x in group["slots"].iloc[0]])
+        return pd.DataFrame({"skey": group["skey"], "cuts": _ends(drawn, len(group))})
+
+    return stored(spark, grouped.join(parts, "group").groupBy("group").applyInPandas(split, CUTS), "mix-cuts")
+
+
 def plan(sizes: DataFrame, settings: Settings = Settings()) -> tuple[DataFrame, DataFrame, int]:
     """From (skey, size, h): the sources' rows; and a row per block with the shards that draw it, the
     words drawn ``before`` it in the part of a pass, and that part's shard; and the number of sources."""
     spark = sizes.sparkSession
-    kind = "skey string, source_size long, target double, passes int, left double, blocks int"
-    chosen = [tuple(r) for r in targets(sizes, settings).orderBy("skey").collect()]
-    sources = spark.createDataFrame(chosen, kind)
-    small = _small(sources, len(chosen), settings)
+    counted = stored(spark, totals(sizes), "mix-totals")
+    n = counted.count()
+    groups = -(-n // settings.max_sources)
+    if groups <= 1:
+        kind = "skey string, source_size long, target double, passes int, left double, blocks int"
+        chosen = [tuple(r) for r in targets(counted, settings).orderBy("skey").collect()]
+        sources = spark.createDataFrame(chosen, kind)
+    else:
+        sources = stored(spark, targets_by_range(counted, groups, settings), "mix-sources")
+    small = _small(sources, n, settings)
     dealt = sizes.join(small.select("skey", "blocks"), "skey").withColumn("block", block_of())
     blocks = dealt.groupBy("skey", "block").agg(F.sum("size").alias("words"))
     order = Window.partitionBy("skey").orderBy(_hash(settings, "skey", "block"), "block")
@@ -109,24 +197,18 @@ def plan(sizes: DataFrame, settings: Settings = Settings()) -> tuple[DataFrame,
     blocks = stored(spark, blocks.select("skey", "block", "before", "passes", "part"), "mix-blocks")
 
     # The quotas: how many blocks are drawn from each source, over all its passes.
-    quotas = [(r["skey"], int(r["q"])) for r in blocks.groupBy("skey").agg(
-        F.sum(F.col("passes") + F.col("part")).alias("q")).orderBy("skey").collect()]
-    every = sum(q for _, q in quotas)
-    slots = [every // settings.shards + (j < every % settings.shards) for j in range(settings.shards)]
-    tree = split_tree(np.random.default_rng(settings.seed), [q for _, q in quotas], slots)
-    ends = np.cumsum(np.array(tree, dtype=np.int64).reshape(settings.shards, len(quotas)), axis=0)
-    cuts = spark.createDataFrame([(k, [int(x) for x in ends[:-1, i]]) for i, (k, _) in enumerate(quotas)],
-                                 "skey string, cuts array<bigint>")
+    quotas = blocks.groupBy("skey").agg(F.sum(F.col("passes") + F.col("part")).alias("q"))
+    cuts = _cuts(quotas, settings) if groups <= 1 else _cuts_by_group(quotas, groups, settings)
     # Each draw of a block gets a place in its source's random order; the quotas cut that order.
     draws = blocks.withColumn("draw", F.explode(F.sequence(F.lit(0), F.col("passes") + F.col("part")))).filter(
         F.col("draw") < F.col("passes") + F.col("part"))
     place = F.row_number().over(Window.partitionBy("skey").orderBy(
         _hash(settings, "skey", "block", "draw"), "block", "draw")) - 1
-    placed = draws.withColumn("place", place).join(_small(cuts, len(quotas), settings), "skey").select(
+    placed = draws.withColumn("place", place).join(_small(cuts, n, settings), "skey").select(
         "skey", "block", "draw", F.size(F.filter("cuts", lambda c: c <= F.col("place"))).alias("shard"))
     drawn = placed.groupBy("skey", "block").agg(
         F.transform(F.sort_array(F.collect_list(F.struct("draw", "shard"))), lambda x: x["shard"]).alias("shards"))
-    return sources, blocks.join(drawn, ["skey", "block"], "left"), len(chosen)
+    return sources, blocks.join(drawn, ["skey", "block"], "left"), n
 
 
 def block_of() -> Column:

@@ -141,3 +141,25 @@ def test_blocks_are_split_exactly_among_shards(spark):
     _, blocks, _ = mixing.plan(sizes, settings)
     slots = Counter(s for r in blocks.collect() for s in (r["shards"] or []))
     assert max(slots.values()) - min(slots.values()) <= 1 and len(slots) == 4
+
+
+def test_many_sources_stay_tables(spark):
+    rng = random.Random(5)
+    rows = [(i, " ".join(["w"] * rng.randrange(0, 30)), "en", rng.choice([None, "", *(f"s{rng.randrange(40) ** 2 // 40}é" for _ in range(9))]), 0)
+            for i in range(1500)] + [(2000, "one", "en", "rare", 0), (2001, None, None, "void", 0)]
+    docs = frame(spark, rows, clash=True)
+    few, many = mixing.Settings(block_rows=3), mixing.Settings(block_rows=3, max_sources=4)
+    a, b = mixing.mix(docs, few).collect(), mixing.mix(docs, many).collect()
+    said = lambda got: sorted((r["row"]["doc_id"], r["size"], r["source_size"], round(r["target"], 6), r["taken"]) for r in got)
+    assert said(a) == said(b) and len(b) == len(rows)
+    sizes = mixing.measure(docs, many, "source", "text").select("skey", "size", "h")
+    sources, blocks, n = mixing.plan(sizes, many)
+    assert n == len({r[3] for r in rows}) > 4 * 4 and sources.count() == n
+    held, drawn = Counter(), defaultdict(Counter)
+    for r in blocks.collect():
+        assert len(r["shards"] or []) == r["passes"] + r["part"]
+        held.update(r["shards"] or [])
+        drawn[r["skey"]].update(r["shards"] or [])
+    assert len(held) == 8 and max(held.values()) - min(held.values()) <= 1
+    assert said(mixing.mix(docs.repartition(5), many).collect()) == said(b)
+    assert mixing.mix(frame(spark, []), many).count() == 0
