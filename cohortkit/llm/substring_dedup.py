@@ -2,22 +2,24 @@
 
 A window is 35 consecutive words; a word goes if it lies in a window whose words also start elsewhere.
 In the suffix tree of all texts these windows are the suffixes below internal nodes at least 35 words
-deep, so only the tree down to that depth matters, and of it only the nodes with two leaves or more.
-
-The tree is never held as a whole. Its suffixes are partitioned by prefixes of variable length, and a
-partition whose prefix only one suffix has is dropped before its prefix is lengthened:
+deep, so each suffix is cut at that depth. The tree is never held as a whole: its suffixes are partitioned
+by prefixes, and only partitions that can have deep nodes get a tree.
 
 1. Every window has one anchor, the smallest of its eight-word hashes (leftmost of equal ones), which
    depends on the window's words only: equal windows have equal anchors at equal places. About one place
-   in fifteen is an anchor. The first prefix is the anchor's eight words; anchors are counted by it.
-2. The second prefix is all an anchor's windows can reach, 27 words before it and 34 after it. Where
-   another anchor has the same, all windows of this anchor are below deep nodes.
-3. What is left, prefixes that are shared while the reach is not (the edges of passages), is lengthened
-   to the full depth: each window by itself.
-
-The nodes of a level are groups of equal 64-bit prefix hashes, counted with map-side aggregation: no
-group is collected, however many documents share a passage, and a hot prefix is one row per map task.
-Only hashes and places are shuffled; texts are shuffled once, to the places found in them.
+   in fifteen is an anchor. A partition is the anchor's eight words, not a suffix's first eight, so that
+   the some fifteen suffixes of an anchor travel as one run of words. A partition with one anchor is dropped.
+2. The reach of an anchor is all its windows' words, 27 before it and 34 after it at most. Anchors with the
+   same reach (128 bits of hash) are copies: all their windows are below deep nodes, and one of them speaks
+   for all. A partition where all anchors have one reach needs no tree.
+3. The other partitions (the edges of passages) hold one run of words for each reach. If these are at most
+   ``group_rows``, a task builds the partition's tree: suffixes sorted by their words and the lengths of the
+   prefixes that neighbours have in common, runs of neighbours with 35 or more being the deep nodes.
+4. A larger partition is split by longer prefixes, up to the full depth, where a prefix is itself a node:
+   its windows are counted by 128 bits of hash, with map-side aggregation.
+
+So a tree has bounded size, no group is collected, and a hot prefix or copy is one row per map task. Texts
+are shuffled once, to the places found in them.
 
 Defined results: a null or empty text has no words, and nothing is removed; a text of fewer than 35 words
 is kept; overlapping occurrences within one text count; repeated rows are occurrences of their own; the
@@ -41,7 +43,8 @@ from .common import small_batches, stored
 @dataclass(frozen=True)
 class Settings:
     window: int = 35
-    prefix: int = 8   # words of the first prefix
+    prefix: int = 8          # words of the first prefix
+    group_rows: int = 2048   # runs of words of one tree, at most
 
 
 def anchors(h: np.ndarray, settings: Settings) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -67,12 +70,19 @@ def anchors(h: np.ndarray, settings: Settings) -> tuple[np.ndarray, np.ndarray,
     return begun, np.concatenate([begun[1:], [n]]), at[begun]
 
 
-def _reach(h: np.ndarray, places: np.ndarray, first: np.ndarray, last: np.ndarray, settings: Settings) -> np.ndarray:
-    """Hash of the words from an anchor's first window to the end of its last one, and of the anchor's
-    place among them. Longer than a window, so equal reaches have equal windows."""
+def _again(h: np.ndarray) -> np.ndarray:
+    """Other hashes of the same words, for the second half of 128 bits."""
+    return W.mixed(h ^ W.FACTOR)
+
+
+def _reach(h: np.ndarray, places: np.ndarray, first: np.ndarray, last: np.ndarray,
+           settings: Settings) -> tuple[np.ndarray, np.ndarray]:
+    """Hash (two numbers) of the words from an anchor's first window to the end of its last one, and of the
+    anchor's place among them. Longer than a window, so equal reaches have equal windows."""
     ends = last - 1 + settings.window
+    at = W.mixed((places - first).astype(np.uint64) + np.uint64(1))
     # Sums of scrambled words times powers over a running product give any range in constant time.
-    return _range_hash(h, first, ends) ^ W.mixed((places - first).astype(np.uint64) + np.uint64(1))
+    return _range_hash(h, first, ends) ^ at, _range_hash(_again(h), first, ends) ^ at
 
 
 def _range_hash(h: np.ndarray, begin: np.ndarray, end: np.ndarray) -> np.ndarray:
@@ -97,11 +107,11 @@ def keyed(docs: DataFrame, text: str = "text") -> DataFrame:
 
 
 def anchor_rows(rows: DataFrame, settings: Settings) -> DataFrame:
-    """(key, key2, prefix, reach): of each text with windows, the hashes of its anchors in order."""
+    """(key, key2, prefix, reach, reach2): of each text with windows, the hashes of its anchors in order."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             hashes, ends = W.hashed([W.split(t) for t in batch.column("t").to_pylist()])
-            row, sizes, prefix, reach = [], [0], [], []
+            row, sizes, prefix, reach, reach2 = [], [0], [], [], []
             for k, (a, b) in enumerate(zip(ends, ends[1:], strict=False)):
                 h = hashes[a:b]
                 first, last, place = anchors(h, settings)
@@ -109,62 +119,128 @@ def anchor_rows(rows: DataFrame, settings: Settings) -> DataFrame:
                     row.append(k)
                     sizes.append(len(place))
                     prefix.append(W.grams(h, settings.prefix)[place])
-                    reach.append(_reach(h, place, first, last, settings))
+                    one, two = _reach(h, place, first, last, settings)
+                    reach.append(one)
+                    reach2.append(two)
             if row:
                 offsets = pa.array(np.cumsum(sizes), pa.int32())
                 lists = [pa.ListArray.from_arrays(offsets, pa.array(np.concatenate(x).view(np.int64)))
-                         for x in (prefix, reach)]
+                         for x in (prefix, reach, reach2)]
                 yield pa.RecordBatch.from_arrays(
                     [batch.column("key").take(pa.array(row)), batch.column("key2").take(pa.array(row)), *lists],
-                    ["key", "key2", "prefix", "reach"])
+                    ["key", "key2", "prefix", "reach", "reach2"])
 
     return rows.select("key", "key2", "t").filter("t is not null").mapInArrow(
-        run, "key long, key2 long, prefix array<long>, reach array<long>")
+        run, "key long, key2 long, prefix array<long>, reach array<long>, reach2 array<long>")
 
 
-def shared_anchors(found: DataFrame) -> DataFrame:
-    """(key, key2, whole, open): of each text, the numbers of the anchors whose reach is found again, and
-    of those whose windows must be told apart."""
-    each = found.select("key", "key2", F.posexplode(F.arrays_zip("prefix", "reach")).alias("i", "x")).select(
-        "key", "key2", "i", F.col("x.prefix").alias("prefix"), F.col("x.reach").alias("reach"))
+def shared_anchors(found: DataFrame, settings: Settings) -> DataFrame:
+    """(key, key2, whole, open, hot): of each text, the numbers of the anchors whose reach is found again, of
+    those whose windows belong to a tree, and of those in partitions too large for one."""
+    each = found.select("key", "key2", F.posexplode(F.arrays_zip("prefix", "reach", "reach2")).alias("i", "x")).select(
+        "key", "key2", "i", "x.*")
     one = F.xxhash64("key", "key2", "i")
-    nodes = each.groupBy("prefix", "reach").agg(F.count("*").alias("n"), F.min(one).alias("speaker"))
+    nodes = each.groupBy("prefix", "reach", "reach2").agg(F.count("*").alias("n"), F.min(one).alias("speaker"))
     # A prefix that one suffix has is a leaf, and dropped.
     inner = nodes.groupBy("prefix").agg(F.sum("n").alias("of"), F.count("*").alias("reaches")).filter("of > 1")
-    below = nodes.join(inner, "prefix").select("prefix", "reach", "n", "speaker", "reaches")
-    # Where a prefix has several reaches, one anchor speaks for each reach in the next level.
-    flags = each.join(below, ["prefix", "reach"]).select(
-        "key", "key2", "i", (F.col("n") > 1).alias("whole"),
-        ((F.col("reaches") > 1) & (one == F.col("speaker"))).alias("open")).filter("whole or open")
+    below = nodes.join(inner, "prefix").select("prefix", "reach", "reach2", "n", "speaker", "reaches")
+    # Where a prefix has several reaches, one anchor speaks for each reach in the tree.
+    speaks = (F.col("reaches") > 1) & (one == F.col("speaker"))
+    flags = each.join(below, ["prefix", "reach", "reach2"]).select(
+        "key", "key2", "i", (F.col("n") > 1).alias("whole"), (speaks & (F.col("reaches") <= settings.group_rows)).alias("open"),
+        (speaks & (F.col("reaches") > settings.group_rows)).alias("hot")).filter("whole or open or hot")
     return flags.groupBy("key", "key2").agg(
-        F.collect_set(F.when(F.col("whole"), F.col("i"))).alias("whole"),
-        F.collect_set(F.when(F.col("open"), F.col("i"))).alias("open"))
+        *[F.collect_set(F.when(F.col(c), F.col("i"))).alias(c) for c in ("whole", "open", "hot")])
 
 
-def open_windows(rows: DataFrame, shared: DataFrame, settings: Settings) -> DataFrame:
-    """(key, key2, start, fp) for each window of the anchors that are open, with its 35-word hash."""
-    asked = shared.filter(F.size("open") > 0).select("key", "key2", "open")
-    joined = rows.join(asked.hint("shuffle_hash"), ["key", "key2"]).select("key", "key2", "rest", "t", "open")
+def suffixes(rows: DataFrame, shared: DataFrame, settings: Settings) -> DataFrame:
+    """(key, key2, start, prefix, fp, run): for each anchor of a tree, where its windows begin, its prefix and
+    the word hashes of its ``run`` of suffixes; for each window of a hot anchor, its start and its 128-bit
+    hash, in ``prefix`` and ``fp``, without a run."""
+    asked = shared.filter((F.size("open") > 0) | (F.size("hot") > 0)).select("key", "key2", "open", "hot")
+    joined = rows.join(asked.hint("shuffle_hash"), ["key", "key2"]).select("key", "key2", "t", "open", "hot")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             hashes, ends = W.hashed([W.split(t) for t in batch.column("t").to_pylist()])
-            row, starts, fps = [], [], []
-            for k, (a, b, chosen) in enumerate(zip(ends, ends[1:], batch.column("open").to_pylist(), strict=False)):
+            chosen = zip(batch.column("open").to_pylist(), batch.column("hot").to_pylist(), strict=True)
+            row, starts, prefixes, fps, runs = [], [], [], [], []
+            for k, (a, b, (opened, hot)) in enumerate(zip(ends, ends[1:], chosen, strict=False)):
                 h = hashes[a:b]
-                first, last, _ = anchors(h, settings)
-                chosen = np.sort(np.array(chosen))
-                at = _ranges(first[chosen], last[chosen])
-                row.append(np.full(len(at), k))
-                starts.append(at.astype(np.int32))
-                fps.append(W.grams(h, settings.window)[at])
+                first, last, place = anchors(h, settings)
+                if opened:
+                    at = np.sort(np.array(opened))
+                    row += [k] * len(at)
+                    starts.append(first[at])
+                    prefixes.append(W.grams(h, settings.prefix)[place[at]])
+                    fps += [None] * len(at)
+                    runs += [h[x:y].tobytes() for x, y in zip(first[at], last[at] - 1 + settings.window, strict=True)]
+                if hot:
+                    at = np.sort(np.array(hot))
+                    at = _ranges(first[at], last[at])
+                    row += [k] * len(at)
+                    starts.append(at)
+                    prefixes.append(W.grams(h, settings.window)[at])
+                    fps += W.grams(_again(h), settings.window)[at].view(np.int64).tolist()
+                    runs += [None] * len(at)
             if row:
-                take = pa.array(np.concatenate(row))
+                take = pa.array(row)
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column("key").take(take), batch.column("key2").take(take), pa.array(np.concatenate(starts)),
-                     pa.array(np.concatenate(fps).view(np.int64))], ["key", "key2", "start", "fp"])
+                    [batch.column("key").take(take), batch.column("key2").take(take),
+                     pa.array(np.concatenate(starts).astype(np.int32)),
+                     pa.array(np.concatenate(prefixes).view(np.int64)), pa.array(fps, pa.int64()), pa.array(runs, pa.binary())],
+                    ["key", "key2", "start", "prefix", "fp", "run"])
+
+    return joined.mapInArrow(run, "key long, key2 long, start int, prefix long, fp long, run binary")
+
+
+def tree(runs: list[bytes], window: int) -> tuple[np.ndarray, np.ndarray]:
+    """(run, offset) of the suffixes below nodes at least ``window`` words deep, in the suffix tree of the
+    first ``window`` words of the suffixes of ``runs``. As arrays: the sorted suffixes and, of neighbours,
+    how many words they begin with in common; a node spans neighbours with as many or more."""
+    flat = np.frombuffer(b"".join(runs), np.uint64)
+    ends = np.cumsum([len(r) // 8 for r in runs])
+    begin = np.concatenate([[0], ends[:-1]])
+    at = _ranges(begin, ends - window + 1)  # suffixes with at least ``window`` words
+    suffix = np.ascontiguousarray(np.lib.stride_tricks.sliding_window_view(flat, window)[at])
+    order = np.argsort(suffix.view(np.dtype((np.void, 8 * window))).ravel(), kind="stable")
+    equal = suffix[order[1:]] == suffix[order[:-1]]
+    common = np.where(equal.all(axis=1), window, equal.argmin(axis=1))
+    deep = np.concatenate([[False], common >= window, [False]])
+    found = np.sort(at[order[deep[1:] | deep[:-1]]])
+    of = np.searchsorted(ends, found, side="right")
+    return of, found - begin[of]
+
+
+def tree_windows(partitions: DataFrame, settings: Settings) -> DataFrame:
+    """(key, key2, start) of the windows below deep nodes of the trees of ``partitions`` (key, key2, start,
+    prefix, run)."""
+    # Rows equal in every column are one run, before they meet.
+    apart = partitions.groupBy("key", "key2", "start", "prefix", "run").count().drop("count")
+    kind = pa.schema([("key", pa.int64()), ("key2", pa.int64()), ("start", pa.int32())])
+
+    def windows(part: pa.Table) -> pa.RecordBatch:
+        of, offset = tree(part.column("run").to_pylist(), settings.window)
+        take = pa.array(of)
+        start = part.column("start").to_numpy()[of] + offset
+        return pa.RecordBatch.from_arrays(
+            [part.column(c).take(take).combine_chunks() for c in ("key", "key2")] + [pa.array(start.astype(np.int32))], schema=kind)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        # Batches hold several small partitions; the last one may go on in the next batch.
+        rest = None
+        for batch in batches:
+            part = pa.Table.from_batches([batch])
+            part = pa.concat_tables([rest, part]) if rest is not None else part
+            prefix = part.column("prefix").to_numpy()
+            cut = int(np.searchsorted(prefix, prefix[-1])) if len(prefix) else 0
+            if cut:
+                yield windows(part.slice(0, cut))
+            rest = part.slice(cut).combine_chunks()
+        if rest is not None and len(rest):
+            yield windows(rest)
 
-    return joined.mapInArrow(run, "key long, key2 long, start int, fp long")
+    return apart.repartition("prefix").sortWithinPartitions("prefix").mapInArrow(run, "key long, key2 long, start int")
 
 
 def _ranges(first: np.ndarray, last: np.ndarray) -> np.ndarray:
@@ -182,10 +258,13 @@ def remove_repeats(docs: DataFrame, settings: Settings = Settings(), text: str =
     small_batches(spark)
     rows = keyed(docs, text)
     found = stored(spark, anchor_rows(rows, settings), "anchors")
-    shared = stored(spark, shared_anchors(found), "shared-anchors")
-    windows = open_windows(rows, shared, settings)
-    again = windows.groupBy("fp").agg(F.count("*").alias("n")).filter("n > 1").select("fp")
-    starts = windows.join(again, "fp").groupBy("key", "key2").agg(F.collect_set("start").alias("starts"))
+    shared = stored(spark, shared_anchors(found, settings), "shared-anchors")
+    split = stored(spark, suffixes(rows, shared, settings), "suffixes")
+    hot = split.filter("run is null").select("key", "key2", "start", "prefix", "fp")
+    again = hot.groupBy("prefix", "fp").agg(F.count("*").alias("n")).filter("n > 1").select("prefix", "fp")
+    windows = tree_windows(split.filter("run is not null").drop("fp"), settings).union(
+        hot.join(again, ["prefix", "fp"], "left_semi").select("key", "key2", "start"))
+    starts = windows.groupBy("key", "key2").agg(F.collect_set("start").alias("starts"))
     marks = shared.select("key", "key2", "whole").join(starts, ["key", "key2"], "left")
     # The texts are dealt out by key once: both joins read the same exchange.
     joined = rows.join(marks.hint("shuffle_hash"), ["key", "key2"], "left").select("rest", "t", "whole", "starts")

@@ -50,9 +50,49 @@ def digests(df):
     return sorted(map(tuple, got.collect()), key=str)
 
 
+@pytest.mark.parametrize("settings", [op.Settings(), op.Settings(group_rows=2)], ids=["trees", "large partitions"])
 @pytest.mark.parametrize("rows", [passages(0), passages(1), prose()], ids=["a", "b", "awkward"])
-def test_matches_brute_force(spark, rows):
-    assert digests(op.remove_repeats(frame(spark, rows, clash=True).drop("rest"))) == brute(rows)
+def test_matches_brute_force(spark, rows, settings):
+    assert digests(op.remove_repeats(frame(spark, rows, clash=True).drop("rest"), settings)) == brute(rows)
+
+
+def test_trees_and_hot_windows_are_both_in_use(spark):
+    settings = op.Settings(group_rows=2)
+    rows = op.keyed(frame(spark, passages(0)))
+    shared = op.shared_anchors(op.anchor_rows(rows, settings), settings).cache()
+    found = op.suffixes(rows, shared, settings).selectExpr("count_if(run is null) AS hot", "count_if(run is not null) AS runs")
+    assert min(found.collect()[0]) > 0
+
+
+def test_deep_nodes_of_a_tree():
+    rng = np.random.default_rng(3)
+    for window in (1, 3, 5):
+        runs = [rng.integers(0, 3, rng.integers(window, 12)).astype(np.uint64) for _ in range(30)]
+        of, offset = op.tree([r.tobytes() for r in runs], window)
+        every = [(i, k, tuple(r[k:k + window])) for i, r in enumerate(runs) for k in range(len(r) - window + 1)]
+        seen = Counter(w for _, _, w in every)
+        assert list(zip(of.tolist(), offset.tolist(), strict=True)) == [(i, k) for i, k, w in every if seen[w] > 1]
+
+
+def test_partitions_cut_by_batches(spark):
+    # One word changed behind a shared passage: many reaches under the same prefixes.
+    rng = random.Random(5)
+    passage = words(rng, 90, 10_000)
+    rows = [(i, " ".join([f"x{i}", *passage, f"y{i}", *words(rng, 20, 10_000)]), "en", "s", 0) for i in range(300)]
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "7")
+    try:
+        split = op.keyed(frame(spark, rows))
+        settings = op.Settings()
+        shared = op.shared_anchors(op.anchor_rows(split, settings), settings)
+        runs = op.suffixes(split, shared, settings).filter("run is not null").drop("fp")
+        runs = runs.cache()
+        found = Counter((r["key"], r["start"]) for r in op.tree_windows(runs, settings).collect())
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    every = [(r["key"], r["start"] + i, bytes(r["run"])[8 * i:8 * i + 8 * 35]) for r in runs.collect()
+             for i in range(len(r["run"]) // 8 - 34)]
+    seen = Counter(w for _, _, w in every)
+    assert len(found) > 5000 and found == Counter((k, i) for k, i, w in every if seen[w] > 1)
 
 
 def test_clashing_names_and_empty_table(spark):
