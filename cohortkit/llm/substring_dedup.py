@@ -153,45 +153,70 @@ def shared_anchors(found: DataFrame, settings: Settings) -> DataFrame:
         *[F.collect_set(F.when(F.col(c), F.col("i"))).alias(c) for c in ("whole", "open", "hot")])
 
 
-def suffixes(rows: DataFrame, shared: DataFrame, settings: Settings) -> DataFrame:
-    """(key, key2, start, prefix, fp, run): for each anchor of a tree, where its windows begin, its prefix and
-    the word hashes of its ``run`` of suffixes; for each window of a hot anchor, its start and its 128-bit
-    hash, in ``prefix`` and ``fp``, without a run."""
-    asked = shared.filter((F.size("open") > 0) | (F.size("hot") > 0)).select("key", "key2", "open", "hot")
-    joined = rows.join(asked.hint("shuffle_hash"), ["key", "key2"]).select("key", "key2", "t", "open", "hot")
-
+def _chosen(rows: DataFrame, shared: DataFrame, which: str) -> DataFrame:
+    """The texts with anchors in the column ``which`` of ``shared``, and these anchors."""
+    asked = shared.filter(F.size(which) > 0).select("key", "key2", F.col(which).alias("chosen"))
+    # The other columns stay, so that all joins of the texts read the same exchange.
+    return rows.join(asked.hint("shuffle_hash"), ["key", "key2"]).select("key", "key2", "rest", "t", "chosen")
+
+
+def _hashed_once(batch: pa.RecordBatch, seen: set) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+    """(place, word hashes, anchors asked for) of the rows of a batch; of rows equal in every column, which a
+    task gets together, only the first."""
+    hashes, ends = W.hashed([W.split(t) for t in batch.column("t").to_pylist()])
+    names = zip(batch.column("key").to_pylist(), batch.column("key2").to_pylist(), strict=True)
+    for k, (name, chosen) in enumerate(zip(names, batch.column("chosen").to_pylist(), strict=True)):
+        if name not in seen:
+            seen.add(name)
+            yield k, hashes[ends[k]:ends[k + 1]], np.sort(np.array(chosen))
+
+
+def suffix_runs(rows: DataFrame, shared: DataFrame, settings: Settings) -> DataFrame:
+    """(key, key2, start, prefix, run): for each anchor of a tree, where its windows begin, its prefix and the
+    word hashes of its ``run`` of suffixes."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen: set = set()
         for batch in batches:
-            hashes, ends = W.hashed([W.split(t) for t in batch.column("t").to_pylist()])
-            chosen = zip(batch.column("open").to_pylist(), batch.column("hot").to_pylist(), strict=True)
-            row, starts, prefixes, fps, runs = [], [], [], [], []
-            for k, (a, b, (opened, hot)) in enumerate(zip(ends, ends[1:], chosen, strict=False)):
-                h = hashes[a:b]
+            row, starts, prefixes, runs = [], [], [], []
+            for k, h, chosen in _hashed_once(batch, seen):
                 first, last, place = anchors(h, settings)
-                if opened:
-                    at = np.sort(np.array(opened))
-                    row += [k] * len(at)
-                    starts.append(first[at])
-                    prefixes.append(W.grams(h, settings.prefix)[place[at]])
-                    fps += [None] * len(at)
-                    runs += [h[x:y].tobytes() for x, y in zip(first[at], last[at] - 1 + settings.window, strict=True)]
-                if hot:
-                    at = np.sort(np.array(hot))
-                    at = _ranges(first[at], last[at])
-                    row += [k] * len(at)
-                    starts.append(at)
-                    prefixes.append(W.grams(h, settings.window)[at])
-                    fps += W.grams(_again(h), settings.window)[at].view(np.int64).tolist()
-                    runs += [None] * len(at)
+                row += [k] * len(chosen)
+                starts.append(first[chosen])
+                prefixes.append(W.grams(h, settings.prefix)[place[chosen]])
+                runs += [h[a:b].tobytes() for a, b in zip(first[chosen], last[chosen] - 1 + settings.window, strict=True)]
             if row:
                 take = pa.array(row)
                 yield pa.RecordBatch.from_arrays(
                     [batch.column("key").take(take), batch.column("key2").take(take),
                      pa.array(np.concatenate(starts).astype(np.int32)),
-                     pa.array(np.concatenate(prefixes).view(np.int64)), pa.array(fps, pa.int64()), pa.array(runs, pa.binary())],
-                    ["key", "key2", "start", "prefix", "fp", "run"])
+                     pa.array(np.concatenate(prefixes).view(np.int64)), pa.array(runs, pa.binary())],
+                    ["key", "key2", "start", "prefix", "run"])
+
+    return _chosen(rows, shared, "open").mapInArrow(run, "key long, key2 long, start int, prefix long, run binary")
+
+
+def hot_windows(rows: DataFrame, shared: DataFrame, settings: Settings) -> DataFrame:
+    """(key, key2, start, fp, fp2): each window of the anchors in partitions too large for a tree, with its
+    128-bit hash."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen: set = set()
+        for batch in batches:
+            row, starts, one, two = [], [], [], []
+            for k, h, chosen in _hashed_once(batch, seen):
+                first, last, _ = anchors(h, settings)
+                at = _ranges(first[chosen], last[chosen])
+                row.append(np.full(len(at), k))
+                starts.append(at.astype(np.int32))
+                one.append(W.grams(h, settings.window)[at])
+                two.append(W.grams(_again(h), settings.window)[at])
+            if row:
+                take = pa.array(np.concatenate(row))
+                yield pa.RecordBatch.from_arrays(
+                    [batch.column("key").take(take), batch.column("key2").take(take), pa.array(np.concatenate(starts)),
+                     *[pa.array(np.concatenate(x).view(np.int64)) for x in (one, two)]],
+                    ["key", "key2", "start", "fp", "fp2"])
 
-    return joined.mapInArrow(run, "key long, key2 long, start int, prefix long, fp long, run binary")
+    return _chosen(rows, shared, "hot").mapInArrow(run, "key long, key2 long, start int, fp long, fp2 long")
 
 
 def tree(runs: list[bytes], window: int) -> tuple[np.ndarray, np.ndarray]:
@@ -215,8 +240,6 @@ def tree(runs: list[bytes], window: int) -> tuple[np.ndarray, np.ndarray]:
 def tree_windows(partitions: DataFrame, settings: Settings) -> DataFrame:
     """(key, key2, start) of the windows below deep nodes of the trees of ``partitions`` (key, key2, start,
     prefix, run)."""
-    # Rows equal in every column are one run, before they meet.
-    apart = partitions.groupBy("key", "key2", "start", "prefix", "run").count().drop("count")
     kind = pa.schema([("key", pa.int64()), ("key2", pa.int64()), ("start", pa.int32())])
 
     def windows(part: pa.Table) -> pa.RecordBatch:
@@ -240,7 +263,7 @@ def tree_windows(partitions: DataFrame, settings: Settings) -> DataFrame:
         if rest is not None and len(rest):
             yield windows(rest)
 
-    return apart.repartition("prefix").sortWithinPartitions("prefix").mapInArrow(run, "key long, key2 long, start int")
+    return partitions.repartition("prefix").sortWithinPartitions("prefix").mapInArrow(run, "key long, key2 long, start int")
 
 
 def _ranges(first: np.ndarray, last: np.ndarray) -> np.ndarray:
@@ -259,14 +282,14 @@ def remove_repeats(docs: DataFrame, settings: Settings = Settings(), text: str =
     rows = keyed(docs, text)
     found = stored(spark, anchor_rows(rows, settings), "anchors")
     shared = stored(spark, shared_anchors(found, settings), "shared-anchors")
-    split = stored(spark, suffixes(rows, shared, settings), "suffixes")
-    hot = split.filter("run is null").select("key", "key2", "start", "prefix", "fp")
-    again = hot.groupBy("prefix", "fp").agg(F.count("*").alias("n")).filter("n > 1").select("prefix", "fp")
-    windows = tree_windows(split.filter("run is not null").drop("fp"), settings).union(
-        hot.join(again, ["prefix", "fp"], "left_semi").select("key", "key2", "start"))
+    windows = tree_windows(suffix_runs(rows, shared, settings), settings)
+    if not shared.filter(F.size("hot") > 0).isEmpty():
+        hot = hot_windows(rows, shared, settings)
+        again = hot.groupBy("fp", "fp2").agg(F.count("*").alias("n")).filter("n > 1").select("fp", "fp2")
+        windows = windows.union(hot.join(again, ["fp", "fp2"], "left_semi").select("key", "key2", "start"))
     starts = windows.groupBy("key", "key2").agg(F.collect_set("start").alias("starts"))
     marks = shared.select("key", "key2", "whole").join(starts, ["key", "key2"], "left")
-    # The texts are dealt out by key once: both joins read the same exchange.
+    # The texts are dealt out by key once: all joins read the same exchange.
     joined = rows.join(marks.hint("shuffle_hash"), ["key", "key2"], "left").select("rest", "t", "whole", "starts")
     kind = joined.schema["rest"].dataType.simpleString()
 

@@ -60,8 +60,7 @@ def test_trees_and_hot_windows_are_both_in_use(spark):
     settings = op.Settings(group_rows=2)
     rows = op.keyed(frame(spark, passages(0)))
     shared = op.shared_anchors(op.anchor_rows(rows, settings), settings).cache()
-    found = op.suffixes(rows, shared, settings).selectExpr("count_if(run is null) AS hot", "count_if(run is not null) AS runs")
-    assert min(found.collect()[0]) > 0
+    assert op.suffix_runs(rows, shared, settings).count() > 0 and op.hot_windows(rows, shared, settings).count() > 0
 
 
 def test_deep_nodes_of_a_tree():
@@ -84,8 +83,7 @@ def test_partitions_cut_by_batches(spark):
         split = op.keyed(frame(spark, rows))
         settings = op.Settings()
         shared = op.shared_anchors(op.anchor_rows(split, settings), settings)
-        runs = op.suffixes(split, shared, settings).filter("run is not null").drop("fp")
-        runs = runs.cache()
+        runs = op.suffix_runs(split, shared, settings).cache()
         found = Counter((r["key"], r["start"]) for r in op.tree_windows(runs, settings).collect())
     finally:
         spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
