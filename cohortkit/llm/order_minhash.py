@@ -6,7 +6,8 @@ only where both texts hold the same shingles in the same order. ``bands`` pairs
 buckets. The similarity of a pair is that of its aligned shingles, M / (a + b - M) for M shingles matched
 in order, computed by a bit-parallel alignment inside the band that the threshold leaves open.
 
-First every member of a bucket is aligned with the bucket's most connected text (its centre). A member
+First every member of a bucket is aligned with the bucket's most connected text (its centre), whose pairs
+are dealt to as many tasks as the bucket's size asks for. A member
 that these links leave outside the centre's component then meets the bucket's other members in blocks of
 bounded size. A pair is passed over only if it is known to be in one component, or if it cannot be similar:
 a bitmap of each text's shingles gives an upper bound of what two texts share. Of each block the pairs that
@@ -29,7 +30,7 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import words as W
@@ -96,19 +97,21 @@ def most_shared(n: int, bits: np.ndarray, others_n: np.ndarray, others: np.ndarr
 
 
 def signatures(docs: DataFrame, settings: Settings = Settings(), doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """(doc_id, h, tid, n, sk, bits): hash of the whole row, 128-bit hash of the words, their number, the
-    sketches, the bitmap of the shingles."""
+    """(doc_id, h, tid, n, sk, bits, w): hash of the whole row, 128-bit hash of the words, their number, the
+    sketches, the bitmap of the shingles, and the 32-bit word hashes (32 bits tell the words of two texts
+    apart); the last three are null without a shingle."""
     hashed = [f"`{c}`" for c, kind in docs.dtypes if "map<" not in kind and "variant" not in kind]
     rows = docs.select(F.col(f"`{doc_id}`").alias("doc_id"), F.xxhash64(F.lit(5), *hashed).alias("h"),
                        F.col(f"`{text}`").alias("t"))
-    kind = f"doc_id {rows.schema['doc_id'].dataType.simpleString()}, h long, tid binary, n int, sk binary, bits binary"
+    kind = f"doc_id {rows.schema['doc_id'].dataType.simpleString()}, h long, tid binary, n int, sk binary, bits binary, w binary"
     seeds = W.mixed(np.arange(1, settings.sketches + 1, dtype=np.uint64) * np.uint64(2 ** 32 + settings.seed))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             texts = [W.split(t) for t in batch.column("t").to_pylist()]
             hashes, ends = W.hashed(texts)
-            tids, sketches, bitmaps = [], [], []
+            small = (hashes >> np.uint64(32)).astype(np.uint32)
+            tids, sketches, bitmaps, kept = [], [], [], []
             for words, h, a, b in zip(texts, batch.column("h").to_pylist(), ends, ends[1:], strict=False):
                 named = b" ".join(words) if words else b"\x00%d" % h
                 tids.append(xxhash.xxh3_128_digest(named))
@@ -116,10 +119,12 @@ def signatures(docs: DataFrame, settings: Settings = Settings(), doc_id: str = "
                 g = labelled(g)
                 sketches.append(sketch(g, seeds).tobytes() if len(g) else None)
                 bitmaps.append(bitmap(g, settings.bits).tobytes() if len(g) else None)
+                kept.append(small[a:b].tobytes() if len(g) else None)
             yield pa.RecordBatch.from_arrays(
                 [batch.column("doc_id"), batch.column("h"), pa.array(tids, pa.binary()),
-                 pa.array(np.diff(ends), pa.int32()), pa.array(sketches, pa.binary()), pa.array(bitmaps, pa.binary())],
-                ["doc_id", "h", "tid", "n", "sk", "bits"])
+                 pa.array(np.diff(ends), pa.int32()), pa.array(sketches, pa.binary()), pa.array(bitmaps, pa.binary()),
+                 pa.array(kept, pa.binary())],
+                ["doc_id", "h", "tid", "n", "sk", "bits", "w"])
 
     return rows.mapInArrow(run, kind)
 
@@ -194,36 +199,21 @@ def compared(x: np.ndarray, y: np.ndarray, least: float) -> tuple[bool, int]:
     return head + tail >= need or head + tail + aligned(x, y, a + b - 2 * need) >= need, common
 
 
-def word_hashes(docs: DataFrame, text: str = "text") -> DataFrame:
-    """(tid, w): the 64-bit word hashes of each text that has shingles."""
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            texts = [W.split(t) for t in batch.column("t").to_pylist()]
-            hashes, ends = W.hashed(texts)
-            small = (hashes >> np.uint64(32)).astype(np.uint32)  # 32 bits tell the words of two texts apart
-            tids = [xxhash.xxh3_128_digest(b" ".join(w)) for w in texts]
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(tids, pa.binary()),
-                 pa.array([small[a:b].tobytes() for a, b in zip(ends, ends[1:], strict=False)], pa.binary())],
-                ["tid", "w"])
-
-    return docs.select(F.col(f"`{text}`").alias("t")).filter("t is not null").mapInArrow(run, "tid binary, w binary")
-
-
-def verify(pairs: DataFrame, docs: DataFrame, settings: Settings, text: str = "text") -> DataFrame:
-    """The ``pairs`` (a, b) with ``link``: is their similarity high enough?"""
-    named = word_hashes(docs, text).filter(F.octet_length("w") >= 4 * settings.shingle)
-    # Copies of a text are alike: one of them is enough, chosen before the join.
-    named = named.groupBy("tid").agg(F.first("w").alias("w"))
-    left = named.select(F.col("tid").alias("a"), F.col("w").alias("wa"))
-    right = named.select(F.col("tid").alias("b"), F.col("w").alias("wb"))
-    both = pairs.select("a", "b").join(left, "a").join(right, "b").select("a", "b", "wa", "wb")
+def verify(pairs: DataFrame, words: DataFrame, settings: Settings) -> DataFrame:
+    """The ``pairs`` (a, b, slots) with ``link``: is their similarity high enough? ``words`` (tid, w) has the
+    word hashes of each text once. The pairs of one ``b`` are dealt to ``slots`` tasks (a power of two)."""
+    left = words.select(F.col("tid").alias("a"), F.col("w").alias("wa"))
+    right = words.select(F.col("tid").alias("b"), F.col("w").alias("wb"))
+    dealt = pairs.select("a", "b", "slots", F.pmod(F.xxhash64("a"), F.col("slots")).alias("slot"))
+    # A centre goes to each of its slots once, not to each of its pairs. No word hashes pass the driver.
+    right = dealt.select("b", "slots", "slot").distinct().join(right.hint("merge"), "b")
+    both = dealt.join(left.hint("merge"), "a").join(right.hint("merge"), ["b", "slots", "slot"]).select("a", "b", "wa", "wb")
 
     def shingles(w: bytes) -> np.ndarray:
         return W.grams(W.mixed(np.frombuffer(w, np.uint32).astype(np.uint64)), settings.shingle)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        last, kept = None, None
+        last, kept = None, np.zeros(0, np.uint64)
         for batch in batches:
             out = []
             for b, wa, wb in zip(*(batch.column(c) for c in ("b", "wa", "wb")), strict=True):
@@ -247,6 +237,12 @@ def centres(bucket: DataFrame) -> DataFrame:
     return shared.join(best, ["band", "key"])
 
 
+def slots(pairs: Column, block_rows: int) -> Column:
+    """In how many tasks the ``pairs`` of one text are aligned: a power of two, one for up to ``block_rows``."""
+    blocks = F.greatest(F.ceil(pairs / block_rows), F.lit(1))
+    return F.pow(F.lit(2.0), F.ceil(F.log2(blocks))).cast("long")
+
+
 def open_pairs(lost: pa.Table, members: pa.Table, settings: Settings, forest: bool) -> tuple[list[int], list[int]]:
     """Places in ``lost`` and in ``members`` of the pairs of one block that are in different components, meet
     in no earlier band, and may be similar; with ``forest`` only such as would join components."""
@@ -350,10 +346,10 @@ def components(spark: SparkSession, edges: DataFrame) -> DataFrame:
         # Large star: every larger neighbour of u is tied to u's smallest neighbour (or u itself).
         near = both_ways(edges)
         least = near.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
-        large = near.filter("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
+        large = near.filter("v > u").join(least.hint("merge"), "u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
         # Small star: u and its smaller neighbours are tied to the smallest of them.
         lowest = large.groupBy("u").agg(F.min("v").alias("m"))
-        small = large.join(lowest, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).union(
+        small = large.join(lowest.hint("merge"), "u").select(F.col("v").alias("u"), F.col("m").alias("v")).union(
             lowest.select("u", F.col("m").alias("v"))).filter("u <> v").distinct()
         edges = stored(spark, small, "omh-edges")
         now = fingerprint(edges)
@@ -363,15 +359,18 @@ def components(spark: SparkSession, edges: DataFrame) -> DataFrame:
     return edges.select(F.col("u").alias("v"), F.col("v").alias("root"))
 
 
-def links(docs: DataFrame, sigs: DataFrame, settings: Settings = Settings(), text: str = "text") -> DataFrame:
+def links(sigs: DataFrame, settings: Settings = Settings()) -> DataFrame:
     """(a, b): pairs of different texts that are in one class; every class is connected by them."""
-    spark = docs.sparkSession
+    spark = sigs.sparkSession
     texts = sigs.filter("sk is not null").groupBy("tid").agg(
         F.first("sk").alias("sk"), F.first("n").alias("n"), F.first("bits").alias("bits"))
     starred = stored(spark, centres(buckets(texts, settings)), "omh-buckets")
-    star = starred.filter(F.col("tid") != F.col("centre")).select(
-        F.col("tid").alias("a"), F.col("centre").alias("b")).distinct()
-    checked = stored(spark, verify(star, docs, settings, text), "omh-stars")
+    # Word hashes of the texts that share a bucket, once each; all alignments read this table.
+    words = stored(spark, sigs.select("tid", "w").join(starred.select("tid").distinct().hint("merge"), "tid", "left_semi")
+                   .groupBy("tid").agg(F.first("w").alias("w")), "omh-words")
+    star = starred.filter(F.col("tid") != F.col("centre")).groupBy(F.col("tid").alias("a"), F.col("centre").alias("b")).agg(
+        slots(F.max("size"), settings.block_rows).alias("slots"))
+    checked = stored(spark, verify(star, words, settings), "omh-stars")
 
     def labelled_by(edges: DataFrame) -> DataFrame:
         near = edges.select(F.col("v").alias("tid"), F.xxhash64("root").alias("label"))
@@ -379,8 +378,11 @@ def links(docs: DataFrame, sigs: DataFrame, settings: Settings = Settings(), tex
 
     def aligned_pairs(pairs: DataFrame, seen: DataFrame) -> DataFrame:
         """The pairs that are not ``seen`` (a < b), aligned."""
-        return stored(spark, verify(pairs.select("a", "b").distinct().join(seen, ["a", "b"], "left_anti"),
-                                    docs, settings, text), "omh-aligned")
+        new = stored(spark, pairs.select("a", "b").distinct().join(seen, ["a", "b"], "left_anti"), "omh-open")
+        # Aggregated in the map tasks, so that a text with many pairs is one row of each of them.
+        many = new.groupBy("b").agg(F.count("*").alias("n"))
+        return stored(spark, verify(new.join(many.hint("merge"), "b").select("a", "b", slots(F.col("n"), settings.block_rows).alias("slots")),
+                                    words, settings), "omh-aligned")
 
     known = components(spark, checked.filter("link"))
     seen = checked.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
@@ -406,7 +408,7 @@ def classes(docs: DataFrame, settings: Settings = Settings(), doc_id: str = "doc
     spark = docs.sparkSession
     small_batches(spark)
     sigs = stored(spark, signatures(docs, settings, doc_id, text), "omh-signatures")
-    roots = components(spark, links(docs, sigs, settings, text))
+    roots = components(spark, links(sigs, settings))
     named = sigs.groupBy("tid").agg(F.min("doc_id").alias("least")).join(
         roots.withColumnRenamed("v", "tid"), "tid", "left").select(
         "tid", F.coalesce("root", "tid").alias("root"), "least")
