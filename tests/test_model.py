@@ -4,6 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from cohortkit.operators import churn, metrics
+from cohortkit.plans import queries_analysis
 from cohortkit.plans.models import Models
 
 from .conftest import SF001
@@ -48,3 +49,31 @@ def test_auc_keeps_close_scores_apart(spark):
     pairs = [(p, n) for y, p in rows if y for z, n in rows if not z]
     want = sum(1.0 if p > n else 0.5 if p == n else 0.0 for p, n in pairs) / len(pairs)
     assert metrics.roc_auc(df).first().auc == round(want, 6)
+
+
+def test_the_trainer_gets_even_partitions_on_every_core(spark, survival, monkeypatch):
+    sizes, fit = [], churn.fit_churn
+
+    def looked_at(train):
+        sizes.extend(r["count"] for r in train.groupBy(F.spark_partition_id()).count().collect())
+        return fit(train, trees=1)
+
+    monkeypatch.setattr(churn, "fit_churn", looked_at)
+    churn.train_and_score(survival.coalesce(1))  # few rows lie in one file
+    assert len(sizes) == spark.sparkContext.defaultParallelism and max(sizes) - min(sizes) <= len(sizes)
+
+
+@pytest.mark.parametrize("model", ["_trained", "_boosted"])
+def test_models_read_the_survival_inputs_once(spark, survival, monkeypatch, model):
+    fit, rows = churn.fit_churn, spark.sparkContext.accumulator(0)
+    monkeypatch.setattr(churn, "fit_churn", lambda train: fit(train, trees=1))
+
+    def read(user_id):
+        rows.add(1)
+        return user_id
+
+    m = Models.from_fixtures(spark, SF001)
+    m.source = "counted"
+    m.__dict__["survival_inputs"] = survival.withColumn("user_id", F.udf(read, "string")("user_id"))
+    assert getattr(queries_analysis, model)(m)[1].count() > 0
+    assert rows.value == survival.count()
