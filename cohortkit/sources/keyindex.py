@@ -21,7 +21,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..session import checkpoint_dir
+from ..session import stored
 from . import registry
 from .generations import Generations
 
@@ -98,8 +98,9 @@ class KeyIndex:
         placed.sortWithinPartitions("bucket", *self.key).write.mode("append").partitionBy("bucket").parquet(f"{folder}/keys")
         bits = keys.select(self.bucket().alias("bucket"), self._block().alias("block"),
                            F.explode(F.array(*self._bits())).alias("bit"))
-        (bits.groupBy("bucket", "block").agg(F.bitmap_construct_agg("bit").alias("bits"))
-         .write.mode("append").partitionBy("bucket").parquet(f"{folder}/bloom"))
+        # Like the keys: a file per bucket, not one for each task and bucket; a look-up opens them all.
+        blocks = bits.groupBy("bucket", "block").agg(F.bitmap_construct_agg("bit").alias("bits"))
+        (blocks.hint("rebalance", "bucket").write.mode("append").partitionBy("bucket").parquet(f"{folder}/bloom"))
         # Last: from here on these files count as covered. A file's own number of keys is not needed.
         each = -(-table.count() // max(1, len(files)))
         self.spark.createDataFrame([(f, each, self.buckets, self.blocks) for f in files], COVERED).coalesce(1).write.mode(
@@ -137,8 +138,8 @@ class KeyIndex:
         """The distinct keys of ``batch`` that the table holds. ``batch`` is read twice: store it first."""
         if self.folder is None:
             return batch.select(*self.key).limit(0)
-        checkpoint_dir(self.spark)
-        doubtful = self.doubtful(batch.select(*self.key).distinct()).checkpoint(eager=True)
-        stored = self.stored_keys(self._touched(doubtful))
-        return doubtful.join(stored, [*self.key, "bucket"], "left_semi").select(*self.key)
+        doubtful = stored(self.spark, self.doubtful(batch.select(*self.key).distinct()), "doubtful-keys")
+        # The stored keys are on the streamed side: where the keys in doubt are few, the index is not exchanged.
+        known = self.stored_keys(self._touched(doubtful))
+        return known.join(doubtful, [*self.key, "bucket"], "left_semi").select(*self.key).distinct()
 

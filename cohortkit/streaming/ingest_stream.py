@@ -43,10 +43,10 @@ def land_batch(batch: DataFrame, batch_id: int, kind: str, target: str, quaranti
     Safe to re-run for the same batch: rows already in the target are skipped.
     """
     _, parse, key = KINDS[kind]
-    # The micro-batch feeds two writes (landed rows and quarantine): read its files once.
+    # The micro-batch feeds two writes (landed rows and quarantine): read and parse its files once.
     batch = readers.with_arrival(batch) if "_metadata" in batch.columns else batch
-    batch = batch.persist()
-    good, rejected = parse(batch)
+    parsed = []
+    good, rejected = parse(batch, keep=lambda rows: parsed.append(rows.persist()) or parsed[0])
     ts = F.lit(str(load_ts)).cast("timestamp_ntz") if load_ts is not None else F.localtimestamp()
     good = good.withColumn("loaded_at", ts)
     # What is appended must have the target's columns; an unreadable target is an error.
@@ -58,7 +58,7 @@ def land_batch(batch: DataFrame, batch_id: int, kind: str, target: str, quaranti
     # Quarantine rows are keyed by batch id; a re-run replaces its own batch's rows.
     (rejected.withColumn("batch_id", F.lit(batch_id)).write.mode("overwrite")
      .parquet(f"{quarantine.rstrip('/')}/batch_id={batch_id}"))
-    batch.unpersist()
+    parsed[0].unpersist()
 
 
 def stream_ingest(spark: SparkSession, in_dir: str, kind: str, target: str, quarantine: str,

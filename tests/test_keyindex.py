@@ -37,6 +37,27 @@ def test_present_is_exact_and_follows_the_table(spark, tmp_path):
     assert _got(KeyIndex(spark, path, "k").refresh().present(_keys(spark, 5, 50))) == [f"r{i}" for i in range(5, 10)]
 
 
+def test_blocks_have_a_file_per_bucket_whatever_the_tasks(spark, tmp_path):
+    path, name = f"{tmp_path}/raw/t", "spark.sql.adaptive.coalescePartitions.enabled"
+    _keys(spark, 0, 3000, parts=4).write.parquet(path)
+    spark.conf.set(name, "false")  # tables that are large are not joined into one task
+    try:
+        index = KeyIndex(spark, path, "k", buckets=2, keys_per_block=64).refresh()
+    finally:
+        spark.conf.set(name, "true")
+    files = spark.read.parquet(f"{index.folder}/bloom").inputFiles()
+    assert index.blocks > 8 and len(files) == 2
+    assert _got(index.present(_keys(spark, 2990, 3010))) == sorted(f"r{i}" for i in range(2990, 3000))
+
+
+def test_keys_taken_in_twice_are_named_once(spark, tmp_path):
+    path = f"{tmp_path}/raw/t"
+    _keys(spark, 0, 20).write.parquet(path)
+    index = KeyIndex(spark, path, "k", buckets=2).refresh()
+    index._take(spark.read.parquet(path), [], index.folder)
+    assert _got(index.present(_keys(spark, 15, 30))) == [f"r{i}" for i in range(15, 20)]
+
+
 def test_few_keys_are_in_doubt(spark, tmp_path):
     path = f"{tmp_path}/raw/t"
     _keys(spark, 0, 20_000).write.parquet(path)

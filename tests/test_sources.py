@@ -276,6 +276,27 @@ def test_land_batch_retry_is_idempotent(spark, tmp_path):
     assert spark.read.parquet(quarantine).count() == 1
 
 
+def test_land_batch_parses_once(spark, tmp_path, monkeypatch):
+    from pyspark.sql import functions as F
+    parsed, number = spark.sparkContext.accumulator(0), readers._num
+
+    def add(value):
+        parsed.add(1)
+        return value
+
+    def counted(raw, kind, default=None):
+        value, bad = number(raw, kind, default)
+        return (F.udf(add, "double")(value), bad) if raw == "stars" else (value, bad)
+
+    monkeypatch.setattr(readers, "_num", counted)
+    rows = spark.createDataFrame([(f"r{i}", "u", "b", "3" if i else "x", "2021-02-03", "1", "1", "1", None, i) for i in range(9)],
+                                 "review_id string, user_id string, business_id string, stars string, date string, "
+                                 "useful string, funny string, cool string, _corrupt_record string, _arrival int")
+    land_batch(rows, 1, "reviews", str(tmp_path / "t"), str(tmp_path / "q"), load_ts="2024-01-01 00:00:00")
+    assert spark.read.parquet(str(tmp_path / "t")).count() == 8 and spark.read.parquet(str(tmp_path / "q")).count() == 1
+    assert parsed.value == 9
+
+
 def test_stream_users_defaults(spark, tmp_path):
     inbox = tmp_path / "in"
     inbox.mkdir()
