@@ -59,6 +59,7 @@ def test_the_trainer_gets_even_partitions_on_every_core(spark, survival, monkeyp
         return fit(train, trees=1)
 
     monkeypatch.setattr(churn, "fit_churn", looked_at)
+    monkeypatch.setattr(churn, "PART_ROWS", 10, raising=False)
     churn.train_and_score(survival.coalesce(1))  # few rows lie in one file
     assert len(sizes) == spark.sparkContext.defaultParallelism and max(sizes) - min(sizes) <= len(sizes)
 
