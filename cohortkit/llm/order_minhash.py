@@ -16,6 +16,11 @@ Classes are the connected components, by alternating large-star and small-star r
 
 Equal texts (word for word) are one text from the start, so copies are never paired with each other.
 
+The driver's memory goes with the stages and tasks it keeps account of. So joins are merge joins, which need
+neither the job that collects a broadcast on the driver nor its copy there (but for the word hashes of
+``verify``: a broadcast of up to the session's bound deals the pairs of a large centre to all tasks), a round of
+stars has five shuffles, and rounds end as soon as every component is a star.
+
 Defined results: a null text, or one without a word, is alike only to rows equal in every column; texts
 of one to four words only to texts with equal words; repeated rows are copies; other columns do not
 matter. A class is named by its smallest doc_id.
@@ -47,6 +52,11 @@ class Settings:
     seed: int = 5
 
 
+def merged(left: DataFrame, right: DataFrame, on: str | list[str], how: str = "inner") -> DataFrame:
+    """A join that sends nothing through the driver."""
+    return left.join(right.hint("merge"), on, how)
+
+
 # --------------------------------------------------------------------------------- sketches
 def labelled(g: np.ndarray) -> np.ndarray:
     """Shingle hashes made distinct by their occurrence number."""
@@ -240,11 +250,11 @@ def verify(pairs: DataFrame, docs: DataFrame, settings: Settings, text: str = "t
 def centres(bucket: DataFrame) -> DataFrame:
     """Buckets of two texts or more with their most connected text: (tid, band, key, centre, size)."""
     sizes = bucket.groupBy("band", "key").agg(F.count("*").alias("size")).filter("size > 1")
-    shared = bucket.join(sizes, ["band", "key"])
+    shared = merged(bucket, sizes, ["band", "key"])
     weight = shared.groupBy("tid").agg(F.sum("size").alias("weight"))
-    weighed = shared.join(weight, "tid")
+    weighed = merged(shared, weight, "tid")
     best = weighed.groupBy("band", "key").agg(F.max(F.struct("weight", "tid"))["tid"].alias("centre"))
-    return shared.join(best, ["band", "key"])
+    return merged(shared, best, ["band", "key"])
 
 
 def open_pairs(lost: pa.Table, members: pa.Table, settings: Settings, forest: bool) -> tuple[list[int], list[int]]:
@@ -293,13 +303,13 @@ def remaining(starred: DataFrame, labels: DataFrame, texts: DataFrame, settings:
     open pairs of the buckets ``again``. ``labels`` (tid, label) are the components known so far."""
     own = F.coalesce("label", F.xxhash64("tid"))
     centre = labels.select(F.col("tid").alias("centre"), F.col("label").alias("centre_label"))
-    wide = starred.filter("size > 2").filter("tid <> centre").join(labels, "tid", "left").join(centre, "centre", "left").select(
+    wide = merged(merged(starred.filter("size > 2").filter("tid <> centre"), labels, "tid", "left"), centre, "centre", "left").select(
         "tid", "band", "key", "size", own.alias("label"), (own != F.coalesce("centre_label", F.xxhash64("centre"))).alias("lost"))
     if again is not None:
-        wide = wide.join(again, ["band", "key"], "left_semi")
+        wide = merged(wide, again, ["band", "key"], "left_semi")
     counts = wide.groupBy("band", "key").agg(F.sum(F.col("lost").cast("int")).alias("n_lost")).filter("n_lost > 0")
     sk = texts.select("tid", "sk", "bits", (F.col("n") - (settings.shingle - 1)).alias("n"))
-    every = wide.join(counts, ["band", "key"]).select(
+    every = merged(wide, counts, ["band", "key"]).select(
         "tid", "band", "key", "label", "lost",
         F.ceil(F.col("n_lost") / settings.block_rows).cast("int").alias("lost_blocks"),
         F.ceil(F.col("size") / settings.block_rows).cast("int").alias("blocks"))
@@ -325,7 +335,7 @@ def remaining(starred: DataFrame, labels: DataFrame, texts: DataFrame, settings:
         return pa.Table.from_arrays(
             [one.column("tid"), members.column("tid").take(pa.array(j, pa.int64()))] + [one.column("band"), one.column("key")], schema=kind)
 
-    left, right = left.join(sk, "tid"), right.join(sk, "tid")
+    left, right = merged(left, sk, "tid"), merged(right, sk, "tid")
     right = right.select(*[F.col(c).alias("m_" + c) for c in right.columns])
     met = left.groupBy(*at).cogroup(right.groupBy(*["m_" + c for c in at])).applyInArrow(
         lambda x, y: run(x, y), "a binary, b binary, band int, key long")
@@ -334,32 +344,28 @@ def remaining(starred: DataFrame, labels: DataFrame, texts: DataFrame, settings:
 
 # ---------------------------------------------------------------------------------- components
 def components(spark: SparkSession, edges: DataFrame) -> DataFrame:
-    """(v, root): the smallest vertex of each edge end's component, by alternating stars; every round is
-    written to the shared folder."""
-    def both_ways(e):
-        return e.union(e.select(F.col("v").alias("u"), F.col("u").alias("v")))
-
-    def fingerprint(e):
-        r = e.agg(F.count("*").alias("n"), F.bit_xor(F.xxhash64("u", "v")).alias("x")).collect()[0]
-        return r["n"], r["x"]
+    """(v, root): the smallest vertex of each edge end's component, by alternating stars until every
+    component is a star around its smallest vertex; every round is written to the shared folder."""
+    def unfinished(e: DataFrame) -> bool:
+        """Is an end below two others, or both below one and above one? Each edge goes from ``u`` to a smaller ``v``."""
+        ends = e.select(F.explode(F.array(F.struct(F.col("u").alias("x"), F.lit(1).alias("up"), F.lit(0).alias("down")),
+                                          F.struct(F.col("v").alias("x"), F.lit(0).alias("up"), F.lit(1).alias("down")))).alias("end"))
+        met = ends.groupBy("end.x").agg(F.sum("end.up").alias("up"), F.max("end.down").alias("down"))
+        return met.agg(F.max((F.col("up") + F.col("down") > 1) & (F.col("up") > 0))).collect()[0][0] or False
 
     edges = stored(spark, edges.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).filter("u <> v")
                    .distinct(), "omh-edges")
-    known = fingerprint(edges)
-    while known[0]:
-        # Large star: every larger neighbour of u is tied to u's smallest neighbour (or u itself).
-        near = both_ways(edges)
-        least = near.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
-        large = near.filter("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
+    while unfinished(edges):
+        # Large star: every larger neighbour of x is tied to x's smallest neighbour (or x itself).
+        near = edges.select(F.explode(F.array(F.struct(F.col("u").alias("x"), F.col("v").alias("y")),
+                                              F.struct(F.col("v").alias("x"), F.col("v").alias("y")))).alias("near"))
+        least = near.groupBy(F.col("near.x").alias("v")).agg(F.min("near.y").alias("m"))
+        large = merged(edges, least, "v").select("u", F.col("m").alias("v"))
         # Small star: u and its smaller neighbours are tied to the smallest of them.
         lowest = large.groupBy("u").agg(F.min("v").alias("m"))
-        small = large.join(lowest, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).union(
-            lowest.select("u", F.col("m").alias("v"))).filter("u <> v").distinct()
-        edges = stored(spark, small, "omh-edges")
-        now = fingerprint(edges)
-        if now == known:
-            break
-        known = now
+        small = merged(large, lowest, "u").select(F.explode(F.array(
+            F.struct(F.col("v").alias("u"), F.col("m").alias("v")), F.struct(F.col("u"), F.col("m").alias("v")))).alias("e"))
+        edges = stored(spark, small.select("e.u", "e.v").filter("u <> v").distinct(), "omh-edges")
     return edges.select(F.col("u").alias("v"), F.col("v").alias("root"))
 
 
@@ -379,7 +385,7 @@ def links(docs: DataFrame, sigs: DataFrame, settings: Settings = Settings(), tex
 
     def aligned_pairs(pairs: DataFrame, seen: DataFrame) -> DataFrame:
         """The pairs that are not ``seen`` (a < b), aligned."""
-        return stored(spark, verify(pairs.select("a", "b").distinct().join(seen, ["a", "b"], "left_anti"),
+        return stored(spark, verify(merged(pairs.select("a", "b").distinct(), seen, ["a", "b"], "left_anti"),
                                     docs, settings, text), "omh-aligned")
 
     known = components(spark, checked.filter("link"))
@@ -390,7 +396,7 @@ def links(docs: DataFrame, sigs: DataFrame, settings: Settings = Settings(), tex
     joined = aligned_pairs(forest, seen)
     found = known.select(F.col("v").alias("a"), F.col("root").alias("b")).union(joined.filter("link").select("a", "b"))
     # Buckets with a pair of the forest that is no link: all their pairs still between components.
-    failed = stored(spark, forest.join(joined.filter("link"), ["a", "b"], "left_anti").select("band", "key").distinct(),
+    failed = stored(spark, merged(forest, joined.filter("link"), ["a", "b"], "left_anti").select("band", "key").distinct(),
                     "omh-failed")
     if failed.isEmpty():
         return found
@@ -407,12 +413,11 @@ def classes(docs: DataFrame, settings: Settings = Settings(), doc_id: str = "doc
     small_batches(spark)
     sigs = stored(spark, signatures(docs, settings, doc_id, text), "omh-signatures")
     roots = components(spark, links(docs, sigs, settings, text))
-    named = sigs.groupBy("tid").agg(F.min("doc_id").alias("least")).join(
-        roots.withColumnRenamed("v", "tid"), "tid", "left").select(
+    named = merged(sigs.groupBy("tid").agg(F.min("doc_id").alias("least")), roots.withColumnRenamed("v", "tid"), "tid", "left").select(
         "tid", F.coalesce("root", "tid").alias("root"), "least")
     least = named.groupBy("root").agg(F.min("least").alias("class_id"))
-    return sigs.select("doc_id", "h", "tid").join(
-        named.join(least, "root").select("tid", "root", "class_id"), "tid").select("doc_id", "h", "root", "class_id")
+    return merged(sigs.select("doc_id", "h", "tid"), merged(named, least, "root").select("tid", "root", "class_id"),
+                  "tid").select("doc_id", "h", "root", "class_id")
 
 
 def dedupe(docs: DataFrame, settings: Settings = Settings(), doc_id: str = "doc_id", text: str = "text") -> DataFrame:
@@ -422,5 +427,5 @@ def dedupe(docs: DataFrame, settings: Settings = Settings(), doc_id: str = "doc_
     hashed = [f"`{c}`" for c, kind in docs.dtypes if "map<" not in kind and "variant" not in kind]
     rows = docs.select(F.xxhash64(F.lit(5), *hashed).alias("h"), F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"))
     # Rows equal in every column are one document.
-    return rows.join(kept.select(F.col("keep").alias("h")), "h", "left_semi").groupBy("h").agg(
+    return merged(rows, kept.select(F.col("keep").alias("h")), "h", "left_semi").groupBy("h").agg(
         F.first("row").alias("row")).select("row.*")

@@ -167,6 +167,39 @@ def test_components_of_chains_and_stars(spark):
     assert op.components(spark, df.limit(0)).count() == 0
 
 
+@pytest.fixture
+def plans(monkeypatch):
+    """(name, plan as it ran) of every table that the operator stores."""
+    seen, real = [], op.stored
+
+    def stored(spark, df, name):
+        df.collect()
+        seen.append((name, df._jdf.queryExecution().executedPlan().toString()))
+        return real(spark, df, name)
+
+    monkeypatch.setattr(op, "stored", stored)
+    return seen
+
+
+def test_rounds_of_stars_end_with_the_last_change(spark, plans):
+    df = spark.createDataFrame([(bytearray(b"x0"), bytearray(b"x%d" % i)) for i in range(1, 9)], "a binary, b binary")
+    assert op.components(spark, df).count() == 8
+    assert [n for n, _ in plans] == ["omh-edges"]  # stars from the start: no round
+
+
+def test_driver_collects_no_broadcasts(spark, plans):
+    rows = family() + sub_families(groups=10)
+    got = op.classes(frame(spark, [(i, *r[1:]) for i, r in enumerate(rows)]))
+    got.collect()
+    plans.append(("classes", got._jdf.queryExecution().executedPlan().toString()))
+    assert {"omh-buckets", "omh-edges", "omh-rest", "classes"} <= {n for n, _ in plans}
+    for name, plan in plans:
+        if name not in ("omh-stars", "omh-aligned"):  # word hashes, up to the session's bound
+            assert "Broadcast" not in plan, name
+    final = [plan.split("== Initial Plan ==")[0] for name, plan in plans if name == "omh-edges"]
+    assert max(len([x for x in p.splitlines() if "Exchange hash" in x and "Reused" not in x]) for p in final) <= 6
+
+
 def test_dedupe_keeps_one_of_each_class(spark):
     rows = family() + [family()[0]] * 2
     docs = frame(spark, rows, clash=True)
